@@ -4,19 +4,17 @@ derives from the given tables, to its end, and returns the table it built."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from repotide.functions import columns as C
 from repotide.operators import delivery, enrich
 from repotide.plans import views
-from repotide.schemas import RAW_REPO
+from repotide.schemas import RANKED_REPO, RAW_REPO
 from repotide.session import fresh_dir
 from repotide.sources import topics
 from repotide.streaming import flows, live
 from repotide.streaming.first_seen import newly_seen
 from repotide.streaming.runs import BATCH, drain, drain_to_files, write_batch
 
-RECORD = T.StructType.fromDDL(live.RECORD_SCHEMA)
 FILES = 4
 FILES_PER_BATCH = 2
 
@@ -27,7 +25,7 @@ def delivery_topic(spark, sf_dir, path):
 
 def delivered(spark, path):
     messages = topics.open_topic(spark, path, FILES_PER_BATCH)
-    return topics.parse_messages(messages, RECORD)
+    return topics.parse_messages(messages, RANKED_REPO)
 
 
 def stream_raw(spark, sf_dir):
@@ -75,7 +73,7 @@ def ranked_run(spark, sf_dir, label):
     lone = delivery.keyed_messages(sent).select("value")
     envelopes.unionByName(lone).repartition(FILES).write.text(f"{root}/topic")
     messages = topics.open_topic(spark, f"{root}/topic", FILES_PER_BATCH)
-    records = delivery.unpack_envelopes(messages, RECORD).filter("error is null")
+    records = delivery.unpack_envelopes(messages, RANKED_REPO).filter("error is null")
     run = live.LiveRankings(spark, f"{root}/tables")
     run.run_languages(records)
     return run
@@ -134,7 +132,7 @@ def stream_publish_log(spark, sf_dir):
 def stream_state(spark, sf_dir):
     """Counters behind the rankings after the last micro-batch."""
     run = ranked_run(spark, sf_dir, "stream-state")
-    return live._latest(spark.read.parquet(run.table("language_counts")))
+    return live.latest_batch(spark.read.parquet(run.table("language_counts")))
 
 
 QUERIES = {

@@ -49,6 +49,19 @@ ENRICHED_REPO = T.StructType(
     ]
 )
 
+# What the rankings need of an enriched record, and its place in arrival order.
+RANKED_REPO = T.StructType(
+    [
+        T.StructField("seq", T.LongType()),
+        T.StructField("repo_id", T.LongType()),
+        T.StructField("full_name", T.StringType()),
+        T.StructField("language", T.StringType()),
+        T.StructField("commit_count", T.LongType()),
+        T.StructField("has_tests", T.BooleanType()),
+        T.StructField("has_ci", T.BooleanType()),
+    ]
+)
+
 # One item of a search result page.
 SEARCH_ITEM = T.StructType(
     [

@@ -29,14 +29,11 @@ from repotide.schemas import (
     Q_PROJECTS,
     Q_TESTS,
     Q_TESTS_CI,
+    RANKED_REPO,
 )
 from repotide.streaming.first_seen import newly_seen
 from repotide.streaming.runs import BATCH, drain, read_batch, write_batch
 
-RECORD_SCHEMA = (
-    "seq bigint, repo_id bigint, full_name string, language string,"
-    " commit_count bigint, has_tests boolean, has_ci boolean"
-)
 COUNTS_SCHEMA = "name string, projects bigint, with_tests bigint, with_tests_ci bigint"
 TOP_SCHEMA = "rk bigint, name string, count bigint"
 UPDATE_SCHEMA = "name string, count bigint, seq bigint"
@@ -53,7 +50,7 @@ class LiveRankings:
 
     def run_languages(self, enriched: DataFrame) -> None:
         """Take in all available records; resumes where the last run stopped."""
-        records = enriched.select(*_columns(RECORD_SCHEMA))
+        records = enriched.select(*RANKED_REPO.names)
         drain(newly_seen(records), self.table("_languages"), self._count_languages, "update")
 
     def _count_languages(self, batch: DataFrame, batch_id: int) -> None:
@@ -80,7 +77,7 @@ class LiveRankings:
         Taking the same record in twice changes nothing, so this stream needs no
         more from ``first_seen`` than that nothing is missing.
         """
-        seen = self.spark.readStream.schema(f"{RECORD_SCHEMA}, {BATCH} int").parquet(
+        seen = self.spark.readStream.schema(RANKED_REPO).parquet(
             self.table("first_seen")
         )
         latest = (
@@ -117,18 +114,14 @@ class LiveRankings:
         return self.spark.read.parquet(self.table("rankings"))
 
     def language_rankings(self) -> DataFrame:
-        return _latest(self.history())
+        return latest_batch(self.history())
 
     def project_ranking(self) -> DataFrame:
-        ranked = _latest(self.spark.read.parquet(self.table("project_rankings")))
+        ranked = latest_batch(self.spark.read.parquet(self.table("project_rankings")))
         return ranked.withColumn("question", F.lit(Q_PROJECTS))
 
 
-def _columns(schema: str) -> list[str]:
-    return [field.split()[0] for field in schema.split(",")]
-
-
-def _latest(ranked: DataFrame) -> DataFrame:
+def latest_batch(ranked: DataFrame) -> DataFrame:
     """Rows of the highest batch number; the number is a partition column."""
     newest = ranked.agg(F.max(BATCH).alias(BATCH))
     return ranked.join(F.broadcast(newest), BATCH, "left_semi").drop(BATCH)
