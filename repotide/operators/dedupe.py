@@ -82,5 +82,9 @@ def dedupe_accounting(
 
 
 def without(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in ``done``."""
-    return df.join(done.select(key), key, "left_anti")
+    """Rows whose key is not in ``done``.
+
+    Repeats in ``done`` are dropped ahead of the join's shuffle, which also
+    serves that; so only ``df`` can be skewed, and its side can be split.
+    """
+    return df.join(done.select(key).distinct(), key, "left_anti")

@@ -5,71 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repotide.functions.columns import is_true, language_label, project_label
-from repotide.operators.rankings import rank_questions
-from repotide.schemas import DEFAULT_TOP_N, Q_LANGUAGES, Q_PROJECTS, Q_TESTS, Q_TESTS_CI
+from repotide.operators.rankings import counters, rank_questions, unpivot_questions
+from repotide.schemas import DEFAULT_TOP_N
 
 
-def snapshot_counts(repos: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Counter values as of every snapshot: ``(snapshot, question, name, count)``.
-
-    ``repos`` are distinct and carry their ``snapshot``; ``snapshots`` lists all
-    of them as consecutive ``idx`` from 0. A counter holds its value from the
-    snapshot that changed it until the next change, so each change is repeated
-    over that span; nothing is paired with every snapshot.
-    """
-    tests = is_true("has_tests")
-    per_language = repos.groupBy("snapshot", language_label().alias("name")).agg(
-        F.count("*").alias(Q_LANGUAGES),
-        F.count_if(tests).alias(Q_TESTS),
-        F.count_if(tests & is_true("has_ci")).alias(Q_TESTS_CI),
-    )
-    questions = [Q_LANGUAGES, Q_TESTS, Q_TESTS_CI]
-    changes = per_language.unpivot(["snapshot", "name"], questions, "question", "change").filter(
-        F.col("change") > 0
-    )
-    written = (
-        repos.filter(F.col("commit_count").isNotNull())
-        .groupBy("snapshot", project_label().alias("name"))
-        .agg(F.max_by("commit_count", "seq").alias("count"))
-        .select("snapshot", F.lit(Q_PROJECTS).alias("question"), "name", "count")
-    )
-    running = F.sum("change").over(
-        Window.partitionBy("question", "name").orderBy("snapshot")
-    )
-    values = (
-        changes.select("snapshot", "question", "name", running.alias("count"))
-        .unionByName(written)
-        .join(snapshots, "snapshot")
-        .drop("snapshot")
-    )
-    history = Window.partitionBy("question", "name").orderBy("idx")
-    until = F.coalesce(F.lead("idx").over(history), F.col("last_idx") + 1) - 1
-    last = snapshots.agg(F.max("idx").alias("last_idx")).withColumn("_one", F.lit(1))
-    held = values.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").withColumn(
-        "until", until
-    )
-    spread = held.select(
-        F.explode(F.sequence("idx", "until")).alias("idx"), "question", "name", "count"
-    )
-    return spread.join(snapshots, "idx").select(
-        "snapshot", "question", "name", "count"
+def number_snapshots(arrivals: DataFrame) -> DataFrame:
+    """Distinct snapshots as ``idx`` from 0, and the last of them: one row per day."""
+    everything = Window.partitionBy(F.lit(0))
+    days = arrivals.select("snapshot").distinct()
+    return days.select(
+        "snapshot",
+        (F.row_number().over(everything.orderBy("snapshot")) - 1).alias("idx"),
+        (F.count("*").over(everything).cast("int") - 1).alias("last_idx"),
     )
 
 
-def number_snapshots(repos: DataFrame) -> DataFrame:
-    """Distinct snapshots with ``idx`` from 0: as many rows as the run has days."""
-    order = Window.partitionBy(F.lit(0)).orderBy("snapshot")
-    return (
-        repos.select("snapshot")
-        .distinct()
-        .select("snapshot", (F.row_number().over(order) - 1).alias("idx"))
-    )
-
+def snapshot_counts(repos: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Counter values as of every snapshot: ``(snapshot, question, name, count)``.
 
-def history_ranks(repos: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """Top ``n`` of each question as of each snapshot."""
-    counts = snapshot_counts(repos, number_snapshots(repos))
+    ``repos`` are distinct and carry the ``snapshot`` they arrived in. They are
+    first reduced to one change per counter and snapshot, in one aggregation. A
+    counter holds its value from the snapshot that changed it until its next
+    change, so each change is repeated over that span; no name is paired with
+    snapshots outside of its own spans.
+    """
+    per_snapshot = counters(repos, "snapshot").join(snapshots, "snapshot")
+    own = Window.partitionBy("kind", "name").orderBy("idx")
+    until = F.coalesce(F.lead("idx").over(own) - 1, F.col("last_idx"))
+    running = {m: F.sum(m).over(own) for m in ("projects", "with_tests", "with_tests_ci")}
+    held = per_snapshot.withColumns({**running, "span": F.sequence("idx", until)})
+    spread = held.withColumn("idx", F.explode("span")).drop("snapshot", "span")
+    named = spread.join(snapshots.select("snapshot", "idx"), "idx")
+    return unpivot_questions(named, "snapshot")
+
+
+def history_ranks(repos: DataFrame, arrivals: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
+    """Top ``n`` of each question as of each snapshot that had arrivals."""
+    counts = snapshot_counts(repos, number_snapshots(arrivals))
     return rank_questions(counts, n, within=("snapshot",))
 
 

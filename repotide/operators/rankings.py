@@ -64,51 +64,63 @@ def top_projects(repos: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
     return top_ranked(project_commits(repos), n)
 
 
-def question_counts(repos: DataFrame) -> DataFrame:
+def counters(repos: DataFrame, *within: str) -> DataFrame:
     """All counters of the four questions in one aggregation.
 
-    Each repository feeds its language and its project name into a single
-    group-by; the language measures are unpivoted afterwards, from a table with
-    one row per language.
+    Each repository feeds its language and, given a commit count, its project
+    name; ``kind`` tells the two apart. Counters are kept per ``within`` group.
     """
     tests = is_true("has_tests")
     fed = repos.select(
+        *within,
         "seq",
         "commit_count",
         tests.alias("tests"),
         (tests & is_true("has_ci")).alias("tests_ci"),
         F.explode(
-            F.array(
-                F.struct(F.lit("language").alias("kind"), language_label().alias("name")),
-                F.when(
-                    F.col("commit_count").isNotNull(),
-                    F.struct(F.lit("project").alias("kind"), project_label().alias("name")),
-                ),
+            F.array_compact(
+                F.array(
+                    F.struct(F.lit("language").alias("kind"), language_label().alias("name")),
+                    F.when(
+                        F.col("commit_count").isNotNull(),
+                        F.struct(F.lit("project").alias("kind"), project_label().alias("name")),
+                    ),
+                )
             )
         ).alias("fed"),
-    ).filter(F.col("fed").isNotNull())
-    counters = fed.groupBy("fed.kind", "fed.name").agg(
+    )
+    return fed.groupBy(*within, "fed.kind", "fed.name").agg(
         F.count("*").alias("projects"),
         F.count_if("tests").alias("with_tests"),
         F.count_if("tests_ci").alias("with_tests_ci"),
         F.max_by("commit_count", "seq").alias("commits"),
     )
+
+
+def unpivot_questions(counted: DataFrame, *within: str) -> DataFrame:
+    """``(question, name, count)`` rows of :func:`counters`; zero counts have none."""
     is_language = F.col("kind") == "language"
+
+    def languages(measure: str):
+        return F.when(is_language & (F.col(measure) > 0), F.col(measure))
+
     measures = F.array(
-        _measure(Q_LANGUAGES, F.when(is_language, F.col("projects"))),
-        _measure(Q_TESTS, F.when(is_language & (F.col("with_tests") > 0), F.col("with_tests"))),
-        _measure(
-            Q_TESTS_CI, F.when(is_language & (F.col("with_tests_ci") > 0), F.col("with_tests_ci"))
-        ),
+        _measure(Q_LANGUAGES, languages("projects")),
+        _measure(Q_TESTS, languages("with_tests")),
+        _measure(Q_TESTS_CI, languages("with_tests_ci")),
         _measure(Q_PROJECTS, F.when(~is_language, F.col("commits"))),
     )
     return (
-        counters.select("name", F.explode(measures).alias("m"))
-        .select("m.question", "name", "m.count")
+        counted.select(*within, "name", F.explode(measures).alias("m"))
+        .select(*within, "m.question", "name", "m.count")
         .filter(F.col("count").isNotNull())
     )
 
 
+def question_counts(repos: DataFrame) -> DataFrame:
+    return unpivot_questions(counters(repos))
+
+
 def _measure(question: str, count):
     return F.struct(F.lit(question).alias("question"), count.alias("count"))
 

@@ -114,28 +114,32 @@ def _must_split(cap: int) -> Column:
     return (F.col("n") > cap) & (F.col("s") < F.col("e"))
 
 
+def _is_whole_day() -> Column:
+    return (F.col("s") == 0) & (F.col("e") == LAST_SECOND)
+
+
 def adaptive_ranges(seconds: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
     """Leaf ranges ``(day, s, e, n, over_cap)`` tiling each day.
 
     A range is halved while it holds more than ``cap`` rows and is longer than a
     second. A range is cut exactly when it is such a node itself, since all its
-    ancestors hold at least as many rows; so the tree needs no recursion: the
-    leaves are the halves of cut ranges, and whole days, that need no cut.
+    ancestors hold at least as many rows; so the tree needs no recursion. Whole
+    days and the halves of cut ranges are reached; the reached ranges that need
+    no cut are the leaves. A half without rows meets only its own zero count.
     """
-    nodes = range_nodes(seconds)
     mid = F.expr("cast(s + (e - s) div 2 as int)")
-    halves = F.array(
-        F.struct(F.col("s"), mid.alias("e")),
-        F.struct((mid + 1).alias("s"), F.col("e")),
-    )
-    children = nodes.filter(_must_split(cap)).select("day", F.explode(halves).alias("h"))
-    candidates = children.select("day", "h.s", "h.e").join(nodes, ["day", "s", "e"], "left")
-    whole_days = nodes.filter((F.col("s") == 0) & (F.col("e") == LAST_SECOND))
+    zero, yes = F.lit(0).cast("bigint"), F.lit(True)
+    itself = F.struct("s", "e", "n", _is_whole_day().alias("wanted"))
+    lower = F.struct(F.col("s"), mid.alias("e"), zero.alias("n"), yes.alias("wanted"))
+    upper = F.struct((mid + 1).alias("s"), F.col("e"), zero.alias("n"), yes.alias("wanted"))
+    reached = F.when(_must_split(cap), F.array(itself, lower, upper)).otherwise(F.array(itself))
     return (
-        candidates.unionByName(whole_days)
-        .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
-        .filter(~_must_split(cap))
-        .withColumn("over_cap", F.col("n") > cap)
+        range_nodes(seconds)
+        .select("day", F.explode(reached).alias("r"))
+        .groupBy("day", F.col("r.s").alias("s"), F.col("r.e").alias("e"))
+        .agg(F.max("r.n").alias("n"), F.max("r.wanted").alias("wanted"))
+        .filter(F.col("wanted") & ~_must_split(cap))
+        .select("day", "s", "e", "n", (F.col("n") > cap).alias("over_cap"))
     )
 
 

@@ -418,13 +418,11 @@ def backlog_depth(spark, sf_dir):
     return history.backlog_depth(flow(spark, sf_dir), "emitted_at", "received_at")
 
 
-def snapshots(spark, sf_dir):
-    unique = first_seen_repos(spark, sf_dir)
-    return unique.withColumn("snapshot", views.day_text("emitted_at"))
-
-
 def daily_ranks(spark, sf_dir):
-    return history.history_ranks(snapshots(spark, sf_dir))
+    day = views.day_text("emitted_at")
+    unique = first_seen_repos(spark, sf_dir).withColumn("snapshot", day)
+    arrivals = views.raw_repos(spark, sf_dir).select(day.alias("snapshot"))
+    return history.history_ranks(unique, arrivals)
 
 
 def history_snapshots(spark, sf_dir):

@@ -169,10 +169,11 @@ from (
 select event_id, event_type, ts as emitted_at,
   case when event_type <> 'error' then ts + to_microseconds(cast(round(value * 1000000) as bigint)) end as received_at
 from events""",
+    "snap_days": """
+select snapshot, row_number() over (order by snapshot) - 1 as idx
+from (select distinct strftime(emitted_at, '%Y-%m-%d') as snapshot from raw_repos) d""",
     "snaps": """
-select *, dense_rank() over (order by strftime(emitted_at, '%Y-%m-%d')) - 1 as idx,
-  strftime(emitted_at, '%Y-%m-%d') as snapshot from uniq""",
-    "snap_days": "select distinct idx, snapshot from snaps",
+select u.*, d.idx from uniq u join snap_days d on strftime(u.emitted_at, '%Y-%m-%d') = d.snapshot""",
     "as_of": """
 select d.snapshot, 'q1_languages' as question, s.lang as name, count(*) as count
 from snap_days d join snaps s on s.idx <= d.idx group by all
@@ -215,8 +216,8 @@ USES = {
     "calendar": ["crawl_requests"],
     "tree": ["seconds"],
     "leaves": ["tree"],
-    "snaps": ["uniq"],
-    "snap_days": ["snaps"],
+    "snap_days": ["raw_repos"],
+    "snaps": ["uniq", "snap_days"],
     "as_of": ["snaps", "snap_days"],
     "daily_ranks": ["as_of"],
     "orders_listed": ["daily_ranks"],

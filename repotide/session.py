@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A limit beyond this many rows is sorted and streamed, not held in memory.
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
     # Dedupe state grows with the number of repositories: keep it off-heap and
     # checkpoint only its changes.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,

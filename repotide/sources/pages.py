@@ -32,16 +32,19 @@ def page_metadata(pages: DataFrame) -> DataFrame:
     two values are carried into the aggregation, never the payload.
     """
     page = F.from_json("payload", SEARCH_PAGE)
-    facts = F.struct(
-        page["total_count"].try_cast("bigint").alias("total_count"),
-        F.coalesce(page["incomplete_results"], F.lit(False)).alias("incomplete_results"),
-    )
     return (
         pages.filter(F.ltrim("payload").startswith("{"))
-        .select("query", "page_no", facts.alias("facts"))
+        .select(
+            "query",
+            "page_no",
+            page["total_count"].try_cast("bigint").alias("total"),
+            F.coalesce(page["incomplete_results"], F.lit(False)).alias("incomplete"),
+        )
         .groupBy("query")
-        .agg(F.min_by("facts", "page_no").alias("facts"))
-        .select("query", "facts.*")
+        .agg(
+            F.min_by("total", "page_no").alias("total_count"),
+            F.min_by("incomplete", "page_no").alias("incomplete_results"),
+        )
     )
 
 
