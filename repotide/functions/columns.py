@@ -107,15 +107,14 @@ def slice_id(suffix: Column | str) -> Column:
     return F.concat(slice_suffix(suffix), F.lit("-"), F.sha2(suffix, 256))
 
 
-def json_object(line: Column | str) -> Column:
-    """Fields of a line holding exactly one JSON object, else null.
+def json_objects(line: Column | str) -> Column:
+    """Fields of each JSON object on a line; null if the line does not parse.
 
-    Wrapping in brackets makes the parser see the whole line, so trailing
-    garbage is an error and not ignored.
+    A record line holds exactly one. Wrapping in brackets makes the parser see
+    the whole line, so trailing garbage is an error and not ignored.
     """
     wrapped = F.concat(F.lit("["), as_col(line), F.lit("]"))
-    parsed = F.from_json(wrapped, "array<map<string,string>>", {"allowSingleQuotes": "false"})
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+    return F.from_json(wrapped, "array<map<string,string>>", {"allowSingleQuotes": "false"})
 
 
 def is_falsy_id(repo_id: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repotide.functions.columns import sorted_json
+from repotide.functions.columns import json_objects, sorted_json
 from repotide.schemas import DEFAULT_FLUSH_EVERY, DEFAULT_MAX_RETRIES
 
 
@@ -47,14 +47,12 @@ def unpack_envelopes(messages: DataFrame, schema, value: str = "value") -> DataF
     """
     fields = [f.name for f in schema.fields]
     text = F.col(value)
-    is_object = F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
-    wrapped = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>"
+    messages = messages.select(text, json_objects(text).alias("objects")).select(
+        text, F.when(F.size("objects") == 1, F.get("objects", F.lit(0))).alias("object")
     )
-    sound = is_object & F.coalesce(F.size(wrapped) == 1, F.lit(False))
+    sound = F.col("object").isNotNull()
     listed = F.coalesce(
-        F.ltrim(F.try_element_at(F.get(wrapped, F.lit(0)), F.lit("records"))).startswith("["),
-        F.lit(False),
+        F.ltrim(F.try_element_at("object", F.lit("records"))).startswith("["), F.lit(False)
     )
     record_type = schema.simpleString()
     many = F.from_json(text, f"struct<records:array<{record_type}>>")["records"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repotide.functions.columns import is_falsy_id, json_object, language_label
+from repotide.functions.columns import is_falsy_id, json_objects, language_label
 from repotide.operators.rankings import top_ranked
 from repotide.schemas import REQUIRED_FIELDS, UNKNOWN_LANGUAGE_IN_REPORT
 
@@ -25,16 +25,18 @@ def parse_lines(lines: DataFrame, keep: tuple[str, ...] = ("line_no",)) -> DataF
         F.map_contains_key(fields, "full_name"),
         F.lower(F.coalesce(F.try_element_at(fields, F.lit("full_name")), F.lit("None"))),
     ).otherwise(F.lit(""))
-    required = F.array(*[F.lit(f) for f in sorted(REQUIRED_FIELDS)])
+    present = F.map_keys(fields)
+    absent = [F.when(~F.array_contains(present, f), F.lit(f)) for f in sorted(REQUIRED_FIELDS)]
     is_record = fields.isNotNull()
     return (
         lines.withColumn("_text", text)
         .filter(F.col("_text") != "")
-        .select(*keep, json_object("_text").alias("fields"))
+        .select(*keep, json_objects("_text").alias("objects"))
+        .select(*keep, F.when(F.size("objects") == 1, F.get("objects", F.lit(0))).alias("fields"))
         .select(
             *keep,
             is_record.alias("is_record"),
-            F.array_join(F.array_except(required, F.map_keys(fields)), ", ").alias("missing"),
+            F.when(is_record, F.concat_ws(", ", *absent)).alias("missing"),
             F.when(is_record, F.when(is_falsy_id(repo_id), name).otherwise(repo_id)).alias("key"),
             F.try_element_at(fields, F.lit("language")).alias("language"),
         )
@@ -44,23 +46,30 @@ def parse_lines(lines: DataFrame, keep: tuple[str, ...] = ("line_no",)) -> DataF
 def line_diagnostics(lines: DataFrame) -> DataFrame:
     """One row per non-blank line with its problems.
 
-    A repeat is a record that is not the first line of its key. The first lines
-    come from a combined minimum per key and are matched by line number, which
-    is unique, so a key shared by many lines never gathers in one task.
+    A repeat is a record that is not the first line of its key. Only keys that
+    do repeat are looked up, with their first line: few in a healthy hand-off,
+    so that Spark can broadcast them and leave the lines where they are. A key
+    shared by very many lines is skewed on the lines' side only, which is split.
     """
-    parsed = parse_lines(lines)
-    firsts = (
-        parsed.filter("is_record")
-        .groupBy("key")
-        .agg(F.min("line_no").alias("line_no"))
-        .select("line_no", F.lit(True).alias("_first"))
+    # Neither a filter on the parsed fields nor a nullable join key: either would
+    # be pushed down to the lines and parse them a second time.
+    parsed = parse_lines(lines).withColumn("_key", F.coalesce("key", F.lit("")))
+    repeated = (
+        parsed.groupBy("_key")
+        .agg(
+            F.min(F.when(F.col("is_record"), F.col("line_no"))).alias("first_line"),
+            F.count_if("is_record").alias("n"),
+        )
+        .filter("n > 1")
+        .select("_key", "first_line")
     )
-    return parsed.join(firsts, "line_no", "left").select(
+    later = F.col("is_record") & (F.col("line_no") > F.col("first_line"))
+    return parsed.join(repeated, "_key", "left").select(
         "line_no",
         (~F.col("is_record")).alias("invalid_json"),
         F.coalesce("missing", F.lit("")).alias("missing"),
-        F.col("key"),
-        (F.col("is_record") & F.col("_first").isNull()).alias("is_duplicate"),
+        "key",
+        F.coalesce(later, F.lit(False)).alias("is_duplicate"),
     )
 
 
@@ -83,9 +92,12 @@ def line_summary(lines: DataFrame) -> DataFrame:
 
 
 def language_preview(lines: DataFrame, n: int = 10) -> DataFrame:
-    records = parse_lines(lines).filter("is_record")
     label = language_label("language", UNKNOWN_LANGUAGE_IN_REPORT)
-    return top_ranked(records.groupBy(label.alias("name")).agg(F.count("*").alias("count")), n)
+    # Counted, not filtered: a filter would parse the lines a second time.
+    counts = parse_lines(lines).groupBy(label.alias("name")).agg(
+        F.count_if("is_record").alias("count")
+    )
+    return top_ranked(counts.filter(F.col("count") > 0), n)
 
 
 def judge_lines(lines: DataFrame, keep: tuple[str, ...] = ("line",)) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.functions.columns import day_expression, query_text
+from repotide.functions.columns import day_expression, query_text, second_text
 from repotide.operators.joins import MIN_HOT_ROWS, salted_lookup
 from repotide.schemas import SEARCH_CAP
 
@@ -13,6 +13,7 @@ BOTH_FIELDS = "created-or-pushed"
 LAST_SECOND = 86_399
 # Halving a day of 86,400 seconds reaches single seconds after 17 steps.
 HALVINGS = 17
+CODE_BASE = 100_000
 
 
 def date_fields(mode: Column) -> Column:
@@ -76,7 +77,7 @@ def with_second(df: DataFrame, ts: str) -> DataFrame:
     """Add ``day`` and ``sec``, the whole second of the UTC day."""
     at = F.col(ts)
     sec = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-    return df.withColumns({"day": F.date_format(at, "yyyy-MM-dd"), "sec": sec.cast("int")})
+    return df.withColumns({"day": F.to_date(at), "sec": sec.cast("int")})
 
 
 def second_counts(df: DataFrame) -> DataFrame:
@@ -84,42 +85,60 @@ def second_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("day", "sec").agg(F.count("*").alias("n"))
 
 
-def _halving_path() -> Column:
-    """Every range of the halving that contains ``sec``, whole day first."""
+def halving_paths(spark: SparkSession) -> DataFrame:
+    """``(sec, path)``: every range of a day's halving that contains the second.
+
+    Ranges are numbers, see :func:`range_code`. The halving is the same for
+    every day, so this table always has 86,400 rows of at most 18 numbers: about
+    15 MB, and safe to broadcast.
+    """
     last = "element_at(p, -1)"
-    mid = f"({last}.s + ({last}.e - {last}.s) div 2)"
-    lower = f"named_struct('s', {last}.s, 'e', cast({mid} as int))"
-    upper = f"named_struct('s', cast({mid} + 1 as int), 'e', {last}.e)"
-    return F.expr(
-        f"aggregate(sequence(1, {HALVINGS}), array(named_struct('s', 0, 'e', {LAST_SECOND})),"
-        f" (p, i) -> if({last}.s < {last}.e,"
-        f" concat(p, array(if(sec <= {mid}, {lower}, {upper}))), p))"
+    s, e = f"({last} div {CODE_BASE})", f"({last} % {CODE_BASE})"
+    mid = f"({s} + ({e} - {s}) div 2)"
+    half = f"if(sec <= {mid}, {s} * {CODE_BASE} + {mid}, ({mid} + 1) * {CODE_BASE} + {e})"
+    path = F.expr(
+        f"aggregate(sequence(1, {HALVINGS}), array({LAST_SECOND}L),"
+        f" (p, i) -> if({s} < {e}, concat(p, array({half})), p))"
     )
+    seconds = spark.range(LAST_SECOND + 1).select(F.col("id").cast("int").alias("sec"))
+    return seconds.select("sec", path.alias("path"))
+
+
+def range_code(s: Column, e: Column) -> Column:
+    """A range as one number: start times :data:`CODE_BASE`, plus end."""
+    return s.cast("bigint") * CODE_BASE + e
+
+
+def range_start(code: Column) -> Column:
+    return F.floor(code / CODE_BASE).cast("int")
+
+
+def range_end(code: Column) -> Column:
+    return (code % CODE_BASE).cast("int")
+
+
+def containing_ranges(seconds: DataFrame) -> DataFrame:
+    """``seconds`` once per range that contains them, as ``code``."""
+    paths = F.broadcast(halving_paths(seconds.sparkSession))
+    return seconds.join(paths, "sec").withColumn("code", F.explode("path")).drop("path")
 
 
 def range_nodes(seconds: DataFrame) -> DataFrame:
-    """Rows in every non-empty range of the halving: ``(day, s, e, n)``.
+    """Rows in every non-empty range of the halving: ``(day, code, n)``.
 
     A day has at most 86,400 distinct seconds and twice as many ranges, whatever
     the number of rows behind them.
     """
-    return (
-        seconds.select("day", "n", F.explode(_halving_path()).alias("r"))
-        .groupBy("day", F.col("r.s").alias("s"), F.col("r.e").alias("e"))
-        .agg(F.sum("n").alias("n"))
-    )
+    return containing_ranges(seconds).groupBy("day", "code").agg(F.sum("n").alias("n"))
 
 
 def _must_split(cap: int) -> Column:
-    return (F.col("n") > cap) & (F.col("s") < F.col("e"))
-
-
-def _is_whole_day() -> Column:
-    return (F.col("s") == 0) & (F.col("e") == LAST_SECOND)
+    code = F.col("code")
+    return (F.col("n") > cap) & (range_start(code) < range_end(code))
 
 
 def adaptive_ranges(seconds: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
-    """Leaf ranges ``(day, s, e, n, over_cap)`` tiling each day.
+    """Leaf ranges ``(day, code, s, e, n, over_cap)`` tiling each day.
 
     A range is halved while it holds more than ``cap`` rows and is longer than a
     second. A range is cut exactly when it is such a node itself, since all its
@@ -127,19 +146,23 @@ def adaptive_ranges(seconds: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
     days and the halves of cut ranges are reached; the reached ranges that need
     no cut are the leaves. A half without rows meets only its own zero count.
     """
-    mid = F.expr("cast(s + (e - s) div 2 as int)")
+    code = F.col("code")
+    s, e = range_start(code), range_end(code)
+    mid = F.floor((s + e) / 2).cast("int")
     zero, yes = F.lit(0).cast("bigint"), F.lit(True)
-    itself = F.struct("s", "e", "n", _is_whole_day().alias("wanted"))
-    lower = F.struct(F.col("s"), mid.alias("e"), zero.alias("n"), yes.alias("wanted"))
-    upper = F.struct((mid + 1).alias("s"), F.col("e"), zero.alias("n"), yes.alias("wanted"))
+    itself = F.struct("code", "n", (code == LAST_SECOND).alias("wanted"))
+    lower = F.struct(range_code(s, mid).alias("code"), zero.alias("n"), yes.alias("wanted"))
+    upper = F.struct(range_code(mid + 1, e).alias("code"), zero.alias("n"), yes.alias("wanted"))
     reached = F.when(_must_split(cap), F.array(itself, lower, upper)).otherwise(F.array(itself))
     return (
         range_nodes(seconds)
         .select("day", F.explode(reached).alias("r"))
-        .groupBy("day", F.col("r.s").alias("s"), F.col("r.e").alias("e"))
+        .groupBy("day", F.col("r.code").alias("code"))
         .agg(F.max("r.n").alias("n"), F.max("r.wanted").alias("wanted"))
         .filter(F.col("wanted") & ~_must_split(cap))
-        .select("day", "s", "e", "n", (F.col("n") > cap).alias("over_cap"))
+        .select(
+            "day", "code", s.alias("s"), e.alias("e"), "n", (F.col("n") > cap).alias("over_cap")
+        )
     )
 
 
@@ -155,8 +178,8 @@ def range_summary(leaves: DataFrame) -> DataFrame:
 
 
 def range_bound(day: str, sec: str) -> Column:
-    at = F.timestamp_seconds(F.unix_timestamp(F.col(day), "yyyy-MM-dd") + F.col(sec))
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    midnight = F.unix_date(F.col(day)).cast("bigint") * (LAST_SECOND + 1)
+    return second_text(F.timestamp_seconds(midnight + F.col(sec)))
 
 
 def range_queries(leaves: DataFrame, field: str, suffix: str = "") -> DataFrame:
@@ -167,21 +190,23 @@ def range_queries(leaves: DataFrame, field: str, suffix: str = "") -> DataFrame:
 
 def assign_ranges(
     rows: DataFrame,
+    seconds: DataFrame,
     id_column: str,
     cap: int = SEARCH_CAP,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Add to each row (with ``day``, ``sec``) the leaf range ``(s, e)`` it falls in.
 
-    The range is looked up per distinct second by equality along the halving
-    path, never by comparing rows with bounds; the rows then join on their second.
+    ``seconds`` are the :func:`second_counts` of the rows, best materialized since
+    the ranges, the lookup, and the list of hot seconds all read them. The range
+    is looked up per distinct second by equality along the halving path, never by
+    comparing rows with bounds; the rows then join on their second.
     """
-    seconds = second_counts(rows)
-    leaves = adaptive_ranges(seconds, cap).select("day", "s", "e")
+    leaves = adaptive_ranges(seconds, cap).select("day", "code", "s", "e")
     of_second = (
-        seconds.select("day", "sec", F.explode(_halving_path()).alias("r"))
-        .select("day", "sec", "r.s", "r.e")
-        .join(leaves, ["day", "s", "e"])
+        containing_ranges(seconds.select("day", "sec"))
+        .join(leaves, ["day", "code"])
+        .drop("code")
     )
     return salted_lookup(
         rows, of_second, ["day", "sec"], seconds, id_column, min_hot_rows=min_hot_rows

@@ -16,7 +16,7 @@ from repotide.operators import (
     slicing,
 )
 from repotide.plans import views
-from repotide.session import fresh_dir
+from repotide.session import fresh_dir, materialize
 from repotide.sources import pages, published, records
 from repotide.sources.slices import SLICE_KEYS, SliceStore
 from repotide.sources.topics import read_table
@@ -256,21 +256,25 @@ def adaptive_ranges(spark, sf_dir):
     leaves = slicing.adaptive_ranges(slicing.second_counts(day_seconds(spark, sf_dir)), RANGE_CAP)
     queried = slicing.range_queries(leaves, "pushed", " stars:>=100")
     return queried.select(
-        "day", F.col("s").cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e"),
+        F.col("day").cast("string").alias("day"), F.col("s").cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e"),
         "n", "over_cap", "query",
     )
 
 
 def range_split_summary(spark, sf_dir):
     leaves = slicing.adaptive_ranges(slicing.second_counts(day_seconds(spark, sf_dir)), RANGE_CAP)
-    return slicing.range_summary(leaves)
+    return slicing.range_summary(leaves).withColumn("day", F.col("day").cast("string"))
 
 
 def range_assignment(spark, sf_dir):
     rows = day_seconds(spark, sf_dir).select("event_id", "day", "sec")
-    assigned = slicing.assign_ranges(rows, "event_id", RANGE_CAP)
+    seconds = materialize(slicing.second_counts(rows), "seconds")
+    assigned = slicing.assign_ranges(rows, seconds, "event_id", RANGE_CAP)
     return assigned.select(
-        "event_id", "day", F.col("s").cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e")
+        "event_id",
+        F.col("day").cast("string").alias("day"),
+        F.col("s").cast("bigint").alias("s"),
+        F.col("e").cast("bigint").alias("e"),
     )
 
 
