@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repotide.schemas import TEST_WORDS, UNKNOWN_LANGUAGE
 
@@ -117,6 +118,32 @@ def json_objects(line: Column | str) -> Column:
     return F.from_json(wrapped, "array<map<string,string>>", {"allowSingleQuotes": "false"})
 
 
+def whole_number(text: Column) -> Column:
+    """``7``, ``"7"`` and ``7.0`` of a message are the same number; else null."""
+    return F.coalesce(
+        text.try_cast("bigint"), text.try_cast("decimal(38,9)").try_cast("bigint")
+    )
+
+
+def wire_type(schema: T.StructType) -> T.StructType:
+    """``schema`` with whole numbers read as text, so that a number in quotes is kept."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.dataType == T.LongType() else f.dataType)
+            for f in schema.fields
+        ]
+    )
+
+
+def from_wire(record: str, schema: T.StructType) -> list[Column]:
+    """Columns of a ``wire_type`` struct in the types of ``schema``."""
+    return [
+        (whole_number(value) if f.dataType == T.LongType() else value).alias(f.name)
+        for f in schema.fields
+        for value in [F.col(f"{record}.{f.name}")]
+    ]
+
+
 def is_falsy_id(repo_id: Column) -> Column:
     return repo_id.isNull() | repo_id.isin("", "0", "false")
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from repotide.functions.columns import json_objects, sorted_json
+from repotide.functions.columns import from_wire, json_objects, sorted_json, wire_type
 from repotide.schemas import DEFAULT_FLUSH_EVERY, DEFAULT_MAX_RETRIES
 
 
@@ -39,13 +40,15 @@ def pack_envelopes(
     )
 
 
-def unpack_envelopes(messages: DataFrame, schema, value: str = "value") -> DataFrame:
+def unpack_envelopes(
+    messages: DataFrame, schema: T.StructType, value: str = "value"
+) -> DataFrame:
     """Records of messages: the list of an envelope, or a lone record itself.
 
     Adds ``error`` for messages that are no object, and for records without a
-    usable id; such rows belong in quarantine and never stop the others.
+    usable id or with a commit count that is no number; those carry their
+    ``payload``, belong in quarantine, and never stop the others.
     """
-    fields = [f.name for f in schema.fields]
     text = F.col(value)
     messages = messages.select(text, json_objects(text).alias("objects")).select(
         text, F.when(F.size("objects") == 1, F.get("objects", F.lit(0))).alias("object")
@@ -54,20 +57,22 @@ def unpack_envelopes(messages: DataFrame, schema, value: str = "value") -> DataF
     listed = F.coalesce(
         F.ltrim(F.try_element_at("object", F.lit("records"))).startswith("["), F.lit(False)
     )
-    record_type = schema.simpleString()
-    many = F.from_json(text, f"struct<records:array<{record_type}>>")["records"]
-    nothing = F.array(F.lit(None).cast(record_type))
-    one = F.array(F.from_json(text, record_type))
+    wire = wire_type(schema).simpleString()
+    many = F.from_json(text, f"struct<records:array<{wire}>>")["records"]
+    one = F.array(F.from_json(text, wire))
+    nothing = F.array(F.lit(None).cast(wire))
     records = F.coalesce(F.when(sound & listed, many).when(sound, one), nothing)
+    rows = messages.select(
+        text.alias("payload"), sound.alias("sound"), F.explode(records).alias("r")
+    ).select("payload", "sound", "r", *from_wire("r", schema))
     error = F.when(~F.col("sound"), F.lit("not an object")).when(
-        F.col("r.repo_id").isNull(), F.lit("no repo_id")
+        F.col("repo_id").isNull(), F.lit("no repo_id")
     )
-    return messages.select(
-        text.alias("payload"), sound.alias("sound"), F.explode(records).alias("r")
-    ).select(
-        *[F.col(f"r.{f}").alias(f) for f in fields],
-        F.when(error.isNotNull(), F.col("payload")).alias("payload"),
-        error.alias("error"),
+    if "commit_count" in schema.names:
+        lost = F.col("r.commit_count").isNotNull() & F.col("commit_count").isNull()
+        error = error.when(lost, F.lit("bad commit_count"))
+    return rows.select(
+        *schema.names, F.when(error.isNotNull(), F.col("payload")).alias("payload"), error.alias("error")
     )
 
 

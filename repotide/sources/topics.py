@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repotide.functions.columns import sorted_json
+from repotide.functions.columns import from_wire, sorted_json, wire_type
 
 
 def publish(records: DataFrame, path: str, files: int | None = None) -> None:
@@ -43,7 +43,8 @@ def open_topic(
 
 def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """Records of messages that each hold one JSON object."""
-    return messages.select(F.from_json("value", schema).alias("r")).select("r.*")
+    parsed = messages.select(F.from_json("value", wire_type(schema)).alias("r"))
+    return parsed.select(*from_wire("r", schema))
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
