@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,17 +85,31 @@ def record_outcomes(attempts: DataFrame) -> DataFrame:
 
 
 def delivery_totals(
-    attempts: DataFrame, skipped: Column | None = None, max_retries: int = DEFAULT_MAX_RETRIES
+    attempts: DataFrame, skipped: DataFrame | None = None, max_retries: int = DEFAULT_MAX_RETRIES
 ) -> DataFrame:
     """Totals over send attempts ``(repo_id, attempt, ok)``.
 
     Every failed attempt counts as a failure; a record fails for good once
-    ``max_retries + 1`` attempts have failed.
+    ``max_retries + 1`` attempts have failed. ``skipped`` has the ids that were
+    not attempted because an earlier run has published them.
     """
-    outcomes = record_outcomes(attempts)
     spent = ~F.col("published") & (F.col("failures") > max_retries)
+    outcomes = record_outcomes(attempts).select(
+        "published", "failures", spent.alias("spent"), F.lit(False).alias("skipped")
+    )
+    if skipped is not None:
+        no = F.lit(False)
+        outcomes = outcomes.unionByName(
+            skipped.select(
+                no.alias("published"),
+                F.lit(0).cast("bigint").alias("failures"),
+                no.alias("spent"),
+                F.lit(True).alias("skipped"),
+            )
+        )
     return outcomes.agg(
         F.count_if("published").alias("published"),
         F.coalesce(F.sum("failures"), F.lit(0)).alias("publish_failures"),
-        F.count_if(spent).alias("permanent_failures"),
+        F.count_if("spent").alias("permanent_failures"),
+        F.count_if("skipped").alias("skipped_via_checkpoint"),
     )

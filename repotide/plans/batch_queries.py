@@ -15,7 +15,7 @@ from repotide.operators import (
     rankings,
     slicing,
 )
-from repotide.plans import views
+from repotide.plans import crawl, views
 from repotide.session import fresh_dir, materialize
 from repotide.sources import pages, published, records
 from repotide.sources.slices import SLICE_KEYS, SliceStore
@@ -23,6 +23,7 @@ from repotide.sources.topics import read_table
 
 # Range cap for the test tables; the default of the operator is the search cap.
 RANGE_CAP = 40
+CRAWL_SCHEMA = "field_rank int, repo_id bigint, stars bigint, event_id bigint"
 
 
 def first_seen_repos(spark, sf_dir):
@@ -235,9 +236,7 @@ def slice_provenance(spark, sf_dir):
 def slice_write(spark, sf_dir):
     """Store the created slices, then crawl both fields: the stored ones are
     taken as they are and only the missing ones are produced and stored."""
-    store = SliceStore(
-        spark, fresh_dir(spark, "slices"), "field_rank int, repo_id bigint, stars bigint, event_id bigint"
-    )
+    store = SliceStore(spark, fresh_dir(spark, "slices"), CRAWL_SCHEMA)
     rows = views.crawl_rows(spark, sf_dir).withColumn("query_key", F.lit("all"))
     wanted = rows.select(*SLICE_KEYS).distinct()
     order = [F.desc("stars"), F.asc("event_id")]
@@ -248,6 +247,38 @@ def slice_write(spark, sf_dir):
     return store.read(wanted).select("date_field", "crawl_day", "repo_id", "stars", "event_id")
 
 
+def slice_union(spark, sf_dir):
+    """Stored slices together with the rows of those not stored yet."""
+    store = SliceStore(spark, fresh_dir(spark, "slices"), CRAWL_SCHEMA)
+    rows = views.crawl_rows(spark, sf_dir).withColumn("query_key", F.lit("all"))
+    wanted = rows.select(*SLICE_KEYS).distinct()
+    order = [F.desc("stars"), F.asc("event_id")]
+    is_pushed = F.col("date_field") == "pushed"
+    store.write(rows.filter(is_pushed), wanted.filter(is_pushed), order)
+    served = store.serve(wanted, rows, order)
+    return served.select("date_field", "crawl_day", "repo_id", "stars", "event_id")
+
+
+def crawled(spark, sf_dir, **limits):
+    store = SliceStore(spark, fresh_dir(spark, "crawl"), CRAWL_SCHEMA)
+    rows = views.crawl_rows(spark, sf_dir).withColumn("query_key", F.lit("all"))
+    wanted = rows.select(*SLICE_KEYS).distinct()
+    kept = crawl.crawl_window(
+        store, wanted, rows, [F.desc("stars"), F.asc("event_id")], views.crawl_order(), **limits
+    )
+    return kept.select("date_field", "crawl_day", "repo_id", "stars", "event_id")
+
+
+def crawl_window(spark, sf_dir):
+    """The whole crawl: every slice served and stored, then distinct repositories."""
+    return crawled(spark, sf_dir)
+
+
+def crawl_limited(spark, sf_dir):
+    """At most five rows of each slice before, and thirty overall after, deduplication."""
+    return crawled(spark, sf_dir, limit_per_slice=5, limit=30)
+
+
 def day_seconds(spark, sf_dir):
     return slicing.with_second(views.table(spark, sf_dir, "events"), "ts")
 
@@ -373,7 +404,13 @@ def unpublished(spark, sf_dir):
 
 
 def delivery_accounting(spark, sf_dir):
-    return delivery.delivery_totals(views.send_attempts(spark, sf_dir))
+    """Attempts of records an earlier run has not published; the others are skipped."""
+    attempts = views.send_attempts(spark, sf_dir)
+    done = views.acknowledged_ids(spark, sf_dir)
+    ids = attempts.select("repo_id").distinct()
+    return delivery.delivery_totals(
+        published.unpublished(attempts, done), ids.join(done, "repo_id", "left_semi")
+    )
 
 
 def validate_lines(spark, sf_dir):
@@ -462,7 +499,7 @@ QUERIES = {
         scan_records, emit_ndjson, tap,
         page_items, page_metadata, normalize_items, completeness, crawl_gate,
         slice_calendar, query_strings, slice_key, slices_cached, slices_missing,
-        slice_provenance, slice_write,
+        slice_provenance, slice_write, slice_union, crawl_window, crawl_limited,
         adaptive_ranges, range_split_summary, range_assignment,
         commit_count_responses, link_next, decode_content, keyword_match,
         path_first_match, enrich_join, enrich_defaults, enriched_rankings,

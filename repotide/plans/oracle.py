@@ -92,6 +92,9 @@ select r.repo_id, r.full_name, r.language, r.default_branch, c.commit_count,
   e.test_evidence, e.ci_evidence
 from order_repos r left join order_commits c on r.full_name = c.full_name
 left join evidence e on r.full_name = e.full_name and r.default_branch = e.branch""",
+    "acknowledged": """
+select distinct user_id * 10 + cast(json_extract_string(props, '$.k') as int) % 10 as repo_id
+from events where event_type = 'signup'""",
     "send_attempts": """
 select repo_id, attempt, ok from (
   select repo_id, attempt, ok, coalesce(sum(case when ok then 1 else 0 end) over (
@@ -437,6 +440,29 @@ group by 1""",
         + ") f",
         "crawl_rows",
     ),
+    "slice_union": sql(
+        "select date_field, crawl_day, repo_id, stars, event_id from ("
+        + CRAWL_FIRST.format(
+            keys="date_field, crawl_day, repo_id", order="stars desc, event_id", k=1
+        )
+        + ") f",
+        "crawl_rows",
+    ),
+    "crawl_window": sql(
+        "select date_field, crawl_day, repo_id, stars, event_id from ("
+        + CRAWL_FIRST.format(keys="repo_id", order=CRAWL_ORDER, k=1)
+        + ") f",
+        "crawl_rows",
+    ),
+    "crawl_limited": sql(
+        f"""
+select date_field, crawl_day, repo_id, stars, event_id from (
+  select *, row_number() over (partition by repo_id order by {CRAWL_ORDER}) as rn from (
+    select *, row_number() over (partition by date_field, crawl_day order by stars desc, event_id) as pos
+    from crawl_rows) p where pos <= 5) f
+where rn = 1 order by {CRAWL_ORDER} limit 30""",
+        "crawl_rows",
+    ),
     "adaptive_ranges": sql(
         """
 select day, s, e, n, false as over_cap,
@@ -509,11 +535,15 @@ where repo_id not in (select repo_id from raw_repos where language = 'purchase')
     ),
     "delivery_accounting": sql(
         """
-select count(*) filter (where got) as published, cast(sum(failed) as bigint) as publish_failures,
-  count(*) filter (where not got and failed = 4) as permanent_failures
-from (select repo_id, bool_or(ok) as got, count(*) filter (where not ok) as failed
+select count(*) filter (where got and not known) as published,
+  cast(sum(case when known then 0 else failed end) as bigint) as publish_failures,
+  count(*) filter (where not known and not got and failed = 4) as permanent_failures,
+  count(*) filter (where known) as skipped_via_checkpoint
+from (select repo_id, bool_or(ok) as got, count(*) filter (where not ok) as failed,
+    repo_id in (select repo_id from acknowledged) as known
   from send_attempts group by 1) r""",
         "send_attempts",
+        "acknowledged",
     ),
     "validate_lines": sql(
         """

@@ -15,23 +15,32 @@ from repotide.streaming import flows, live
 from repotide.streaming.first_seen import newly_seen
 from repotide.streaming.runs import BATCH, drain, drain_to_files, write_batch
 
-FILES = 4
-FILES_PER_BATCH = 2
+BATCHES = 2
+
+
+def topic_files(spark):
+    """As many files as the session shuffles into, which the cluster sizes."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def subscribe(spark, path):
+    """The topic in micro-batches of about half of its files."""
+    return topics.open_topic(spark, path, -(-topic_files(spark) // BATCHES))
 
 
 def delivery_topic(spark, sf_dir, path):
-    topics.publish(views.deliveries(spark, sf_dir), path, FILES)
+    topics.publish(views.deliveries(spark, sf_dir), path, topic_files(spark))
 
 
 def delivered(spark, path):
-    messages = topics.open_topic(spark, path, FILES_PER_BATCH)
+    messages = subscribe(spark, path)
     return topics.parse_messages(messages, RANKED_REPO)
 
 
 def stream_raw(spark, sf_dir):
     root = fresh_dir(spark, "stream-raw")
-    topics.publish(views.repo_records(spark, sf_dir), f"{root}/topic", FILES)
-    messages = topics.open_topic(spark, f"{root}/topic", FILES_PER_BATCH)
+    topics.publish(views.repo_records(spark, sf_dir), f"{root}/topic", topic_files(spark))
+    messages = subscribe(spark, f"{root}/topic")
     records = topics.parse_messages(messages, RAW_REPO)
     taken = records.select("repo_id", "full_name", "stars", "language")
     drain_to_files(taken, f"{root}/out", f"{root}/checkpoint")
@@ -52,8 +61,8 @@ def stream_first_seen(spark, sf_dir):
 
 def stream_enrich(spark, sf_dir):
     root = fresh_dir(spark, "stream-enrich")
-    topics.publish(views.order_repos(spark, sf_dir), f"{root}/topic", FILES)
-    messages = topics.open_topic(spark, f"{root}/topic", FILES_PER_BATCH)
+    topics.publish(views.order_repos(spark, sf_dir), f"{root}/topic", topic_files(spark))
+    messages = subscribe(spark, f"{root}/topic")
     schema = views.order_repos(spark, sf_dir).schema
     lookups = (
         views.order_commits(spark, sf_dir),
@@ -71,8 +80,8 @@ def ranked_run(spark, sf_dir, label):
     sent = views.deliveries(spark, sf_dir)
     envelopes = delivery.pack_envelopes(sent.distinct(), "seq", 100).select("value")
     lone = delivery.keyed_messages(sent).select("value")
-    envelopes.unionByName(lone).repartition(FILES).write.text(f"{root}/topic")
-    messages = topics.open_topic(spark, f"{root}/topic", FILES_PER_BATCH)
+    envelopes.unionByName(lone).repartition(topic_files(spark)).write.text(f"{root}/topic")
+    messages = subscribe(spark, f"{root}/topic")
     records = delivery.unpack_envelopes(messages, RANKED_REPO).filter("error is null")
     run = live.LiveRankings(spark, f"{root}/tables")
     run.run_languages(records)
@@ -100,18 +109,19 @@ def stream_resume(spark, sf_dir):
     root = fresh_dir(spark, "stream-resume")
     topic = f"{root}/topic"
     sent = views.deliveries(spark, sf_dir)
-    topics.publish(sent.filter(F.col("language") != "1-URGENT"), topic, FILES)
+    topics.publish(sent.filter(F.col("language") != "1-URGENT"), topic, topic_files(spark))
     run = live.LiveRankings(spark, f"{root}/tables")
     run.run_languages(delivered(spark, topic))
-    topics.publish(sent, topic, FILES)
+    topics.publish(sent, topic, topic_files(spark))
     run.run_languages(delivered(spark, topic))
     return run.language_rankings()
 
 
 def stream_quarantine(spark, sf_dir):
     root = fresh_dir(spark, "stream-quarantine")
-    views.handoff_lines(spark, sf_dir).select("line").repartition(FILES).write.text(f"{root}/topic")
-    messages = topics.open_topic(spark, f"{root}/topic", FILES_PER_BATCH)
+    lines = views.handoff_lines(spark, sf_dir).select("line")
+    lines.repartition(topic_files(spark)).write.text(f"{root}/topic")
+    messages = subscribe(spark, f"{root}/topic")
     flows.quarantine_topic(messages, f"{root}/out", f"{root}/checkpoint")
     judged = spark.read.schema("line string, reason string, status string").parquet(f"{root}/out")
     return judged.groupBy("status", "line", "reason").agg(F.count("*").alias("n"))

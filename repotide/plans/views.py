@@ -255,6 +255,16 @@ def send_attempts(spark: SparkSession, sf_dir: str, max_retries: int = 3) -> Dat
     )
 
 
+def acknowledged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of send attempts that an earlier run has published: those of signups."""
+    return (
+        with_k(table(spark, sf_dir, "events"))
+        .filter(F.col("event_type") == "signup")
+        .select((F.col("user_id") * 10 + F.col("k") % 10).alias("repo_id"))
+        .distinct()
+    )
+
+
 def handoff_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines to validate: good records, non-objects, broken JSON, blanks, repeats."""
     e = F.col("event_id")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repotide.operators.dedupe import first_seen
+from repotide.operators.dedupe import first_seen, limit_per_group
 from repotide.operators.slicing import missing_slices, stored_slices
 from repotide.sources.topics import read_table
 
@@ -63,3 +63,31 @@ class SliceStore:
         rows = read_table(self.spark, self.rows_path, self.schema)
         wanted = self.manifest() if requested is None else self.hits(requested)
         return rows.join(wanted.select(*SLICE_KEYS), SLICE_KEYS, "left_semi")
+
+    def serve(
+        self,
+        requested: DataFrame,
+        produced: DataFrame,
+        order: list,
+        key: str = "repo_id",
+        limit: int | None = None,
+        refresh: bool = False,
+    ) -> DataFrame:
+        """Rows of the requested slices: stored ones as stored, the others from
+        ``produced``, deduplicated inside each slice.
+
+        Without a limit the new slices are complete and are stored on the way. A
+        ``limit`` takes that many rows of each slice before deduplication, and
+        nothing is stored, since such slices are cut short on purpose. ``refresh``
+        produces and stores all requested slices anew.
+        """
+        requested = requested.select(*SLICE_KEYS)
+        if limit is None:
+            missing = requested if refresh else self.misses(requested)
+            self.write(produced.join(missing, SLICE_KEYS, "left_semi"), missing, order, key)
+            return self.read(requested)
+        fetched = produced.join(self.misses(requested), SLICE_KEYS, "left_semi")
+        rows = self.read(requested).unionByName(fetched)
+        return first_seen(
+            limit_per_group(rows, SLICE_KEYS, order, limit), [*SLICE_KEYS, key], order
+        )

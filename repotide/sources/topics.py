@@ -15,13 +15,22 @@ from repotide.functions.columns import from_wire, sorted_json, wire_type
 
 
 def publish(records: DataFrame, path: str, files: int | None = None) -> None:
-    """Append records as JSON lines, grouped by ``repo_id`` into ``files`` files."""
+    """Append records as JSON lines; ``files`` spreads them evenly over that many.
+
+    Files carry no order, so records are not gathered by key here: one busy key
+    would otherwise fill one file.
+    """
     if files:
-        records = records.repartition(files, "repo_id")
+        records = records.repartition(files)
     lines = records.select(sorted_json(records.columns).alias("value"))
     lines.write.mode("append").text(path)
 
 
+def send(messages: DataFrame, fmt: str, options: dict[str, str]) -> None:
+    """Write ``(key, value)`` messages to a broker, which places them by key."""
+    messages.select("key", "value").write.format(fmt).options(**options).save()
+
+
 def open_topic(
     spark: SparkSession,
     path: str,

@@ -32,7 +32,7 @@ from repotide.schemas import (
     RANKED_REPO,
 )
 from repotide.streaming.first_seen import newly_seen
-from repotide.streaming.runs import BATCH, drain, read_batch, write_batch
+from repotide.streaming.runs import BATCH, drain, follow, read_batch, write_batch
 
 COUNTS_SCHEMA = "name string, projects bigint, with_tests bigint, with_tests_ci bigint"
 TOP_SCHEMA = "rk bigint, name string, count bigint"
@@ -50,8 +50,15 @@ class LiveRankings:
 
     def run_languages(self, enriched: DataFrame) -> None:
         """Take in all available records; resumes where the last run stopped."""
+        drain(*self._languages(enriched))
+
+    def follow_languages(self, enriched: DataFrame, every: str = "30 seconds"):
+        """Keep taking in records, with new rankings every interval that brings any."""
+        return follow(*self._languages(enriched), every=every)
+
+    def _languages(self, enriched: DataFrame):
         records = enriched.select(*RANKED_REPO.names)
-        drain(newly_seen(records), self.table("_languages"), self._count_languages, "update")
+        return newly_seen(records), self.table("_languages"), self._count_languages, "update"
 
     def _count_languages(self, batch: DataFrame, batch_id: int) -> None:
         new = write_batch(batch, self.table("first_seen"), batch_id)

@@ -5,30 +5,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 BATCH = "batch_id"
 
 
-def drain(
-    stream: DataFrame,
-    checkpoint: str,
-    on_batch: Callable[[DataFrame, int], None],
-    mode: str = "append",
-) -> None:
+OnBatch = Callable[[DataFrame, int], None]
+
+
+def _writer(stream: DataFrame, checkpoint: str, on_batch: OnBatch, mode: str):
+    return (
+        stream.writeStream.outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(on_batch)
+    )
+
+
+def drain(stream: DataFrame, checkpoint: str, on_batch: OnBatch, mode: str = "append") -> None:
     """Process everything now in the source, then stop.
 
     Progress is committed only after ``on_batch`` returns; a batch interrupted
     before that is replayed with the same number and rows, so ``on_batch`` writes
     through :func:`write_batch`.
     """
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(on_batch)
-        .start()
-    )
-    query.awaitTermination()
+    writer = _writer(stream, checkpoint, on_batch, mode).trigger(availableNow=True)
+    writer.start().awaitTermination()
+
+
+def follow(
+    stream: DataFrame,
+    checkpoint: str,
+    on_batch: OnBatch,
+    mode: str = "append",
+    every: str = "30 seconds",
+) -> StreamingQuery:
+    """Like :func:`drain`, but goes on: what has arrived is flushed ``every`` interval."""
+    return _writer(stream, checkpoint, on_batch, mode).trigger(processingTime=every).start()
 
 
 def drain_to_files(

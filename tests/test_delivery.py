@@ -65,16 +65,21 @@ def attempts(spark, *outcomes):
 
 
 @pytest.mark.parametrize("outcomes, max_retries, expected", [
-    (["--+"], 3, (1, 2, 0)),
-    (["---"], 2, (0, 3, 1)),
-    (["+", "--+", "----", "-"], 3, (2, 7, 1)),
-    ([], 3, (0, 0, 0)),
+    (["--+"], 3, (1, 2, 0, 0)),
+    (["---"], 2, (0, 3, 1, 0)),
+    (["+", "--+", "----", "-"], 3, (2, 7, 1, 0)),
+    ([], 3, (0, 0, 0, 0)),
 ])
 def test_delivery_totals(spark, outcomes, max_retries, expected):
     found = delivery.delivery_totals(attempts(spark, *outcomes), max_retries=max_retries)
     assert tuple(found.first()) == expected
 
 
+def test_skipped_records_are_counted_apart(spark):
+    skipped = spark.createDataFrame([(8,), (9,)], "repo_id bigint")
+    assert tuple(delivery.delivery_totals(attempts(spark, "-+"), skipped).first()) == (1, 1, 0, 2)
+
+
 def test_ids_published_before_are_skipped(spark, tmp_path, rows):
     path = str(tmp_path / "published")
     sent = spark.createDataFrame([(1,), (2,)], "repo_id bigint")

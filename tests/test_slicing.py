@@ -145,3 +145,44 @@ def test_provenance(spark, rows):
     assert rows(slicing.slice_provenance(wanted, manifest, SLICE_KEYS)) == [
         ("created", 1, 1), ("pushed", 0, 1)
     ]
+
+
+def test_serving_stores_what_is_missing_and_reuses_what_is_there(spark, tmp_path, rows):
+    store = SliceStore(spark, str(tmp_path), "repo_id bigint, pos int")
+    keys = ", ".join(f"{k} string" for k in SLICE_KEYS)
+    one, two = ("created", "2026-05-19", "all"), ("pushed", "2026-05-19", "all")
+    wanted = spark.createDataFrame([one, two], keys)
+    old = store_rows(spark, (*one, 1, 0), (*one, 1, 1))
+    store.serve(spark.createDataFrame([one], keys), old, ["pos"])
+    new = store_rows(spark, (*one, 7, 0), (*two, 2, 0), (*two, 3, 1))
+    assert rows(store.serve(wanted, new, ["pos"]), "repo_id") == [(1,), (2,), (3,)]
+    assert store.misses(wanted).isEmpty()
+    assert rows(store.serve(wanted, new, ["pos"], refresh=True), "repo_id") == [(2,), (3,), (7,)]
+
+
+def test_limited_serving_stores_nothing(spark, tmp_path, rows):
+    store = SliceStore(spark, str(tmp_path), "repo_id bigint, pos int")
+    keys = ", ".join(f"{k} string" for k in SLICE_KEYS)
+    one = ("created", "2026-05-19", "all")
+    wanted = spark.createDataFrame([one], keys)
+    new = store_rows(spark, (*one, 1, 0), (*one, 1, 1), (*one, 2, 2))
+    assert rows(store.serve(wanted, new, ["pos"], limit=2), "repo_id", "pos") == [(1, 0)]
+    assert store.misses(wanted).count() == 1
+
+
+def test_crawl_emits_each_repository_once_stamped_and_stores_it_unstamped(spark, tmp_path, rows):
+    from repotide.plans.crawl import crawl_window
+
+    store = SliceStore(spark, str(tmp_path), "repo_id bigint, pos int")
+    keys = ", ".join(f"{k} string" for k in SLICE_KEYS)
+    one, two = ("created", "2026-05-19", "all"), ("pushed", "2026-05-19", "all")
+    wanted = spark.createDataFrame([one, two], keys)
+    found = store_rows(spark, *[(*one, i, i) for i in (1, 2, 3)], *[(*two, i, i) for i in (2, 3, 4)])
+    order = [F.desc("crawl_day"), F.asc("date_field"), F.asc("pos")]
+    emitted = crawl_window(store, wanted, found, ["pos"], order)
+    assert rows(emitted, "date_field", "repo_id") == [
+        ("created", 1), ("created", 2), ("created", 3), ("pushed", 4)
+    ]
+    assert emitted.filter("emitted_at is null").isEmpty()
+    assert "emitted_at" not in store.read().columns
+    assert rows(crawl_window(store, wanted, found, ["pos"], order, limit=2), "repo_id") == [(1,), (2,)]
