@@ -156,6 +156,11 @@ def nested_results(rankings: DataFrame) -> DataFrame:
     )
 
 
+def seen_ids(repos: DataFrame) -> DataFrame:
+    """All ids in order, sorted over all tasks."""
+    return repos.select("repo_id").orderBy("repo_id")
+
+
 def counter_state(repos: DataFrame) -> DataFrame:
     """The full counters behind the rankings plus every seen id, tall."""
     seen = repos.select(

@@ -182,6 +182,21 @@ def range_bound(day: str, sec: str) -> Column:
     return second_text(F.timestamp_seconds(midnight + F.col(sec)))
 
 
+def rows_in_range(
+    rows: DataFrame, ts: str, start: str, end: str, qualifiers: str | None = None
+) -> DataFrame:
+    """Rows of the inclusive whole-second range ``start..end``, given as text.
+
+    The end second counts whole. The column is compared as it is, so that the
+    bounds, and ``qualifiers`` (any SQL predicate), reach the scan.
+    """
+    kind = rows.schema[ts].dataType
+    after = (F.lit(end).cast("timestamp") + F.expr("interval 1 second")).cast(kind)
+    at = F.col(ts)
+    found = rows.filter((at >= F.lit(start).cast("timestamp").cast(kind)) & (at < after))
+    return found.filter(qualifiers) if qualifiers and qualifiers.strip() else found
+
+
 def range_queries(leaves: DataFrame, field: str, suffix: str = "") -> DataFrame:
     """Search text of each leaf range."""
     span = F.concat(range_bound("day", "s"), F.lit(".."), range_bound("day", "e"))

@@ -18,7 +18,7 @@ from repotide.operators import (
 from repotide.plans import crawl, views
 from repotide.session import fresh_dir, materialize
 from repotide.sources import pages, published, records
-from repotide.sources.slices import SLICE_KEYS, SliceStore
+from repotide.sources.slices import SLICE_KEYS, SliceStore, with_query_key
 from repotide.sources.topics import read_table
 
 # Range cap for the test tables; the default of the operator is the search cap.
@@ -66,6 +66,10 @@ def state_tables(spark, sf_dir):
     return rankings.counter_state(first_seen_repos(spark, sf_dir))
 
 
+def seen_ids(spark, sf_dir):
+    return rankings.seen_ids(first_seen_repos(spark, sf_dir))
+
+
 def rankings_read(spark, sf_dir):
     path = fresh_dir(spark, "rankings")
     written = rankings_all(spark, sf_dir)
@@ -196,6 +200,12 @@ def slice_calendar(spark, sf_dir):
     )
 
 
+def stored_names(spark, sf_dir):
+    """Requested slices under the key they are stored by, and how many requests share each."""
+    slices = slicing.slice_calendar(views.crawl_requests(spark, sf_dir))
+    return with_query_key(slices).groupBy(*SLICE_KEYS).agg(F.count("*").alias("requests"))
+
+
 def query_strings(spark, sf_dir):
     queries = slicing.slice_queries(slicing.slice_calendar(views.crawl_requests(spark, sf_dir)))
     return queries.groupBy("query").agg(F.count("*").alias("n"))
@@ -309,6 +319,14 @@ def range_assignment(spark, sf_dir):
     )
 
 
+def range_predicate(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events")
+    found = slicing.rows_in_range(
+        events, "ts", "2024-01-10T00:00:00Z", "2024-01-12T11:59:59Z", "value >= 10"
+    )
+    return found.select("event_id", "user_id", "event_type", "value")
+
+
 # --- enrichment -----------------------------------------------------------
 
 
@@ -493,14 +511,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         q1_languages, q2_projects, q3_tests, q4_tests_ci, rankings_all, top_n_param,
-        processed_unique, state_tables, rankings_read,
+        processed_unique, state_tables, seen_ids, rankings_read,
         first_seen, dedupe_key, slice_dedupe, union_fields_first_seen, slice_limit,
         global_limit, dedupe_accounting,
         scan_records, emit_ndjson, tap,
         page_items, page_metadata, normalize_items, completeness, crawl_gate,
-        slice_calendar, query_strings, slice_key, slices_cached, slices_missing,
+        slice_calendar, stored_names, query_strings, slice_key, slices_cached, slices_missing,
         slice_provenance, slice_write, slice_union, crawl_window, crawl_limited,
-        adaptive_ranges, range_split_summary, range_assignment,
+        adaptive_ranges, range_split_summary, range_assignment, range_predicate,
         commit_count_responses, link_next, decode_content, keyword_match,
         path_first_match, enrich_join, enrich_defaults, enriched_rankings,
         keyed_messages, envelope_pack, envelope_flatten, unpublished, delivery_accounting,

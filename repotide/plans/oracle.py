@@ -138,7 +138,7 @@ from (
     "crawl_requests": """
 select o_orderkey as request_id, cast(o_orderdate as date) as end_date, o_orderkey % 4 + 1 as days,
   case o_orderstatus when 'F' then ['created'] when 'O' then ['pushed'] else ['created', 'pushed'] end as fields,
-  case o_orderstatus when 'F' then '' when 'O' then 'stars:>=10 archived:false'
+  case o_orderstatus when 'F' then '' when 'O' then ' stars:>=10 archived:false '
     else concat('language:', o_orderpriority) end as suffix
 from orders""",
     "calendar": """
@@ -318,6 +318,7 @@ union all select 'q2_projects', project, arg_max(commit_count, seq) from uniq
   where commit_count is not null group by project""",
         "uniq",
     ),
+    "seen_ids": sql("select distinct repo_id from raw_repos", "raw_repos"),
     "rankings_read": sql(
         top(None, "uniq", "lang", "has_tests").replace(
             "select rk, name, count from", "select rk, name, count, 'q3_tests' as question from", 1
@@ -397,10 +398,18 @@ from search_facts""",
     "slice_calendar": sql(
         "select request_id, crawl_day, date_field, day_rank, field_rank from calendar", "calendar"
     ),
+    "stored_names": sql(
+        """
+select date_field, crawl_day, concat(case when trim(suffix) = '' then '' else
+    concat('_', trim(regexp_replace(lower(trim(suffix)), '[^\\p{L}\\p{N}]', '_', 'g'), '_')) end,
+  '-', sha256(suffix)) as query_key, count(*) as requests
+from calendar group by 1, 2, 3""",
+        "calendar",
+    ),
     "query_strings": sql(
         """
 select concat(date_field, ':', crawl_day, 'T00:00:00Z..', crawl_day, 'T23:59:59Z',
-    case when suffix = '' then '' else concat(' ', suffix) end) as query, count(*) as n
+    case when trim(suffix) = '' then '' else concat(' ', trim(suffix)) end) as query, count(*) as n
 from calendar group by 1""",
         "calendar",
     ),
@@ -486,6 +495,10 @@ select event_id, x.day, l.s, l.e from seconds x
 join leaves l on x.day = l.day and x.sec between l.s and l.e""",
         "leaves",
     ),
+    "range_predicate": """
+select event_id, user_id, event_type, value from events
+where date_trunc('second', ts) between timestamp '2024-01-10 00:00:00' and timestamp '2024-01-12 11:59:59'
+  and value >= 10""",
     "commit_count_responses": sql(
         """
 select full_name, case when status = 409 then 0 when status >= 400 then null

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from repotide.functions.columns import slice_id
 from repotide.operators.dedupe import first_seen, limit_per_group
 from repotide.operators.slicing import missing_slices, stored_slices
 from repotide.sources.topics import read_table
@@ -16,6 +17,11 @@ SLICE_KEYS = ["date_field", "crawl_day", "query_key"]
 KEY_SCHEMA = "date_field string, crawl_day string, query_key string"
 
 
+def with_query_key(slices: DataFrame, suffix: str = "query_suffix") -> DataFrame:
+    """Name each slice's query so that different suffixes never share a slice."""
+    return slices.withColumn("query_key", slice_id(suffix))
+
+
 class SliceStore:
     """Rows of the given columns; ``schema`` leaves out the slice keys."""
 

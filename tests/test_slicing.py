@@ -186,3 +186,23 @@ def test_crawl_emits_each_repository_once_stamped_and_stores_it_unstamped(spark,
     assert emitted.filter("emitted_at is null").isEmpty()
     assert "emitted_at" not in store.read().columns
     assert rows(crawl_window(store, wanted, found, ["pos"], order, limit=2), "repo_id") == [(1,), (2,)]
+
+
+def test_range_is_inclusive_in_whole_seconds_and_reaches_the_scan(spark, tmp_path, rows):
+    path = str(tmp_path / "rows")
+    stamps = [dt.datetime(2026, 5, 19, 0, 0, 0), dt.datetime(2026, 5, 19, 0, 0, 9, 999_999),
+              dt.datetime(2026, 5, 19, 0, 0, 10), dt.datetime(2026, 5, 18, 23, 59, 59, 999_999)]
+    spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "i int, ts timestamp").write.parquet(path)
+    bounds = ("2026-05-19T00:00:00Z", "2026-05-19T00:00:09Z")
+    found = slicing.rows_in_range(spark.read.parquet(path), "ts", *bounds)
+    assert rows(found, "i") == [(0,), (1,)]
+    assert rows(slicing.rows_in_range(spark.read.parquet(path), "ts", *bounds, "i > 0"), "i") == [(1,)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+def test_different_suffixes_never_share_a_slice(spark):
+    from repotide.sources.slices import with_query_key
+
+    asked = spark.createDataFrame([("stars:>10",), ("stars:<10",), ("",)], "query_suffix string")
+    assert with_query_key(asked).select("query_key").distinct().count() == 3
