@@ -248,7 +248,7 @@ def slice_write(spark, sf_dir):
     taken as they are and only the missing ones are produced and stored."""
     store = SliceStore(spark, fresh_dir(spark, "slices"), CRAWL_SCHEMA)
     rows = views.crawl_rows(spark, sf_dir).withColumn("query_key", F.lit("all"))
-    wanted = rows.select(*SLICE_KEYS).distinct()
+    wanted = materialize(rows.select(*SLICE_KEYS).distinct(), "wanted")
     order = [F.desc("stars"), F.asc("event_id")]
     is_created = F.col("date_field") == "created"
     store.write(rows.filter(is_created), wanted.filter(is_created), order)
@@ -261,7 +261,7 @@ def slice_union(spark, sf_dir):
     """Stored slices together with the rows of those not stored yet."""
     store = SliceStore(spark, fresh_dir(spark, "slices"), CRAWL_SCHEMA)
     rows = views.crawl_rows(spark, sf_dir).withColumn("query_key", F.lit("all"))
-    wanted = rows.select(*SLICE_KEYS).distinct()
+    wanted = materialize(rows.select(*SLICE_KEYS).distinct(), "wanted")
     order = [F.desc("stars"), F.asc("event_id")]
     is_pushed = F.col("date_field") == "pushed"
     store.write(rows.filter(is_pushed), wanted.filter(is_pushed), order)
@@ -272,7 +272,7 @@ def slice_union(spark, sf_dir):
 def crawled(spark, sf_dir, **limits):
     store = SliceStore(spark, fresh_dir(spark, "crawl"), CRAWL_SCHEMA)
     rows = views.crawl_rows(spark, sf_dir).withColumn("query_key", F.lit("all"))
-    wanted = rows.select(*SLICE_KEYS).distinct()
+    wanted = materialize(rows.select(*SLICE_KEYS).distinct(), "wanted")
     kept = crawl.crawl_window(
         store, wanted, rows, [F.desc("stars"), F.asc("event_id")], views.crawl_order(), **limits
     )

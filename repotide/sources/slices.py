@@ -7,6 +7,7 @@ that is listed is complete.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from repotide.functions.columns import slice_id
 from repotide.operators.dedupe import first_seen, limit_per_group
@@ -63,12 +64,17 @@ class SliceStore:
     def read(self, requested: DataFrame | None = None) -> DataFrame:
         """Rows of complete slices, of the requested ones when given.
 
-        The keys are partition columns, so the join prunes slices before they
-        are read.
+        The days asked for are looked up first, one row of bounds, so that other
+        days are pruned from the scan by their folders; the join then picks the
+        slices. ``requested`` is read several times: give a calendar or a table.
         """
         rows = read_table(self.spark, self.rows_path, self.schema)
         wanted = self.manifest() if requested is None else self.hits(requested)
-        return rows.join(wanted.select(*SLICE_KEYS), SLICE_KEYS, "left_semi")
+        wanted = wanted.select(*SLICE_KEYS)
+        if requested is not None:
+            first, last = wanted.agg(F.min("crawl_day"), F.max("crawl_day")).first()
+            rows = rows.filter(F.col("crawl_day").between(first or "", last or ""))
+        return rows.join(wanted, SLICE_KEYS, "left_semi")
 
     def serve(
         self,

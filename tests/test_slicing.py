@@ -206,3 +206,15 @@ def test_different_suffixes_never_share_a_slice(spark):
 
     asked = spark.createDataFrame([("stars:>10",), ("stars:<10",), ("",)], "query_suffix string")
     assert with_query_key(asked).select("query_key").distinct().count() == 3
+
+
+def test_reading_prunes_the_days_not_asked_for(spark, tmp_path):
+    store = SliceStore(spark, str(tmp_path), "repo_id bigint, pos int")
+    keys = ", ".join(f"{k} string" for k in SLICE_KEYS)
+    slices = [("created", f"2026-05-1{i}", "all") for i in range(5)]
+    stored = store_rows(spark, *[(*s, i, 0) for i, s in enumerate(slices)])
+    store.write(stored, spark.createDataFrame(slices, keys), ["pos"])
+    found = store.read(spark.createDataFrame(slices[1:2], keys))
+    assert [r["repo_id"] for r in found.collect()] == [1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "crawl_day" in plan.split("PartitionFilters: [")[1] and "2026-05-11" in plan
