@@ -35,7 +35,9 @@ def path_evidence(contents: DataFrame) -> DataFrame:
     ints per repository, and turned back into the path afterwards.
     """
     path = F.col("path")
-    names_tool = mentions_test_tool(decode_content("content"))
+    # Only these files are decoded, each once for all words.
+    config_text = F.when(path.isin(TEST_CONFIG_FILES), decode_content("content"))
+    names_tool = mentions_test_tool("_text")
     test_place = F.when(
         path.isin(TEST_DIRECTORIES) | (path.isin(TEST_CONFIG_FILES) & names_tool),
         _priority(path, TEST_PATHS),
@@ -43,6 +45,7 @@ def path_evidence(contents: DataFrame) -> DataFrame:
     ci_place = F.when(path.isin(CI_PATHS), _priority(path, CI_PATHS))
     return (
         contents.filter(path.isin(TEST_PATHS + CI_PATHS))
+        .withColumn("_text", config_text)
         .groupBy("full_name", "branch")
         .agg(F.min(test_place).alias("t"), F.min(ci_place).alias("c"))
         .select(
