@@ -64,10 +64,16 @@ def commit_count(status: Column | str, link: Column | str, body: Column | str) -
     return (
         F.when(status == 409, F.lit(0).cast("bigint"))
         .when(status >= 400, F.lit(None).cast("bigint"))
-        .otherwise(F.coalesce(last_page(link), F.json_array_length(body).cast("bigint")))
+        .otherwise(F.coalesce(last_page(link), list_length(body)))
     )
 
 
+def list_length(body: Column) -> Column:
+    """Entries of a body that is exactly one JSON list, else null."""
+    whole = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
+    return F.when(whole, F.json_array_length(body)).cast("bigint")
+
+
 def decode_content(content: Column | str) -> Column:
     """base64 text to UTF-8 text. Bad bytes are dropped; undecodable gives ''."""
     alphabet_only = F.regexp_replace(as_col(content), "[^A-Za-z0-9+/=]", "")

@@ -31,14 +31,15 @@ def page_metadata(pages: DataFrame) -> DataFrame:
     A total that is no integer is null; a missing flag means complete. Only the
     two values are carried into the aggregation, never the payload.
     """
-    page = F.from_json("payload", SEARCH_PAGE)
+    facts = F.from_json("payload", "total_count string, incomplete_results boolean")
     return (
         pages.filter(F.ltrim("payload").startswith("{"))
+        .select("query", "page_no", facts.alias("page"))
         .select(
             "query",
             "page_no",
-            page["total_count"].try_cast("bigint").alias("total"),
-            F.coalesce(page["incomplete_results"], F.lit(False)).alias("incomplete"),
+            F.col("page.total_count").try_cast("bigint").alias("total"),
+            F.coalesce("page.incomplete_results", F.lit(False)).alias("incomplete"),
         )
         .groupBy("query")
         .agg(

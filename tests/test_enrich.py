@@ -31,6 +31,8 @@ def test_link_header(spark, header, last, following):
     (200, "", "[]", 0),
     (200, "", '{"message":"x"}', None),
     (200, "", "no json", None),
+    (200, "", "[1] tail", None),
+    (200, "", '[1,[2,3]]', 2),
     (409, LINK, "[]", 0),
     (404, LINK, "[]", None),
     (500, "", "[]", None),

@@ -144,3 +144,24 @@ def test_stream_enrichment_equals_the_batch_join(spark, tmp_path, rows):
     stream = topics.parse_messages(topics.open_topic(spark, path), repos.schema)
     flows.enrich_topic(stream, stats, evidence, out, str(tmp_path / "c"))
     assert rows(spark.read.parquet(out)) == rows(enrich(repos, stats, evidence))
+
+
+def test_following_a_topic_ranks_what_arrives_later(spark, tmp_path, topic, rows):
+    run = live.LiveRankings(spark, str(tmp_path / "tables"), top_n=3)
+    topic.send(record(1, 1, language="P"))
+    query = run.follow_languages(topic.records(), every="1 second")
+    try:
+        query.processAllAvailable()
+        assert rows(run.language_rankings(), "name", "count") == [("P", 1)]
+        topic.send(record(2, 2, language="P"), record(3, 1, language="Q"))
+        query.processAllAvailable()
+        assert rows(run.language_rankings(), "name", "count") == [("P", 2)]
+    finally:
+        query.stop()
+
+
+def test_messages_read_back_as_they_were_published(spark, tmp_path, rows):
+    path = str(tmp_path / "topic")
+    sent = spark.createDataFrame([record(1, 2, None, "", 0, True, None)], RANKED_REPO)
+    topics.publish(sent, path)
+    assert rows(topics.parse_messages(spark.read.text(path), RANKED_REPO)) == rows(sent)
