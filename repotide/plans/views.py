@@ -6,11 +6,11 @@ Each view exists twice: as a DataFrame here, and as SQL in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repotide.functions.columns import second_text
-from repotide.schemas import SEARCH_ITEM
+from repotide.schemas import CI_PATHS, SEARCH_ITEM, TEST_PATHS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -210,14 +210,7 @@ def order_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repo_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing paths of each order's branches, with base64 text; directories have none."""
-    # The path each part stands for; all other parts are sources.
-    paths = [
-        "tests", "test", "spec", "__tests__",
-        "pytest.ini", "package.json", "pom.xml", "Cargo.toml",
-        ".github/workflows", ".gitlab-ci.yml", ".travis.yml",
-        "Jenkinsfile", ".circleci/config.yml",
-    ]
-    numbered = F.array(*[F.lit(p) for p in paths])
+    numbered = F.array(*[F.lit(p) for p in TEST_PATHS + CI_PATHS])
     text = (
         F.when(F.col("l_returnflag") == "R", "run pytest now")
         .when(F.col("l_returnflag") == "N", "Cargo Test suite")
@@ -235,8 +228,6 @@ def repo_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def send_attempts(spark: SparkSession, sf_dir: str, max_retries: int = 3) -> DataFrame:
     """Log of send attempts: numbered from 0, up to the first success or the last retry."""
-    from pyspark.sql import Window
-
     k = F.col("k")
     sent = with_k(table(spark, sf_dir, "events")).select(
         (F.col("user_id") * 10 + k % 10).alias("repo_id"),
