@@ -51,3 +51,26 @@ def by_batch(
                 yield step(batch)
 
     return run
+
+
+def add_column(
+    df: DataFrame,
+    name: str,
+    kind: str,
+    values: Callable[[list], pa.Array],
+    text: str = "text",
+) -> DataFrame:
+    """``df`` with column ``name`` computed from whole texts, batch by batch.
+
+    All other columns pass through; a column of that name is replaced.
+    """
+    prepare(df.sparkSession)
+    kept = [c for c in df.columns if c != name]
+    at = kept.index(text)
+    schema = df.select(*kept).schema.add(name, kind)
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = values(batch.column(at).to_pylist())
+        return pa.RecordBatch.from_arrays([*batch.columns, found], names=[*kept, name])
+
+    return df.select(*kept).mapInArrow(by_batch(step), schema)

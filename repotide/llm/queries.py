@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repotide.llm import near_dedup
+from repotide.llm import near_dedup, toxicity
 from repotide.llm.common import table
 
 
@@ -12,6 +12,18 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        toxicity.predicted().alias("predicted"),
+    )
+
+
 QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
+    "op10_toxicity": op10_toxicity,
 }
