@@ -2,4 +2,26 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": """
+with lines as (
+  select doc_id, source, unnest(string_split(text, chr(10))) as line,
+    generate_subscripts(string_split(text, chr(10)), 1) as pos
+  from documents
+), spread as (
+  select line from lines where trim(line) <> ''
+  group by line having count(distinct source) >= 10
+), marked as (
+  select doc_id, line, pos,
+    line in (select line from spread)
+      and row_number() over (partition by line order by doc_id, pos) > 1 as gone
+  from lines
+), cleaned as (
+  select doc_id, coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '') as text,
+    count(*) as n_lines, count(*) filter (gone) as n_removed
+  from marked group by doc_id
+)
+select d.doc_id, c.text, coalesce(c.n_lines, 0) as n_lines, coalesce(c.n_removed, 0) as n_removed
+from documents d left join cleaned c using (doc_id)
+""",
+}

@@ -3,15 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from repotide.llm import near_dedup, toxicity
+from repotide.llm import line_dedup, near_dedup, secret_scan, toxicity
 from repotide.llm.common import table
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per candidate, with the forest's score and decision."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    forest = secret_scan.train(secret_scan.labelled_findings())
+    found = secret_scan.scan(docs, forest).select(
+        "doc_id", "text", F.explode("findings").alias("f")
+    )
+    return found.select(
+        "doc_id",
+        F.col("f.start").alias("start"),
+        F.col("f.end").alias("end"),
+        F.substring("text", F.col("f.start") + 1, F.col("f.end") - F.col("f.start")).alias("value"),
+        F.round("f.score", 6).alias("score"),
+        (F.col("f.score") >= secret_scan.THRESHOLD).alias("secret"),
+    )
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.remove_boilerplate(docs).drop("source")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -24,6 +47,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op7_line_dedup": op7_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
