@@ -9,10 +9,11 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType
 
 from repotide.session import materialize
 
-__all__ = ["by_batch", "materialize", "prepare", "table"]
+__all__ = ["by_batch", "materialize", "prepare", "table", "tokenizer_path"]
 
 # A batch of whole texts must fit a Python worker, however long they are.
 BATCH_ROWS = 512
@@ -40,6 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed package of public vocabularies keeps ``name``."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def by_batch(
     step: Callable[[pa.RecordBatch], pa.RecordBatch],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -67,7 +75,7 @@ def add_column(
     prepare(df.sparkSession)
     kept = [c for c in df.columns if c != name]
     at = kept.index(text)
-    schema = df.select(*kept).schema.add(name, kind)
+    schema = df.select(*kept).schema.add(name, DataType.fromDDL(kind))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = values(batch.column(at).to_pylist())

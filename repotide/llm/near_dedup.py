@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repotide.llm.common import by_batch, materialize, prepare
@@ -39,7 +39,7 @@ COLLISION = 0.169919487 / (1 << MANTISSA_BITS)
 # A bucket with more unresolved members than this is refined by a second band.
 REFINE_OVER = 64
 
-SIGNATURES = "doc_id long, n_shingles long, class_id long, sig array<int>"
+SIGNATURES = "doc_id long, row_key long, n_shingles long, class_id long, sig array<int>"
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -116,7 +116,7 @@ def _class_of(hashes: np.ndarray) -> int | None:
 def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
     words = _Words()
     sizes, classes, signatures = [], [], []
-    for text in batch.column(1).to_pylist():
+    for text in batch.column(2).to_pylist():
         hashes = shingles(text, words)
         sizes.append(len(hashes))
         classes.append(_class_of(hashes))
@@ -126,19 +126,26 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
             signatures.append(None)
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(0).cast(pa.int64()),
+            batch.column(0),
+            batch.column(1),
             pa.array(sizes, pa.int64()),
             pa.array(classes, pa.int64()),
             pa.array(signatures, pa.list_(pa.int32())),
         ],
-        names=["doc_id", "n_shingles", "class_id", "sig"],
+        names=["doc_id", "row_key", "n_shingles", "class_id", "sig"],
     )
 
 
+def _row_key() -> Column:
+    """Tells rows apart that share an id or have none; repeated rows share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
 def sign(docs: DataFrame) -> DataFrame:
     """Set size, class of equal sets, and signature of every document."""
     prepare(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(by_batch(_sign), SIGNATURES)
+    keyed = docs.select("doc_id", _row_key().alias("row_key"), "text")
+    return keyed.mapInArrow(by_batch(_sign), SIGNATURES)
 
 
 def _estimate(a: str, b: str):
@@ -266,16 +273,8 @@ def _refined(members: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
-
-    Documents are linked when ``100 * intersection >= percent * union`` of their
-    shingle sets. ``component_id`` is the smallest ``doc_id`` reachable by links.
-    A text that is null or without words has an empty set and links with nothing.
-    Repeated rows belong to one component. A row without ``doc_id`` never names a
-    component; it is kept only if no row of its component has an id. Other
-    columns of ``docs`` are ignored. Empty input gives empty output.
-    """
+def _assigned(docs: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, row_key, n_shingles, root, component_id``; the last two null without words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialize(sign(docs), "signed")
     classes = materialize(
@@ -342,17 +341,44 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         .withColumn("root", F.coalesce("root", "class_id"))
     )
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = named.select("class_id", "root").join(smallest, "root").select(
-        "class_id", "component_id"
-    )
+    named = named.join(smallest, "root").select("class_id", "root", "component_id")
+    return signed.drop("sig").join(named, "class_id", "left").drop("class_id")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
+
+    Documents are linked when ``100 * intersection >= percent * union`` of their
+    shingle sets. ``component_id`` is the smallest ``doc_id`` reachable by links.
+    A text that is null or without words has an empty set and links with nothing.
+    Repeated rows belong to one component. A row without ``doc_id`` never names a
+    component; it is kept only if no row of its component has an id. Other
+    columns of ``docs`` are ignored. Empty input gives empty output.
+    """
     component = F.coalesce("component_id", "doc_id")
+    return _assigned(docs, percent).select(
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+    )
+
+
+def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest ``doc_id``.
+
+    Rows without words stay, save for repeats of the same row. All columns stay.
+    """
+    first = (
+        _assigned(docs, percent)
+        .groupBy(F.coalesce("root", "row_key").alias("group"), F.col("root").isNull())
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
+        .select(F.col("first.row_key").alias("_row_key"))
+        .distinct()
+    )
     return (
-        signed.select("doc_id", "n_shingles", "class_id")
-        .join(named, "class_id", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
-        )
+        docs.withColumn("_row_key", _row_key())
+        .join(first, "_row_key", "left_semi")
+        .dropDuplicates(["_row_key"])
+        .drop("_row_key")
     )
