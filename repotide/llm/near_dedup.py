@@ -12,10 +12,11 @@ collision-corrected estimate (six standard deviations of slack), then the exact
 comparison of their full sets.
 
 Equal sets are one class before any comparison. In a bucket all classes are
-first compared with its smallest member; links so found merge into components,
-and only members of different components meet in the second round. A group of n
-copies thus costs n comparisons, not n squared, and every link that could join
-two components is looked at.
+compared with one member, another in each of a few rounds; links so found merge
+into components, and only members of different components meet in the last
+round, where every such pair of a bucket is looked at. A group of n copies thus
+costs some n comparisons, not n squared, and no link between components is lost.
+Within buckets pairs are first told apart by 256 bits of their signatures.
 """
 
 from __future__ import annotations
@@ -36,10 +37,15 @@ MANTISSA_BITS = 10
 BANDS, ROWS = 32, 4
 # Expected share of equal registers among disjoint sets of equal size.
 COLLISION = 0.169919487 / (1 << MANTISSA_BITS)
-# A bucket with more unresolved members than this is refined by a second band.
-REFINE_OVER = 64
+# Rounds in which a bucket's members meet one of them.
+STAR_ROUNDS = 3
+# Two bits per register, for comparisons within buckets.
+BITS = ("b0", "b1", "b2", "b3")
 
-SIGNATURES = "doc_id long, row_key long, n_shingles long, class_id long, sig array<int>"
+SIGNATURES = (
+    "doc_id long, row_key long, n_shingles long, class_id long, sig array<int>, "
+    "b0 long, b1 long, b2 long, b3 long"
+)
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,6 +112,14 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return registers.astype(np.int32)
 
 
+def short_bits(registers: np.ndarray) -> np.ndarray:
+    """Four 64-bit numbers; equal registers give equal bits, others do half the time."""
+    place = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(32)
+    mixed = _mix(registers.astype(np.uint64) + place)
+    both = np.concatenate([mixed & np.uint64(1), (mixed >> np.uint64(1)) & np.uint64(1)])
+    return np.packbits(both.astype(np.uint8)).view(np.int64)
+
+
 def _class_of(hashes: np.ndarray) -> int | None:
     if not len(hashes):
         return None
@@ -116,12 +130,14 @@ def _class_of(hashes: np.ndarray) -> int | None:
 def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
     words = _Words()
     sizes, classes, signatures = [], [], []
-    for text in batch.column(2).to_pylist():
+    bits = np.zeros((batch.num_rows, len(BITS)), np.int64)
+    for i, text in enumerate(batch.column(2).to_pylist()):
         hashes = shingles(text, words)
         sizes.append(len(hashes))
         classes.append(_class_of(hashes))
         if len(hashes):
             signatures.append(signature(hashes))
+            bits[i] = short_bits(signatures[-1])
         else:
             signatures.append(None)
     return pa.RecordBatch.from_arrays(
@@ -131,8 +147,9 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
             pa.array(sizes, pa.int64()),
             pa.array(classes, pa.int64()),
             pa.array(signatures, pa.list_(pa.int32())),
+            *(pa.array(column) for column in bits.T.copy()),
         ],
-        names=["doc_id", "row_key", "n_shingles", "class_id", "sig"],
+        names=["doc_id", "row_key", "n_shingles", "class_id", "sig", *BITS],
     )
 
 
@@ -160,12 +177,25 @@ def _estimate(a: str, b: str):
     return (equal / F.lit(float(BUCKETS)) - by_chance) / (1 - by_chance)
 
 
+def _sizes_allow(a: str, b: str, percent: int):
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
 def _plausible(a: str, b: str, percent: int):
-    """Sizes allow the similarity, and the estimate comes near it."""
-    sizes = F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent
+    """Sizes allow the similarity, and the estimate is within six deviations of it."""
     goal = percent / 100
     slack = 6 * (goal * (1 - goal) / BUCKETS) ** 0.5
-    return sizes & (_estimate(a, b) >= goal - slack)
+    return _sizes_allow(f"{a}.n", f"{b}.n", percent) & (_estimate(a, b) >= goal - slack)
+
+
+def _bits_allow(mine: str, theirs: str, percent: int):
+    """The same by the short bits, of which unequal registers leave half equal."""
+    goal = percent / 100
+    slack = 6 * ((1 - goal) * (goal + 0.5) / BUCKETS) ** 0.5
+    unequal = sum(
+        F.bit_count(F.col(mine.format(b)).bitwiseXOR(F.col(theirs.format(b)))) for b in BITS
+    )
+    return unequal <= int((1 - goal + slack) * BUCKETS)
 
 
 SETS = "class_id long, hashes binary"
@@ -241,38 +271,74 @@ def _band(sig, i):
 
 
 def _shared_bands(classes: DataFrame) -> DataFrame:
-    """``(key, band, class_id, lead, members)`` of the buckets with two or more classes."""
+    """``(key, class_id, n, bits)`` of the buckets with two or more classes."""
     keyed = classes.select(
         "class_id",
-        F.posexplode(
+        "n",
+        *BITS,
+        F.explode(
             F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: _band(F.col("sig"), i))
-        ).alias("band", "key"),
+        ).alias("key"),
     )
-    crowded = (
-        keyed.groupBy("key")
-        .agg(F.min("class_id").alias("lead"), F.count("*").alias("members"))
-        .filter("members > 1")
+    crowded = keyed.groupBy("key").count().filter("count > 1").select("key")
+    return keyed.join(crowded, "key", "left_semi")
+
+
+def _with_labels(shared: DataFrame, merged: DataFrame | None) -> DataFrame:
+    """Members of the buckets that still hold several components, with these."""
+    if merged is None:
+        return shared.withColumn("label", F.col("class_id"))
+    named = shared.join(merged.withColumnRenamed("node", "class_id"), "class_id", "left")
+    named = named.withColumn("label", F.coalesce("root", "class_id")).drop("root")
+    mixed = (
+        named.groupBy("key")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low < high")
+        .select("key")
     )
-    return keyed.join(crowded, "key")
+    return named.join(mixed, "key", "left_semi")
 
 
-def _with_set(pairs: DataFrame, classes: DataFrame, end: str, name: str) -> DataFrame:
-    side = classes.select(F.col("class_id").alias(end), F.struct("n", "sig").alias(name))
-    return pairs.join(side, end)
+def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each bucket's leader of this turn and members of other components."""
+    lead = F.struct(F.xxhash64("class_id", F.lit(turn)), "class_id", "label", "n", *BITS)
+    leads = members.groupBy("key").agg(F.min(lead).alias("lead"))
+    met = (
+        (F.col("label") != F.col("lead.label"))
+        & _sizes_allow("n", "lead.n", percent)
+        & _bits_allow("{}", "lead.{}", percent)
+    )
+    return members.join(leads, "key").filter(met).select(
+        F.least("class_id", "lead.class_id").alias("u"),
+        F.greatest("class_id", "lead.class_id").alias("v"),
+    )
 
 
-def _refined(members: DataFrame) -> DataFrame:
-    """Members of large buckets under each second band they may share as well."""
-    others = F.transform(
-        F.filter(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: j != F.col("band")),
-        lambda j: F.xxhash64("key", _band(F.col("s.sig"), j)),
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket in different components that may be similar enough."""
+    columns = ("class_id", "label", "n", *BITS)
+    a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
+    b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
+    met = (
+        (F.col("class_id_a") < F.col("class_id_b"))
+        & (F.col("label_a") != F.col("label_b"))
+        & _sizes_allow("n_a", "n_b", percent)
+        & _bits_allow("{}_a", "{}_b", percent)
     )
-    large = F.col("members") > REFINE_OVER
-    return members.withColumn(
-        "key", F.explode(F.when(large, others).otherwise(F.array("key")))
+    return a.join(b, "key").filter(met).select(
+        F.col("class_id_a").alias("u"), F.col("class_id_b").alias("v")
     )
 
 
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``pairs`` whose estimate comes near the similarity."""
+    side = classes.select("class_id", F.struct("n", "sig").alias("s"))
+    left = side.select(F.col("class_id").alias("u"), F.col("s").alias("a"))
+    right = side.select(F.col("class_id").alias("v"), F.col("s").alias("b"))
+    both = pairs.distinct().join(right, "v").join(left, "u")
+    return both.filter(_plausible("a", "b", percent)).select("u", "v")
+
+
 def _assigned(docs: DataFrame, percent: int) -> DataFrame:
     """``doc_id, row_key, n_shingles, root, component_id``; the last two null without words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -284,56 +350,19 @@ def _assigned(docs: DataFrame, percent: int) -> DataFrame:
             F.min("doc_id").alias("doc_id"),
             F.first("n_shingles").alias("n"),
             F.first("sig").alias("sig"),
+            *(F.first(b).alias(b) for b in BITS),
         ),
         "classes",
     )
     shared = materialize(_shared_bands(classes), "bands")
 
-    stars = shared.filter("class_id <> lead").select(
-        F.col("lead").alias("u"), F.col("class_id").alias("v")
-    ).distinct()
-    stars = _with_set(_with_set(stars, classes, "v", "b"), classes, "u", "a")
-    near = stars.filter(_plausible("a", "b", percent)).select("u", "v")
-    links = _confirmed(near, classes, docs, percent)
-    merged = components(links)
-
-    labelled = (
-        shared.filter("members > 2")
-        .join(merged.withColumnRenamed("node", "class_id"), "class_id", "left")
-        .withColumn("label", F.coalesce("root", "class_id"))
-        .drop("root")
-    )
-    open_keys = (
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter("low < high")
-        .select("key")
-    )
-    # Pairs with the bucket's first member have been compared already.
-    members = materialize(
-        _refined(
-            _with_set(
-                labelled.join(open_keys, "key", "left_semi").filter("class_id <> lead"),
-                classes, "class_id", "s",
-            )
-        ).select("key", "class_id", "label", "s"),
-        "members",
-    )
-    a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in ("class_id", "label", "s")))
-    b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in ("class_id", "label", "s")))
-    across = (
-        (F.col("class_id_a") < F.col("class_id_b"))
-        & (F.col("label_a") != F.col("label_b"))
-        & _plausible("s_a", "s_b", percent)
-    )
-    second = (
-        a.join(b, "key")
-        .filter(across)
-        .select(F.col("class_id_a").alias("u"), F.col("class_id_b").alias("v"))
-        .distinct()
-    )
-    more = _confirmed(second, classes, docs, percent)
-    merged = components(links.union(more))
+    links = merged = None
+    for turn in range(STAR_ROUNDS + 1):
+        members = _with_labels(shared, merged)
+        pairs = _stars(members, turn, percent) if turn < STAR_ROUNDS else _across(members, percent)
+        found = _confirmed(_near(pairs, classes, percent), classes, docs, percent)
+        links = links.union(found) if links else found
+        merged = components(links)
 
     named = (
         classes.select("class_id", "doc_id")
@@ -342,7 +371,7 @@ def _assigned(docs: DataFrame, percent: int) -> DataFrame:
     )
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "root").select("class_id", "root", "component_id")
-    return signed.drop("sig").join(named, "class_id", "left").drop("class_id")
+    return signed.drop("sig", *BITS).join(named, "class_id", "left").drop("class_id")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
