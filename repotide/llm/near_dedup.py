@@ -39,6 +39,11 @@ BANDS, ROWS = 32, 4
 COLLISION = 0.169919487 / (1 << MANTISSA_BITS)
 # Rounds in which a bucket's members meet one of them.
 STAR_ROUNDS = 3
+# The last round's finer estimate: one bit for each of 1024 buckets, and whether
+# it is filled. Of sets at the limit 20 in a million at most fall below 0.665.
+FINE_BITS = 10
+FINE_LEAST = 665
+FINE = "class_id long, fine array<long>"
 # Two bits per register, for comparisons within buckets.
 BITS = ("b0", "b1", "b2", "b3")
 
@@ -201,6 +206,16 @@ def _bits_allow(mine: str, theirs: str, percent: int):
 SETS = "class_id long, hashes binary"
 
 
+def fine_bits(hashes: np.ndarray) -> np.ndarray:
+    """Filled buckets, then one bit of each bucket's smallest hash, as 64-bit numbers."""
+    buckets = (hashes >> np.uint64(64 - FINE_BITS)).astype(np.int64)
+    filled, first = np.unique(buckets, return_index=True)
+    bits = np.zeros(2 << FINE_BITS, np.uint8)
+    bits[filled] = 1
+    bits[(1 << FINE_BITS) + filled] = _mix(hashes[first]) & np.uint64(1)
+    return np.packbits(bits).view(np.int64)
+
+
 def _class_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
     words = _Words()
     sets = [shingles(text, words) for text in batch.column(0).to_pylist()]
@@ -213,6 +228,38 @@ def _class_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
+def _class_fine(batch: pa.RecordBatch) -> pa.RecordBatch:
+    words = _Words()
+    sets = [shingles(text, words) for text in batch.column(0).to_pylist()]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(map(_class_of, sets), pa.int64()),
+            pa.array([fine_bits(h) for h in sets], pa.list_(pa.int64())),
+        ],
+        names=["class_id", "fine"],
+    )
+
+
+def _of_classes(wanted: DataFrame, classes: DataFrame, docs: DataFrame, step, schema: str) -> DataFrame:
+    """``step`` over one text of each of the ``wanted`` classes, one row per class.
+
+    Sets are made again for the few classes in question instead of keeping all.
+    """
+    sources = (
+        classes.join(wanted, "class_id", "left_semi")
+        .select(F.xxhash64("doc_id").alias("k"))
+        .distinct()
+    )
+    return (
+        docs.select(F.xxhash64("doc_id").alias("k"), "text")
+        .join(sources, "k", "left_semi")
+        .select("text")
+        .mapInArrow(by_batch(step), schema)
+        .join(wanted, "class_id", "left_semi")
+        .dropDuplicates(["class_id"])
+    )
+
+
 def _confirmer(percent: int):
     def confirm(batch: pa.RecordBatch) -> pa.RecordBatch:
         a_ids, b_ids, a_sets, b_sets = batch.columns
@@ -234,27 +281,10 @@ def _confirmer(percent: int):
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs (u, v)`` whose full sets are similar enough.
-
-    Only the sets of the classes in question are made again, each from the text
-    of one document, instead of keeping those of all.
-    """
+    """Those of ``pairs (u, v)`` whose full sets are similar enough."""
     pairs = materialize(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("class_id")).distinct()
-    sources = (
-        classes.join(wanted, "class_id", "left_semi")
-        .select(F.xxhash64("doc_id").alias("k"))
-        .distinct()
-    )
-    sets = (
-        docs.select(F.xxhash64("doc_id").alias("k"), "text")
-        .join(sources, "k", "left_semi")
-        .select("text")
-        .mapInArrow(by_batch(_class_sets), SETS)
-        .join(wanted, "class_id", "left_semi")
-        .dropDuplicates(["class_id"])
-    )
-    sets = materialize(sets, "sets")
+    sets = materialize(_of_classes(wanted, classes, docs, _class_sets, SETS), "sets")
     left = sets.select(F.col("class_id").alias("u"), F.col("hashes").alias("a"))
     right = sets.select(F.col("class_id").alias("v"), F.col("hashes").alias("b"))
     return materialize(
@@ -314,16 +344,47 @@ def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket in different components that may be similar enough."""
-    columns = ("class_id", "label", "n", *BITS)
+def _fine_allows(a: str, b: str, percent: int):
+    half = (1 << FINE_BITS) // 64
+    both = either = unequal = F.lit(0)
+    for i in range(half):
+        mine, theirs = F.get(a, F.lit(i)), F.get(b, F.lit(i))
+        mixed = F.get(a, F.lit(half + i)).bitwiseXOR(F.get(b, F.lit(half + i)))
+        shared = mine.bitwiseAND(theirs)
+        both = both + F.bit_count(shared)
+        either = either + F.bit_count(mine.bitwiseOR(theirs))
+        unequal = unequal + F.bit_count(mixed.bitwiseAND(shared))
+    return (both - 2 * unequal) * 75_000 >= either * (FINE_LEAST * percent)
+
+
+def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket in different components that may be similar enough.
+
+    Each pair is given by the first bucket that it shares. Buckets of two have
+    had their one pair compared with the leader.
+    """
+    crowded = members.groupBy("key").count().filter("count > 2").select("key")
+    members = materialize(members.join(crowded, "key", "left_semi"), "members")
+    wanted = members.select("class_id").distinct()
+    fine = _of_classes(wanted, classes, docs, _class_fine, FINE)
+    keys = classes.select(
+        "class_id",
+        F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: _band(F.col("sig"), i)).alias("keys"),
+    )
+    members = members.join(materialize(fine.join(keys, "class_id"), "fine"), "class_id")
+    columns = ("class_id", "label", "n", "fine", "keys", *BITS)
     a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
     b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
+    shared = F.filter(
+        F.zip_with("keys_a", "keys_b", lambda x, y: F.when(x == y, x)), lambda k: k.isNotNull()
+    )
     met = (
         (F.col("class_id_a") < F.col("class_id_b"))
         & (F.col("label_a") != F.col("label_b"))
         & _sizes_allow("n_a", "n_b", percent)
         & _bits_allow("{}_a", "{}_b", percent)
+        & _fine_allows("fine_a", "fine_b", percent)
+        & (F.get(shared, F.lit(0)) == F.col("key"))
     )
     return a.join(b, "key").filter(met).select(
         F.col("class_id_a").alias("u"), F.col("class_id_b").alias("v")
@@ -359,8 +420,11 @@ def _assigned(docs: DataFrame, percent: int) -> DataFrame:
     links = merged = None
     for turn in range(STAR_ROUNDS + 1):
         members = _with_labels(shared, merged)
-        pairs = _stars(members, turn, percent) if turn < STAR_ROUNDS else _across(members, percent)
-        found = _confirmed(_near(pairs, classes, percent), classes, docs, percent)
+        if turn < STAR_ROUNDS:
+            pairs = _near(_stars(members, turn, percent), classes, percent)
+        else:
+            pairs = _across(members, classes, docs, percent)
+        found = _confirmed(pairs, classes, docs, percent)
         links = links.union(found) if links else found
         merged = components(links)
 
