@@ -18,6 +18,8 @@ can be short for want of ids.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
@@ -48,7 +50,13 @@ PIECES = (
 # The split of the byte-level vocabulary within a run of characters other than white space.
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 _PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-_IRREGULAR = re.compile(r"[^\S \n]|\A\s|\s\Z")
+# White space but blank and line feed, as Python sees it; the four controls are
+# none for the vocabulary.
+_CONTROLS = "\x1c\x1d\x1e\x1f"
+_SPACES = "\t\r\x0b\x0c\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200B)
+)
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
 
 
 class _Known(dict):
@@ -65,6 +73,13 @@ class _Known(dict):
         return value
 
 
+def _little_endian(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Encoder:
     """Ids of whole texts by the ``tokenizers`` model, one call per distinct piece.
 
@@ -87,7 +102,7 @@ class Encoder:
         self.letters = {b: chr(256 + i) for i, b in enumerate(rest)}
         self.split = regex.compile(_PARTS + r"|\s+(?!\S)|\s+").findall
         special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, special)]))
+        self.odd = (*_CONTROLS, *special)
         self.plain = _Known(self._piece, "")
         self.spaced = _Known(self._piece, " ")
         strings = [self.whole.decode([i]) for i in range(self.whole.get_vocab_size())]
@@ -97,7 +112,7 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         mapped = part.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        return _little_endian([t.id for t in self.model.tokenize(mapped)])
 
     def _piece(self, piece: str) -> bytes:
         word = piece[1:] if piece[:1] == " " else piece
@@ -110,10 +125,11 @@ class Encoder:
         return b"".join(map(self._part, self.split(piece)))
 
     def encode(self, text: str) -> np.ndarray:
-        if self.odd.search(text):
+        if any(o in text for o in self.odd):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         plain, spaced = self.plain, self.spaced
-        if _IRREGULAR.search(text) or any(pair in text for pair in ("  ", "\n\n", " \n", "\n ")):
+        ends = text[:1] + text[-1:]
+        if ends.strip() != ends or any(s in text for s in _PAIRS) or any(s in text for s in _SPACES):
             found = [plain[p] for p in _PIECE.findall(text)]
         else:
             found = []
@@ -141,57 +157,63 @@ def encoder(path: str) -> Encoder:
 def cut_places(sentences: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in one document of ``size`` ids, with penalties; its end is free.
 
-    Stretches without a sentence end get a place every :data:`STRIDE` ids.
+    ``sentences`` are ascending positions inside. Stretches without a sentence end get a place every :data:`STRIDE` ids.
     """
-    known = np.unique(np.append(sentences[(sentences > 0) & (sentences < size)], size))
+    known = np.append(sentences, size)
+    costs = np.full(len(known), SENTENCE_CUT)
+    costs[-1] = 0
     gaps = np.diff(known, prepend=0)
-    more = [
-        np.arange(end - gap + STRIDE, end, STRIDE)
-        for end, gap in zip(known[gaps > 4 * STRIDE], gaps[gaps > 4 * STRIDE])
-    ]
-    inner = np.concatenate(more) if more else np.empty(0, np.int64)
+    wide = np.flatnonzero(gaps > 4 * STRIDE)
+    if not len(wide):
+        return known, costs
+    more = [np.arange(known[i] - gaps[i] + STRIDE, known[i], STRIDE) for i in wide]
+    inner = np.concatenate(more)
     places = np.concatenate([known, inner])
-    costs = np.concatenate(
-        [np.where(known == size, 0, SENTENCE_CUT), np.full(len(inner), INNER_CUT)]
-    )
+    costs = np.concatenate([costs, np.full(len(inner), INNER_CUT)])
     order = np.argsort(places, kind="stable")
     return places[order], costs[order]
 
 
-def best_cuts(places: list[int], costs: list[int], window: int, final: bool) -> list[int]:
-    """The cheapest ascending cuts of a stream that starts at 0.
+def best_cuts(places: np.ndarray, costs: np.ndarray, window: int, final: bool) -> list[int]:
+    """The cheapest cuts of a stream that starts at 0, ascending.
 
     ``final`` demands a cut at the last place. Otherwise the end is open: the
     last cut is the cheapest place within one window of the end, and the ids
     behind it wait for what follows.
     """
-    powers = [1 << k for k in range(window.bit_length()) if LEAST_POWER <= 1 << k <= window]
-    at = {0: 0}
-    position, cost, came = [0], [0], [-1]
-    queue: deque[int] = deque([0])
-    for place, penalty in zip(places, costs):
-        while queue and position[queue[0]] < place - window:
-            queue.popleft()
-        i = queue[0]
-        best, source = cost[i] + window - (place - position[i]), i
-        for power in powers:
-            i = at.get(place - power)
-            if i is not None and cost[i] < best:
-                best, source = cost[i], i
-        me = len(position)
-        position.append(place)
-        cost.append(best + penalty)
-        came.append(source)
-        at[place] = me
-        value = best + penalty + place
-        while queue and cost[queue[-1]] + position[queue[-1]] >= value:
-            queue.pop()
-        queue.append(me)
+    position = np.concatenate([[0], places])
+    exact: dict[int, list[int]] = {}
+    for k in range(LEAST_POWER.bit_length() - 1, window.bit_length()):
+        at = np.searchsorted(position, position - (1 << k))
+        for me in np.flatnonzero(position[at] == position - (1 << k)).tolist():
+            exact.setdefault(me, []).append(int(at[me]))
+    position, penalty = position.tolist(), [0, *costs.tolist()]
+    cost, came = [0] * len(position), [-1] * len(position)
+    # The queue holds places by ascending cost + position; both ends are popped.
+    queue: deque[tuple[int, int, int]] = deque([(0, 0, 0)])
+    pop, drop, push = queue.popleft, queue.pop, queue.append
+    for me in range(1, len(position)):
+        place = position[me]
+        while queue[0][1] < place - window:
+            pop()
+        value, _, source = queue[0]
+        best = value + window - place
+        if me in exact:
+            for i in exact[me]:
+                if cost[i] < best:
+                    best, source = cost[i], i
+        best += penalty[me]
+        cost[me], came[me] = best, source
+        value = best + place
+        while queue and queue[-1][0] >= value:
+            drop()
+        push((value, place, me))
     last = len(position) - 1
     if not final:
-        reach = [i for i in range(len(position)) if position[i] >= position[-1] - window]
         # Padding is a cost per id, so a later place may cost that much more.
-        last = min(reach, key=lambda i: cost[i])
+        while last and position[last - 1] >= position[-1] - window:
+            last -= 1
+        last = min(range(last, len(position)), key=cost.__getitem__)
     cuts = []
     while last > 0:
         cuts.append(position[last])
@@ -215,11 +237,13 @@ class _Stream:
         """Pieces of the sequences that are settled now."""
         places, costs, base = [], [], 0
         for _, ids, used, own, own_costs in self.docs:
-            keep = own > used
-            places += (own[keep] - used + base).tolist()
-            costs += own_costs[keep].tolist()
+            if used:
+                keep = own > used
+                own, own_costs = own[keep], own_costs[keep]
+            places.append(own + (base - used))
+            costs.append(own_costs)
             base += len(ids) - used
-        cuts = best_cuts(places, costs, self.window, final) if places else []
+        cuts = best_cuts(np.concatenate(places), np.concatenate(costs), self.window, final) if places else []
         pieces, left = [], deque(self.docs)
         done = 0
         for cut in cuts:
