@@ -23,8 +23,8 @@ from repotide.llm.common import add_column, by_batch, materialize, prepare
 
 HASH_BITS = 18
 SIZES = (3, 4, 5)
-MAX_ROWS = 20_000
-MAX_FEATURES = 16_384
+MAX_ROWS = 8_000
+MAX_FEATURES = 8_192
 THRESHOLD = 0.7
 SMOOTHING = 1.0
 PENALTY = 1e-4
@@ -74,22 +74,24 @@ def _count(batches):
     )
 
 
-def _descend(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression by accelerated descent; each row lists its active features.
+def _descend(
+    active: np.ndarray, sizes: np.ndarray, y: np.ndarray, ratios: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Logistic regression by accelerated descent.
 
-    The step is the inverse of a bound of the curvature, a quarter of the mean
-    squared row norm. Returns weights per active feature, ratios included.
+    ``active`` lists the features of one row after the other, ``sizes`` how many
+    each has. The step is the inverse of a bound of the curvature, a quarter of
+    the mean squared row norm. Returns weights per active feature, ratios included.
     """
-    active = np.concatenate(rows).astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
     values = ratios[active]
     step = 4 / ((values**2).sum() / len(y) + 1)
     weights, offset = np.zeros(len(ratios)), 0.0
     ahead, ahead_offset = weights, offset
     for turn in range(STEPS):
-        margin = ahead_offset + np.bincount(owner, values * ahead[active], minlength=len(y))
+        margin = ahead_offset + np.bincount(owner, (ratios * ahead)[active], minlength=len(y))
         off = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y
-        slope = np.bincount(active, values * off[owner], minlength=len(ratios)) / len(y)
+        slope = ratios * np.bincount(active, off[owner], minlength=len(ratios)) / len(y)
         new = ahead - step * (slope + PENALTY * ahead)
         new_offset = ahead_offset - step * off.mean()
         pull = turn / (turn + 3)
@@ -160,10 +162,12 @@ def fit(
         )
 
     learnt = sample.mapInArrow(by_batch(active), "active array<int>, toxic int, doc_id long")
-    learnt = learnt.toPandas().sort_values("doc_id", kind="stable")
+    learnt = learnt.toArrow().sort_by("doc_id").combine_chunks()
+    lists = learnt["active"].combine_chunks()
     weights, offset = _descend(
-        [np.asarray(r, np.int64) for r in learnt["active"]],
-        learnt["toxic"].to_numpy(np.float64),
+        lists.flatten().to_numpy(),
+        lists.value_lengths().to_numpy(),
+        learnt["toxic"].to_numpy().astype(np.float64),
         best["ratio"].to_numpy(),
     )
     full = np.zeros(1 << HASH_BITS)
