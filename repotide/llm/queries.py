@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm import line_dedup, near_dedup, packing, secret_scan, toxicity
+from repotide.llm import bpe, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
 from repotide.llm.common import table, tokenizer_path
 
 
@@ -38,11 +38,28 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.remove_boilerplate(docs).drop("source")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shuffled(docs).select(
+        "doc_id",
+        sharding.size_of().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        "grown_shard",
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -58,6 +75,8 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
+    "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
 }
