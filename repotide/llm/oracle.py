@@ -3,6 +3,23 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {
+    "op5_exact_top_k": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, d.vec_id,
+    cast(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v d on q.vec_id <> d.vec_id
+  where q.vec_id % 50 = 0
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+  from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+""",
     "op7_line_dedup": """
 with lines as (
   select doc_id, source, unnest(string_split(text, chr(10))) as line,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm import bpe, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
-from repotide.llm.common import table, tokenizer_path
+from repotide.llm import bpe, cover_tree, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
+from repotide.llm.common import materialize, table, tokenizer_path
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = materialize(cover_tree.whole_numbers(table(spark, sf_dir, "embeddings")), "vectors")
+    return cover_tree.top_k(data.filter("vec_id % 50 = 0"), data, k=5)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op9_sharding": op9_sharding,
