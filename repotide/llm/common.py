@@ -7,13 +7,14 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType
 
 from repotide.session import materialize
 
-__all__ = ["by_batch", "materialize", "prepare", "table", "tokenizer_path"]
+__all__ = ["by_batch", "chunks", "materialize", "prepare", "table", "tokenizer_path"]
 
 # A batch of whole texts must fit a Python worker, however long they are.
 BATCH_ROWS = 512
@@ -82,3 +83,35 @@ def add_column(
         return pa.RecordBatch.from_arrays([*batch.columns, found], names=[*kept, name])
 
     return df.select(*kept).mapInArrow(by_batch(step), schema)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], keys: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows equal in the first ``keys`` columns, in pieces of at most ``size`` rows.
+
+    The rows must come sorted by those columns; a run may span batches.
+    """
+    waiting: list[pa.RecordBatch] = []
+    rows, at = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        changed = np.zeros(batch.num_rows - 1, bool)
+        for column in columns:
+            changed |= column[1:] != column[:-1]
+        edges = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            here = tuple(column[start] for column in columns)
+            if waiting and here != at:
+                yield pa.concat_batches(waiting)
+                waiting, rows = [], 0
+            at = here
+            while start < end:
+                take = min(end - start, size - rows)
+                waiting.append(batch.slice(start, take))
+                start, rows = start + take, rows + take
+                if rows == size:
+                    yield pa.concat_batches(waiting)
+                    waiting, rows = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)

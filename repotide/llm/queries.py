@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm import bpe, cover_tree, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
+from repotide.llm import bpe, cover_tree, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
 from repotide.llm.common import materialize, table, tokenizer_path
 
 
@@ -52,6 +52,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(docs).drop("source")
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shuffled(docs).select(
@@ -83,6 +87,7 @@ QUERIES = {
     "op5_exact_top_k": op5_exact_top_k,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
+    "op8_near_vectors": op8_near_vectors,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
 }
