@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm import bpe, cover_tree, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
+from repotide.llm import bpe, cover_tree, html_blocks, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
 from repotide.llm.common import materialize, table, tokenizer_path
 
 
@@ -38,6 +38,14 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html_blocks.extract(pages, html_blocks.fit(pages))
+    return texts.select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = materialize(cover_tree.whole_numbers(table(spark, sf_dir, "embeddings")), "vectors")
     return cover_tree.top_k(data.filter("vec_id % 50 = 0"), data, k=5)
@@ -84,6 +92,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_main_text": op4_main_text,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
