@@ -12,10 +12,10 @@ collision-corrected estimate (six standard deviations of slack), then the exact
 comparison of their full sets.
 
 Equal sets are one class before any comparison. In a bucket all classes are
-compared with one member, another in each of a few rounds; links so found merge
-into components, and only members of different components meet in the last
-round, where every such pair of a bucket is looked at. A group of n copies thus
-costs some n comparisons, not n squared, and no link between components is lost.
+compared with a few of them; links so found merge into components, and only
+members of different components meet in the second round, where every such pair
+of a bucket is looked at. A group of n copies thus costs some n comparisons, not
+n squared, and no link between components is lost.
 Within buckets pairs are first told apart by 256 bits of their signatures.
 """
 
@@ -37,8 +37,8 @@ MANTISSA_BITS = 10
 BANDS, ROWS = 32, 4
 # Expected share of equal registers among disjoint sets of equal size.
 COLLISION = 0.169919487 / (1 << MANTISSA_BITS)
-# Rounds in which a bucket's members meet one of them.
-STAR_ROUNDS = 3
+# Members of a bucket that all others meet in the first round.
+LEADERS = 4
 # The last round's finer estimate: one bit for each of 1024 buckets, and whether
 # it is filled. Of sets at the limit 20 in a million at most fall below 0.665.
 FINE_BITS = 10
@@ -314,36 +314,48 @@ def _shared_bands(classes: DataFrame) -> DataFrame:
     return keyed.join(crowded, "key", "left_semi")
 
 
-def _with_labels(shared: DataFrame, merged: DataFrame | None) -> DataFrame:
-    """Members of the buckets that still hold several components, with these."""
-    if merged is None:
-        return shared.withColumn("label", F.col("class_id"))
+def _stars(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each bucket's leaders and its other members."""
+    leads = shared.groupBy("key").agg(
+        F.array_distinct(
+            F.array(
+                *(F.min_by(F.struct("class_id", "n", *BITS), F.xxhash64("class_id", F.lit(i)))
+                  for i in range(LEADERS))
+            )
+        ).alias("leads")
+    )
+    met = (
+        (F.col("class_id") != F.col("lead.class_id"))
+        & _sizes_allow("n", "lead.n", percent)
+        & _bits_allow("{}", "lead.{}", percent)
+    )
+    return (
+        shared.join(leads, "key")
+        .withColumn("lead", F.explode("leads"))
+        .filter(met)
+        .select(
+            F.least("class_id", "lead.class_id").alias("u"),
+            F.greatest("class_id", "lead.class_id").alias("v"),
+        )
+    )
+
+
+def _unmerged(shared: DataFrame, merged: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components, with these.
+
+    Small buckets have had all their pairs compared with the leaders.
+    """
     named = shared.join(merged.withColumnRenamed("node", "class_id"), "class_id", "left")
     named = named.withColumn("label", F.coalesce("root", "class_id")).drop("root")
     mixed = (
         named.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter("low < high")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
+        .filter("low < high and members > 2")
         .select("key")
     )
     return named.join(mixed, "key", "left_semi")
 
 
-def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of each bucket's leader of this turn and members of other components."""
-    lead = F.struct(F.xxhash64("class_id", F.lit(turn)), "class_id", "label", "n", *BITS)
-    leads = members.groupBy("key").agg(F.min(lead).alias("lead"))
-    met = (
-        (F.col("label") != F.col("lead.label"))
-        & _sizes_allow("n", "lead.n", percent)
-        & _bits_allow("{}", "lead.{}", percent)
-    )
-    return members.join(leads, "key").filter(met).select(
-        F.least("class_id", "lead.class_id").alias("u"),
-        F.greatest("class_id", "lead.class_id").alias("v"),
-    )
-
-
 def _fine_allows(a: str, b: str, percent: int):
     half = (1 << FINE_BITS) // 64
     both = either = unequal = F.lit(0)
@@ -360,11 +372,9 @@ def _fine_allows(a: str, b: str, percent: int):
 def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket in different components that may be similar enough.
 
-    Each pair is given by the first bucket that it shares. Buckets of two have
-    had their one pair compared with the leader.
+    Each pair is given by the first bucket that it shares.
     """
-    crowded = members.groupBy("key").count().filter("count > 2").select("key")
-    members = materialize(members.join(crowded, "key", "left_semi"), "members")
+    members = materialize(members, "members")
     wanted = members.select("class_id").distinct()
     fine = _of_classes(wanted, classes, docs, _class_fine, FINE)
     keys = classes.select(
@@ -417,16 +427,12 @@ def _assigned(docs: DataFrame, percent: int) -> DataFrame:
     )
     shared = materialize(_shared_bands(classes), "bands")
 
-    links = merged = None
-    for turn in range(STAR_ROUNDS + 1):
-        members = _with_labels(shared, merged)
-        if turn < STAR_ROUNDS:
-            pairs = _near(_stars(members, turn, percent), classes, percent)
-        else:
-            pairs = _across(members, classes, docs, percent)
-        found = _confirmed(pairs, classes, docs, percent)
-        links = links.union(found) if links else found
-        merged = components(links)
+    first = _near(_stars(shared, percent), classes, percent)
+    links = _confirmed(first, classes, docs, percent)
+    merged = components(links)
+    second = _across(_unmerged(shared, merged), classes, docs, percent)
+    more = _confirmed(second, classes, docs, percent)
+    merged = components(merged.select(F.col("root").alias("u"), F.col("node").alias("v")).union(more))
 
     named = (
         classes.select("class_id", "doc_id")
