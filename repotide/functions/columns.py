@@ -27,6 +27,12 @@ def project_label(full_name: Column | str = "full_name", repo_id: Column | str =
     return F.coalesce(F.nullif(as_col(full_name), F.lit("")), as_col(repo_id).cast("string"))
 
 
+def own_key(columns: list[str]) -> Column:
+    """Identity of a record: its id, else its lower-cased name, else all it holds."""
+    named = record_key("repo_id", "full_name" if "full_name" in columns else F.lit(None))
+    return F.coalesce(named, F.concat(F.lit("\u0000"), F.xxhash64(*columns).cast("string")))
+
+
 def record_key(repo_id: Column | str = "repo_id", full_name: Column | str = "full_name") -> Column:
     return F.coalesce(as_col(repo_id).cast("string"), F.lower(as_col(full_name)))
 
@@ -75,10 +81,14 @@ def list_length(body: Column) -> Column:
 
 
 def decode_content(content: Column | str) -> Column:
-    """base64 text to UTF-8 text. Bad bytes are dropped; undecodable gives ''."""
+    """base64 text to UTF-8 text. Bad bytes are dropped; undecodable gives ''.
+
+    Padding may be missing. A replacement mark that is really in a valid text stays.
+    """
     alphabet_only = F.regexp_replace(as_col(content), "[^A-Za-z0-9+/=]", "")
-    text = F.make_valid_utf8(F.try_to_binary(alphabet_only, F.lit("base64")).cast("string"))
-    return F.coalesce(F.replace(text, F.lit("\ufffd"), F.lit("")), F.lit(""))
+    text = F.try_to_binary(alphabet_only, F.lit("base64")).cast("string")
+    mended = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
+    return F.coalesce(F.when(F.is_valid_utf8(text), text).otherwise(mended), F.lit(""))
 
 
 def mentions_test_tool(text: Column | str) -> Column:
@@ -126,9 +136,8 @@ def json_objects(line: Column | str) -> Column:
 
 def whole_number(text: Column) -> Column:
     """``7``, ``"7"`` and ``7.0`` of a message are the same number; else null."""
-    return F.coalesce(
-        text.try_cast("bigint"), text.try_cast("decimal(38,9)").try_cast("bigint")
-    )
+    number = text.try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def wire_type(schema: T.StructType) -> T.StructType:

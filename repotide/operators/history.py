@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from repotide.operators.dedupe import without
 from repotide.operators.rankings import counters, rank_questions, unpivot_questions
 from repotide.schemas import DEFAULT_TOP_N
 
@@ -20,29 +21,70 @@ def number_snapshots(arrivals: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_counts(repos: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Counter values as of every snapshot: ``(snapshot, question, name, count)``.
+# Levels of the tree over snapshots: enough for any count of them.
+LEVELS = 31
+
+
+def held_counts(repos: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """``(question, name, count, idx, until)``: each value of a counter and its span.
 
     ``repos`` are distinct and carry the ``snapshot`` they arrived in. They are
     first reduced to one change per counter and snapshot, in one aggregation. A
     counter holds its value from the snapshot that changed it until its next
-    change, so each change is repeated over that span; no name is paired with
-    snapshots outside of its own spans.
+    change.
     """
     per_snapshot = counters(repos, "snapshot").join(snapshots, "snapshot")
     own = Window.partitionBy("kind", "name").orderBy("idx")
     until = F.coalesce(F.lead("idx").over(own) - 1, F.col("last_idx"))
     running = {m: F.sum(m).over(own) for m in ("projects", "with_tests", "with_tests_ci")}
-    held = per_snapshot.withColumns({**running, "span": F.sequence("idx", until)})
-    spread = held.withColumn("idx", F.explode("span")).drop("snapshot", "span")
-    named = spread.join(snapshots.select("snapshot", "idx"), "idx")
-    return unpivot_questions(named, "snapshot")
+    held = per_snapshot.withColumns({**running, "until": until})
+    return unpivot_questions(held, "idx", "until")
+
+
+def _width(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+
+
+def covering_nodes(first: str, last: str) -> Column:
+    """Nodes ``(level, at)`` of the binary tree over snapshots that tile a span.
+
+    At each level at most one node on either side belongs to the tiling, so a
+    span takes two nodes per level at most, however long it is. Node ``at`` of a
+    level holds the ``2 ** level`` snapshots from ``at * 2 ** level`` on.
+    """
+    def level_nodes(level: Column) -> Column:
+        width = _width(level)
+        low = F.ceil(F.col(first) / width)
+        high = F.floor((F.col(last) + 1) / width)
+        nodes = F.array(
+            F.when((low < high) & (low % 2 == 1), low),
+            F.when((low < high) & (high % 2 == 1), high - 1),
+        )
+        return F.transform(
+            F.array_compact(nodes), lambda at: F.struct(level.alias("level"), at.alias("at"))
+        )
+
+    levels = F.sequence(F.lit(0), F.lit(LEVELS - 1))
+    return F.flatten(F.transform(levels, level_nodes))
 
 
 def history_ranks(repos: DataFrame, arrivals: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """Top ``n`` of each question as of each snapshot that had arrivals."""
-    counts = snapshot_counts(repos, number_snapshots(arrivals))
-    return rank_questions(counts, n, within=("snapshot",))
+    """Top ``n`` of each question as of each snapshot that had arrivals.
+
+    A value held over a span goes to the few tree nodes that tile the span. Only
+    the ``n`` best values of a node can rank in a snapshot below it, so each node
+    keeps these, and they alone are repeated for its snapshots: names times
+    snapshots never arise. Exact for values that fall, too.
+    """
+    snapshots = number_snapshots(arrivals)
+    placed = held_counts(repos, snapshots).withColumn("node", F.explode(covering_nodes("idx", "until")))
+    placed = placed.select("question", "name", "count", "node.level", "node.at")
+    best = rank_questions(placed, n, within=("level", "at")).drop("rk")
+    width = _width(F.col("level"))
+    start = F.col("at") * width
+    spread = best.withColumn("idx", F.explode(F.sequence(start, start + width - 1)))
+    named = spread.join(snapshots.select("snapshot", "idx"), "idx")
+    return rank_questions(named.select("snapshot", "question", "name", "count"), n, within=("snapshot",))
 
 
 def rank_changes(history: DataFrame) -> DataFrame:
@@ -96,7 +138,7 @@ def latency(records: DataFrame, emitted: str, received: str, by: list[str]) -> D
 
 def backlog(published: DataFrame, processed: DataFrame, key: str, ts: str) -> DataFrame:
     """Published and not yet processed, per minute of publication."""
-    return throughput(published.join(processed.select(key), key, "left_anti"), ts)
+    return throughput(without(published, processed, key), ts)
 
 
 def backlog_depth(flow: DataFrame, published_at: str, processed_at: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,7 +33,8 @@ _local_root: str | None = None
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process on one machine; ``local-cluster`` is none."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def configure(spark: SparkSession) -> SparkSession:
