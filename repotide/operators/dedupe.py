@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from repotide.functions.columns import own_key
+
 # Largest k for which Spark plans the group limit ahead of the shuffle
 # (``spark.sql.optimizer.windowGroupLimitThreshold``).
 GROUP_LIMIT_THRESHOLD = 1000
@@ -22,6 +24,18 @@ def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     return limit_per_group(df, keys, order, 1)
 
 
+def distinct_records(
+    df: DataFrame, within: Sequence[str], order: Sequence[Column | str], key: str | None = None
+) -> DataFrame:
+    """Earliest row of each record inside each ``within`` group.
+
+    Records are the same by column ``key``, if given, else by :func:`own_key`:
+    those without an id are told apart by name, and never collapse into one.
+    """
+    same = F.col(key).cast("string") if key else own_key(df.columns)
+    return first_seen(df.withColumn("_same", same), [*within, "_same"], order).drop("_same")
+
+
 def limit_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int
 ) -> DataFrame:

@@ -167,6 +167,10 @@ def page_items(spark, sf_dir):
     )
 
 
+def page_errors(spark, sf_dir):
+    return pages.page_errors(views.answered_pages(spark, sf_dir)).drop("payload")
+
+
 def page_metadata(spark, sf_dir):
     return pages.page_metadata(views.search_pages(spark, sf_dir))
 
@@ -515,7 +519,7 @@ QUERIES = {
         first_seen, dedupe_key, slice_dedupe, union_fields_first_seen, slice_limit,
         global_limit, dedupe_accounting,
         scan_records, emit_ndjson, tap,
-        page_items, page_metadata, normalize_items, completeness, crawl_gate,
+        page_items, page_errors, page_metadata, normalize_items, completeness, crawl_gate,
         slice_calendar, stored_names, query_strings, slice_key, slices_cached, slices_missing,
         slice_provenance, slice_write, slice_union, crawl_window, crawl_limited,
         adaptive_ranges, range_split_summary, range_assignment, range_predicate,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from repotide.functions.columns import emit_stamp
-from repotide.operators.dedupe import first_seen, limit_rows
+from repotide.operators.dedupe import distinct_records, limit_rows
 from repotide.sources.slices import SliceStore
 
 
@@ -15,7 +15,7 @@ def crawl_window(
     produced: DataFrame,
     slice_order: list,
     arrival_order: list,
-    key: str = "repo_id",
+    key: str | None = None,
     limit_per_slice: int | None = None,
     limit: int | None = None,
 ) -> DataFrame:
@@ -26,7 +26,7 @@ def crawl_window(
     slices stay unstamped.
     """
     rows = store.serve(requested, produced, slice_order, key, limit_per_slice)
-    unique = first_seen(rows, [key], arrival_order)
+    unique = distinct_records(rows, [], arrival_order, key)
     if limit is not None:
         unique = limit_rows(unique, arrival_order, limit)
     return unique.withColumn("emitted_at", emit_stamp())

@@ -3,6 +3,13 @@
 from __future__ import annotations
 
 from repotide.plans.batch_queries import RANGE_CAP
+from repotide.schemas import CI_PATHS, TEST_CONFIG_FILES, TEST_PATHS
+
+PATH_ROWS = [
+    f"('{kind}', {start + i}, '{path}', {i + 1}, {str(path in TEST_CONFIG_FILES).lower()})"
+    for kind, start, paths in (("test", 0, TEST_PATHS), ("ci", len(TEST_PATHS), CI_PATHS))
+    for i, path in enumerate(paths)
+]
 
 VIEWS = {
     "raw_repos": """
@@ -71,12 +78,7 @@ select concat('o/', cast(l_orderkey as varchar)) as full_name, count(*) as commi
 from lineitem group by 1""",
     "path_dim": """
 select kind, part, path, priority, needs_words from (values
-  ('test', 0, 'tests', 1, false), ('test', 1, 'test', 2, false), ('test', 2, 'spec', 3, false),
-  ('test', 3, '__tests__', 4, false), ('test', 4, 'pytest.ini', 5, true),
-  ('test', 5, 'package.json', 6, true), ('test', 6, 'pom.xml', 7, true), ('test', 7, 'Cargo.toml', 8, true),
-  ('ci', 8, '.github/workflows', 1, false), ('ci', 9, '.gitlab-ci.yml', 2, false),
-  ('ci', 10, '.travis.yml', 3, false), ('ci', 11, 'Jenkinsfile', 4, false),
-  ('ci', 12, '.circleci/config.yml', 5, false)
+""" + ",\n".join(PATH_ROWS) + """
 ) as d(kind, part, path, priority, needs_words)""",
     "evidence": """
 select concat('o/', cast(l_orderkey as varchar)) as full_name,
@@ -138,7 +140,7 @@ from (
     "crawl_requests": """
 select o_orderkey as request_id, cast(o_orderdate as date) as end_date, o_orderkey % 4 + 1 as days,
   case o_orderstatus when 'F' then ['created'] when 'O' then ['pushed'] else ['created', 'pushed'] end as fields,
-  case o_orderstatus when 'F' then '' when 'O' then ' stars:>=10 archived:false '
+  case o_orderstatus when 'F' then '' when 'O' then '  forks:<7 fork:true '
     else concat('language:', o_orderpriority) end as suffix
 from orders""",
     "calendar": """
@@ -370,6 +372,10 @@ from (select *, row_number() over (partition by repo_id order by {CRAWL_ORDER})
         "select query, page_no, id, full_name, language, stargazers_count, forks_count from search_items",
         "search_items",
     ),
+    "page_errors": """
+select url as query, page_id as page_no,
+  case when page_id % 6 = 5 then 'item without id' else 'unreadable' end as reason
+from pages where page_id % 6 <> 4""",
     "page_metadata": sql(
         "select query, nullif(total_count, -1) as total_count, incomplete_results from search_facts",
         "search_facts",

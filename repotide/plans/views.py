@@ -295,9 +295,25 @@ def handoff_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select((e + 1).alias("line_no"), line.alias("line"))
 
 
+def answered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One answer per web page, most of them no search result."""
+    k, one = F.col("page_id") % 6, F.col("page_id").cast("string")
+    payload = (
+        F.when(k == 0, F.col("html"))
+        .when(k == 1, '{"message":"slow down"}')
+        .when(k == 2, '{"items":null}')
+        .when(k == 3, "[")
+        .when(k == 4, F.concat(F.lit('[{"id":"'), one, F.lit('"}]')))
+        .otherwise(F.concat(F.lit('{"items":[{"id":'), one, F.lit('},{"full_name":"x"}]}')))
+    )
+    return table(spark, sf_dir, "pages").select(
+        F.col("url").alias("query"), F.col("page_id").alias("page_no"), payload.alias("payload")
+    )
+
+
 def crawl_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests to crawl a few days before each order's date."""
-    # Date field mode and query suffix by order status.
+    # The three date field modes.
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),
         F.col("o_orderdate").cast("date").alias("end_date"),
@@ -307,7 +323,7 @@ def crawl_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("created-or-pushed")
         .alias("mode"),
         F.when(F.col("o_orderstatus") == "F", "")
-        .when(F.col("o_orderstatus") == "O", " stars:>=10 archived:false ")
+        .when(F.col("o_orderstatus") == "O", "  forks:<7 fork:true ")
         .otherwise(F.concat(F.lit("language:"), F.col("o_orderpriority")))
         .alias("query_suffix"),
     )

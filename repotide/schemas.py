@@ -81,16 +81,6 @@ SEARCH_ITEM = T.StructType(
     ]
 )
 
-# ``total_count`` is read as text so that a malformed count becomes null in the
-# cast and not a corrupt payload.
-SEARCH_PAGE = T.StructType(
-    [
-        T.StructField("total_count", T.StringType()),
-        T.StructField("incomplete_results", T.BooleanType()),
-        T.StructField("items", T.ArrayType(SEARCH_ITEM)),
-    ]
-)
-
 # Lookup paths in priority order, and the words a test
 # configuration file must mention.
 TEST_DIRECTORIES = ["tests", "test", "spec", "__tests__"]

@@ -5,24 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repotide.functions.columns import as_col
-from repotide.schemas import SEARCH_CAP, SEARCH_ITEM, SEARCH_PAGE
+from repotide.functions.columns import as_col, from_wire, whole_number, wire_type
+from repotide.schemas import SEARCH_CAP, SEARCH_ITEM
 
-ITEM_TYPE = SEARCH_ITEM.simpleString()
+# Numbers are read as text, so that one in quotes is a number too.
+ITEM_TYPE = wire_type(SEARCH_ITEM).simpleString()
 
 
-def page_items(pages: DataFrame) -> DataFrame:
-    """One row per search item. A payload is an object with ``items``, a bare
-    list, or a lone item."""
+def _items() -> Column:
+    """Items of a payload: an object with a list ``items``, a bare list, or a lone
+    item; null for anything else."""
     payload = F.col("payload")
-    is_list = F.ltrim(payload).startswith("[")
     listed = F.from_json(payload, f"array<{ITEM_TYPE}>")
-    page = F.from_json(payload, SEARCH_PAGE)
-    lone = F.array(F.from_json(payload, ITEM_TYPE))
-    items = F.when(is_list, listed).otherwise(F.coalesce(page["items"], lone))
-    return pages.select("query", "page_no", F.posexplode(items).alias("position", "item")).select(
-        "query", "page_no", "position", "item.*"
+    page = F.from_json(payload, f"items array<{ITEM_TYPE}>, id string")
+    lone = F.when(page["id"].isNotNull(), F.array(F.from_json(payload, ITEM_TYPE)))
+    return F.when(F.ltrim(payload).startswith("["), listed).otherwise(F.coalesce(page["items"], lone))
+
+
+def page_items(pages: DataFrame) -> DataFrame:
+    """One row per search item with an id; :func:`page_errors` has the rest."""
+    placed = pages.select("query", "page_no", F.posexplode(_items()).alias("position", "item"))
+    return placed.select("query", "page_no", "position", *from_wire("item", SEARCH_ITEM)).filter(
+        F.col("id").isNotNull()
+    )
+
+
+def page_errors(pages: DataFrame) -> DataFrame:
+    """Pages that cannot be taken in whole: unreadable, or with an item without id."""
+    nameless = F.exists("items", lambda item: whole_number(item["id"]).isNull())
+    reason = F.when(F.col("items").isNull(), F.lit("unreadable")).when(
+        nameless, F.lit("item without id")
     )
+    judged = pages.withColumn("items", _items()).withColumn("reason", reason)
+    return judged.filter("reason is not null").select("query", "page_no", "payload", "reason")
 
 
 def page_metadata(pages: DataFrame) -> DataFrame:
@@ -58,8 +73,21 @@ def completeness(metadata: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
     )
 
 
-def crawl_gate(flags: DataFrame) -> DataFrame:
-    """A crawl is complete only without a single warning."""
+def crawl_gate(flags: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """A crawl is complete only without a single warning.
+
+    With ``errors``, those of :func:`page_errors`, their number counts as well.
+    """
+    gate = _warnings(flags)
+    if errors is None:
+        return gate
+    bad = errors.agg(F.count("*").alias("page_errors"))
+    return gate.join(F.broadcast(bad)).withColumn(
+        "complete", F.col("complete") & (F.col("page_errors") == 0)
+    )
+
+
+def _warnings(flags: DataFrame) -> DataFrame:
     return flags.agg(
         F.count_if("over_cap").alias("cap_warnings"),
         F.count_if("incomplete").alias("incomplete_warnings"),

@@ -13,25 +13,32 @@ CORRUPT = "_corrupt"
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType = RAW_REPO) -> DataFrame:
-    """Records of NDJSON files; blank lines are skipped, unknown fields ignored.
+    """Good records of NDJSON files: lines that are one JSON object with an id or a name.
 
-    The schema is explicit, so a projection parses only the fields it needs.
+    Blank lines are skipped, unknown fields ignored. :func:`bad_lines` has the
+    other lines.
     """
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    lines = _lines(spark, path, schema)
+    return lines.filter(_sound()).drop(CORRUPT)
 
 
-def read_records_checked(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_REPO
-) -> tuple[DataFrame, DataFrame]:
-    """Good records, and lines that do not parse or lack an id."""
-    parsed = (
+def bad_lines(spark: SparkSession, path: str, schema: T.StructType = RAW_REPO) -> DataFrame:
+    """Lines that do not parse, and records without id and name, with what was read."""
+    return _lines(spark, path, schema).filter(~_sound())
+
+
+def _lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    sound = F.col(CORRUPT).isNull() & F.col("repo_id").isNotNull()
-    return parsed.filter(sound).drop(CORRUPT), parsed.filter(~sound)
+
+
+def _sound():
+    """A record can be told from others: by its id, or by its name."""
+    return F.coalesce(F.col(CORRUPT).isNull() & (F.col("repo_id").isNotNull() | (F.col("full_name") != "")), F.lit(False))
 
 
 def write_records(records: DataFrame, path: str, stamp: bool = True) -> None:

@@ -1,16 +1,21 @@
-"""Slice store: one partition per (date field, day, query), and a manifest.
+"""Slice store: rows by (date field, day, query) and version, and a manifest.
 
-A slice is listed in the manifest only after its rows are committed, so a slice
-that is listed is complete.
+Every write goes into a version folder of its own. The manifest names a slice's
+version only after its rows are committed, and readers take the newest version
+named, so a listed slice is complete, is never seen half replaced, and is empty
+when its last write had no rows for it.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.functions.columns import slice_id
-from repotide.operators.dedupe import first_seen, limit_per_group
+from repotide.operators.dedupe import distinct_records, limit_per_group
 from repotide.operators.slicing import missing_slices, stored_slices
 from repotide.sources.topics import read_table
 
@@ -28,13 +33,14 @@ class SliceStore:
 
     def __init__(self, spark: SparkSession, root: str, schema: str) -> None:
         self.spark = spark
-        self.schema = f"{schema}, {KEY_SCHEMA}"
+        self.schema = f"{schema}, version string, {KEY_SCHEMA}"
         self.rows_path = f"{root}/rows"
         self.manifest_path = f"{root}/manifest"
 
     def manifest(self) -> DataFrame:
-        """Complete slices; a slice written twice is listed once."""
-        return read_table(self.spark, self.manifest_path, KEY_SCHEMA).distinct()
+        """Complete slices, each once, with its newest version."""
+        written = read_table(self.spark, self.manifest_path, f"{KEY_SCHEMA}, version string")
+        return written.groupBy(*SLICE_KEYS).agg(F.max("version").alias("version"))
 
     def hits(self, requested: DataFrame) -> DataFrame:
         return stored_slices(requested, self.manifest(), SLICE_KEYS)
@@ -42,24 +48,24 @@ class SliceStore:
     def misses(self, requested: DataFrame) -> DataFrame:
         return missing_slices(requested, self.manifest(), SLICE_KEYS)
 
-    def write(
-        self, rows: DataFrame, slices: DataFrame, order: list, key: str = "repo_id"
-    ) -> None:
+    def write(self, rows: DataFrame, slices: DataFrame, order: list, key: str | None = None) -> None:
         """Store the complete rows of ``slices``, deduplicated inside each slice.
 
-        Rebalancing splits a slice that is much larger than the others over
-        several files and joins small ones, instead of one task per slice. A
-        slice without rows is complete too, so the manifest takes all of them.
+        ``key`` defaults to :func:`own_key`. Rebalancing splits a slice that is
+        much larger than the others over several files and joins small ones,
+        instead of one task per slice. A slice without rows is complete too, so
+        the manifest takes all of them.
         """
-        unique = first_seen(rows, [*SLICE_KEYS, key], order)
+        # Sorts by time; the tail keeps apart what one moment writes twice.
+        version = f"v{time.time_ns():020d}-{uuid.uuid4().hex}"
         (
-            unique.hint("rebalance", *SLICE_KEYS)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*SLICE_KEYS)
-            .parquet(self.rows_path)
+            distinct_records(rows, SLICE_KEYS, order, key)
+            .hint("rebalance", *SLICE_KEYS)
+            .write.partitionBy(*SLICE_KEYS)
+            .parquet(f"{self.rows_path}/version={version}")
         )
-        slices.select(*SLICE_KEYS).distinct().write.mode("append").parquet(self.manifest_path)
+        listed = slices.select(*SLICE_KEYS).distinct().withColumn("version", F.lit(version))
+        listed.write.mode("append").parquet(self.manifest_path)
 
     def read(self, requested: DataFrame | None = None) -> DataFrame:
         """Rows of complete slices, of the requested ones when given.
@@ -69,37 +75,43 @@ class SliceStore:
         slices. ``requested`` is read several times: give a calendar or a table.
         """
         rows = read_table(self.spark, self.rows_path, self.schema)
-        wanted = self.manifest() if requested is None else self.hits(requested)
-        wanted = wanted.select(*SLICE_KEYS)
+        wanted = self.manifest()
         if requested is not None:
+            asked = requested.select(*SLICE_KEYS).distinct()
+            wanted = wanted.join(asked, SLICE_KEYS, "left_semi")
             first, last = wanted.agg(F.min("crawl_day"), F.max("crawl_day")).first()
             rows = rows.filter(F.col("crawl_day").between(first or "", last or ""))
-        return rows.join(wanted, SLICE_KEYS, "left_semi")
+        return rows.join(wanted, [*SLICE_KEYS, "version"], "left_semi").drop("version")
 
     def serve(
         self,
         requested: DataFrame,
         produced: DataFrame,
         order: list,
-        key: str = "repo_id",
+        key: str | None = None,
         limit: int | None = None,
         refresh: bool = False,
+        limit_stored: bool = False,
     ) -> DataFrame:
         """Rows of the requested slices: stored ones as stored, the others from
         ``produced``, deduplicated inside each slice.
 
         Without a limit the new slices are complete and are stored on the way. A
-        ``limit`` takes that many rows of each slice before deduplication, and
-        nothing is stored, since such slices are cut short on purpose. ``refresh``
-        produces and stores all requested slices anew.
+        ``limit`` takes that many rows of each produced slice before
+        deduplication, and nothing is stored, since such slices are cut short on
+        purpose; stored slices are served whole unless ``limit_stored``.
+        ``refresh`` produces all requested slices anew, with a limit or without.
         """
         requested = requested.select(*SLICE_KEYS)
+        missing = requested.distinct() if refresh else self.misses(requested)
         if limit is None:
-            missing = requested if refresh else self.misses(requested)
             self.write(produced.join(missing, SLICE_KEYS, "left_semi"), missing, order, key)
             return self.read(requested)
-        fetched = produced.join(self.misses(requested), SLICE_KEYS, "left_semi")
-        rows = self.read(requested).unionByName(fetched)
-        return first_seen(
-            limit_per_group(rows, SLICE_KEYS, order, limit), [*SLICE_KEYS, key], order
-        )
+        fetched = produced.join(missing, SLICE_KEYS, "left_semi")
+        fetched = limit_per_group(fetched, SLICE_KEYS, order, limit)
+        if refresh:
+            return distinct_records(fetched, SLICE_KEYS, order, key)
+        stored = self.read(requested)
+        if limit_stored:
+            stored = limit_per_group(stored, SLICE_KEYS, order, limit)
+        return distinct_records(stored.unionByName(fetched), SLICE_KEYS, order, key)

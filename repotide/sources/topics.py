@@ -7,11 +7,11 @@ format and options passed to ``open_topic``.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repotide.functions.columns import from_wire, sorted_json, wire_type
+from repotide.functions.columns import from_wire, sorted_json, whole_number, wire_type
 
 
 def publish(records: DataFrame, path: str, files: int | None = None) -> None:
@@ -51,9 +51,31 @@ def open_topic(
 
 
 def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Records of messages that each hold one JSON object."""
-    parsed = messages.select(F.from_json("value", wire_type(schema)).alias("r"))
-    return parsed.select(*from_wire("r", schema))
+    """Records of messages that each hold one JSON object with an id.
+
+    Everything else, such as text that is no JSON, a list, several objects, or
+    an id that is no whole number, gives no record; :func:`unfit_messages` has it.
+    """
+    record = F.explode(_one_record(schema)).alias("r")
+    return messages.select(record).select(*from_wire("r", schema))
+
+
+def unfit_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Messages of which :func:`parse_messages` makes no record, blank ones aside."""
+    return messages.filter((F.trim("value") != "") & (F.size(_one_record(schema)) != 1))
+
+
+def _one_record(schema: T.StructType) -> Column:
+    """The record of a message as an array of one, else an empty array."""
+    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    parsed = F.from_json(
+        wrapped, T.ArrayType(wire_type(schema)), {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+    )
+    sound = F.filter(parsed, lambda r: whole_number(r["repo_id"]).isNotNull())
+    none = F.slice(parsed, 1, 0)
+    if "repo_id" not in schema.names:
+        sound = parsed
+    return F.coalesce(F.when(F.size(parsed) == 1, sound).otherwise(none), F.array().cast(T.ArrayType(wire_type(schema))))
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -39,10 +39,10 @@ def test_two_fields_share_repositories(spark):
 
 
 def test_newest_day_and_created_come_first(spark):
-    df = crawl(spark, ("pushed", 1, "2026-05-19", 0, 1), ("created", 0, "2026-05-18", 0, 1),
-               ("created", 0, "2026-05-19", 9, 1))
+    df = crawl(spark, ("pushed", 1, "2028-02-29", 0, 1), ("created", 0, "2028-02-28", 0, 1),
+               ("created", 0, "2028-02-29", 9, 1))
     (row,) = dedupe.first_seen(df, ["repo_id"], order()).collect()
-    assert (row["day"], row["date_field"]) == ("2026-05-19", "created")
+    assert (row["day"], row["date_field"]) == ("2028-02-29", "created")
 
 
 def test_slice_limit_comes_before_and_global_limit_after_deduplication(spark):

@@ -95,10 +95,10 @@ def test_published_document_of_another_run(spark, tmp_path, rows):
 
 
 RECORD = {
-    "repo_id": 1, "full_name": "o/one", "language": "Python", "stars": 1, "forks": 0,
-    "created_at": "2026-05-19T00:00:00Z", "updated_at": "2026-05-19T00:00:00Z",
-    "pushed_at": "2026-05-19T00:00:00Z", "size_kb": 1, "default_branch": "main",
-    "crawl_day": "2026-05-19",
+    "repo_id": 41, "full_name": "lab/loom", "language": "Nim", "stars": 13, "forks": 6,
+    "created_at": "2003-04-05T06:07:08Z", "updated_at": "2013-03-04T05:06:07Z",
+    "pushed_at": "2023-01-02T03:04:05Z", "size_kb": 19, "default_branch": "trunk",
+    "crawl_day": "2023-01-03",
 }
 
 
@@ -111,9 +111,9 @@ def test_scan_skips_blank_lines_and_ignores_new_fields(spark, tmp_path):
 
 def test_checked_scan_sets_bad_lines_aside(spark, tmp_path, rows):
     path = tmp_path / "slice.ndjson"
-    path.write_text(json.dumps(RECORD) + '\n{"full_name":"x"}\n{oops\n')
-    good, bad = records.read_records_checked(spark, str(path))
-    assert rows(good, "repo_id") == [(1,)] and bad.count() == 2
+    path.write_text(json.dumps(RECORD) + '\n{"full_name":""}\n{oops\n')
+    good, bad = records.read_records(spark, str(path)), records.bad_lines(spark, str(path))
+    assert rows(good, "repo_id") == [(41,)] and bad.count() == 2
 
 
 def test_written_records_have_sorted_keys_and_a_stamp(spark, tmp_path):
@@ -126,7 +126,7 @@ def test_written_records_have_sorted_keys_and_a_stamp(spark, tmp_path):
     assert list(found) == sorted(RAW_REPO.names)
     assert found["emitted_at"].endswith("Z") and found["topics"] is None
     (back,) = records.read_records(spark, path).drop("emitted_at").collect()
-    assert back["full_name"] == "o/one"
+    assert back["full_name"] == "lab/loom"
 
 
 def test_tap_is_bounded_and_narrow(spark):

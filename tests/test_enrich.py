@@ -7,13 +7,13 @@ from repotide.operators import enrich
 
 LINK = (
     '<https://api.example/r?per_page=1&page=2>; rel="next", '
-    '<https://api.example/r?per_page=1&page=347>; rel="last"'
+    '<https://api.example/r?per_page=1&page=58>; rel="last"'
 )
 ONLY_NEXT = '<https://api.example/r?page=2>; rel="next"'
 
 
 @pytest.mark.parametrize("header, last, following", [
-    (LINK, 347, "https://api.example/r?per_page=1&page=2"),
+    (LINK, 58, "https://api.example/r?per_page=1&page=2"),
     (ONLY_NEXT, None, "https://api.example/r?page=2"),
     ("", None, None),
     ('<https://api.example/r>; rel="last"', None, None),
@@ -26,7 +26,7 @@ def test_link_header(spark, header, last, following):
 
 
 @pytest.mark.parametrize("status, link, body, expected", [
-    (200, LINK, "[]", 347),
+    (200, LINK, "[]", 58),
     (200, "", '[{"sha":"a"}]', 1),
     (200, "", "[]", 0),
     (200, "", '{"message":"x"}', None),
@@ -120,3 +120,11 @@ def test_commit_stats(spark, rows):
         [("a", 409, "", "[]")], "full_name string, status int, link string, body string"
     )
     assert rows(enrich.commit_stats(df)) == [("a", 0)]
+
+
+@pytest.mark.parametrize("data, expected", [
+    ("a\ufffdb".encode(), "a\ufffdb"), (b"a\xffb", "ab"), (b"", ""), ("é".encode(), "é"),
+])
+def test_only_broken_bytes_are_dropped(spark, data, expected):
+    df = spark.createDataFrame([(base64.b64encode(data).decode(),)], "c string")
+    assert df.select(C.decode_content("c")).first()[0] == expected

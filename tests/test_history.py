@@ -51,7 +51,7 @@ def test_convergence_is_the_last_change(spark, rows):
 
 
 def at(minute, second=0):
-    return dt.datetime(2026, 5, 19, 12, minute, second)
+    return dt.datetime(2028, 2, 29, 12, minute, second)
 
 
 def test_latency_skips_missing_stamps(spark, rows):
@@ -65,7 +65,7 @@ def test_latency_skips_missing_stamps(spark, rows):
 def test_throughput_per_minute(spark, rows):
     df = spark.createDataFrame([(at(0),), (at(0, 59),), (at(2),)], "ts timestamp")
     assert rows(history.throughput(df, "ts")) == [
-        ("2026-05-19 12:00:00", 2), ("2026-05-19 12:02:00", 1)
+        ("2028-02-29 12:00:00", 2), ("2028-02-29 12:02:00", 1)
     ]
 
 
@@ -81,6 +81,6 @@ def test_backlog_depth_carries_over_midnight(spark, rows):
         [(at(0), at(1)), (at(0), next_day), (at(1), None)], "sent timestamp, taken timestamp"
     )
     assert rows(history.backlog_depth(df, "sent", "taken")) == [
-        ("2026-05-19 12:00:00", 2), ("2026-05-19 12:01:00", 2), ("2026-05-20 12:05:00", 1)
+        ("2028-02-29 12:00:00", 2), ("2028-02-29 12:01:00", 2), ("2028-03-01 12:05:00", 1)
     ]
     assert history.backlog_depth(df, "sent", "taken").select(F.max("waiting")).first()[0] == 2

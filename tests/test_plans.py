@@ -5,9 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from repotide.plans import batch_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream"))
+BATCH = sorted(batch_queries.QUERIES)
 
 
 def plan_of(spark, name):
@@ -63,3 +64,17 @@ def test_filters_and_columns_reach_the_scan(spark):
 @pytest.mark.parametrize("name", ["validate_summary", "language_preview", "page_items", "page_metadata"])
 def test_json_is_parsed_once(spark, name):
     assert count(r"from_json\(", plan_of(spark, name)) <= (3 if name == "page_items" else 1)
+
+
+def test_history_repeats_no_name_for_every_snapshot(spark):
+    """A thousand names over thirty snapshots: rows follow changes, not spans."""
+    from repotide.operators import history
+    repos = spark.range(1000).selectExpr(
+        "id as seq", "id as repo_id", "concat('p', id) as full_name", "concat('l', id) as language",
+        "id as commit_count", "true as has_tests", "true as has_ci", "lpad(id % 30, 2, '0') as snapshot",
+    )
+    snapshots = history.number_snapshots(repos)
+    held = history.held_counts(repos, snapshots)
+    nodes = held.selectExpr("idx", "until").withColumn("n", history.covering_nodes("idx", "until"))
+    assert held.count() == 4000
+    assert nodes.selectExpr("max(size(n))").first()[0] <= 8

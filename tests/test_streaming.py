@@ -165,3 +165,11 @@ def test_messages_read_back_as_they_were_published(spark, tmp_path, rows):
     sent = spark.createDataFrame([record(1, 2, None, "", 0, True, None)], RANKED_REPO)
     topics.publish(sent, path)
     assert rows(topics.parse_messages(spark.read.text(path), RANKED_REPO)) == rows(sent)
+
+
+def test_messages_that_hold_no_record_are_set_apart(spark, rows):
+    good = '{"seq":1,"repo_id":"7","full_name":"a/b"}'
+    bad = ["garbage", "[1,2]", '{"seq":9,"repo_id":"x"}', '{"repo_id":7.9}', good + "," + good, good + " tail"]
+    messages = spark.createDataFrame([(m,) for m in [good, '{"repo_id":8.0}', " ", *bad]], "value string")
+    assert rows(topics.parse_messages(messages, RANKED_REPO), "repo_id") == [(7,), (8,)]
+    assert rows(topics.unfit_messages(messages, RANKED_REPO)) == sorted([(m,) for m in bad], key=repr)
