@@ -6,7 +6,9 @@ changes three leaves at most; a word of n symbols takes n log n steps, however
 long it is. Words are merged once and remembered by the worker.
 
 The vocabulary file is one of the ``tokenizers`` library with word ends, lower
-case and byte-level letters; its rules are carried out here, without the library.
+case and byte-level letters. Its rules are carried out here; the library itself
+normalizes and splits only runs with characters that this Python's Unicode
+tables do not know.
 """
 
 from __future__ import annotations
@@ -85,6 +87,7 @@ class Vocabulary:
 
     def __init__(self, path: str) -> None:
         import regex
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
@@ -104,6 +107,7 @@ class Vocabulary:
         rest = [b for b in range(256) if b not in own]
         self.letters = {b: chr(256 + i) for i, b in enumerate(rest)}
         self.words = regex.compile(WORDS).findall
+        self.library = Tokenizer.from_file(path)
         self.spaces = regex.compile(r"\s+")
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.known: dict[str, tuple[str, str]] = {}
@@ -115,13 +119,19 @@ class Vocabulary:
             if len(self.pieces) > MAX_KNOWN:
                 self.pieces.clear()
             letters = piece.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-            start = [self.ids[c] for c in letters[:-1]] + [self.ids[letters[-1] + self.suffix]]
-            found = tuple(merge(start, self.ranks, self.merged, self.shift))
-            self.pieces[piece] = found
+            found = self.pieces[piece] = self._merged(letters)
         return found
 
+    def _merged(self, letters: str) -> tuple[int, ...]:
+        start = [self.ids[c] for c in letters[:-1]] + [self.ids[letters[-1] + self.suffix]]
+        return tuple(merge(start, self.ranks, self.merged, self.shift))
+
     def run(self, chunk: str) -> list[int]:
         """Ids of a run of characters without white space or special tokens."""
+        if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
+            known = self.library.normalizer.normalize_str(chunk)
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(known)
+            return [i for letters, _ in pieces for i in self._merged(letters)]
         plain = unicodedata.normalize("NFC", chunk)
         # One character at a time: a final sigma is no special case here.
         lower = "".join(map(str.lower, plain)) if "Σ" in plain else plain.lower()

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import sys
+import unicodedata
 from array import array
 from collections import deque
 from collections.abc import Iterator
@@ -87,7 +88,8 @@ class Encoder:
     between can be encoded apart and remembered. Texts whose only white space is
     single blanks and line feeds are split at those; others by the vocabulary's
     pattern. A text with the special token's string, or with control characters
-    that Python alone takes for white space, goes to the library as a whole.
+    that Python alone takes for white space, goes to the library as a whole, and
+    so does a piece with characters that this Python's Unicode tables do not know.
     """
 
     def __init__(self, path: str) -> None:
@@ -122,6 +124,8 @@ class Encoder:
         if word[-1:] in (",", ".") and word[:-1].isalpha():
             known = self.spaced if word is not piece else self.plain
             return known[word[:-1]] + self.plain[word[-1]]
+        if not piece.isascii() and any(unicodedata.category(c) == "Cn" for c in piece):
+            return _little_endian(self.whole.encode(piece, add_special_tokens=False).ids)
         return b"".join(map(self._part, self.split(piece)))
 
     def encode(self, text: str) -> np.ndarray:
