@@ -67,6 +67,20 @@ def failed_lookups(statuses: DataFrame) -> DataFrame:
     return statuses.filter((F.col("status") >= 400) & (F.col("status") != 404))
 
 
+def split_unknown(repos: DataFrame, statuses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Repositories whose lookups all have an outcome, and those to be tried again.
+
+    A lookup that failed tells nothing, so its repository is neither enriched
+    nor counted now; it comes back when a later try succeeds. ``statuses`` has
+    one row per lookup, with ``full_name``, ``branch`` and ``status``.
+    """
+    unknown = failed_lookups(statuses).select(
+        "full_name", F.col("branch").alias("default_branch")
+    ).distinct()
+    keys = ["full_name", "default_branch"]
+    return repos.join(unknown, keys, "left_anti"), repos.join(unknown, keys, "left_semi")
+
+
 def with_defaults(repos: DataFrame) -> DataFrame:
     """Enrichment columns of a run with lookups switched off."""
     return repos.withColumns(

@@ -369,6 +369,22 @@ def enrich_join(spark, sf_dir):
     )
 
 
+def enrich_known(spark, sf_dir):
+    """Enrichment of the repositories whose lookups all have an outcome."""
+    known, _ = enrich.split_unknown(views.order_repos(spark, sf_dir), views.path_statuses(spark, sf_dir))
+    return enrich.enrich(
+        known.select("repo_id", "full_name", "language", "default_branch"),
+        views.order_commits(spark, sf_dir),
+        enrich.path_evidence(views.repo_contents(spark, sf_dir)),
+    )
+
+
+def enrich_retry(spark, sf_dir):
+    """Repositories to be tried again, as a failed lookup is no answer."""
+    _, waiting = enrich.split_unknown(views.order_repos(spark, sf_dir), views.path_statuses(spark, sf_dir))
+    return waiting.select("repo_id", "full_name", "default_branch")
+
+
 def enrich_defaults(spark, sf_dir):
     return enrich.with_defaults(views.order_repos(spark, sf_dir))
 
@@ -524,7 +540,7 @@ QUERIES = {
         slice_provenance, slice_write, slice_union, crawl_window, crawl_limited,
         adaptive_ranges, range_split_summary, range_assignment, range_predicate,
         commit_count_responses, link_next, decode_content, keyword_match,
-        path_first_match, enrich_join, enrich_defaults, enriched_rankings,
+        path_first_match, enrich_join, enrich_known, enrich_retry, enrich_defaults, enriched_rankings,
         keyed_messages, envelope_pack, envelope_flatten, unpublished, delivery_accounting,
         validate_lines, validate_summary, language_preview,
         throughput, latency, backlog, backlog_depth,

@@ -94,6 +94,10 @@ select r.repo_id, r.full_name, r.language, r.default_branch, c.commit_count,
   e.test_evidence, e.ci_evidence
 from order_repos r left join order_commits c on r.full_name = c.full_name
 left join evidence e on r.full_name = e.full_name and r.default_branch = e.branch""",
+    "unknown_lookups": """
+select distinct concat('o/', cast(l_orderkey as varchar)) as full_name,
+  case when l_suppkey % 5 = 0 then 'dev' else 'main' end as branch
+from lineitem where l_partkey % 97 = 0 or l_partkey % 89 = 0""",
     "acknowledged": """
 select distinct user_id * 10 + cast(json_extract_string(props, '$.k') as int) % 10 as repo_id
 from events where event_type = 'signup'""",
@@ -519,6 +523,16 @@ select doc_id, regexp_matches(lower(text), 'pytest|unittest|jest|junit|rspec|go
 from documents""",
     "path_first_match": sql("select * from evidence", "evidence"),
     "enrich_join": sql("select * from enriched", "enriched"),
+    "enrich_known": sql(
+        "select * from enriched where (full_name, default_branch) not in "
+        "(select full_name, branch from unknown_lookups)",
+        "enriched", "unknown_lookups",
+    ),
+    "enrich_retry": sql(
+        "select repo_id, full_name, default_branch from order_repos where "
+        "(full_name, default_branch) in (select full_name, branch from unknown_lookups)",
+        "order_repos", "unknown_lookups",
+    ),
     "enrich_defaults": sql(
         """
 select *, cast(null as bigint) as commit_count, false as has_tests, false as has_ci

@@ -295,6 +295,17 @@ def handoff_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select((e + 1).alias("line_no"), line.alias("line"))
 
 
+def path_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One path lookup per order line: found, absent, or, now and then, failed."""
+    part = F.col("l_partkey")
+    status = F.when(part % 97 == 0, 503).when(part % 89 == 0, 429).when(part % 2 == 0, 404).otherwise(200)
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("o/"), F.col("l_orderkey").cast("string")).alias("full_name"),
+        F.when(F.col("l_suppkey") % 5 == 0, "dev").otherwise("main").alias("branch"),
+        status.alias("status"),
+    )
+
+
 def answered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One answer per web page, most of them no search result."""
     k, one = F.col("page_id") % 6, F.col("page_id").cast("string")
