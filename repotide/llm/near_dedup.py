@@ -39,10 +39,11 @@ BANDS, ROWS = 32, 4
 COLLISION = 0.169919487 / (1 << MANTISSA_BITS)
 # Members of a bucket that all others meet in the first round.
 LEADERS = 4
-# The last round's finer estimate: one bit for each of 1024 buckets, and whether
-# it is filled. Of sets at the limit 20 in a million at most fall below 0.665.
-FINE_BITS = 10
-FINE_LEAST = 665
+# The last round's finer estimate: one bit for each of 2048 buckets, and whether
+# it is filled. Of large sets at the limit 5 in a million fall below 0.685 (4.4
+# standard deviations), of smaller ones fewer, as few of their buckets collide.
+FINE_BITS = 11
+FINE_LEAST = 685
 FINE = "class_id long, fine array<long>"
 # Two bits per register, for comparisons within buckets.
 BITS = ("b0", "b1", "b2", "b3")
