@@ -305,14 +305,14 @@ def _shared_bands(classes: DataFrame) -> DataFrame:
     """``(key, class_id, n, bits)`` of the buckets with two or more classes."""
     keyed = classes.select(
         "class_id",
-        "n",
-        *BITS,
         F.explode(
             F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: _band(F.col("sig"), i))
         ).alias("key"),
     )
     crowded = keyed.groupBy("key").count().filter("count > 1").select("key")
-    return keyed.join(crowded, "key", "left_semi")
+    # Only ids travel with all bands; the bits join the few that are shared.
+    shared = keyed.join(crowded, "key", "left_semi")
+    return shared.join(classes.select("class_id", "n", *BITS), "class_id")
 
 
 def _stars(shared: DataFrame, percent: int) -> DataFrame:
