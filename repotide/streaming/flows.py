@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repotide.functions.columns import sorted_json
 from repotide.operators.enrich import enrich
 from repotide.operators.quality import judge_lines
+from repotide.session import materialize
 from repotide.sources.published import unpublished
 from repotide.streaming.first_seen import newly_seen
 from repotide.streaming.runs import drain, drain_to_files, write_batch
@@ -16,7 +17,12 @@ from repotide.streaming.runs import drain, drain_to_files, write_batch
 def enrich_topic(
     repos: DataFrame, stats: DataFrame, evidence: DataFrame, path: str, checkpoint: str
 ) -> None:
-    """Stream of records, left joined to the lookup tables, appended to ``path``."""
+    """Stream of records, left joined to the lookup tables, appended to ``path``.
+
+    The lookups are stored before the stream starts: a micro-batch reads their
+    rows and runs nothing that made them.
+    """
+    stats, evidence = materialize(stats, "stats"), materialize(evidence, "evidence")
     drain_to_files(enrich(repos, stats, evidence), path, checkpoint)
 
 
@@ -37,8 +43,10 @@ def publish_topic(
     """Send each record once that no earlier run has published, and log its id.
 
     ``published`` is the log of earlier runs. An id enters this run's log only
-    after its message is stored.
+    after its message is stored. The earlier log is made distinct once, ahead of
+    the stream.
     """
+    published = materialize(published.select("repo_id").distinct(), "published")
 
     def send(batch: DataFrame, batch_id: int) -> None:
         value = sorted_json(batch.columns).alias("value")

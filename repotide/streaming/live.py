@@ -5,6 +5,7 @@ Tables under ``root``, one partition per micro-batch:
 * ``first_seen`` - the repositories new in the batch,
 * ``language_counts`` - counters after the batch, one row per language,
 * ``rankings`` - the language rankings after the batch,
+* ``snapshots`` - when the batch was counted, repositories so far, ranking length,
 * ``project_updates`` - project names whose commit count changed,
 * ``project_rankings`` - the project ranking after the batch.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.functions.columns import project_label
+from repotide.functions.columns import emit_stamp, project_label
 from repotide.operators.rankings import (
     language_counts,
     rank_questions,
@@ -77,6 +78,13 @@ class LiveRankings:
             .filter(F.col("count") > 0)
         )
         write_batch(rank_questions(tall, self.top_n), self.table("rankings"), batch_id)
+        # Every repository counts for one language.
+        snapshot = counts.agg(
+            F.coalesce(F.sum("projects"), F.lit(0)).alias("processed_unique"),
+            F.lit(self.top_n).cast("bigint").alias("top_n"),
+            F.max(emit_stamp()).alias("recorded_at"),
+        )
+        write_batch(snapshot, self.table("snapshots"), batch_id)
 
     def run_projects(self) -> None:
         """Follow ``first_seen`` and keep the latest commit count per name.
@@ -120,6 +128,10 @@ class LiveRankings:
         """Language rankings after every micro-batch."""
         return self.spark.read.parquet(self.table("rankings"))
 
+    def snapshots(self) -> DataFrame:
+        """One row per micro-batch: time, repositories so far, and ranking length."""
+        return self.spark.read.parquet(self.table("snapshots"))
+
     def language_rankings(self) -> DataFrame:
         return latest_batch(self.history())
 

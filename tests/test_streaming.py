@@ -79,6 +79,9 @@ def test_rankings_resume_and_equal_the_batch_answer(spark, tmp_path, topic, rows
     assert run.history().select("batch_id").distinct().count() == 3
     counted = spark.read.parquet(run.table("language_counts")).filter("batch_id = 2")
     assert counted.agg(F.sum("projects")).first()[0] == 40
+    log = run.snapshots().orderBy("batch_id").collect()
+    assert [r["top_n"] for r in log] == [4, 4, 4] and log[-1]["processed_unique"] == 40
+    assert [r["recorded_at"] for r in log] == sorted(r["recorded_at"] for r in log)
 
 
 def test_a_project_that_sinks_makes_room_for_one_outside_the_ranking(spark, tmp_path, topic, rows):
