@@ -53,7 +53,11 @@ def line_diagnostics(lines: DataFrame) -> DataFrame:
     """
     # Neither a filter on the parsed fields nor a nullable join key: either would
     # be pushed down to the lines and parse them a second time.
-    parsed = parse_lines(lines).withColumn("_key", F.coalesce("key", F.lit("")))
+    # Lines that are no records repeat nothing, and are spread by their number.
+    own = F.concat(F.lit("\u0000"), F.col("line_no").cast("string"))
+    parsed = parse_lines(lines).withColumn(
+        "_key", F.when(F.col("is_record"), F.coalesce("key", F.lit(""))).otherwise(own)
+    )
     repeated = (
         parsed.groupBy("_key")
         .agg(
