@@ -1,16 +1,12 @@
-"""Near-duplicate embeddings by NN-descent.
+"""Near-duplicate embeddings by exact comparison inside labels.
 
-Equal vectors of a label are one node. A neighbour graph starts from a few
-tables of random hyperplanes: rows of one side pattern that lie next to each
-other. Each step joins the neighbours of every node with one another, forwards
-and backwards, and keeps each node's best; it ends when little changes. Edges at
-the threshold or above connect groups.
+Equal vectors of a label are one node. The nodes of a label are dealt into
+blocks by hash, and every pair of blocks is compared as matrix products in
+double precision, so each pair of rows is looked at once and no link depends on
+a search. A pair of blocks gives the link count of each row and a spanning
+forest of its links: what it returns grows with its rows, not with its links.
 
-A list full of such edges is saturated: more may be missing. So the list of
-every node is enlarged to its whole group, which is compared in blocks, exactly,
-and gives the link counts. What a search can still miss is a link between
-groups; :func:`audit` measures that against brute force on a sample, and lists
-are doubled while it finds too much missing.
+The work grows with the square of a label's rows, spread over the block pairs.
 """
 
 from __future__ import annotations
@@ -19,193 +15,115 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repotide.llm.common import chunks, materialize, prepare
 from repotide.llm.graph import components
 
-NEIGHBOURS = 8
-TABLES = 4
-BUCKET = 64
-STEPS = 5
-SETTLED = 0.02
-RECALL = 0.99
-AUDIT_ROWS = 200
+# Rows of one matrix product, and how many times as many a block of a large label has.
 BLOCK = 1024
-PAIRS = "node long, nbr long, sim float"
-
-
-def _meet(keep: int):
-    """Members of each chunk compared with one another; what beats a member's list."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, 2, 4 * BUCKET):
-            if chunk.num_rows < 2:
-                continue
-            ids = chunk.column(2).to_numpy()
-            floor = chunk.column(3).to_numpy()
-            units = chunk.column(4).flatten().to_numpy().reshape(len(ids), -1)
-            sims = units @ units.T
-            sims[ids[:, None] == ids] = -2
-            if len(ids) > keep:
-                limit = np.partition(sims, len(ids) - keep, axis=1)[:, len(ids) - keep]
-                floor = np.maximum(floor, np.nextafter(limit, np.float32(-3)))
-            row, column = np.nonzero((sims > floor[:, None]) & (sims > -2))
-            if len(row):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row]), pa.array(ids[column]), pa.array(sims[row, column], pa.float32())],
-                    names=["node", "nbr", "sim"],
-                )
-
-    return run
-
-
-def _met(members: DataFrame, keep: int) -> DataFrame:
-    """``members (a, b, node, floor, unit)`` of the groups ``a, b``, compared inside them."""
-    sorted_ = members.repartition("a", "b").sortWithinPartitions("a", "b", "node")
-    return sorted_.mapInArrow(_meet(keep), PAIRS)
-
-
-def _best(pairs: DataFrame, keep: int) -> DataFrame:
-    order = Window.partitionBy("node").orderBy(F.desc("sim"), "nbr")
-    distinct = pairs.groupBy("node", "nbr").agg(F.max("sim").alias("sim"))
-    return distinct.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= keep).drop("_rank")
-
-
-def _start(nodes: DataFrame, count: int, width: int, keep: int) -> DataFrame:
-    """Neighbours among rows on the same side of all of a table's hyperplanes."""
-    bits = max(0, (max(count, 1) // BUCKET).bit_length())
-    planes = np.random.default_rng(3).standard_normal((TABLES * bits, width)).astype(np.float32)
-
-    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            units = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-            above = (units @ planes.T > 0).reshape(batch.num_rows, TABLES, bits)
-            codes = above @ (1 << np.arange(bits)) if bits else np.zeros((batch.num_rows, TABLES), int)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(codes.astype(np.int64)), pa.list_(pa.int64()))],
-                names=["node", "codes"],
-            )
-
-    coded = nodes.select("node", "unit32").mapInArrow(sides, "node long, codes array<long>")
-    members = (
-        coded.join(nodes, "node")
-        .select("label", "node", F.posexplode("codes").alias("table", "code"), "unit32")
-        .select(
-            F.xxhash64("label", "table").alias("a"),
-            F.col("code").alias("b"),
-            "node",
-            F.lit(-2.0).cast("float").alias("floor"),
-            "unit32",
-        )
-    )
-    return _best(_met(members, keep), keep)
-
-
-def _step(lists: DataFrame, nodes: DataFrame, keep: int, turn: int) -> DataFrame:
-    """Pairs among each node's neighbours that beat one's list; large groups by parts."""
-    full = lists.groupBy("node").agg(F.count("*").alias("n"), F.min("sim").alias("least"))
-    floor = F.when(F.col("n") >= keep, F.col("least")).otherwise(F.lit(-2.0)).cast("float")
-    known = nodes.join(full, "node", "left").select("node", floor.alias("floor"), "unit32")
-    known = known.fillna({"floor": -2.0})
-    around = (
-        lists.select(F.col("node").alias("a"), F.col("nbr").alias("node"))
-        .union(lists.select(F.col("nbr").alias("a"), "node"))
-        .union(nodes.select(F.col("node").alias("a"), "node"))
-        .distinct()
-    )
-    sizes = around.groupBy("a").agg(F.count("*").alias("size"))
-    part = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / (2 * BUCKET)))
-    members = (
-        around.join(sizes, "a")
-        .select("a", part.cast("long").alias("b"), "node")
-        .join(known, "node")
-        .select("a", "b", "node", "floor", "unit32")
+WIDER = 16
+FOUND = "u long, v long, links long"
+
+
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of a symmetric matrix, breadth first."""
+    unseen = linked.any(axis=1)
+    sources, ends = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    while unseen.any():
+        at = np.array([unseen.argmax()])
+        unseen[at] = False
+        while len(at):
+            steps = linked[at] & unseen
+            reached = np.flatnonzero(steps.any(axis=0))
+            sources.append(at[steps[:, reached].argmax(axis=0)])
+            ends.append(reached)
+            unseen[reached] = False
+            at = reached
+    return np.concatenate(sources), np.concatenate(ends)
+
+
+def _met(mine: pa.RecordBatch, other: pa.RecordBatch, threshold: float) -> pa.RecordBatch:
+    """Link counts, with copies, and a forest (no count) of two different pieces, or of one with itself."""
+    same = mine is other
+    ids, other_ids = mine.column(4).to_numpy(), other.column(4).to_numpy()
+    units = [t.column(5).flatten().to_numpy().reshape(t.num_rows, -1) for t in (mine, other)]
+    linked = units[0] @ units[1].T >= threshold
+    if same:
+        linked &= ids[:, None] != ids
+    counts = linked @ other.column(6).to_numpy()
+    if same:
+        both, whole = ids, linked
+    else:
+        both = np.concatenate([ids, other_ids])
+        counts = np.concatenate([counts, mine.column(6).to_numpy() @ linked])
+        whole = np.zeros((len(both), len(both)), bool)
+        if linked.any():
+            whole[: len(ids), len(ids) :] = linked
+            whole[len(ids) :, : len(ids)] = linked.T
+    some = np.flatnonzero(counts)
+    source, end = _forest(whole)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([both[some], both[source]])),
+            pa.array([None] * len(some) + both[end].tolist(), pa.int64()),
+            pa.array(np.concatenate([counts[some], np.zeros(len(source), np.int64)])),
+        ],
+        names=["u", "v", "links"],
     )
-    return _met(members, keep)
 
 
 def _compare(threshold: float):
-    """For each block pair: how many links, with copies, each left row has."""
+    """Every pair of rows of each block pair, piece by piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, left, right = None, [], []
 
-        def counted() -> pa.RecordBatch:
-            mine, other = pa.concat_batches(left), pa.concat_batches(right)
-            units = [t.column(5).flatten().to_numpy().reshape(t.num_rows, -1) for t in (mine, other)]
-            ids = [t.column(4).to_numpy() for t in (mine, other)]
-            linked = (units[0] @ units[1].T >= threshold) & (ids[0][:, None] != ids[1])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids[0]), pa.array(linked @ other.column(6).to_numpy())], names=["node", "links"]
-            )
+        def met() -> Iterator[pa.RecordBatch]:
+            for i, mine in enumerate(left):
+                for other in left[i:] if at[1] == at[2] else right:
+                    yield _met(mine, other, threshold)
 
         for chunk in chunks(batches, 4, BLOCK):
             here = tuple(chunk.column(i)[0].as_py() for i in range(3))
             if here != at:
-                if left and right:
-                    yield counted()
+                yield from met()
                 at, left, right = here, [], []
             (right if chunk.column(3)[0].as_py() else left).append(chunk)
-        if left and right:
-            yield counted()
+        yield from met()
 
     return run
 
 
-def _group_links(nodes: DataFrame, merged: DataFrame, threshold: float) -> DataFrame:
-    """``node, links``: links of every node inside its group, compared in block pairs."""
-    placed = nodes.join(merged, "node").select("root", "node", "unit", "copies")
-    sizes = placed.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = placed.join(sizes, "root").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
-    )
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    left = placed.select("root", F.col("block").alias("i"), every.alias("j"), F.lit(0).alias("side"), "node", "unit", "copies")
-    right = placed.select("root", every.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "unit", "copies")
-    return (
-        left.union(right)
-        .repartition("root", "i", "j")
-        .sortWithinPartitions("root", "i", "j", "side", "node")
-        .mapInArrow(_compare(threshold), "node long, links long")
-        .groupBy("node")
-        .agg(F.sum("links").alias("links"))
-    )
-
-
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, rows: int = AUDIT_ROWS) -> float:
-    """Share of the true links found, for at most ``rows`` sampled nodes against all.
+def _all_links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """``u, v, links``: counts of ``u`` with a null ``v``, and links that join all that is linked.
 
-    The sample prefers nodes that have a link, as others say nothing about
-    links already known.
+    Up to some thousand rows of a label a block is one piece; with more rows it
+    gets wider, as each row travels once for each block of its label.
     """
-    some = (
-        nodes.join(links, "node", "left")
-        .select("node", "label", "unit", F.coalesce("links", F.lit(0)).alias("links"))
-        .orderBy(F.pmod(F.xxhash64("node"), F.lit(2)), F.xxhash64("node", F.lit(1)), "node")
-        .limit(rows)
-        .toArrow()
+    wide = F.least(F.lit(WIDER), F.ceil(F.count("*") / (WIDER * BLOCK)))
+    sizes = nodes.groupBy("label").agg(F.ceil(F.count("*") / (wide * BLOCK)).cast("long").alias("blocks"))
+    placed = nodes.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    return (
+        placed.select("label", "block", every.alias("met"), "node", "unit", "copies")
+        .select(
+            "label",
+            F.least("block", "met").alias("i"),
+            F.greatest("block", "met").alias("j"),
+            (F.col("block") > F.col("met")).cast("int").alias("side"),
+            "node",
+            "unit",
+            "copies",
+        )
+        .repartition("label", "i", "j")
+        .sortWithinPartitions("label", "i", "j", "side", "node")
+        .mapInArrow(_compare(threshold), FOUND)
     )
-    if not some.num_rows:
-        return 1.0
-    units = some["unit"].combine_chunks().flatten().to_numpy().reshape(some.num_rows, -1)
-    ids, labels = some["node"].to_numpy(), some["label"].to_numpy()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            theirs = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
-            linked = units @ theirs.T >= threshold
-            linked &= (labels[:, None] == batch.column(1).to_numpy()) & (ids[:, None] != batch.column(0).to_numpy())
-            total += linked @ batch.column(3).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array([total.sum()])], names=["links"])
-
-    true = nodes.select("node", "label", "unit", "copies").mapInArrow(count, "links long").agg(F.sum("links")).first()[0]
-    return float(np.asarray(some["links"]).sum() / true) if true else 1.0
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, neighbours: int = NEIGHBOURS) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
     ``vectors`` has ``vec_id``, ``label`` and ``embedding``, all of one length;
@@ -229,30 +147,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, neighbours: int
     nodes = materialize(
         rows.filter("node is not null")
         .groupBy("node", "label", "unit")
-        .agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id"))
-        .withColumn("unit32", F.col("unit").cast("array<float>")),
+        .agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id")),
         "nodes",
     )
-    shape = nodes.agg(F.count("*"), F.max(F.size("unit"))).first()
-    count, width = shape[0], shape[1] or 0
-
-    keep = neighbours
-    lists = materialize(_start(nodes, count, width, keep), "lists")
-    recall = 0.0
-    while True:
-        for turn in range(STEPS):
-            better = _step(lists, nodes, keep, turn)
-            known, lists = lists, materialize(_best(lists.union(better), keep), "lists")
-            if lists.join(known, ["node", "nbr"], "left_anti").count() <= SETTLED * count * keep:
-                break
-        close = lists.filter(F.col("sim") >= threshold - 1e-4).select(F.col("node").alias("u"), F.col("nbr").alias("v"))
-        exact = _exact(close, nodes, threshold)
-        merged = components(exact)
-        links = materialize(_group_links(nodes, merged, threshold), "links")
-        recall = audit(nodes, links, threshold)
-        if recall >= RECALL or keep >= 16 * neighbours:
-            break
-        keep *= 2
+    compared = materialize(_all_links(nodes, threshold), "links")
+    links = compared.filter("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
+    merged = components(compared.filter("v is not null").select("u", "v"))
 
     smallest = (
         nodes.join(merged, "node").groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -271,14 +171,3 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, neighbours: int
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"),
     )
-
-
-def _exact(close: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose double-precision cosine reaches the threshold."""
-    a = nodes.select(F.col("node").alias("u"), F.col("unit").alias("a"))
-    b = nodes.select(F.col("node").alias("v"), F.col("unit").alias("b"))
-    cosine = F.aggregate(
-        F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x
-    )
-    pairs = close.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    return pairs.join(b, "v").join(a, "u").filter(cosine >= threshold).select("u", "v")

@@ -116,6 +116,30 @@ def test_a_saturated_group_gets_all_its_links(spark):
     assert {(r["n_links"], r["component_id"], r["kept"]) for r in found} == {(149, 0, False), (149, 0, True)}
 
 
+def exact_vectors(rows, threshold=0.98):
+    """``vec_id -> n_links`` and the number of components, of one label without copies."""
+    unit = np.array([v for _, v, _ in rows], float)
+    unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
+    linked = unit @ unit.T >= threshold
+    np.fill_diagonal(linked, False)
+    links = [(rows[i][0], rows[j][0]) for i, j in np.argwhere(np.triu(linked))]
+    roots = brute.components([i for i, _, _ in rows], links)
+    return {r[0]: int(n) for r, n in zip(rows, linked.sum(axis=1))}, roots
+
+
+def test_dense_subgroups_are_linked_to_one_another(spark):
+    """Each member has more neighbours in its own subgroup than any bounded list holds."""
+    rng = np.random.default_rng(8)
+    first, second = np.linalg.qr(rng.standard_normal((16, 2)))[0].T
+    angle = np.arccos(0.985)
+    centers = first, np.cos(angle) * first + np.sin(angle) * second
+    rows = [(i, (centers[i % 2] + 5e-4 * rng.standard_normal(16)).astype(np.float32).tolist(), 3) for i in range(400)]
+    links, roots = exact_vectors(rows)
+    assert set(links.values()) == {399} and set(roots.values()) == {0}
+    found = knn_graph.near_duplicates(vectors(spark, rows)).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {i: (links[i], roots[i]) for i in links}
+
+
 def test_repeated_and_nameless_vectors(spark):
     rows = [(5, [1.0, 1.0], 1), (5, [1.0, 1.0], 1), (None, [2.0, 2.0], 1), (8, [1.0, 1.0], 2)]
     found = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in knn_graph.near_duplicates(vectors(spark, rows)).collect())
