@@ -140,6 +140,20 @@ def test_dense_subgroups_are_linked_to_one_another(spark):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {i: (links[i], roots[i]) for i in links}
 
 
+def test_rare_links_among_many_single_vectors(spark):
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((6000, 64))
+    base /= np.sqrt((base * base).sum(axis=1))[:, None]
+    for i in range(0, 600, 2):
+        aside = base[i + 1] - (base[i + 1] @ base[i]) * base[i]
+        base[i + 1] = 0.981 * base[i] + np.sqrt(1 - 0.981**2) * aside / np.sqrt(aside @ aside)
+    rows = [(i, v.astype(np.float32).tolist(), 3) for i, v in enumerate(base)]
+    links, roots = exact_vectors(rows)
+    assert sum(links.values()) == 600
+    found = knn_graph.near_duplicates(vectors(spark, rows)).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {i: (links[i], roots[i]) for i in links}
+
+
 def test_repeated_and_nameless_vectors(spark):
     rows = [(5, [1.0, 1.0], 1), (5, [1.0, 1.0], 1), (None, [2.0, 2.0], 1), (8, [1.0, 1.0], 2)]
     found = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in knn_graph.near_duplicates(vectors(spark, rows)).collect())
