@@ -32,9 +32,14 @@ EPOCHS, BATCH, RATE = 14, 64, 0.02
 SAMPLE_PAGES = 200
 WRITTEN_PAGES = 600
 
-_SILENT = "script|style|noscript|template|head|title|svg|iframe|object|textarea|select"
+# Raw text runs to its end tag or the end of the page; other silent elements
+# are skipped only where their end tag is there.
+_RAW = "script|style|title"
+_SILENT = frozenset("noscript template svg iframe object textarea select".split())
+_IN_HEAD = frozenset("base link meta noscript template".split())
+_SILENT_TAG = re.compile(rf"<(/?)({'|'.join(sorted(_SILENT))})(?=[\s/>])[^>]*>", re.I)
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -55,11 +60,27 @@ class Block:
     text: str = ""
 
 
+def _silent_ends(html: str) -> dict[int, int]:
+    """Where the silent elements that have an end tag start and end; an end tag belongs to the nearest start."""
+    started: dict[str, list[int]] = {}
+    ends = {}
+    for m in _SILENT_TAG.finditer(html):
+        name = m.group(2).lower()
+        if m.group(1):
+            if started.get(name):
+                ends[started[name].pop()] = m.end()
+        elif name != "svg" or not m.group().endswith("/>"):
+            started.setdefault(name, []).append(m.start())
+    return ends
+
+
 def blocks(html: str | None) -> list[Block]:
     """Leaf blocks with text, in page order, from the whole page.
 
     Unclosed and stray tags are put up with: a block-level tag ends an open
-    paragraph, an end tag closes what is open inside its element.
+    paragraph, an end tag closes what is open inside its element. A head without
+    end tag ends at the first tag that cannot be in it, and of a silent element
+    without end tag only the tag is skipped.
     """
     html = html or ""
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -89,13 +110,25 @@ def blocks(html: str | None) -> list[Block]:
             if link:
                 current.linked += len(piece)
 
-    for m in _TOKEN.finditer(html):
-        write(html[at : m.start()])
+    silent_ends = _silent_ends(html)
+    # Text of an open head: dropped at its end tag, part of the page without one.
+    held: list[str] | None = None
+    while m := _TOKEN.search(html, at):
+        (write if held is None else held.append)(html[at : m.start()])
         at = m.end()
         name = m.group(3)
         if name is None:
             continue
         name, ends = name.lower(), m.group(2) == "/"
+        if name == "head":
+            held = None if ends else held or []
+            continue
+        if held is not None and name not in _IN_HEAD:
+            write("".join(held))
+            held = None
+        if name in _SILENT:
+            at = silent_ends.get(m.start(), at)
+            continue
         if name in _INLINE:
             if name == "a":
                 link = 0 if ends else 1
@@ -116,6 +149,7 @@ def blocks(html: str | None) -> list[Block]:
         if name not in _VOID:
             stack.append((name, _names(name, m.group(4) or "")))
         current.path = tuple(n for _, names in stack for n in names)
+    write("".join(held or ()))
     write(html[at:])
     close()
     return found

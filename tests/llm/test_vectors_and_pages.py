@@ -207,6 +207,25 @@ def test_blocks_of_broken_markup():
     assert found[0].path == ("div", ".a", ".b", "p") and found[2].path == ()
 
 
+@pytest.mark.parametrize(
+    ("html", "texts"),
+    [
+        ("<html><head><title>x</title><body><article><p>Text stays.</p></article></body></html>", ["Text stays."]),
+        ("<head><meta charset=utf-8><title>x</title><p>Text stays.", ["Text stays."]),
+        ("<head><title>x</title>Text stays.", ["Text stays."]),
+        ("<head>dropped<style>p{}</style><noscript>no</noscript></head><p>Text stays.", ["Text stays."]),
+        ("<p>one</p><textarea>two<p>three</p>", ["one", "two", "three"]),
+        *((f"<p>one</p><{tag} a='b'><p>two</p>", ["one", "two"]) for tag in sorted(html_blocks._SILENT)),
+        *((f"<p>one</p><{tag}>no<p>no</{tag}><p>two</p>", ["one", "two"]) for tag in sorted(html_blocks._SILENT)),
+        ("<svg><p>one</p><svg>no</svg><p>two</p>", ["one", "two"]),
+        ("<svg/><p>one</p><svg><svg>no</svg>no</svg><p>two</p>", ["one", "two"]),
+        ("<p>one</p><script>no<p>no", ["one"]),
+    ],
+)
+def test_silent_elements_without_end_tag_leave_the_rest(html, texts):
+    assert [b.text for b in html_blocks.blocks(html)] == texts
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(3)
     x = rng.standard_normal((5, 3, html_blocks.WIDTH))
