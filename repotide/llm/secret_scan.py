@@ -1,7 +1,8 @@
 """Secrets in texts: broad candidate patterns, then a random forest against false alarms.
 
-Candidates are values of assignments to names like ``password``, long runs of
-key-like characters with a digit, and private key blocks. The forest reads a
+Candidates are values of assignments to names that end like ``password``, long
+runs of key-like characters with a digit, an inner capital letter or the prefix
+of a known kind of key, and private key blocks. The forest reads a
 candidate's length, its transitions between character classes, how much of it
 words of its own document or a short list cover, the document's path and the
 neighbouring words. It learns from labelled findings; since no table holds any,
@@ -35,11 +36,12 @@ FINDING = "array<struct<start:int,end:int,score:double>>"
 
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
 _NAMED = re.compile(
-    r"(?i)\b(?:password|passwd|pwd|secret|token|credential|auth|(?:api|access)[_-]?key)[\"']?\s{0,3}$"
+    r"(?i)(?:password|passwd|pwd|secret|token|credential|auth|(?:api|access)[_-]?key)[\"']?\s{0,3}$"
 )
 _VALUE = re.compile(r"\s{0,3}[\"']?([^\s\"',;]{6,})")
 _SIGN = re.compile(r"[:=]")
-_DIGIT = re.compile(r"[0-9]")
+_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "sk_", "sk-", "xox")
+_TELLING = re.compile(rf"[0-9]|(?<=[A-Za-z])[A-Z]|(?<![A-Za-z0-9])(?:{'|'.join(_PREFIXES)})")
 _KEY_LIKE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-")
 _RUN = re.compile(r"[A-Za-z0-9+/_=.\-]*")
 _WORD = re.compile(r"[^\W\d_]{3,}")
@@ -58,7 +60,8 @@ class Finding:
 def candidates(text: str) -> list[Finding]:
     """Every candidate of a whole text, by position, none inside another.
 
-    Digits and assignment signs are rare, so the search starts from them.
+    Digits, inner capitals, known prefixes and assignment signs are rare, so the
+    search starts from them.
     """
     spans = set()
     for sign in _SIGN.finditer(text):
@@ -67,14 +70,14 @@ def candidates(text: str) -> list[Finding]:
             if value:
                 spans.add(value.span(1))
     at = 0
-    while digit := _DIGIT.search(text, at):
-        start, at = digit.start(), _RUN.match(text, digit.start()).end()
+    while sign := _TELLING.search(text, at):
+        start, at = sign.start(), _RUN.match(text, sign.start()).end()
         while start and text[start - 1] in _KEY_LIKE:
             start -= 1
         body = text[start:at].rstrip("=.-")
         cut = body.rfind("=") + 1
         value = body[cut:]
-        if len(value) >= 12 and any(c.isdigit() for c in value):
+        if len(value) >= 12 and _TELLING.search(value):
             spans.add((start + cut, start + len(body)))
     found, last = [], 0
     for start, end in sorted(spans, key=lambda s: (s[0], -s[1])):
@@ -226,6 +229,11 @@ def labelled_findings(count: int = 6000, seed: int = 5) -> list[tuple]:
         lambda: (f"20{draw(digits, 2)}-{draw(digits, 2)}-{draw(digits, 2)}T{draw(digits, 2)}", prose() + " "),
         lambda: (".".join(draw(digits, 3) for _ in range(4)), prose() + " "),
         lambda: ("/".join([word(), word(), word() + draw(digits, 3) + ".html"]), "https://" + word() + ".com/"),
+        lambda: ("".join(word().title() for _ in range(rng.integers(2, 5))), prose() + " "),
+        lambda: (word() + "".join(word().title() for _ in range(rng.integers(1, 4))), prose() + " "),
+        lambda: ((word() + word() + word()).upper(), prose() + " "),
+        lambda: (pick("_-./").join(word().upper() for _ in range(rng.integers(2, 5))), prose() + " "),
+        lambda: ("/".join(word().title() for _ in range(3)) + pick((".java", ".md", "")), prose() + " "),
         lambda: (f"v{draw(digits, 1)}.{draw(digits, 2)}.{draw(digits, 1)}-beta.{draw(digits, 2)}", "version "),
     )
     rows = []
