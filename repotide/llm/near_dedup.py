@@ -41,10 +41,12 @@ COLLISION = 0.169919487 / (1 << MANTISSA_BITS)
 LEADERS = 4
 # The last round's finer estimate: one bit for each of 2048 buckets, and whether
 # it is filled. Of large sets at the limit 5 in a million fall below 0.685 (4.4
-# standard deviations), of smaller ones fewer, as few of their buckets collide.
+# standard deviations). In a small set one collision weighs much more, so sets of
+# up to SMALL shingles bring their hashes, and two such sets are compared exactly.
 FINE_BITS = 11
 FINE_LEAST = 685
-FINE = "class_id long, fine array<long>"
+SMALL = 200
+FINE = "class_id long, fine array<long>, few array<long>"
 # Two bits per register, for comparisons within buckets.
 BITS = ("b0", "b1", "b2", "b3")
 
@@ -236,8 +238,9 @@ def _class_fine(batch: pa.RecordBatch) -> pa.RecordBatch:
         [
             pa.array(map(_class_of, sets), pa.int64()),
             pa.array([fine_bits(h) for h in sets], pa.list_(pa.int64())),
+            pa.array([h.view(np.int64) if len(h) <= SMALL else None for h in sets], pa.list_(pa.int64())),
         ],
-        names=["class_id", "fine"],
+        names=["class_id", "fine", "few"],
     )
 
 
@@ -357,6 +360,13 @@ def _unmerged(shared: DataFrame, merged: DataFrame) -> DataFrame:
     return named.join(mixed, "key", "left_semi")
 
 
+def _few_allow(a: str, b: str, percent: int):
+    """Exactly, from the hashes of two small sets; null if one is not small."""
+    shared = F.size(F.array_intersect(a, b))
+    either = F.size(a) + F.size(b) - shared
+    return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), shared * 100 >= either * percent)
+
+
 def _fine_allows(a: str, b: str, percent: int):
     half = (1 << FINE_BITS) // 64
     both = either = unequal = F.lit(0)
@@ -370,6 +380,13 @@ def _fine_allows(a: str, b: str, percent: int):
     return (both - 2 * unequal) * 75_000 >= either * (FINE_LEAST * percent)
 
 
+def _second_round_allows(a: str, b: str, percent: int):
+    """Exact for two small sets, else by the finer estimate."""
+    return F.coalesce(
+        _few_allow(f"few_{a}", f"few_{b}", percent), _fine_allows(f"fine_{a}", f"fine_{b}", percent)
+    )
+
+
 def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket in different components that may be similar enough.
 
@@ -383,7 +400,7 @@ def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
         F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: _band(F.col("sig"), i)).alias("keys"),
     )
     members = members.join(materialize(fine.join(keys, "class_id"), "fine"), "class_id")
-    columns = ("class_id", "label", "n", "fine", "keys", *BITS)
+    columns = ("class_id", "label", "n", "fine", "few", "keys", *BITS)
     a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
     b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
     shared = F.filter(
@@ -394,7 +411,7 @@ def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
         & (F.col("label_a") != F.col("label_b"))
         & _sizes_allow("n_a", "n_b", percent)
         & _bits_allow("{}_a", "{}_b", percent)
-        & _fine_allows("fine_a", "fine_b", percent)
+        & _second_round_allows("a", "b", percent)
         & (F.get(shared, F.lit(0)) == F.col("key"))
     )
     return a.join(b, "key").filter(met).select(

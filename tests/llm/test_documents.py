@@ -67,6 +67,22 @@ def test_a_chain_of_edits_is_one_component(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
 
 
+def test_small_sets_pass_the_second_round_exactly(spark):
+    """One collision of their bits rejected such pairs: of 9 of 12 shared shingles some 2 in 1000."""
+    rng = np.random.default_rng(4)
+    shape = [(3, 4), (9, 12), (15, 20), (45, 60), (150, 200)]
+    pairs = []
+    for shared, union in shape * 400:
+        h = rng.integers(0, 1 << 63, union, dtype=np.uint64) * np.uint64(2)
+        more = shared + (union - shared) // 2
+        pairs.append((np.unique(h[:more]), np.unique(np.concatenate([h[:shared], h[more:]]))))
+    rows = [[x for h in pair for x in (near_dedup.fine_bits(h).tolist(), h.view(np.int64).tolist())] for pair in pairs]
+    frame = spark.createDataFrame(rows, "fine_a array<long>, few_a array<long>, fine_b array<long>, few_b array<long>")
+    assert frame.filter(~near_dedup._second_round_allows("a", "b", 75)).count() == 0
+    apart = frame.limit(1).select("fine_a", "few_a", *(F.transform(c, lambda x: x + 1).alias(c) for c in ("fine_b", "few_b")))
+    assert apart.filter(near_dedup._second_round_allows("a", "b", 75)).count() == 0
+
+
 def test_one_of_each_keeps_one_row_of_a_group_and_all_columns(spark):
     given_docs = odd(spark)
     kept = near_dedup.one_of_each(given_docs.union(given_docs))
