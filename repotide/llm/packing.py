@@ -17,6 +17,7 @@ can be short for want of ids.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import unicodedata
@@ -24,6 +25,7 @@ from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -58,10 +60,29 @@ _SPACES = "\t\r\x0b\x0c\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     chr(c) for c in range(0x2000, 0x200B)
 )
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
+# Characters beyond those that every Unicode version classes alike.
+_FOREIGN = re.compile(r"[^ \n!-~\xa1-\u017f]").search
+# Longest run of one kind in a plain text; the merges of a longer one would take quadratic time.
+LONGEST_RUN = 400
+
+
+def _plain(text: str) -> bool:
+    """Latin characters between single kinds of white space, without overlong runs."""
+    return not (
+        _FOREIGN(text)
+        or "\n " in text
+        or " \n" in text
+        or " " * LONGEST_RUN in text
+        or "\n" * LONGEST_RUN in text
+        or max(map(len, text.split()), default=0) > LONGEST_RUN
+    )
 
 
 class _Known(dict):
-    """Ids of pieces as bytes, made when first asked for; ``lead`` goes before each key."""
+    """Ids of pieces as bytes, made when first asked for; ``lead`` goes before each key.
+
+    When it is full, the older half goes.
+    """
 
     def __init__(self, make, lead: str) -> None:
         super().__init__()
@@ -69,11 +90,35 @@ class _Known(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) > MAX_KNOWN:
-            self.clear()
+            for old in list(islice(self, len(self) // 2)):
+                del self[old]
         value = self[piece] = self.make(self.lead + piece)
         return value
 
 
+def _quick_merges(whole, letters: dict[int, str]):
+    """``tiktoken`` over the vocabulary of ``whole``, or None where it would merge otherwise.
+
+    It merges the pair whose union has the lowest id, the library the pair that
+    comes first in the file: the same, if the file gives the ids in that order.
+    """
+    import tiktoken
+
+    model = json.loads(whole.to_str())["model"]
+    own = {token: i for token, i in model["vocab"].items() if token not in
+           {t.content for t in whole.get_added_tokens_decoder().values()}}
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    merged = [own.get(a + b, -1) for a, b in pairs]
+    alike = all(a < b for a, b in zip(merged, merged[1:])) and len(own) == len(merged) + 256
+    odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    if not alike or odd or merged[:1] <= [max((own[c] for c in own if len(c) == 1), default=0)]:
+        return None
+    byte = {c: b for b, c in letters.items()}
+    ranks = {bytes(byte.get(c) if c in byte else ord(c) for c in token): i for token, i in own.items()}
+    pattern = _PARTS + r"|\s+(?!\S)|\s+"
+    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 def _little_endian(ids: list[int]) -> bytes:
     packed = array("I", ids)
     if sys.byteorder == "big":
@@ -82,10 +127,11 @@ def _little_endian(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """Ids of whole texts by the ``tokenizers`` model, one call per distinct piece.
+    """Ids of whole texts as the ``tokenizers`` library gives them, one call per distinct piece.
 
-    White space ends every piece of byte-level pre-tokenization, so the pieces
-    between can be encoded apart and remembered. Texts whose only white space is
+    Plain Latin texts are merged by ``tiktoken`` from the same vocabulary, in a
+    quarter of the library's time. White space ends every piece of byte-level
+    pre-tokenization, so the pieces of other texts are encoded apart and remembered. Texts whose only white space is
     single blanks and line feeds are split at those; others by the vocabulary's
     pattern. A text with the special token's string, or with control characters
     that Python alone takes for white space, goes to the library as a whole, and
@@ -105,6 +151,7 @@ class Encoder:
         self.split = regex.compile(_PARTS + r"|\s+(?!\S)|\s+").findall
         special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.odd = (*_CONTROLS, *special)
+        self.quick = _quick_merges(self.whole, self.letters)
         self.plain = _Known(self._piece, "")
         self.spaced = _Known(self._piece, " ")
         strings = [self.whole.decode([i]) for i in range(self.whole.get_vocab_size())]
@@ -131,6 +178,8 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         if any(o in text for o in self.odd):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+        if self.quick and _plain(text):
+            return np.frombuffer(_little_endian(self.quick(text)), "<u4")
         plain, spaced = self.plain, self.spaced
         ends = text[:1] + text[-1:]
         if ends.strip() != ends or any(s in text for s in _PAIRS) or any(s in text for s in _SPACES):
