@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm import bpe, cover_tree, html_blocks, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, toxicity
+from repotide.llm import bpe, cover_tree, html_blocks, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, token_files, toxicity
 from repotide.llm.common import materialize, table, tokenizer_path
+from repotide.session import fresh_dir
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -99,4 +108,5 @@ QUERIES = {
     "op8_near_vectors": op8_near_vectors,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_token_files": op11_token_files,
 }
