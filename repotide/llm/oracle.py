@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+
+
+def _rounds(rounds: int) -> str:
+    """CTEs ``a0, c1, a1, ...``: assignments, and centroids moved to their floored means."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as materialized (
+  select row_no, arg_min(number, d * 1000 + number) as cluster, min(d) as distance
+  from (
+    select v.row_no, c.number, cast(list_sum(list_transform(list_zip(v.v, c.v),
+      lambda p: cast(p[1] - p[2] as hugeint) * (p[1] - p[2]))) as hugeint) as d
+    from v, c{i} c
+  ) group by row_no
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} as materialized (
+  select c.number, coalesce(m.v, c.v) as v
+  from c{i} c left join (
+    select cluster, list(mean order by pos) as v from (
+      select cluster, pos, cast((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) / count(*) as bigint) as mean
+      from (select a.cluster, unnest(v.v) as x, generate_subscripts(v.v, 1) as pos from a{i} a join v using (row_no))
+      group by cluster, pos
+    ) group by cluster
+  ) m on m.cluster = c.number
+)""")
+    return ",\n".join(steps)
+
+
 ORACLES: dict[str, str] = {
     "op5_exact_top_k": """
 with v as (
@@ -40,5 +68,22 @@ with lines as (
 )
 select d.doc_id, c.text, coalesce(c.n_lines, 0) as n_lines, coalesce(c.n_removed, 0) as n_removed
 from documents d left join cleaned c using (doc_id)
+""",
+    "op12_centroids": f"""
+with v as materialized (
+  select row_number() over () as row_no, vec_id,
+    list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as materialized (
+  select row_number() over (order by h, v) - 1 as number, v
+  from (select sha256('1:' || cast(vec_id as varchar)) as h, v from v order by h, v limit 16)
+), {_rounds(3)}, sums as (
+  select cluster, sum(distance) as s from a3 group by cluster
+)
+select v.vec_id, cast(a3.cluster as integer) as cluster, cast(a3.distance as bigint) as distance,
+  cast(sums.s as bigint) as cluster_inertia, cast((select sum(s) from sums) as bigint) as inertia,
+  sha256(array_to_string(c3.v, ',')) as centroid_sha256
+from v join a3 using (row_no) join sums using (cluster) join c3 on c3.number = a3.cluster
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm import bpe, cover_tree, html_blocks, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, token_files, toxicity
+from repotide.llm import bpe, centroids, cover_tree, html_blocks, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, token_files, toxicity
 from repotide.llm.common import materialize, table, tokenizer_path
 from repotide.session import fresh_dir
 
@@ -97,6 +97,11 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -109,4 +114,5 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
     "op11_token_files": op11_token_files,
+    "op12_centroids": op12_centroids,
 }
