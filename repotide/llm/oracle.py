@@ -30,6 +30,90 @@ def _rounds(rounds: int) -> str:
     return ",\n".join(steps)
 
 
+def _edited(value: str, cost: str, edit: str) -> str:
+    """Cost (9 digits) and audit of ``value`` after one more edit."""
+    return f"lpad(cast(cast(substr({value}, 1, 9) as bigint) + {cost} as varchar), 9, '0') || substr({value}, 10) || '{edit}'"
+
+
+# Values of the four states (nothing yet, s, u, a) after at most one insertion.
+_INSERTED = f"""s as s, n as n,
+      least(u, {_edited("n", "5", "I")}, {_edited("s", "5", "I")}, {_edited("a", "5", "I")}) as u,
+      least(a, {_edited("u", "5", "I")}) as a"""
+_KEPT, _REROLED = _edited("{}", "r.extra", "K"), _edited("{}", "1 + r.extra", "R")
+
+_REPAIR = f"""
+with recursive crc as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+), keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+      coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda x: cast(ord(x) as bigint))),
+      lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) % 20 as kind
+  from conversations, crc
+), damaged as (
+  select conv_id, turn, case kind when 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(range(case kind when 3 then 2 else 1 end)) as copy
+  from keyed where kind <> 0
+), placed as materialized (
+  select *, row_number() over w as place, lag(role) over w as role_before, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as ending
+  from damaged window w as (partition by conv_id order by turn nulls first, role, text)
+), marked as materialized (
+  select *, substr(role, 1, 1) as initial, case when ending = '' then 'b'
+    when row_number() over (partition by conv_id, role, text order by place) > 1 then 'd'
+    when right(ending, 1) not in ('.', '!', '?') then 't' else '' end as fault
+  from placed
+), r as materialized (
+  select *, fault in ('b', 'd') as bad, case fault when 't' then 5 else 0 end as extra from marked
+), dp(conv_id, place, n, s, u, a) as (
+  select distinct conv_id, cast(0 as bigint), '000000000', cast(null as varchar), cast(null as varchar), cast(null as varchar) from r
+  union all
+  select p.conv_id, r.place,
+    {_edited("p.n", "2", "D")},
+    least({_edited("p.s", "2", "D")}, case when not r.bad and r.initial = 's' then {_KEPT.format("p.n", "p.n")} end),
+    least({_edited("p.u", "2", "D")}, case when not r.bad and r.initial = 'u' then
+        least({_KEPT.format("p.n", "p.n")}, {_KEPT.format("p.s", "p.s")}, {_KEPT.format("p.a", "p.a")}) end,
+      case when not r.bad then least({_REROLED.format("p.n", "p.n")}, {_REROLED.format("p.s", "p.s")}, {_REROLED.format("p.a", "p.a")}) end),
+    least({_edited("p.a", "2", "D")}, case when not r.bad and r.initial = 'a' then {_KEPT.format("p.u", "p.u")} end,
+      case when not r.bad then {_REROLED.format("p.u", "p.u")} end)
+  from (select conv_id, place, {_INSERTED} from (select conv_id, place, {_INSERTED} from dp)) p
+  join r on r.conv_id is not distinct from p.conv_id and r.place = p.place + 1
+), ended as (
+  select conv_id, least(n, a) as best
+  from (select conv_id, place, {_INSERTED} from (select conv_id, place, {_INSERTED} from dp)) p
+  qualify row_number() over (partition by conv_id order by place desc) = 1
+), letters as (
+  select conv_id, unnest(string_split(substr(best, 10), '')) as edit, generate_subscripts(string_split(substr(best, 10), ''), 1) as step
+  from ended where length(best) > 9
+), steps as (
+  select *, count(*) filter (edit <> 'I') over w as place, count(*) filter (edit <> 'D') over w as shown
+  from letters window w as (partition by conv_id order by step)
+), lines as (
+  select e.conv_id, e.step, e.edit, e.shown, r.role, case e.edit when 'I' then '' else r.text end as text,
+    max(case when e.edit = 'K' and r.initial = 's' then 1 else 0 end) over (partition by e.conv_id) as opens
+  from steps e left join r on r.conv_id is not distinct from e.conv_id and r.place = e.place and e.edit <> 'I'
+  where e.edit <> 'D'
+), repaired as (
+  select conv_id, string_agg(case when edit = 'K' then role when (shown - opens) % 2 = 1 then 'user' else 'assistant' end
+    || ':' || text, chr(10) order by step) as text
+  from lines group by conv_id
+), counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated,
+    count(*) filter (place > 1 and substr(role_before, 1, 1) || initial not in ('su', 'ua', 'au')) as illegal
+  from r group by conv_id
+)
+select o.conv_id, coalesce(c.gaps, 0) as gaps, coalesce(c.blank, 0) as blank, coalesce(c.duplicate, 0) as duplicate,
+  coalesce(c.truncated, 0) as truncated, coalesce(c.illegal, 0) as illegal,
+  coalesce(cast(substr(e.best, 1, 9) as bigint), 0) as cost, coalesce(substr(e.best, 10), '') as audit,
+  sha256(coalesce(p.text, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counted c on c.conv_id is not distinct from o.conv_id
+left join ended e on e.conv_id is not distinct from o.conv_id
+left join repaired p on p.conv_id is not distinct from o.conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op5_exact_top_k": """
 with v as (
@@ -86,4 +170,5 @@ select v.vec_id, cast(a3.cluster as integer) as cluster, cast(a3.distance as big
   sha256(array_to_string(c3.v, ',')) as centroid_sha256
 from v join a3 using (row_no) join sums using (cluster) join c3 on c3.number = a3.cluster
 """,
+    "op13_conversations": _REPAIR,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm import bpe, centroids, cover_tree, html_blocks, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, token_files, toxicity
+from repotide.llm import bpe, centroids, conversations, cover_tree, html_blocks, knn_graph, line_dedup, near_dedup, packing, secret_scan, sharding, token_files, toxicity
 from repotide.llm.common import materialize, table, tokenizer_path
 from repotide.session import fresh_dir
 
@@ -102,6 +102,12 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.report(conversations.repair(conversations.damage(rows)), rows)
+    return found.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -115,4 +121,5 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_token_files": op11_token_files,
     "op12_centroids": op12_centroids,
+    "op13_conversations": op13_conversations,
 }
