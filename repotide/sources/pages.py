@@ -9,22 +9,35 @@ from repotide.functions.columns import as_col, from_wire, whole_number, wire_typ
 from repotide.schemas import SEARCH_CAP, SEARCH_ITEM
 
 # Numbers are read as text, so that one in quotes is a number too.
-ITEM_TYPE = wire_type(SEARCH_ITEM).simpleString()
+ITEM = wire_type(SEARCH_ITEM)
+ITEM_TYPE = ITEM.simpleString()
+# One shape for every payload: a page with items, or an item; ``_end`` is our own mark.
+PAGE = "items array<%s>, %s, _end string" % (
+    ITEM_TYPE, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ITEM.fields)
+)
 
 
-def _items() -> Column:
-    """Items of a payload: an object with a list ``items``, a bare list, or a lone
-    item; null for anything else."""
+def _parsed(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``items``, from one parse of each payload.
+
+    Items are those of an object with a list ``items``, of a bare list, or a lone
+    item; null for anything else. The payload is read as the first of two values:
+    with anything behind it, the mark is not the second.
+    """
     payload = F.col("payload")
-    listed = F.from_json(payload, f"array<{ITEM_TYPE}>")
-    page = F.from_json(payload, f"items array<{ITEM_TYPE}>, id string")
-    lone = F.when(page["id"].isNotNull(), F.array(F.from_json(payload, ITEM_TYPE)))
-    return F.when(F.ltrim(payload).startswith("["), listed).otherwise(F.coalesce(page["items"], lone))
+    page = F.when(F.ltrim(payload).startswith("["), F.concat(F.lit('{"items":'), payload, F.lit("}"))).otherwise(payload)
+    marked = F.concat(F.lit("["), page, F.lit(',{"_end":"1"}]'))
+    values = pages.withColumn("_values", F.from_json(marked, f"array<struct<{PAGE}>>"))
+    sound = (F.size("_values") == 2) & (F.get("_values", F.lit(1))["_end"] == "1")
+    first = F.get("_values", F.lit(0))
+    lone = F.when(first["id"].isNotNull(), F.array(F.struct(*[first[f.name].alias(f.name) for f in ITEM.fields])))
+    return values.withColumn("items", F.when(sound, F.coalesce(first["items"], lone))).drop("_values")
 
 
 def page_items(pages: DataFrame) -> DataFrame:
     """One row per search item with an id; :func:`page_errors` has the rest."""
-    placed = pages.select("query", "page_no", F.posexplode(_items()).alias("position", "item"))
+    # An inner explode would test the items below it, which parses them again.
+    placed = _parsed(pages).select("query", "page_no", F.posexplode_outer("items").alias("position", "item"))
     return placed.select("query", "page_no", "position", *from_wire("item", SEARCH_ITEM)).filter(
         F.col("id").isNotNull()
     )
@@ -36,7 +49,7 @@ def page_errors(pages: DataFrame) -> DataFrame:
     reason = F.when(F.col("items").isNull(), F.lit("unreadable")).when(
         nameless, F.lit("item without id")
     )
-    judged = pages.withColumn("items", _items()).withColumn("reason", reason)
+    judged = _parsed(pages).withColumn("reason", reason)
     return judged.filter("reason is not null").select("query", "page_no", "payload", "reason")
 
 

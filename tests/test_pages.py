@@ -83,3 +83,10 @@ def test_payloads_that_are_no_pages_are_errors_and_no_items(spark, rows):
     ]
     gate = pages.crawl_gate(pages.completeness(pages.page_metadata(df)), pages.page_errors(df))
     assert rows(gate, "page_errors", "complete") == [(7, False)]
+
+
+def test_a_page_with_something_behind_it_is_an_error(spark, rows):
+    df = stored(spark, '{"id":7} x', '{"id":7}] x', '[{"id":3}] y', "[{\"id\":3}], [1]", '{"id":7},{"id":8}',
+                '{"items":[{"id":1}]}{', ' {"id": 9} ', ' [ {"id":10} ] ', "", "  ")
+    assert rows(pages.page_items(df), "page_no", "id") == [(7, 9), (8, 10)]
+    assert rows(pages.page_errors(df), "page_no") == [(i,) for i in (1, 10, 2, 3, 4, 5, 6, 9)]
