@@ -58,6 +58,26 @@ def path_evidence(contents: DataFrame) -> DataFrame:
     )
 
 
+def best_evidence(*found: DataFrame) -> DataFrame:
+    """The foremost of the paths that several lookups of a place have found."""
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    return (
+        whole.groupBy("full_name", "branch")
+        .agg(
+            F.min(_priority(F.col("test_evidence"), TEST_PATHS)).alias("t"),
+            F.min(_priority(F.col("ci_evidence"), CI_PATHS)).alias("c"),
+        )
+        .select(
+            "full_name",
+            "branch",
+            _path_at(TEST_PATHS, "t").alias("test_evidence"),
+            _path_at(CI_PATHS, "c").alias("ci_evidence"),
+        )
+    )
+
+
 def _path_at(paths: list[str], place: str) -> Column:
     return F.get(F.array(*[F.lit(p) for p in paths]), F.col(place) - 1)
 

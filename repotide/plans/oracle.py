@@ -98,6 +98,32 @@ left join evidence e on r.full_name = e.full_name and r.default_branch = e.branc
 select distinct concat('o/', cast(l_orderkey as varchar)) as full_name,
   case when l_suppkey % 5 = 0 then 'dev' else 'main' end as branch
 from lineitem where l_partkey % 97 = 0 or l_partkey % 89 = 0""",
+    "path_lookups": """
+select concat('o/', cast(l_orderkey as varchar)) as full_name,
+  case when l_suppkey % 5 = 0 then 'dev' else 'main' end as branch, kind, path, priority, needs_words,
+  case l_returnflag when 'R' then 'run pytest now' when 'N' then 'Cargo Test suite' else 'nothing here' end as text,
+  l_partkey % 97 = 0 as mended, l_partkey % 97 <> 0 and l_partkey % 89 = 0 as lost
+from lineitem join path_dim on l_partkey % 17 = part""",
+    "unsettled": """
+select distinct full_name, branch from path_lookups l
+where lost and not exists (
+  select 1 from path_lookups m where m.mended and m.full_name = l.full_name and m.branch = l.branch and m.path = l.path)""",
+    "settled_evidence": """
+select full_name, branch, arg_min(path, priority) filter (where kind = 'test') as test_evidence,
+  arg_min(path, priority) filter (where kind = 'ci') as ci_evidence
+from (
+  select full_name, branch, kind, path, priority, needs_words, text from path_lookups where not mended and not lost
+  union all
+  select full_name, branch, kind, path, priority, needs_words, arg_max(text, base64(encode(text)))
+  from path_lookups where mended group by all
+) where not needs_words or text <> 'nothing here'
+group by 1, 2""",
+    "poison": """
+select event_id, case event_id % 4 when 0 then concat('not json ', cast(event_id as varchar))
+  when 1 then concat('[1, ', cast(event_id as varchar), ']')
+  when 2 then concat('{"repo_id": "x', cast(event_id as varchar), '"}')
+  else concat('{"repo_id": ', cast(event_id as varchar), '} tail') end as value
+from events where event_type = 'error'""",
     "acknowledged": """
 select distinct user_id * 10 + cast(json_extract_string(props, '$.k') as int) % 10 as repo_id
 from events where event_type = 'signup'""",
@@ -221,6 +247,9 @@ USES = {
     "search_facts": ["search_items"],
     "evidence": ["path_dim"],
     "enriched": ["order_repos", "order_commits", "evidence"],
+    "path_lookups": ["path_dim"],
+    "unsettled": ["path_lookups"],
+    "settled_evidence": ["path_lookups"],
     "judged": ["handoff_lines"],
     "calendar": ["crawl_requests"],
     "tree": ["seconds"],
@@ -647,9 +676,55 @@ from rank_lists group by 1""",
     "stream_raw": sql("select repo_id, full_name, stars, language from repo_records", "repo_records"),
     "stream_first_seen": sql("select * from delivered", "delivered"),
     "stream_enrich": sql("select * from enriched", "enriched"),
+    "stream_retry": sql(
+        """
+select r.repo_id, r.full_name, r.language, r.default_branch, c.commit_count,
+  e.test_evidence is not null as has_tests, e.ci_evidence is not null as has_ci,
+  e.test_evidence, e.ci_evidence, 'enriched' as state
+from order_repos r left join order_commits c on r.full_name = c.full_name
+left join settled_evidence e on r.full_name = e.full_name and r.default_branch = e.branch
+where not exists (select 1 from unsettled u where u.full_name = r.full_name and u.branch = r.default_branch)
+union all
+select r.repo_id, r.full_name, r.language, r.default_branch, null, null, null, null, null, 'waiting'
+from order_repos r join unsettled u on u.full_name = r.full_name and u.branch = r.default_branch""",
+        "order_repos",
+        "order_commits",
+        "settled_evidence",
+        "unsettled",
+    ),
     "stream_rankings": sql(three("delivered_named"), "delivered_named"),
     "stream_projects": sql(top_commits("q2_projects", "delivered_named"), "delivered_named"),
     "stream_resume": sql(three("delivered_named"), "delivered_named"),
+    "stream_history": sql(
+        "select cast(0 as bigint) as batch_id, * from ("
+        + four("(select * from delivered_named where language <> '1-URGENT') s")
+        + ") a union all select 1, * from (" + four("delivered_named") + ") b",
+        "delivered_named",
+    ),
+    "stream_intake": sql(
+        """
+select 'raw' as topic, 'fit' as outcome, count(*) as n from orders
+union all select 'raw', 'no record', count(*) from poison having count(*) > 0
+union all select 'enriched', 'fit', (select count(*) from delivered) + (select count(*) from lineitem where l_orderkey in (select repo_id from delivered))
+union all select 'enriched', case event_id % 4 when 2 then 'no repo_id' else 'not an object' end, count(*) from poison group by 2""",
+        "poison",
+        "delivered",
+    ),
+    "stream_unfit": sql("select value as payload, 'no record' as error from poison", "poison"),
+    "stream_bounded": sql(
+        four("(select * from delivered_named order by seq limit (select count(*) // 2 from delivered_named)) s"),
+        "delivered_named",
+    ),
+    "stream_state_export": sql(
+        """
+select 'seen' as section, cast(repo_id as varchar) as name, cast(1 as bigint) as count from delivered
+union all select 'q1_languages', lang, count(*) from delivered_named group by lang
+union all select 'q3_tests', lang, count(*) from delivered_named where has_tests group by lang
+union all select 'q4_tests_ci', lang, count(*) from delivered_named where has_tests and has_ci group by lang
+union all select 'q2_projects', project, arg_max(commit_count, seq) from delivered_named
+  where commit_count is not null group by project""",
+        "delivered_named",
+    ),
     "stream_quarantine": sql(
         """
 select case when valid and missing = '' then 'fit' else 'unfit' end as status, h.line,

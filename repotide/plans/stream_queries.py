@@ -1,5 +1,8 @@
 """Registered streaming queries. Each runs a stream over a topic that Spark
-derives from the given tables, to its end, and returns the table it built."""
+derives from the given tables, to its end, and returns the table it built.
+
+Every topic holds unfit messages too; they end up in the intake's own table,
+which ``stream_intake`` and ``stream_unfit`` return."""
 
 from __future__ import annotations
 
@@ -12,8 +15,9 @@ from repotide.schemas import RANKED_REPO, RAW_REPO
 from repotide.session import fresh_dir
 from repotide.sources import topics
 from repotide.streaming import flows, live
-from repotide.streaming.first_seen import newly_seen
-from repotide.streaming.runs import BATCH, drain, drain_to_files, write_batch
+from repotide.streaming.enrichment import LiveEnrichment
+from repotide.streaming.first_seen import FirstSeen
+from repotide.streaming.intake import Intake
 
 BATCHES = 2
 
@@ -28,63 +32,89 @@ def subscribe(spark, path):
     return topics.open_topic(spark, path, -(-topic_files(spark) // BATCHES))
 
 
-def delivery_topic(spark, sf_dir, path):
-    topics.publish(views.deliveries(spark, sf_dir), path, topic_files(spark))
+def publish(spark, sf_dir, records, path):
+    """The records as messages, between messages that are none."""
+    value = C.sorted_json(records.columns).alias("value")
+    messages = records.select(value).unionByName(views.poison(spark, sf_dir))
+    messages.repartition(topic_files(spark)).write.mode("append").text(path)
 
 
-def delivered(spark, path):
-    messages = subscribe(spark, path)
-    return topics.parse_messages(messages, RANKED_REPO)
+def raw_intake(spark, sf_dir, label):
+    root = fresh_dir(spark, label)
+    publish(spark, sf_dir, views.repo_records(spark, sf_dir), f"{root}/topic")
+    intake = Intake(spark, root, topics.judge_messages, RAW_REPO)
+    intake.run(subscribe(spark, f"{root}/topic"))
+    return intake
 
 
 def stream_raw(spark, sf_dir):
-    root = fresh_dir(spark, "stream-raw")
-    topics.publish(views.repo_records(spark, sf_dir), f"{root}/topic", topic_files(spark))
-    messages = subscribe(spark, f"{root}/topic")
-    records = topics.parse_messages(messages, RAW_REPO)
-    taken = records.select("repo_id", "full_name", "stars", "language")
-    drain_to_files(taken, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.schema(taken.schema).parquet(f"{root}/out")
+    records = raw_intake(spark, sf_dir, "stream-raw").records()
+    return records.select("repo_id", "full_name", "stars", "language")
 
 
 def stream_first_seen(spark, sf_dir):
     root = fresh_dir(spark, "stream-first-seen")
-    delivery_topic(spark, sf_dir, f"{root}/topic")
-    new = newly_seen(delivered(spark, f"{root}/topic"))
-
-    def keep(batch, batch_id):
-        write_batch(batch, f"{root}/out", batch_id)
-
-    drain(new, f"{root}/checkpoint", keep, "update")
-    return spark.read.parquet(f"{root}/out").drop(BATCH)
+    publish(spark, sf_dir, views.deliveries(spark, sf_dir), f"{root}/topic")
+    first = FirstSeen(spark, root, RANKED_REPO)
+    intake = Intake(spark, root, topics.judge_messages, RANKED_REPO, first.take)
+    intake.run(subscribe(spark, f"{root}/topic"))
+    return first.first.read(intake.newest.get())
 
 
 def stream_enrich(spark, sf_dir):
     root = fresh_dir(spark, "stream-enrich")
-    topics.publish(views.order_repos(spark, sf_dir), f"{root}/topic", topic_files(spark))
-    messages = subscribe(spark, f"{root}/topic")
-    schema = views.order_repos(spark, sf_dir).schema
-    lookups = (
-        views.order_commits(spark, sf_dir),
+    repos = views.order_repos(spark, sf_dir)
+    publish(spark, sf_dir, repos, f"{root}/topic")
+    run = LiveEnrichment(
+        spark, root, repos.schema, views.order_commits(spark, sf_dir),
         enrich.path_evidence(views.repo_contents(spark, sf_dir)),
     )
-    repos = topics.parse_messages(messages, schema)
-    flows.enrich_topic(repos, *lookups, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out")
+    run.run(subscribe(spark, f"{root}/topic"))
+    return run.enriched()
 
 
-def ranked_run(spark, sf_dir, label):
-    """Every delivered order once in an envelope, and all its deliveries again as
-    lone records, taken in by the live rankings."""
+def retried(spark, sf_dir, label):
+    """All orders, of which some have failed lookups; then the second tries."""
     root = fresh_dir(spark, label)
+    repos, lookups = views.order_repos(spark, sf_dir), views.path_lookups(spark, sf_dir)
+    failed = lookups.filter("first_try >= 400")
+    publish(spark, sf_dir, repos, f"{root}/repos")
+    run = LiveEnrichment(
+        spark, f"{root}/tables", repos.schema, views.order_commits(spark, sf_dir),
+        enrich.path_evidence(lookups.filter("first_try < 400")), failed,
+    )
+    answers = failed.select("full_name", "branch", "path", F.col("second_try").alias("status"), "content")
+    outcomes = f"{root}/outcomes"
+    publish(spark, sf_dir, answers.limit(0), outcomes)
+    for found in (answers.limit(0), answers):
+        topics.publish(found, outcomes, topic_files(spark))
+        run.run(topics.open_topic(spark, f"{root}/repos"), topics.open_topic(spark, outcomes))
+    return run
+
+
+def stream_retry(spark, sf_dir):
+    """Each repository once, in the batch that settles the last of its lookups."""
+    run = retried(spark, sf_dir, "stream-retry")
+    released = run.enriched().withColumn("state", F.lit("enriched"))
+    return released.unionByName(run.pending().withColumn("state", F.lit("waiting")), allowMissingColumns=True)
+
+
+def envelope_topic(spark, sf_dir, path):
+    """Every delivered order once in an envelope, and all its deliveries again as
+    lone records, between messages that are neither."""
     sent = views.deliveries(spark, sf_dir)
     envelopes = delivery.pack_envelopes(sent.distinct(), "seq", 100).select("value")
     lone = delivery.keyed_messages(sent).select("value")
-    envelopes.unionByName(lone).repartition(topic_files(spark)).write.text(f"{root}/topic")
-    messages = subscribe(spark, f"{root}/topic")
-    records = delivery.unpack_envelopes(messages, RANKED_REPO).filter("error is null")
+    messages = envelopes.unionByName(lone).unionByName(views.poison(spark, sf_dir))
+    messages.repartition(topic_files(spark)).write.text(path)
+
+
+def ranked_run(spark, sf_dir, label):
+    """Envelopes and lone records, taken in by the live rankings."""
+    root = fresh_dir(spark, label)
+    envelope_topic(spark, sf_dir, f"{root}/topic")
     run = live.LiveRankings(spark, f"{root}/tables")
-    run.run_languages(records)
+    run.run(subscribe(spark, f"{root}/topic"))
     return run
 
 
@@ -93,28 +123,49 @@ def stream_rankings(spark, sf_dir):
 
 
 def stream_projects(spark, sf_dir):
-    run = ranked_run(spark, sf_dir, "stream-projects")
-    run.run_projects()
-    return run.project_ranking()
-
-
-def stream_history(spark, sf_dir):
-    history = ranked_run(spark, sf_dir, "stream-history").history()
-    return history.withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    return ranked_run(spark, sf_dir, "stream-projects").project_ranking()
 
 
-def stream_resume(spark, sf_dir):
+def resumed_run(spark, sf_dir, label):
     """The topic grows after the first run; the second resumes and counts every
     repository once, though most of its messages are repeats."""
-    root = fresh_dir(spark, "stream-resume")
+    root = fresh_dir(spark, label)
     topic = f"{root}/topic"
     sent = views.deliveries(spark, sf_dir)
-    topics.publish(sent.filter(F.col("language") != "1-URGENT"), topic, topic_files(spark))
     run = live.LiveRankings(spark, f"{root}/tables")
-    run.run_languages(delivered(spark, topic))
-    topics.publish(sent, topic, topic_files(spark))
-    run.run_languages(delivered(spark, topic))
-    return run.language_rankings()
+    for part in (sent.filter(F.col("language") != "1-URGENT"), sent):
+        publish(spark, sf_dir, part, topic)
+        # All there is makes one batch.
+        run.run(topics.open_topic(spark, topic))
+    return run
+
+
+def stream_history(spark, sf_dir):
+    """All four rankings after each of two batches."""
+    return resumed_run(spark, sf_dir, "stream-history").history()
+
+
+def stream_resume(spark, sf_dir):
+    return resumed_run(spark, sf_dir, "stream-resume").language_rankings()
+
+
+def stream_intake(spark, sf_dir):
+    """How many records and unfit messages each topic held."""
+    root = fresh_dir(spark, "stream-intake")
+    envelope_topic(spark, sf_dir, f"{root}/topic")
+    enveloped = Intake(spark, f"{root}/tables", delivery.unpack_envelopes, RANKED_REPO)
+    enveloped.run(subscribe(spark, f"{root}/topic"))
+    counts = None
+    for name, intake in (("raw", raw_intake(spark, sf_dir, "stream-intake-raw")), ("enriched", enveloped)):
+        judged = intake.judged.read(intake.newest.get()).groupBy(F.coalesce("error", F.lit("fit")).alias("outcome"))
+        own = judged.agg(F.count("*").alias("n")).select(F.lit(name).alias("topic"), "outcome", "n")
+        counts = own if counts is None else counts.unionByName(own)
+    return counts
+
+
+def stream_unfit(spark, sf_dir):
+    """The messages of a topic that hold no record, as they came."""
+    return raw_intake(spark, sf_dir, "stream-unfit").unfit()
 
 
 def stream_quarantine(spark, sf_dir):
@@ -130,25 +181,39 @@ def stream_quarantine(spark, sf_dir):
 def stream_publish_log(spark, sf_dir):
     """Ids sent by this run: delivered, and not of orders an earlier run has sent."""
     root = fresh_dir(spark, "stream-publish")
-    delivery_topic(spark, sf_dir, f"{root}/topic")
+    publish(spark, sf_dir, views.deliveries(spark, sf_dir), f"{root}/topic")
     orders = views.table(spark, sf_dir, "orders")
     done = orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("repo_id"))
-    flows.publish_topic(
-        delivered(spark, f"{root}/topic"), done, f"{root}/sent", f"{root}/log", f"{root}/checkpoint"
-    )
+    flows.publish_topic(subscribe(spark, f"{root}/topic"), RANKED_REPO, done, root)
     return flows.read_log(spark, f"{root}/log")
 
 
+def stream_bounded(spark, sf_dir):
+    """A run that stops at half of the delivered orders, in their order."""
+    root = fresh_dir(spark, "stream-bounded")
+    sent = views.deliveries(spark, sf_dir)
+    publish(spark, sf_dir, sent, f"{root}/topic")
+    bound = sent.select("repo_id").distinct().count() // 2
+    run = live.LiveRankings(spark, f"{root}/tables", max_repos=bound)
+    run.run(topics.open_topic(spark, f"{root}/topic"))
+    return run.current()
+
+
 def stream_state(spark, sf_dir):
     """Counters behind the rankings after the last micro-batch."""
-    run = ranked_run(spark, sf_dir, "stream-state")
-    return live.latest_batch(spark.read.parquet(run.table("language_counts")))
+    return ranked_run(spark, sf_dir, "stream-state").language_counts()
+
+
+def stream_state_export(spark, sf_dir):
+    """Seen ids and all counters, from the state of the streams."""
+    return ranked_run(spark, sf_dir, "stream-state-export").exported_state()
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_raw, stream_first_seen, stream_enrich, stream_rankings, stream_projects,
-        stream_history, stream_resume, stream_quarantine, stream_publish_log, stream_state,
+        stream_raw, stream_first_seen, stream_enrich, stream_retry, stream_rankings, stream_projects,
+        stream_history, stream_resume, stream_intake, stream_unfit, stream_quarantine,
+        stream_publish_log, stream_bounded, stream_state, stream_state_export,
     )
 }

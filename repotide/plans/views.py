@@ -208,24 +208,30 @@ def order_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def repo_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existing paths of each order's branches, with base64 text; directories have none."""
+def repo_contents_of(lines: DataFrame) -> DataFrame:
+    """Order lines with the path they stand for, and its base64 text."""
     numbered = F.array(*[F.lit(p) for p in TEST_PATHS + CI_PATHS])
     text = (
         F.when(F.col("l_returnflag") == "R", "run pytest now")
         .when(F.col("l_returnflag") == "N", "Cargo Test suite")
         .otherwise("nothing here")
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.concat(F.lit("o/"), F.col("l_orderkey").cast("string")).alias("full_name"),
         F.when(F.col("l_suppkey") % 5 == 0, "dev").otherwise("main").alias("branch"),
         F.coalesce(
             F.get(numbered, (F.col("l_partkey") % 17).cast("int")), F.lit("src")
         ).alias("path"),
         F.base64(text.cast("binary")).alias("content"),
+        "l_partkey",
     )
 
 
+def repo_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing paths of each order's branches, with base64 text; directories have none."""
+    return repo_contents_of(table(spark, sf_dir, "lineitem")).drop("l_partkey")
+
+
 def send_attempts(spark: SparkSession, sf_dir: str, max_retries: int = 3) -> DataFrame:
     """Log of send attempts: numbered from 0, up to the first success or the last retry."""
     k = F.col("k")
@@ -295,6 +301,37 @@ def handoff_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select((e + 1).alias("line_no"), line.alias("line"))
 
 
+def poison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that hold no record, one for each event that is an error."""
+    number = F.col("event_id").cast("string")
+    value = (
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("not json "), number))
+        .when(F.col("event_id") % 4 == 1, F.concat(F.lit("[1, "), number, F.lit("]")))
+        .when(F.col("event_id") % 4 == 2, F.concat(F.lit('{"repo_id": "x'), number, F.lit('"}')))
+        .otherwise(F.concat(F.lit('{"repo_id": '), number, F.lit("} tail")))
+    )
+    return table(spark, sf_dir, "events").filter("event_type = 'error'").select(value.alias("value"))
+
+
+def path_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path lookups of order lines: the first answer, and the one to a second try.
+
+    Some first tries fail; of those some fail again.
+    """
+    part = F.col("l_partkey")
+    numbered = F.array(*[F.lit(p) for p in TEST_PATHS + CI_PATHS])
+    return (
+        repo_contents_of(table(spark, sf_dir, "lineitem"))
+        .withColumn("path", F.get(numbered, (part % 17).cast("int")))
+        .filter("path is not null")
+        .select(
+            "full_name", "branch", "path", "content",
+            F.when(part % 97 == 0, 503).when(part % 89 == 0, 429).otherwise(200).cast("bigint").alias("first_try"),
+            F.when(part % 97 == 0, 200).when(part % 89 == 0, 429).otherwise(200).cast("bigint").alias("second_try"),
+        )
+    )
+
+
 def path_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One path lookup per order line: found, absent, or, now and then, failed."""
     part = F.col("l_partkey")

@@ -27,6 +27,8 @@ RUNTIME_CONF = {
     # checkpoint only its changes.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Streams that hand batches to one another keep step only without empty batches.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 _local_root: str | None = None

@@ -65,6 +65,21 @@ def unfit_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return messages.filter((F.trim("value") != "") & (F.size(_one_record(schema)) != 1))
 
 
+def judge_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records, and the messages that hold none with an ``error``; one parse gives both.
+
+    A record has its columns and neither ``payload`` nor ``error``; an unfit
+    message has only those two. Blank messages give neither.
+    """
+    parsed = messages.filter(F.trim("value") != "").select("value", F.explode_outer(_one_record(schema)).alias("r"))
+    unfit = F.col("r").isNull()
+    return parsed.select(
+        *from_wire("r", schema),
+        F.when(unfit, F.col("value")).alias("payload"),
+        F.when(unfit, F.lit("no record")).alias("error"),
+    )
+
+
 def _one_record(schema: T.StructType) -> Column:
     """The record of a message as an array of one, else an empty array."""
     wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))

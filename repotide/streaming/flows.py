@@ -4,26 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repotide.functions.columns import sorted_json
-from repotide.operators.enrich import enrich
 from repotide.operators.quality import judge_lines
 from repotide.session import materialize
 from repotide.sources.published import unpublished
-from repotide.streaming.first_seen import newly_seen
-from repotide.streaming.runs import drain, drain_to_files, write_batch
-
-
-def enrich_topic(
-    repos: DataFrame, stats: DataFrame, evidence: DataFrame, path: str, checkpoint: str
-) -> None:
-    """Stream of records, left joined to the lookup tables, appended to ``path``.
-
-    The lookups are stored before the stream starts: a micro-batch reads their
-    rows and runs nothing that made them.
-    """
-    stats, evidence = materialize(stats, "stats"), materialize(evidence, "evidence")
-    drain_to_files(enrich(repos, stats, evidence), path, checkpoint)
+from repotide.sources.topics import judge_messages
+from repotide.streaming.first_seen import FirstSeen
+from repotide.streaming.intake import Intake
+from repotide.streaming.runs import drain_to_files, write_batch
 
 
 def quarantine_topic(messages: DataFrame, path: str, checkpoint: str) -> None:
@@ -38,22 +28,31 @@ def quarantine_topic(messages: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def publish_topic(
-    records: DataFrame, published: DataFrame, topic: str, log: str, checkpoint: str
-) -> None:
+    messages: DataFrame, schema: T.StructType, published: DataFrame, root: str
+) -> Intake:
     """Send each record once that no earlier run has published, and log its id.
 
     ``published`` is the log of earlier runs. An id enters this run's log only
     after its message is stored. The earlier log is made distinct once, ahead of
-    the stream.
+    the stream. Sent messages are under ``root/sent``, ids under ``root/log``;
+    messages without a record are the intake's unfit ones.
     """
+    spark = messages.sparkSession
     published = materialize(published.select("repo_id").distinct(), "published")
+    first = FirstSeen(spark, f"{root}/first", schema)
 
     def send(batch: DataFrame, batch_id: int) -> None:
         value = sorted_json(batch.columns).alias("value")
-        sent = write_batch(batch.select("repo_id", value), topic, batch_id)
-        write_batch(sent.select("repo_id"), log, batch_id)
-
-    drain(newly_seen(unpublished(records, published)), checkpoint, send, "update")
+        sent = write_batch(batch.select("repo_id", value), f"{root}/sent", batch_id)
+        write_batch(sent.select("repo_id"), f"{root}/log", batch_id)
+
+    first.deliver = send
+    intake = Intake(
+        spark, f"{root}/intake", judge_messages, schema,
+        lambda records, batch_id: first.take(unpublished(records, published), batch_id),
+    )
+    intake.run(messages)
+    return intake
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:

@@ -21,15 +21,18 @@ def _writer(stream: DataFrame, checkpoint: str, on_batch: OnBatch, mode: str):
     )
 
 
-def drain(stream: DataFrame, checkpoint: str, on_batch: OnBatch, mode: str = "append") -> None:
+def drain(
+    stream: DataFrame, checkpoint: str, on_batch: OnBatch, mode: str = "append"
+) -> StreamingQuery:
     """Process everything now in the source, then stop.
 
     Progress is committed only after ``on_batch`` returns; a batch interrupted
     before that is replayed with the same number and rows, so ``on_batch`` writes
     through :func:`write_batch`.
     """
-    writer = _writer(stream, checkpoint, on_batch, mode).trigger(availableNow=True)
-    writer.start().awaitTermination()
+    query = _writer(stream, checkpoint, on_batch, mode).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def follow(
