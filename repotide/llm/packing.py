@@ -67,15 +67,18 @@ LONGEST_RUN = 400
 
 
 def _plain(text: str) -> bool:
-    """Latin characters between single kinds of white space, without overlong runs."""
-    return not (
-        _FOREIGN(text)
-        or "\n " in text
-        or " \n" in text
-        or " " * LONGEST_RUN in text
-        or "\n" * LONGEST_RUN in text
-        or max(map(len, text.split()), default=0) > LONGEST_RUN
-    )
+    """Latin characters between single kinds of white space, without overlong runs.
+
+    A run of :data:`LONGEST_RUN` covers a whole stretch of half its length.
+    """
+    if _FOREIGN(text) or "\n " in text or " \n" in text or " " * LONGEST_RUN in text or "\n" * LONGEST_RUN in text:
+        return False
+    half = LONGEST_RUN // 2
+    for i in range(0, len(text) - half + 1, half):
+        stretch = text[i : i + half]
+        if " " not in stretch and "\n" not in stretch:
+            return False
+    return True
 
 
 class _Known(dict):
@@ -155,9 +158,11 @@ class Encoder:
         self.plain = _Known(self._piece, "")
         self.spaced = _Known(self._piece, " ")
         strings = [self.whole.decode([i]) for i in range(self.whole.get_vocab_size())]
-        self.ends = np.array([s.rstrip("\"')]»”")[-1:] in (".", "!", "?", "…") for s in strings])
-        self.opens = np.array([s[:1].isspace() for s in strings])
-        self.breaks = np.array([s[:1] == "\n" for s in strings])
+        # Per id: 1 ends a sentence, 2 opens with white space, 4 with a line feed.
+        ends = np.array([s.rstrip("\"')]»”")[-1:] in (".", "!", "?", "…") for s in strings])
+        opens = np.array([s[:1].isspace() for s in strings])
+        breaks = np.array([s[:1] == "\n" for s in strings])
+        self.marks = (ends + 2 * opens + 4 * breaks).astype(np.uint8)
 
     def _part(self, part: str) -> bytes:
         mapped = part.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
@@ -197,8 +202,9 @@ class Encoder:
 
     def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
         """Positions between a sentence and the next, by the ids' strings."""
-        before, after = ids[:-1], ids[1:]
-        return np.flatnonzero((self.ends[before] & self.opens[after]) | self.breaks[after]) + 1
+        marks = self.marks[ids]
+        after = marks[1:]
+        return np.flatnonzero((marks[:-1] & 1) & (after >> 1) | (after >> 2)) + 1
 
 
 @cache
@@ -215,7 +221,8 @@ def cut_places(sentences: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray
     known = np.append(sentences, size)
     costs = np.full(len(known), SENTENCE_CUT)
     costs[-1] = 0
-    gaps = np.diff(known, prepend=0)
+    gaps = known.copy()
+    gaps[1:] -= known[:-1]
     wide = np.flatnonzero(gaps > 4 * STRIDE)
     if not len(wide):
         return known, costs
