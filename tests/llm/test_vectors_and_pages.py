@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import pytest
 from oracle_check import connect, mismatch
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -116,6 +117,41 @@ def test_a_saturated_group_gets_all_its_links(spark):
     assert {(r["n_links"], r["component_id"], r["kept"]) for r in found} == {(149, 0, False), (149, 0, True)}
 
 
+def test_vectors_of_other_lengths_are_not_linked(spark):
+    rows = [(i, [1.0, 2.0, 3.0, 4.0][: 2 + i % 3], 1) for i in range(9)] + [(20, [2.0, 4.0], 1), (21, [1.0, 2.0], 2)]
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in knn_graph.near_duplicates(vectors(spark, rows)).collect()}
+    assert found == {**{i: (3 if i % 3 == 0 else 2, i % 3) for i in range(9)}, 20: (3, 0), 21: (0, 21)}
+
+
+def test_the_last_way_is_exact(spark, monkeypatch):
+    rows = clustered(seed=7) + ODD
+    monkeypatch.setattr(knn_graph, "RECALL", 2.0)
+    monkeypatch.setattr(knn_graph, "PASSES", 1)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in knn_graph.near_duplicates(vectors(spark, rows)).collect()}
+    assert found == brute.near_vectors(rows)
+
+
+def test_the_audit_sees_what_is_missing(spark):
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((40, 16))
+    rows = [(i, (base[i % 40] + 1e-3 * rng.standard_normal(16)).tolist(), 1) for i in range(120)]
+    rows += [(500 + i, rng.standard_normal(16).tolist(), 1) for i in range(80)]
+    _, nodes = knn_graph.node_table(vectors(spark, rows))
+    lists = spark.createDataFrame([], "node long, nbr long, sim double")
+    none = spark.createDataFrame([], "node long, links long")
+    assert knn_graph.audit(nodes, lists, none, 0.98) == 0.0
+    first = nodes.filter("first_id < 40").select("node", F.lit(2).cast("long").alias("links"))
+    half = knn_graph.audit(nodes, lists, first, 0.98)
+    assert 0.0 < half < 1.0
+    # Nothing to find says nothing.
+    assert knn_graph.audit(nodes.filter("first_id >= 500"), lists, none, 0.98) is None
+
+
+def test_more_planes_take_more_tables():
+    counts = [knn_graph.tables_for(b, 0.98) for b in range(25)]
+    assert counts[0] == 1 and counts == sorted(counts) and counts[24] < 40
+
+
 def exact_vectors(rows, threshold=0.98):
     """``vec_id -> n_links`` and the number of components, of one label without copies."""
     unit = np.array([v for _, v, _ in rows], float)
@@ -256,7 +292,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_the_pipeline_stage_by_stage(spark):
