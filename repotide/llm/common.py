@@ -23,9 +23,12 @@ BATCH_ROWS = 512
 _shipped: set[str] = set()
 
 
-def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Let Python workers import this package, and send them ``rows`` rows at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers import this package, and send them few rows at a time.
+
+    The number is the same for every operator, whichever plan was built last.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -49,6 +52,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, or with underscores behind it, so that no column is called like it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def by_batch(
     step: Callable[[pa.RecordBatch], pa.RecordBatch],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -24,7 +24,11 @@ BLOCK_ROWS = 4096
 GROUP_ROWS = 1024
 LEAF = 128
 STEP = 256
-FOUND = "query_id long, vec_id long, score long"
+# Scores beyond a long are null and ranked by ``beyond`` and ``digits``.
+FOUND = "query_id long, vec_id long, score long, beyond int, digits string"
+# Products of vectors below this are exact sums in doubles; others are made of Python's numbers.
+SMALL = float(1 << 22)
+EXACT = float(1 << 53)
 
 
 class Node:
@@ -147,14 +151,15 @@ def _run(k: int):
         data = np.concatenate([v for _, v in block])
         query_ids = np.concatenate([i for i, _ in query_rows])
         queries = np.concatenate([v for _, v in query_rows])
+        if np.abs(queries).max() * np.abs(data).max() * data.shape[1] >= EXACT:
+            return _beyond(queries, query_ids, data, ids, k)
+        if not roots:
+            roots.append(tree(data))
         best = _Best(len(queries), min(k, len(ids)))
         search(queries, query_ids, data, ids, roots[0], best)
         real = np.isfinite(best.scores)
         owner = np.broadcast_to(query_ids[:, None], real.shape)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(owner[real]), pa.array(best.ids[real]), pa.array(best.scores[real].astype(np.int64))],
-            names=["query_id", "vec_id", "score"],
-        )
+        return _found(owner[real].tolist(), best.ids[real].tolist(), [int(s) for s in best.scores[real]])
 
     roots: list[Node] = []
 
@@ -163,47 +168,91 @@ def _run(k: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(i).to_numpy() for i in range(2)])
-            ids = batch.column(2).to_numpy()
-            vectors = batch.column(3).flatten().to_numpy().reshape(len(ids), -1).astype(np.float64)
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            ids = batch.column(3).to_numpy()
             edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             edges = [0, *edges.tolist(), len(ids)]
             for start, end in zip(edges, edges[1:]):
                 here = tuple(keys[:, start].tolist())
-                rows = ids[start:end], vectors[start:end]
+                own = batch.column(4).slice(start, end - start)
+                rows = ids[start:end], own.flatten().to_numpy().reshape(end - start, -1)
                 if here != at:
                     if waiting and block:
                         yield found(waiting, block)
                     waiting = []
-                    if at is None or here[0] != at[0]:
+                    if at is None or here[:2] != at[:2]:
                         block = []
                         roots.clear()
                     at = here
-                if here[1] < 0:
-                    block.append(rows)
-                else:
-                    if block and not roots:
-                        roots.append(tree(np.concatenate([v for _, v in block])))
-                    waiting.append(rows)
+                (block if here[2] < 0 else waiting).append(rows)
         if waiting and block:
             yield found(waiting, block)
 
     return run
 
 
+def _found(query_ids: list, ids: list, scores: list[int]) -> pa.RecordBatch:
+    fits = [-(1 << 63) <= s < 1 << 63 for s in scores]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(query_ids, pa.int64()),
+            pa.array(ids, pa.int64()),
+            pa.array([s if fit else None for s, fit in zip(scores, fits)], pa.int64()),
+            pa.array([0 if fit else (1 if s > 0 else -1) for s, fit in zip(scores, fits)], pa.int32()),
+            pa.array([None if fit else _digits(s) for s, fit in zip(scores, fits)], pa.string()),
+        ],
+        names=["query_id", "vec_id", "score", "beyond", "digits"],
+    )
+
+
+def _digits(score: int) -> str:
+    """Text that sorts like numbers of one sign."""
+    shown = f"{len(str(abs(score))):05d}{abs(score)}"
+    return shown if score > 0 else shown.translate(str.maketrans("0123456789", "9876543210"))
+
+
+def _beyond(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int) -> pa.RecordBatch:
+    """The same where doubles could not hold the sums.
+
+    Small vectors meet by trees as ever. Of the others each pair is made exactly.
+    """
+    few, usual = np.abs(queries).max(axis=1) < SMALL, np.abs(data).max(axis=1) < SMALL
+    scores: dict[int, list[tuple[int, int]]] = {i: [] for i in range(len(queries))}
+    if few.any() and usual.any():
+        best = _Best(int(few.sum()), min(k, int(usual.sum())))
+        search(queries[few], query_ids[few], data[usual], ids[usual], tree(data[usual]), best)
+        for i, own_scores, own_ids in zip(np.flatnonzero(few).tolist(), best.scores, best.ids):
+            scores[i] += [(-int(s), int(j)) for s, j in zip(own_scores, own_ids) if np.isfinite(s)]
+    numbers = [[int(x) for x in row] for row in data.tolist()]
+    for i, query in enumerate(queries.tolist()):
+        whole = [int(x) for x in query]
+        others = range(len(data)) if not few[i] else np.flatnonzero(~usual).tolist()
+        scores[i] += [
+            (-sum(a * b for a, b in zip(whole, numbers[j])), int(ids[j])) for j in others if ids[j] != query_ids[i]
+        ]
+    rows = [(int(query_ids[i]), j, -s) for i, own in scores.items() for s, j in heapq.nsmallest(k, own)]
+    return _found(*map(list, zip(*rows))) if rows else _found([], [], [])
+
+
 def whole_numbers(vectors: DataFrame, column: str = "embedding", scale: int = 256) -> DataFrame:
     """``vec_id, v``: components times ``scale``, rounded down; one row per id.
 
-    Rows without id, and vectors that are null, empty or hold a null or
-    non-finite component, take no part. Of several vectors with an id the
+    Rows without id, and vectors that are null, empty or hold a component that is
+    null or non-finite, also after scaling, take no part. The numbers are kept as
+    doubles, which hold every such component exactly. Of several vectors with an id the
     smallest counts, so that repeated rows count once.
     """
-    scaled = F.transform(column, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    def whole(x):
+        # From 2**53 on every double is a whole number.
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < float(1 << 60), F.floor(y).cast("double")).otherwise(y)
+
+    scaled = F.transform(column, whole)
     usable = F.coalesce(
         (F.size(column) > 0)
         & F.forall(
             column,
-            lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float(1 << 40)),
+            lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < float("inf")),
         ),
         F.lit(False),
     )
@@ -218,17 +267,20 @@ def whole_numbers(vectors: DataFrame, column: str = "embedding", scale: int = 25
 def top_k(queries: DataFrame, data: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` rows of largest inner product.
 
-    Both inputs are ``(vec_id, v)`` of whole numbers, equally long. A query's own
-    id is no result; ties go to the smaller id; with fewer rows all are returned.
-    The queries go to every block once.
+    Both inputs are ``(vec_id, v)`` of whole numbers. A query is compared with the
+    vectors of its length. Its own id is no result; ties go to the smaller id; with
+    fewer rows all are returned. A score beyond a long is null, in its rank. The
+    queries go to every block once.
     """
-    prepare(data.sparkSession, rows=4096)
+    prepare(data.sparkSession)
     blocks = max(1, -(-data.count() // block_rows))
     groups = max(1, -(-queries.count() // GROUP_ROWS))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
     group = F.pmod(F.xxhash64("vec_id"), F.lit(groups))
-    stored = data.select(block.alias("block"), F.lit(-1).cast("long").alias("part"), "vec_id", "v")
+    width = F.size("v").cast("long").alias("width")
+    stored = data.select(width, block.alias("block"), F.lit(-1).cast("long").alias("part"), "vec_id", "v")
     asked = queries.select(
+        width,
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
         group.alias("part"),
         "vec_id",
@@ -236,11 +288,11 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 5, block_rows: int = BLO
     )
     found = (
         stored.union(asked)
-        .repartition("block")
-        .sortWithinPartitions("block", "part", "vec_id")
+        .repartition("width", "block")
+        .sortWithinPartitions("width", "block", "part", "vec_id")
         .mapInArrow(_run(k), FOUND)
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("score"), F.desc("digits"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
@@ -29,6 +30,8 @@ PATH_PLACES, WORD_PLACES, MEASURES = 96, 32, 6
 WIDTH = PATH_PLACES + WORD_PLACES + MEASURES
 HIDDEN = 16
 EPOCHS, BATCH, RATE = 14, 64, 0.02
+# Blocks of a batch with its padding, and steps whose input product is made at once.
+PADDED, STRETCH = 16_384, 2_048
 SAMPLE_PAGES = 200
 WRITTEN_PAGES = 600
 
@@ -38,9 +41,10 @@ _RAW = "script|style|title"
 _SILENT = frozenset("noscript template svg iframe object textarea select".split())
 _IN_HEAD = frozenset("base link meta noscript template".split())
 _SILENT_TAG = re.compile(rf"<(/?)({'|'.join(sorted(_SILENT))})(?=[\s/>])[^>]*>", re.I)
+# A tag with an unclosed quote ends at the next bracket.
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>|<[!?][^>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -52,19 +56,42 @@ _VOID = frozenset("area base br col embed hr img input link meta source track wb
 _CLOSED_BY = {"p": None, "li": ("ul", "ol"), "td": ("tr",), "th": ("tr",), "tr": ("table",), "dt": ("dl",), "dd": ("dl",)}
 
 
+class Place:
+    """An open element: its names, and in bits the names of all elements it is in."""
+
+    __slots__ = ("parent", "names", "bits", "telling")
+
+    def __init__(self, parent: Place | None, names: tuple[str, ...]) -> None:
+        self.parent, self.names = parent, names
+        self.bits, self.telling = _bits(names)
+        if parent:
+            self.bits |= parent.bits
+            self.telling |= parent.telling
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    place: Place | None
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Names of the elements around the block, outermost first."""
+        found, place = [], self.place
+        while place:
+            found.append(place.names)
+            place = place.parent
+        return tuple(n for names in reversed(found) for n in names)
+
 
 def _silent_ends(html: str) -> dict[int, int]:
     """Where the silent elements that have an end tag start and end; an end tag belongs to the nearest start."""
     started: dict[str, list[int]] = {}
     ends = {}
-    for m in _SILENT_TAG.finditer(html):
+    # Behind the last bracket no tag ends.
+    for m in _SILENT_TAG.finditer(html, 0, html.rfind(">") + 1):
         name = m.group(2).lower()
         if m.group(1):
             if started.get(name):
@@ -83,41 +110,49 @@ def blocks(html: str | None) -> list[Block]:
     without end tag only the tag is skipped.
     """
     html = html or ""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Place]] = []
+    # Depths at which each element is open.
+    depths: dict[str, list[int]] = {}
     found: list[Block] = []
-    current = Block(())
+    current = Block(None)
     link, at = 0, 0
 
     def close() -> None:
         nonlocal current
-        current.text = " ".join(unescape("".join(current.parts)).split())
+        current.text = " ".join("".join(current.parts).split())
         if current.text:
             found.append(current)
-        current = Block(tuple(n for _, names in stack for n in names))
+        current = Block(stack[-1][1] if stack else None)
 
     def pop(name: str, within: tuple[str, ...] = ()) -> bool:
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] == name:
-                del stack[depth:]
-                return True
-            if stack[depth][0] in within:
-                return False
-        return False
+        """Close the innermost ``name`` and all inside it, unless it lies beyond ``within``."""
+        own = depths.get(name)
+        if not own or any(depths.get(w, [-1])[-1:] > own[-1:] for w in within):
+            return False
+        depth = own[-1]
+        while len(stack) > depth:
+            depths[stack.pop()[0]].pop()
+        return True
 
     def write(piece: str) -> None:
         if piece:
+            # References are decoded by stretch: none reaches over a tag.
+            piece = unescape(piece)
             current.parts.append(piece)
             if link:
                 current.linked += len(piece)
 
     silent_ends = _silent_ends(html)
+    limit = html.rfind(">") + 1
     # Text of an open head: dropped at its end tag, part of the page without one.
     held: list[str] | None = None
-    while m := _TOKEN.search(html, at):
+    while m := _TOKEN.search(html, at, limit):
         (write if held is None else held.append)(html[at : m.start()])
         at = m.end()
         name = m.group(3)
         if name is None:
+            if at == limit and _unclosed(m):
+                at = len(html)
             continue
         name, ends = name.lower(), m.group(2) == "/"
         if name == "head":
@@ -136,25 +171,33 @@ def blocks(html: str | None) -> list[Block]:
                 write(" ")
             continue
         if ends:
-            if any(s[0] == name for s in stack):
+            if depths.get(name):
                 close()
                 pop(name)
                 link = 0
-                current.path = tuple(n for _, names in stack for n in names)
+                current.place = stack[-1][1] if stack else None
             continue
         close()
         pop("p")
         if name in _CLOSED_BY and name != "p":
             pop(name, _CLOSED_BY[name])
         if name not in _VOID:
-            stack.append((name, _names(name, m.group(4) or "")))
-        current.path = tuple(n for _, names in stack for n in names)
+            depths.setdefault(name, []).append(len(stack))
+            stack.append((name, Place(stack[-1][1] if stack else None, _names(name, m.group(4) or ""))))
+        current.place = stack[-1][1] if stack else None
     write("".join(held or ()))
-    write(html[at:])
+    write(html[at:].split("<!--", 1)[0])
     close()
     return found
 
 
+def _unclosed(m: re.Match) -> bool:
+    """A comment or raw text that goes on to the end of the page."""
+    if m.group(1):
+        return not re.search(rf"</{m.group(1)}\s*>\Z", m.string[max(m.start(), m.end() - 64) : m.end()], re.I)
+    return m.group()[:4] == "<!--" and m.group()[-3:] != "-->"
+
+
 @lru_cache(4096)
 def _names(tag: str, attributes: str) -> tuple[str, ...]:
     words = [w for groups in _NAMES.findall(attributes) for w in re.split(r"[\s_-]+", "".join(groups).lower()) if w]
@@ -176,21 +219,34 @@ class _Places(dict):
 
 
 _PATH, _WORDS = _Places(PATH_PLACES), _Places(WORD_PLACES)
+_MAIN = frozenset(("article", "main"))
+_ASIDE = frozenset("nav header footer aside form .ad .ads .comments .sidebar .cookie .notice".split())
+
+
+@lru_cache(4096)
+def _bits(names: tuple[str, ...]) -> tuple[int, int]:
+    """Hash places of names, and whether they tell of an article (1) or of what is none (2)."""
+    bits = 0
+    for name in names:
+        bits |= 1 << _PATH[name]
+    return bits, (1 if _MAIN & set(names) else 0) | (2 if _ASIDE & set(names) else 0)
 
 
 def vectors(page: list[Block]) -> np.ndarray:
     """One row per block."""
     x = np.zeros((len(page), WIDTH), np.float32)
+    packed = b"".join((b.place.bits if b.place else 0).to_bytes(PATH_PLACES // 8, "little") for b in page)
+    bits = np.unpackbits(np.frombuffer(packed, np.uint8).reshape(len(page), PATH_PLACES // 8), axis=1, bitorder="little")
+    x[:, :PATH_PLACES] = bits
     for i, block in enumerate(page):
-        for name in block.path:
-            x[i, _PATH[name]] = 1
         words = block.text.lower().split()
         at = np.bincount([_WORDS[w] for w in words], minlength=WORD_PLACES)
         x[i, PATH_PLACES : PATH_PLACES + WORD_PLACES] = at / len(words)
         size = len(block.text)
         x[i, -MEASURES:] = (
             np.log1p(size) / 8, np.log1p(len(words)) / 6, min(block.linked / size, 1),
-            sum(map(block.text.count, ".,;!?")) / size * 10, (i + 1) / len(page), block.path[-1:] == ("p",),
+            sum(map(block.text.count, ".,;!?")) / size * 10, (i + 1) / len(page),
+            block.place is not None and block.place.names[-1:] == ("p",),
         )
     return x
 
@@ -268,15 +324,58 @@ class Labeller:
         """Probability of each block of each page to be article text."""
         found: list[np.ndarray] = [np.empty(0, np.float32)] * len(pages)
         order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        for start in range(0, len(order), BATCH):
-            own = order[start : start + BATCH]
+        for own in _batches(order, [len(p) for p in pages]):
             x, mask = _stacked([pages[i] for i in own])
-            p = _sigmoid(self._states(x, mask)[2] @ self.out[:-1] + self.out[-1])
+            states = _run(x, self.ahead, mask), _run(x[::-1], self.back, mask[::-1])[::-1]
+            p = _sigmoid(np.concatenate(states, axis=2) @ self.out[:-1] + self.out[-1])
             for j, i in enumerate(own):
                 found[i] = p[: len(pages[i]), j]
         return found
 
 
+def _batches(order: list[int], sizes: list[int]) -> Iterator[list[int]]:
+    """Pages of ascending length, so many that a batch padded to its longest stays small."""
+    own: list[int] = []
+    for i in order:
+        if own and (len(own) == BATCH or sizes[i] * (len(own) + 1) > PADDED):
+            yield own
+            own = []
+        own.append(i)
+    if own:
+        yield own
+
+
+def _run(x: np.ndarray, w: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The states of :func:`_forward` alone; only those are kept."""
+    steps, pages = x.shape[:2]
+    # tanh(z) is 2 sigmoid(2 z) - 1, so one sigmoid does for all gates.
+    double = np.concatenate([np.ones(3 * HIDDEN), np.full(HIDDEN, 2.0)]).astype(x.dtype)
+    recurrent, open_ = w[WIDTH:-1] * double, mask.astype(bool)
+    states = np.empty((steps, pages, HIDDEN), x.dtype)
+    h = np.zeros((pages, HIDDEN), x.dtype)
+    c = np.zeros_like(h)
+    for first in range(0, steps, STRETCH):
+        inner = (x[first : first + STRETCH] @ w[:WIDTH] + w[-1]) * double
+        for t in range(len(inner)):
+            z = h @ recurrent
+            z += inner[t]
+            np.maximum(z, -30, out=z)
+            np.negative(z, out=z)
+            np.exp(z, out=z)
+            z += 1
+            np.reciprocal(z, out=z)
+            new_c = z[:, HIDDEN : 2 * HIDDEN] * c
+            new_c += z[:, :HIDDEN] * (2 * z[:, 3 * HIDDEN :] - 1)
+            new_h = z[:, 2 * HIDDEN : 3 * HIDDEN] * np.tanh(new_c)
+            if open_[first + t].all():
+                h, c = new_h, new_c
+            else:
+                on = open_[first + t][:, None]
+                h, c = np.where(on, new_h, h), np.where(on, new_c, c)
+            states[first + t] = h
+    return states
+
+
 def train(pages: list[np.ndarray], labels: list[np.ndarray], seed: int = 4) -> Labeller:
     """Adam on the mean log loss of the blocks."""
     rng = np.random.default_rng(seed)
@@ -317,8 +416,7 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], seed: int = 4) -> L
 
 def told(page: list[Block]) -> np.ndarray | None:
     """Labels by telling tags; none if the page has no such article."""
-    aside = {"nav", "header", "footer", "aside", "form", ".ad", ".ads", ".comments", ".sidebar", ".cookie", ".notice"}
-    labels = np.array([("article" in b.path or "main" in b.path) and not aside & set(b.path) for b in page], np.float32)
+    labels = np.array([b.place is not None and b.place.telling == 1 for b in page], np.float32)
     return labels if labels.any() else None
 
 
@@ -367,6 +465,23 @@ def written_pages(count: int = WRITTEN_PAGES, seed: int = 9) -> list[tuple[str,
         return pick((f"<footer>{text}</footer>", f"<footer><p>{text}</p></footer>",
                      f"{named('div', ('footer', 'page-footer', 'copyright'))}{text}</div>")), [0]
 
+    def unusual(count):
+        texts = [f"{prose()} {prose()} {prose()}" for _ in range(count)]
+        kind = pick(("div", "section", "td", "dd", "figcaption", "bare"))
+        if kind == "td":
+            inner = "".join(f"<tr><td>{t}</td></tr>" for t in texts)
+            return f"{pick(('<table>', named('table', ('layout', 'page', 'outer'))))}{inner}</table>", [1] * count
+        if kind == "dd":
+            inner = "".join(f"<dt>{words(1, 5)}</dt><dd>{t}</dd>" for t in texts)
+            return f"<dl>{inner}</dl>", [1, 1] * count
+        if kind == "figcaption":
+            inner = "".join(f"<figure><img src=x.png><figcaption>{t}</figcaption></figure>" for t in texts)
+            return f"<div>{inner}</div>", [1] * count
+        if kind == "bare":
+            return "<hr>".join(texts), [1] * count
+        inner = "".join(f"<{kind}>{t}</{kind}>" for t in texts)
+        return pick((inner, f"<div>{inner}</div>", f"<div><div>{inner}</div></div>")), [1] * count
+
     def article():
         parts, labels = [f"<h1>{words(2, 9)}</h1>"], [1]
         for _ in range(rng.integers(1, 12)):
@@ -386,6 +501,9 @@ def written_pages(count: int = WRITTEN_PAGES, seed: int = 9) -> list[tuple[str,
                 inner, own = pick((advert, form, side, share))()
                 parts.append(inner)
                 labels += own
+        if rng.random() < 0.2:
+            # Prose counts whatever holds it.
+            return unusual(pick((1, 2, 3, 6)))
         start, end = pick((
             ("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
             (named("div", ("content", "post-body", "entry-content", "story", "article-body", "main")), "</div>"),
@@ -409,8 +527,10 @@ def fit(pages: DataFrame, max_pages: int = SAMPLE_PAGES) -> Labeller:
     """Learn from written pages and from at most ``max_pages`` given ones, by hash of their id."""
     prepare(pages.sparkSession)
     sample = pages.select("page_id", "html").filter("page_id is not null and html is not null")
-    wanted = sample.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
-    given = sample.join(F.broadcast(wanted), "page_id", "left_semi").toArrow().sort_by("page_id")
+    wanted = sample.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
+    # At most max_pages ids are broadcast; of rows that share an id one is learnt.
+    one = sample.join(F.broadcast(wanted), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html"))
+    given = one.toArrow().sort_by("page_id")
     x, y = [], []
     for html, labels in written_pages():
         page = blocks(html)

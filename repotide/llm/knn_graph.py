@@ -45,7 +45,7 @@ ENLARGE = 4
 CHUNK, BUCKET = 256, 128
 MISSED = 0.002
 STEPS = 3
-SETTLED = 0.02
+SETTLED, NEAR = 0.02, 0.05
 RECALL = 0.99
 PASSES = 3
 # Sampled nodes: this many for each square root of the nodes, within bounds.
@@ -299,15 +299,16 @@ def _descend(
     found = [_first(nodes, threshold, keep, seed)]
     start = found[0].select("node", "nbr", "sim")
     lists = materialize(_best(start if lists is None else start.union(lists), none, keep), "lists")
-    count = nodes.count()
     for turn in range(STEPS):
         keeps = materialize(_keeps(lists, threshold, keep), "keeps")
         found.append(_step(lists, keeps, nodes, threshold, keep, seed * STEPS + turn))
         better = found[-1].filter("not link").select("node", "nbr", "sim")
         before, lists = lists, materialize(_best(lists.union(better), keeps, keep), "lists")
-        if lists.join(before, ["node", "nbr"], "left_anti").count() <= SETTLED * count * keep:
+        # What happens far below the threshold makes no link.
+        near = lists.filter(F.col("sim") >= threshold - NEAR)
+        if near.join(before, ["node", "nbr"], "left_anti").count() <= SETTLED * near.count():
             break
-    at = [f.filter(F.col("sim") >= threshold).select(F.col("node").alias("u"), F.col("nbr").alias("v")) for f in found]
+    at = [f.filter("link").select(F.col("node").alias("u"), F.col("nbr").alias("v")) for f in found]
     return lists, at
 
 

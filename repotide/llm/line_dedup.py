@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repotide.llm.common import materialize
+from repotide.llm.common import materialize, unused
 
 MIN_SITES = 10
 # 4096 registers: a standard error of 1.6 %, exact for small counts.
@@ -72,34 +72,44 @@ def remove_boilerplate(
     one blank line. Rows without a site count for no site. Fully repeated rows
     are treated as one document. ``text`` is empty where every line went.
     """
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    docs = docs.select(*columns)
+    kept = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")])
+    return _without(kept, site, min_sites, "n_lines", "n_removed")
+
+
+def _without(docs: DataFrame, site: str, min_sites: int, n_lines: str, n_removed: str) -> DataFrame:
+    """All columns of ``docs``, and the two counts under names that it does not use."""
+    columns = docs.columns
+    doc, parts, gone = (unused([*columns, n_lines, n_removed], c) for c in ("doc", "parts", "gone"))
     found = materialize(boilerplate(docs, site, min_sites), "boilerplate")
     repeats = (
         _lines(docs, site)
         .join(found, "line")
         .filter((F.col("doc") != F.col("first.doc")) | (F.col("pos") != F.col("first.pos")))
-        .select("doc", "pos")
+        .select(F.col("doc").alias(doc), "pos")
         .distinct()
-        .groupBy("doc")
-        .agg(F.collect_list("pos").alias("gone"))
+        .groupBy(doc)
+        .agg(F.array_sort(F.collect_list("pos")).alias(gone))
     )
-    lines = F.split("text", "\n")
-    gone = F.coalesce("gone", F.array().cast("array<int>"))
-    stays = F.filter(lines, lambda line, i: ~F.array_contains(F.col("gone"), i))
+    # What stays are the stretches between lines that go, so each line is copied once.
+    before = F.concat(F.array(F.lit(-1)), F.col(gone))
+    behind = F.concat(F.col(gone), F.array(F.size(parts)))
+    stays = F.flatten(F.zip_with(before, behind, lambda a, b: F.slice(F.col(parts), a + 2, b - a - 1)))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
     return (
-        docs.withColumn("doc", _key("doc_id", "text"))
-        .join(repeats, "doc", "left")
-        .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"))
-        .withColumn("n_removed", F.size(gone).cast("long"))
-        .withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")))
-        .select(*columns, "n_lines", "n_removed")
+        docs.withColumn(doc, _key("doc_id", "text"))
+        .withColumn(parts, F.split("text", "\n"))
+        .join(repeats, doc, "left")
+        .select(
+            *(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns),
+            F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias(n_lines),
+            F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(n_removed),
+        )
     )
 
 
 def cleaned(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """The pipeline's form: own columns, less documents of which nothing is left."""
-    kept = remove_boilerplate(docs, site, min_sites)
-    emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", "\n", "")) == "")
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return kept.filter(~F.coalesce(emptied, F.lit(False))).select(*own)
+    n_lines, n_removed = (unused(docs.columns, c) for c in ("n_lines", "n_removed"))
+    kept = _without(docs, site, min_sites, n_lines, n_removed)
+    emptied = (F.col(n_removed) > 0) & (F.trim(F.regexp_replace("text", "\n", "")) == "")
+    return kept.filter(~F.coalesce(emptied, F.lit(False))).select(*(F.col(f"`{c}`") for c in docs.columns))

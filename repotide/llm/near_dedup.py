@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repotide.llm.common import by_batch, materialize, prepare
+from repotide.llm.common import by_batch, materialize, prepare, unused
 from repotide.llm.graph import components
 
 WORDS = 5
@@ -51,7 +51,7 @@ FINE = "class_id long, fine array<long>, few array<long>"
 BITS = ("b0", "b1", "b2", "b3")
 
 SIGNATURES = (
-    "doc_id long, row_key long, n_shingles long, class_id long, sig array<int>, "
+    "doc_id long, row_key struct<a:long,b:long>, n_shingles long, class_id long, sig array<int>, "
     "b0 long, b1 long, b2 long, b3 long"
 )
 
@@ -162,8 +162,9 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _row_key() -> Column:
-    """Tells rows apart that share an id or have none; repeated rows share it."""
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+    """Tells rows apart, by 128 bits, that share an id or have none; repeated rows share it."""
+    own = F.col("doc_id").cast("long"), F.col("text")
+    return F.struct(F.xxhash64(*own).alias("a"), F.xxhash64(F.lit(1), *own).alias("b"))
 
 
 def sign(docs: DataFrame) -> DataFrame:
@@ -486,16 +487,12 @@ def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Rows without words stay, save for repeats of the same row. All columns stay.
     """
+    key = unused(docs.columns, "row_key")
     first = (
         _assigned(docs, percent)
-        .groupBy(F.coalesce("root", "row_key").alias("group"), F.col("root").isNull())
+        .groupBy("root", F.when(F.col("root").isNull(), F.col("row_key")).alias("group"))
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
-        .select(F.col("first.row_key").alias("_row_key"))
+        .select(F.col("first.row_key").alias(key))
         .distinct()
     )
-    return (
-        docs.withColumn("_row_key", _row_key())
-        .join(first, "_row_key", "left_semi")
-        .dropDuplicates(["_row_key"])
-        .drop("_row_key")
-    )
+    return docs.withColumn(key, _row_key()).join(first, key, "left_semi").dropDuplicates([key]).drop(key)

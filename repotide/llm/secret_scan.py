@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repotide.llm.common import add_column
+from repotide.llm.common import add_column, unused
 
 THRESHOLD = 0.5
 TREES, DEPTH, LEAF = 40, 10, 3
@@ -295,8 +295,9 @@ def scan(docs: DataFrame, forest: Forest, path: str = "source") -> DataFrame:
     pass through (one named ``findings`` is replaced), repeated rows each get
     their findings.
     """
-    own = [c for c in docs.columns if c not in ("findings", "_scan")]
-    packed = docs.select(*own, F.struct("text", F.col(path).cast("string").alias("path")).alias("_scan"))
+    own = [c for c in docs.columns if c.lower() != "findings"]
+    seen = unused([*own, "findings"], "scan")
+    packed = docs.select(*own, F.struct("text", F.col(path).cast("string").alias("path")).alias(seen))
 
     def values(rows: list) -> pa.Array:
         spans = scan_texts([r["text"] for r in rows], [r["path"] for r in rows], forest)
@@ -304,13 +305,14 @@ def scan(docs: DataFrame, forest: Forest, path: str = "source") -> DataFrame:
         kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
         return pa.array(found, pa.list_(kind))
 
-    return add_column(packed, "findings", FINDING, values, text="_scan").drop("_scan")
+    return add_column(packed, "findings", FINDING, values, text=seen).drop(seen)
 
 
 def redacted(docs: DataFrame, forest: Forest, path: str = "source", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by :data:`MASK`; no row goes."""
     own = docs.columns
-    packed = docs.withColumn("_scan", F.struct("text", F.col(path).cast("string").alias("path")))
+    seen, masked_text = unused(own, "scan"), unused(own, "masked")
+    packed = docs.withColumn(seen, F.struct("text", F.col(path).cast("string").alias("path")))
 
     def values(rows: list) -> pa.Array:
         texts, masked = [r["text"] for r in rows], []
@@ -321,5 +323,5 @@ def redacted(docs: DataFrame, forest: Forest, path: str = "source", threshold: f
             masked.append(text)
         return pa.array(masked, pa.string())
 
-    safe = add_column(packed, "_masked", "string", values, text="_scan")
-    return safe.select(*(F.col("_masked").alias("text") if c == "text" else c for c in own))
+    safe = add_column(packed, masked_text, "string", values, text=seen)
+    return safe.select(*(F.col(masked_text).alias("text") if c == "text" else F.col(f"`{c}`") for c in own))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from repotide.llm.common import prepare
+from repotide.llm.common import prepare, unused
 
 SHARDS = 40
 BUCKET_BYTES = 32 << 20
@@ -48,7 +48,7 @@ def _bucket_of(buckets: int, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), F.lit(buckets)).cast("int")
 
 
-def _deal(seed: int, columns: list[str]):
+def _deal(seed: int, columns: list[str], places: tuple[str, ...]):
     """Give the rows of each bucket, which follow each other, their slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +58,7 @@ def _deal(seed: int, columns: list[str]):
                 continue
             shard, bucket, base, rows = (
                 batch.column(batch.schema.names.index(c)).to_numpy()
-                for c in ("shard", "_bucket", "_base", "_rows")
+                for c in places
             )
             changes = np.flatnonzero((shard[1:] != shard[:-1]) | (bucket[1:] != bucket[:-1])) + 1
             edges = [0, *changes.tolist(), batch.num_rows]
@@ -88,8 +88,9 @@ def shuffled(
     both, any may get any of their slots. Empty input gives no rows.
     """
     prepare(docs.sparkSession)
-    taken = ("shard", "grown_shard", "slot", "_bucket", "_base", "_rows")
-    own = [c for c in docs.columns if c not in taken]
+    given = ("shard", "grown_shard", "slot")
+    own = [c for c in docs.columns if c.lower() not in given]
+    bucket, base, rows = (unused([*own, *given], c) for c in ("bucket", "base", "rows"))
     total = docs.agg(F.sum(size_of())).first()[0] or 0
     # Twice the buckets that would do if hashes were even.
     buckets = max(1, -(-2 * total // (shards * bucket_bytes)))
@@ -97,20 +98,20 @@ def shuffled(
         *own,
         shard_of("doc_id", shards, seed).alias("shard"),
         shard_of("doc_id", shards + 1, seed).alias("grown_shard"),
-        _bucket_of(buckets, seed).alias("_bucket"),
+        _bucket_of(buckets, seed).alias(bucket),
     )
-    sizes = scattered.groupBy("shard", "_bucket").agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.withColumn("_base", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    sizes = scattered.groupBy("shard", bucket).agg(F.count("*").alias(rows))
+    before = Window.partitionBy("shard").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.withColumn(base, F.coalesce(F.sum(rows).over(before), F.lit(0)))
     columns = [*own, "shard", "grown_shard"]
     # The explicit exchange keeps a bucket in one task, whatever the join does.
     ready = (
-        scattered.join(bases, ["shard", "_bucket"])
-        .repartition("shard", "_bucket")
-        .sortWithinPartitions("shard", "_bucket", "doc_id", F.xxhash64("text"))
+        scattered.join(bases, ["shard", bucket])
+        .repartition("shard", bucket)
+        .sortWithinPartitions("shard", bucket, "doc_id", F.xxhash64("text"))
     )
     schema = scattered.select(*columns).schema.add("slot", LongType())
-    return ready.mapInArrow(_deal(seed, columns), schema)
+    return ready.mapInArrow(_deal(seed, columns, ("shard", bucket, base, rows)), schema)
 
 
 def write_shards(dealt: DataFrame, path: str) -> None:

@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repotide.llm.common import add_column, by_batch, materialize, prepare
+from repotide.llm.common import add_column, by_batch, materialize, prepare, unused
 
 HASH_BITS = 18
 SIZES = (3, 4, 5)
 MAX_ROWS = 8_000
-MAX_FEATURES = 8_192
+# Log-count ratio, weighted by how often an n-gram stands in either class, that makes it a feature.
+LEAST_STRENGTH = 0.2
 THRESHOLD = 0.7
 SMOOTHING = 1.0
 PENALTY = 1e-4
@@ -107,7 +108,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, least_strength: float = LEAST_STRENGTH
 ) -> Model:
     """Learn from ``labels (doc_id, toxic)`` outside the held-out part.
 
@@ -129,6 +130,9 @@ def fit(
     sample = materialize(
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
+        .groupBy("doc_id")
+        # Of rows that share an id one is learnt, so the bound holds for rows too.
+        .agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
         .select("text", "toxic", "doc_id"),
         "labelled",
     )
@@ -146,8 +150,8 @@ def fit(
         .groupBy("gram")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .select("gram", ratio.alias("ratio"), (F.abs(ratio) * F.sqrt(p + q)).alias("strength"))
-        .orderBy(F.desc("strength"), "gram")
-        .limit(max_features)
+        .filter(F.col("strength") >= least_strength)
+        .orderBy("gram")
         .toPandas()
     )
     slots = np.full(1 << HASH_BITS, -1, np.int32)
@@ -175,13 +179,13 @@ def fit(
     return Model(full, offset)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with ``score``; null and empty texts get the offset's score."""
 
     def values(texts: list) -> pa.Array:
         return pa.array([model.score(t) for t in texts], pa.float64())
 
-    return add_column(docs, "score", "double", values)
+    return add_column(docs, name, "double", values)
 
 
 def predicted(threshold: float = THRESHOLD) -> F.Column:
@@ -190,6 +194,5 @@ def predicted(threshold: float = THRESHOLD) -> F.Column:
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` scored below ``threshold``, with their own columns."""
-    columns = [c for c in docs.columns if c != "score"]
-    kept = score(docs.select(*columns), model).filter(F.col("score") < threshold)
-    return kept.select(*columns)
+    name = unused(docs.columns, "score")
+    return score(docs, model, name).filter(F.col(name) < threshold).drop(name)
