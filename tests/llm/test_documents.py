@@ -2,6 +2,7 @@
 
 import json
 import re
+import zlib
 from hashlib import sha256
 
 import brute
@@ -36,6 +37,42 @@ def odd(spark):
     )
 
 
+# --- columns that are called like the operators' own
+
+
+def test_columns_called_like_helpers_stay(spark):
+    names = ["doc", "gone", "parts", "scan", "masked", "row_key", "_row_key", "score", "n_lines", "n_removed", "Bucket", "base", "rows", "_scan"]
+    base = odd(spark).drop("score").select("doc_id", "text", "source", *(F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in names))
+
+    def intact(frame, columns=names):
+        found = frame.select("doc_id", *[F.col(f"`{c}`") for c in columns]).collect()
+        assert found
+        for r in found:
+            assert [r[c] for c in columns] == [None if r["doc_id"] is None else f"{c}-{r['doc_id']}" for c in columns]
+
+    forest = secret_scan.train(secret_scan.labelled_findings(400))
+    model = toxicity.Model(np.zeros(1 << toxicity.HASH_BITS), -3.0)
+    counted = [c for c in names if c not in ("n_lines", "n_removed")]
+    intact(line_dedup.remove_boilerplate(base), counted)
+    for kept in (line_dedup.cleaned(base), near_dedup.one_of_each(base), secret_scan.redacted(base, forest), toxicity.without_toxic(base, model)):
+        assert kept.columns == base.columns
+        intact(kept)
+    intact(secret_scan.scan(base, forest))
+    intact(sharding.shuffled(base, shards=3))
+
+
+def test_rows_that_share_a_learnt_id_are_one(spark):
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(8)], "doc_id long, toxic int")
+    texts = spark.createDataFrame([(i % 8, f"text {i} {'vile' if i % 2 else 'kind'} words") for i in range(2000)], "doc_id long, text string")
+    seen = []
+    learn, toxicity._descend = toxicity._descend, lambda *a: (seen.append(len(a[1])), learn(*a))[1]
+    try:
+        toxicity.fit(texts, labels)
+    finally:
+        toxicity._descend = learn
+    assert seen == [len([i for i in range(8) if zlib.crc32(str(i).encode()) % 3 != 1])]
+
+
 # --- near duplicates
 
 
@@ -163,7 +200,7 @@ def test_toxicity_of_odd_rows(spark):
     alone = toxicity.fit(given_docs, labels.limit(0))
     assert alone.score("anything") == alone.score(None) == 0.5
     kept = toxicity.without_toxic(given_docs, alone, 0.7)
-    assert kept.columns == given_docs.drop("score").columns and kept.count() == 12
+    assert kept.columns == given_docs.columns and kept.count() == 12
 
 
 # --- secrets

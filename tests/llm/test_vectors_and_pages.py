@@ -69,6 +69,22 @@ def test_top_k_equals_brute_force(spark, block_rows):
     assert found.count() == len(expected_top(rows))
 
 
+def test_top_k_of_large_components_and_of_other_lengths(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, np.floor(4 * rng.standard_normal(6)).tolist(), 0) for i in range(60)]
+    rows += [(100, [2.0**41, 1.0, 0, 0, 0, 0], 0), (101, [-(2.0**41)] + [1.0] * 5, 0), (102, [1e30] * 6, 0), (150, [-3e38, 1.0, 2.0, 0, 0, 0], 0)]
+    rows += [(200, [1.0, 2.0], 0), (201, [3.0, 4.0], 0), (202, [5.0, 6.0, 7.0], 0), (250, [1.0] * 6, 0)]
+    data = cover_tree.whole_numbers(vectors(spark, rows))
+    exact = {i: [int(256 * np.float32(x)) if abs(x) > 1e6 else int(np.floor(256 * x)) for x in v] for i, v, _ in rows}
+    expected = set()
+    for q, v in exact.items():
+        if q % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in exact.items() if j != q and len(w) == len(v))
+            expected |= {(q, n + 1, j, -s if abs(s) < 1 << 63 else None) for n, (s, j) in enumerate(scores[:5])}
+    assert {tuple(r) for r in cover_tree.top_k(data.filter("vec_id % 50 = 0"), data, 5, 16).collect()} == expected
+    assert any(r[3] is None for r in expected)
+
+
 def test_top_k_of_few_rows(spark):
     data = cover_tree.whole_numbers(vectors(spark, [(0, [1.0, 2.0], 0), (3, [1.0, 0.0], 0), (50, [0.0, -1.0], 0)]))
     found = cover_tree.top_k(data.filter("vec_id % 50 = 0"), data)
@@ -290,6 +306,40 @@ def test_query_equals_its_sql(spark, name):
     connection.close()
 
 
+def test_the_parser_is_linear_and_pages_stand_alone(labeller):
+    import time
+
+    deep = '<div class="a b">some text here' * 8000
+    hostile = [deep, "<a " * 10_000, "<p>word</p>" * 16_000, "<li><ul>" + "<div>" * 8000 + "<li></li>" * 4000, '<a "\'>' * 5000]
+    for html in hostile:
+        start = time.perf_counter()
+        html_blocks.extract_pages([html], labeller)
+        assert time.perf_counter() - start < 8
+    page = by_rule(labeller)
+    alone = html_blocks.extract_pages([page], labeller)[0]
+    assert html_blocks.extract_pages([hostile[2], page, "<p>x</p>"], labeller)[1] == alone
+
+
+def by_rule(labeller):
+    return html_blocks.written_pages(3, seed=77)[1][0]
+
+
+def test_prose_counts_whatever_holds_it(labeller):
+    prose = "The council met on Monday. Members agreed to repair the bridge, and a plan was voted on. Work begins in spring. " * 2
+    menu = '<nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></nav>'
+    for body in (f"<div>{prose}</div><div>{prose}</div>", f"<table><tr><td>{prose}</td></tr></table>", f"<section>{prose}</section>",
+                 f"<dl><dt>One</dt><dd>{prose}</dd></dl>", f"<figure><figcaption>{prose}</figcaption></figure>"):
+        text = html_blocks.extract_pages([f"<html><body>{menu}{body}<footer>&copy; Town</footer></body></html>"], labeller)[0]
+        assert prose.strip() in text and "Home" not in text and "Town" not in text
+
+
+def test_references_are_decoded_by_stretch_and_bad_tags_end():
+    texts = lambda html: [b.text for b in html_blocks.blocks(html)]
+    assert texts("a &am<b>p;</b> &lt; b") == ["a &amp; < b"]
+    assert texts("<p>x<!-- open <b>y</b> z") == ["x"] and texts("<p>x<script>var a; <b> y") == ["x"]
+    assert texts('<p title="a>b</p>c') == ["b", "c"] and texts("x < y") == ["x < y"]
+
+
 def test_each_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in entry.queries() if n.startswith("op"))
     assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
