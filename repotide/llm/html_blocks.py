@@ -467,7 +467,7 @@ def written_pages(count: int = WRITTEN_PAGES, seed: int = 9) -> list[tuple[str,
 
     def unusual(count):
         texts = [f"{prose()} {prose()} {prose()}" for _ in range(count)]
-        kind = pick(("div", "section", "td", "dd", "figcaption", "bare"))
+        kind = pick(("div", "section", "section", "td", "dd", "figcaption", "bare"))
         if kind == "td":
             inner = "".join(f"<tr><td>{t}</td></tr>" for t in texts)
             return f"{pick(('<table>', named('table', ('layout', 'page', 'outer'))))}{inner}</table>", [1] * count
@@ -501,7 +501,7 @@ def written_pages(count: int = WRITTEN_PAGES, seed: int = 9) -> list[tuple[str,
                 inner, own = pick((advert, form, side, share))()
                 parts.append(inner)
                 labels += own
-        if rng.random() < 0.2:
+        if rng.random() < 0.3:
             # Prose counts whatever holds it.
             return unusual(pick((1, 2, 3, 6)))
         start, end = pick((
