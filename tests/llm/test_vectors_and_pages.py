@@ -74,8 +74,9 @@ def test_top_k_of_large_components_and_of_other_lengths(spark):
     rows = [(i, np.floor(4 * rng.standard_normal(6)).tolist(), 0) for i in range(60)]
     rows += [(100, [2.0**41, 1.0, 0, 0, 0, 0], 0), (101, [-(2.0**41)] + [1.0] * 5, 0), (102, [1e30] * 6, 0), (150, [-3e38, 1.0, 2.0, 0, 0, 0], 0)]
     rows += [(200, [1.0, 2.0], 0), (201, [3.0, 4.0], 0), (202, [5.0, 6.0, 7.0], 0), (250, [1.0] * 6, 0)]
+    rows = [(i, [float(np.float32(x)) for x in v], label) for i, v, label in rows]
     data = cover_tree.whole_numbers(vectors(spark, rows))
-    exact = {i: [int(256 * np.float32(x)) if abs(x) > 1e6 else int(np.floor(256 * x)) for x in v] for i, v, _ in rows}
+    exact = {i: [int(256 * x) if abs(x) > 1e6 else int(np.floor(256 * x)) for x in v] for i, v, _ in rows}
     expected = set()
     for q, v in exact.items():
         if q % 50 == 0:
