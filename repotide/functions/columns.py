@@ -29,7 +29,7 @@ def project_label(full_name: Column | str = "full_name", repo_id: Column | str =
 
 def own_key(columns: list[str]) -> Column:
     """Identity of a record: its id, else its lower-cased name, else all it holds."""
-    named = record_key("repo_id", "full_name" if "full_name" in columns else F.lit(None))
+    named = record_key("repo_id", F.nullif("full_name", F.lit("")) if "full_name" in columns else F.lit(None))
     return F.coalesce(named, F.concat(F.lit("\u0000"), F.xxhash64(*columns).cast("string")))
 
 

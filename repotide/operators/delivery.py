@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repotide.functions.columns import from_wire, json_objects, sorted_json, wire_type
+from repotide.operators.blocks import numbered
 from repotide.schemas import DEFAULT_FLUSH_EVERY, DEFAULT_MAX_RETRIES
 
 
@@ -20,18 +21,19 @@ def keyed_messages(records: DataFrame, key: str = "repo_id") -> DataFrame:
 def pack_envelopes(
     records: DataFrame, position: str, size: int = DEFAULT_FLUSH_EVERY
 ) -> DataFrame:
-    """``(envelope, value)`` with at most ``size`` consecutive records each.
+    """``(envelope, value)`` with ``size`` consecutive records each, and the rest in the last.
 
-    ``position`` is unique per record; records of one run of ``size`` positions
-    share an envelope, so no numbering of all records is needed.
+    The records are numbered in the order of ``position``, so that envelopes are
+    full whatever gaps the positions have.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
-    envelope = F.floor(F.col(position) / size).cast("bigint").alias("envelope")
-    entry = F.struct(F.col(position).alias("_at"), F.struct(*sorted(records.columns)).alias("r"))
+    envelope = F.floor(F.col("_number") / size).cast("bigint").alias("envelope")
+    entry = F.struct("_number", F.struct(*sorted(records.columns)).alias("r"))
     ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["r"])
     return (
-        records.groupBy(envelope)
+        numbered(records, [position], "_number")
+        .groupBy(envelope)
         .agg(ordered.alias("records"))
         .select(
             "envelope",

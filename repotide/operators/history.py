@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from repotide.operators.blocks import lagged
 from repotide.operators.dedupe import without
 from repotide.operators.rankings import counters, rank_questions, unpivot_questions
 from repotide.schemas import DEFAULT_TOP_N
@@ -102,8 +103,8 @@ def ranking_orders(history: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("rk", "name"))), lambda x: x["name"]
     )
     orders = history.groupBy("question", "snapshot").agg(F.array_join(names, ",").alias("names"))
-    before = F.lag("names").over(Window.partitionBy("question").orderBy("snapshot"))
-    return orders.withColumn("changed", ~F.col("names").eqNullSafe(before))
+    beside = lagged(orders, ["question"], "snapshot", "names", "before")
+    return beside.withColumn("changed", ~F.col("names").eqNullSafe(F.col("before"))).drop("before")
 
 
 def convergence(history: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.functions.columns import day_expression, query_text, second_text
+from repotide.operators.dedupe import distinct_records
 from repotide.operators.joins import MIN_HOT_ROWS, salted_lookup
 from repotide.schemas import SEARCH_CAP
+from repotide.session import materialize
 
 BOTH_FIELDS = "created-or-pushed"
 LAST_SECOND = 86_399
@@ -226,3 +228,23 @@ def assign_ranges(
     return salted_lookup(
         rows, of_second, ["day", "sec"], seconds, id_column, min_hot_rows=min_hot_rows
     )
+
+
+def first_by_range(
+    rows: DataFrame,
+    slice_columns: list[str],
+    slice_order: list[Column],
+    place_order: list[Column],
+    id_column: str,
+    cap: int = SEARCH_CAP,
+) -> DataFrame:
+    """The first copy of each record where busy slices arrive range by range.
+
+    ``rows`` have ``day`` and ``sec``; each is given the leaf range ``(s, e)`` of
+    its slice. Arrival is ``slice_order``, then the start of the range, then
+    ``place_order`` inside it.
+    """
+    own = rows.withColumn("day", F.concat_ws(":", *slice_columns))
+    seconds = materialize(second_counts(own), "seconds")
+    ranged = assign_ranges(own, seconds, id_column, cap)
+    return distinct_records(ranged, [], [*slice_order, F.asc("s"), *place_order])

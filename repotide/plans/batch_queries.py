@@ -15,6 +15,7 @@ from repotide.operators import (
     rankings,
     slicing,
 )
+from repotide.operators.counters import Counters
 from repotide.plans import crawl, views
 from repotide.session import fresh_dir, materialize
 from repotide.sources import pages, published, records
@@ -103,7 +104,7 @@ def slice_dedupe(spark, sf_dir):
 
 
 def union_fields_first_seen(spark, sf_dir):
-    return dedupe.first_seen(views.crawl_rows(spark, sf_dir), ["repo_id"], views.crawl_order())
+    return dedupe.distinct_records(views.crawl_rows(spark, sf_dir), [], views.crawl_order())
 
 
 def slice_limit(spark, sf_dir):
@@ -288,6 +289,36 @@ def crawl_window(spark, sf_dir):
     return crawled(spark, sf_dir)
 
 
+def crawl_counters(spark, sf_dir):
+    """Counters of a crawl whose created slices are stored already."""
+    store = SliceStore(spark, fresh_dir(spark, "counted"), CRAWL_SCHEMA)
+    rows = views.crawl_rows(spark, sf_dir).withColumn("query_key", F.lit("all"))
+    wanted = materialize(rows.select(*SLICE_KEYS).distinct(), "wanted")
+    order = [F.desc("stars"), F.asc("event_id")]
+    is_created = F.col("date_field") == "created"
+    store.write(rows.filter(is_created), wanted.filter(is_created), order)
+    counters = Counters()
+    materialize(
+        crawl.crawl_window(store, wanted, rows, order, views.crawl_order(), counters=counters), "crawled"
+    )
+    return spark.createDataFrame(list(counters.totals().items()), "counter string, n bigint")
+
+
+def ranged_first_seen(spark, sf_dir):
+    """The copy of each repository that comes first when busy slices are searched
+    range by range: by day, field, start of the leaf range, then place in it."""
+    rows = slicing.with_second(
+        views.crawl_rows(spark, sf_dir).join(
+            views.table(spark, sf_dir, "events").select("event_id", "ts"), "event_id"
+        ),
+        "ts",
+    ).drop("ts")
+    return slicing.first_by_range(
+        rows, ["date_field", "crawl_day"], [F.desc("crawl_day"), F.asc("field_rank")],
+        [F.desc("stars"), F.asc("event_id")], "event_id", RANGE_CAP,
+    ).select("date_field", "crawl_day", "repo_id", "stars", "event_id", F.col("s").cast("bigint").alias("range_start"))
+
+
 def crawl_limited(spark, sf_dir):
     """At most five rows of each slice before, and thirty overall after, deduplication."""
     return crawled(spark, sf_dir, limit_per_slice=5, limit=30)
@@ -537,7 +568,7 @@ QUERIES = {
         scan_records, emit_ndjson, tap,
         page_items, page_errors, page_metadata, normalize_items, completeness, crawl_gate,
         slice_calendar, stored_names, query_strings, slice_key, slices_cached, slices_missing,
-        slice_provenance, slice_write, slice_union, crawl_window, crawl_limited,
+        slice_provenance, slice_write, slice_union, crawl_window, crawl_counters, ranged_first_seen, crawl_limited,
         adaptive_ranges, range_split_summary, range_assignment, range_predicate,
         commit_count_responses, link_next, decode_content, keyword_match,
         path_first_match, enrich_join, enrich_known, enrich_retry, enrich_defaults, enriched_rankings,

@@ -198,6 +198,17 @@ from (
   select day, s, s + (e - s) // 2 as e from tree where n > {RANGE_CAP} and s < e
   union all
   select day, s + (e - s) // 2 + 1 as s, e from tree where n > {RANGE_CAP} and s < e
+) h""",
+    "ranged_rows": """
+select c.*, concat(c.date_field, ':', c.crawl_day) as slice, x.sec from crawl_rows c join seconds x using (event_id)""",
+    "slice_tree": f"""
+select slice, cast(0 as bigint) as s, cast(86399 as bigint) as e, count(*) as n from ranged_rows group by slice
+union all
+select h.slice, h.s, h.e, (select count(*) from ranged_rows x where x.slice = h.slice and x.sec between h.s and h.e) as n
+from (
+  select slice, s, s + (e - s) // 2 as e from slice_tree where n > {RANGE_CAP} and s < e
+  union all
+  select slice, s + (e - s) // 2 + 1 as s, e from slice_tree where n > {RANGE_CAP} and s < e
 ) h""",
     "leaves": f"select * from tree where n <= {RANGE_CAP} or s = e",
     "flow": """
@@ -254,6 +265,8 @@ USES = {
     "calendar": ["crawl_requests"],
     "tree": ["seconds"],
     "leaves": ["tree"],
+    "ranged_rows": ["crawl_rows", "seconds"],
+    "slice_tree": ["ranged_rows"],
     "snap_days": ["raw_repos"],
     "snaps": ["uniq", "snap_days"],
     "as_of": ["snaps", "snap_days"],
@@ -283,10 +296,10 @@ def sql(body: str, *names: str) -> str:
     needed = _closure(list(names))
     if not needed:
         return body
-    recursive = "recursive " if "tree" in needed else ""
+    recursive = "recursive " if {"tree", "slice_tree"} & set(needed) else ""
     parts = []
     for name in needed:
-        columns = "(day, s, e, n)" if name == "tree" else ""
+        columns = {"tree": "(day, s, e, n)", "slice_tree": "(slice, s, e, n)"}.get(name, "")
         parts.append(f"{name}{columns} as ({VIEWS[name]}\n)")
     return f"with {recursive}" + ",\n".join(parts) + "\n" + body
 
@@ -502,6 +515,30 @@ group by 1""",
         + ") f",
         "crawl_rows",
     ),
+    "crawl_counters": sql(
+        """
+select unnest(['slices_from_api', 'slices_from_cache', 'fetched', 'loaded_from_cache', 'written_to_cache',
+    'duplicate_in_slice', 'duplicate_global', 'emitted']) as counter,
+  unnest([api, cache, fetched, loaded, written, fetched - written, loaded + written - emitted, emitted]) as n
+from (
+  select count(distinct crawl_day) filter (where date_field = 'pushed') as api,
+    count(distinct crawl_day) filter (where date_field = 'created') as cache,
+    count(*) filter (where date_field = 'pushed') as fetched,
+    count(distinct (crawl_day, repo_id)) filter (where date_field = 'created') as loaded,
+    count(distinct (crawl_day, repo_id)) filter (where date_field = 'pushed') as written,
+    count(distinct repo_id) as emitted
+  from crawl_rows) c""",
+        "crawl_rows",
+    ),
+    "ranged_first_seen": sql(
+        f"""
+select date_field, crawl_day, repo_id, stars, event_id, s as range_start from (
+  select r.*, l.s, row_number() over (partition by repo_id order by crawl_day desc, field_rank, l.s, stars desc, event_id) as rn
+  from ranged_rows r join slice_tree l
+    on l.slice = r.slice and r.sec between l.s and l.e and (l.n <= {RANGE_CAP} or l.s = l.e)) f
+where rn = 1""",
+        "slice_tree",
+    ),
     "crawl_limited": sql(
         f"""
 select date_field, crawl_day, repo_id, stars, event_id from (
@@ -584,7 +621,9 @@ from repo_records""",
         "repo_records",
     ),
     "envelope_pack": sql(
-        "select seq // 100 as envelope, count(*) as n from uniq group by 1", "uniq"
+        "select envelope, count(*) as n from (select (row_number() over (order by seq) - 1) // 100 as envelope from uniq) e"
+        " group by 1",
+        "uniq",
     ),
     "envelope_flatten": sql(
         f"select {RAW_COLUMNS}, cast(null as varchar) as error from uniq", "uniq"

@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.functions.columns import slice_id
+from repotide.operators.counters import Counters
 from repotide.operators.dedupe import distinct_records, limit_per_group
 from repotide.operators.slicing import missing_slices, stored_slices
+from repotide.session import materialize
 from repotide.sources.topics import read_table
 
 SLICE_KEYS = ["date_field", "crawl_day", "query_key"]
@@ -48,7 +50,9 @@ class SliceStore:
     def misses(self, requested: DataFrame) -> DataFrame:
         return missing_slices(requested, self.manifest(), SLICE_KEYS)
 
-    def write(self, rows: DataFrame, slices: DataFrame, order: list, key: str | None = None) -> None:
+    def write(
+        self, rows: DataFrame, slices: DataFrame, order: list, key: str | None = None, counters: Counters | None = None
+    ) -> None:
         """Store the complete rows of ``slices``, deduplicated inside each slice.
 
         ``key`` defaults to :func:`own_key`. Rebalancing splits a slice that is
@@ -58,9 +62,13 @@ class SliceStore:
         """
         # Sorts by time; the tail keeps apart what one moment writes twice.
         version = f"v{time.time_ns():020d}-{uuid.uuid4().hex}"
+        if counters:
+            rows = counters.watch(rows, "fetched")
+        kept = distinct_records(rows, SLICE_KEYS, order, key)
+        if counters:
+            kept = counters.watch(kept, "written_to_cache")
         (
-            distinct_records(rows, SLICE_KEYS, order, key)
-            .hint("rebalance", *SLICE_KEYS)
+            kept.hint("rebalance", *SLICE_KEYS)
             .write.partitionBy(*SLICE_KEYS)
             .parquet(f"{self.rows_path}/version={version}")
         )
@@ -92,6 +100,7 @@ class SliceStore:
         limit: int | None = None,
         refresh: bool = False,
         limit_stored: bool = False,
+        counters: Counters | None = None,
     ) -> DataFrame:
         """Rows of the requested slices: stored ones as stored, the others from
         ``produced``, deduplicated inside each slice.
@@ -101,17 +110,31 @@ class SliceStore:
         deduplication, and nothing is stored, since such slices are cut short on
         purpose; stored slices are served whole unless ``limit_stored``.
         ``refresh`` produces all requested slices anew, with a limit or without.
+
+        ``counters`` are told how many rows were fetched, written and loaded, by
+        the run itself.
         """
         requested = requested.select(*SLICE_KEYS)
         missing = requested.distinct() if refresh else self.misses(requested)
+        if counters:
+            # Slices, not rows; stored, as a write changes what is missing.
+            missing = materialize(missing.distinct(), "missing")
+            counters.slices(requested, missing)
         if limit is None:
-            self.write(produced.join(missing, SLICE_KEYS, "left_semi"), missing, order, key)
+            hits = requested.join(missing, SLICE_KEYS, "left_anti") if counters else None
+            self.write(produced.join(missing, SLICE_KEYS, "left_semi"), missing, order, key, counters)
+            if counters:
+                return counters.watch(self.read(hits), "loaded_from_cache").unionByName(self.read(missing))
             return self.read(requested)
         fetched = produced.join(missing, SLICE_KEYS, "left_semi")
         fetched = limit_per_group(fetched, SLICE_KEYS, order, limit)
+        if counters:
+            fetched = counters.watch(fetched, "fetched")
         if refresh:
             return distinct_records(fetched, SLICE_KEYS, order, key)
         stored = self.read(requested)
+        if counters:
+            stored = counters.watch(stored, "loaded_from_cache")
         if limit_stored:
             stored = limit_per_group(stored, SLICE_KEYS, order, limit)
         return distinct_records(stored.unionByName(fetched), SLICE_KEYS, order, key)
