@@ -34,11 +34,11 @@ HARMLESS = ("example", "sample", "test", "dummy", "placeholder", "changeme", "yo
             "commit", "checksum", "uuid", "version", "isbn", "phone", "card", "date", "build")
 FINDING = "array<struct<start:int,end:int,score:double>>"
 
-_BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
+_BLOCK_EDGE = re.compile(r"-----(BEGIN|END) [A-Z ]{0,40}PRIVATE KEY-----")
 _NAMED = re.compile(
     r"(?i)(?:password|passwd|pwd|secret|token|credential|auth|(?:api|access)[_-]?key)[\"']?\s{0,3}$"
 )
-_VALUE = re.compile(r"\s{0,3}[\"']?([^\s\"',;]{6,})")
+_VALUE = re.compile(r"\s{0,3}(?:\"([^\"\n]{6,200})\"|'([^'\n]{6,200})'|[\"']?([^\s\"',;]{6,}))")
 _SIGN = re.compile(r"[:=]")
 _PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "sk_", "sk-", "xox")
 _TELLING = re.compile(rf"[0-9]|(?<=[A-Za-z])[A-Z]|(?<![A-Za-z0-9])(?:{'|'.join(_PREFIXES)})")
@@ -68,7 +68,7 @@ def candidates(text: str) -> list[Finding]:
         if _NAMED.search(text[max(0, sign.start() - 24) : sign.start()]):
             value = _VALUE.match(text, sign.end())
             if value:
-                spans.add(value.span(1))
+                spans.add(value.span(value.lastindex))
     at = 0
     while sign := _TELLING.search(text, at):
         start, at = sign.start(), _RUN.match(text, sign.start()).end()
@@ -130,6 +130,8 @@ def features(f: Finding, path: str | None, words: set[str]) -> list[float]:
     for word in beside:
         places[zlib.crc32(word.encode("utf-8", "surrogatepass")) % NEIGHBOUR_PLACES] = 1
     near = " ".join(beside)
+    # What the value is called; a word further off, as of a mail address, tells nothing of it.
+    name = " ".join(re.findall(r"[\w-]+", low_before)[-2:])
     where = (path or "").lower()
     joined = low_before[-1:] in ("/", "\\", ":", "#", "?", "&", "@")
     return [
@@ -140,7 +142,7 @@ def features(f: Finding, path: str | None, words: set[str]) -> list[float]:
         value.count("."), value.count("-"), value.count("/"),
         _coverage(value, words),
         float(any(k in near for k in KEYWORDS)),
-        float(any(k in near or k in value.lower() for k in HARMLESS)),
+        float(any(k in name or k in value.lower() for k in HARMLESS)),
         float(low_before.rstrip("\"' ")[-1:] in ("=", ":") and not low_before.endswith("//")),
         float(joined), float(low_before.rsplit(None, 1)[-1:] != [] and "://" in low_before.rsplit(None, 1)[-1]),
         float(any(k in where for k in ("test", "example", "doc", "fixture", "sample"))),
@@ -202,7 +204,8 @@ def labelled_findings(count: int = 6000, seed: int = 5) -> list[tuple]:
     pick = lambda items: items[rng.integers(len(items))]
     draw = lambda chars, n: "".join(chars[i] for i in rng.integers(0, len(chars), n))
     hexes, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    digits = "0123456789"
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    variable = lambda: pick(("", "", "DB_", "my_", "client_", "user", "app."))
     mixed = upper + "abcdefghijklmnopqrstuvwxyz0189"
     syllables = ("th", "er", "an", "re", "on", "en", "at", "or", "ing", "ion", "ha", "st", "le", "qu", "io", "de")
     word = lambda: "".join(pick(syllables) for _ in range(rng.integers(1, 5)))
@@ -213,9 +216,22 @@ def labelled_findings(count: int = 6000, seed: int = 5) -> list[tuple]:
         lambda: ("AKIA" + draw(upper, 16), prose() + " "),
         lambda: (pick(("ghp_", "gho_", "glpat-", "xoxb-", "sk_live_")) + draw(mixed, rng.integers(20, 40)), prose() + " "),
         lambda: (draw(hexes, pick((18, 24, 32, 40, 64))), prose() + " " + assign()),
+        lambda: (draw(hexes, pick((32, 40))), prose() + " " + assign()),
         lambda: (draw(mixed + "+/", rng.integers(16, 48)), prose() + " " + assign()),
         lambda: (draw(mixed + "!$%&", rng.integers(8, 20)), prose() + " " + assign()),
         lambda: (draw(mixed, rng.integers(24, 60)), prose() + " " + pick(("bearer ", "token "))),
+        lambda: (pick(("sk_live_", "sk-", "ghp_", "glpat-")) + draw(lower, rng.integers(20, 32)), prose() + " "),
+        # Words are secrets too, where a name says so and they hold no placeholder.
+        lambda: (word() + word() + word(), prose() + " " + variable() + assign()),
+        lambda: (word() + pick("-_.") + word() + draw(digits, rng.integers(0, 3)), prose() + " " + variable() + assign()),
+        lambda: (" ".join(word() for _ in range(rng.integers(3, 6))), prose() + " " + variable() + named() + pick((": \"", "=\"", " = '"))),
+    )
+    kinds = ("string", "required", "optional", "missing", "invalid", "expired", "redacted", "hidden", "unknown")
+    stand_ins = (
+        lambda: "<" + word() + ">", lambda: "${" + word().upper() + "}", lambda: "$" + word().upper() + "_" + word().upper(),
+        lambda: pick(("your", "my")) + pick("-_") + word() + pick(("", "-here", "_here")), lambda: "*" * rng.integers(6, 12),
+        lambda: "x" * rng.integers(6, 16), lambda: pick(("example", "sample", "test", "dummy")) + pick("-_") + word(),
+        lambda: "os.environ['" + word().upper(), lambda: "get" + word().title() + "()",
     )
     dashed = lambda: "-".join(draw(hexes, n) for n in (8, 4, 4, 4, 12))
     harmless = (
@@ -225,7 +241,9 @@ def labelled_findings(count: int = 6000, seed: int = 5) -> list[tuple]:
         lambda: (word() + pick("_-./") + word() + draw(digits, 2) + pick("_-./") + word(), prose() + " "),
         lambda: (word() + word() + word() + draw(digits, rng.integers(1, 4)), prose() + " "),
         lambda: (pick(("changeme", "yourpassword", "example123", "test_token_1", "xxxxxxxxxxxx", "placeholder1")), assign()),
-        lambda: (word() + word(), prose() + " " + assign()),
+        lambda: (pick(stand_ins)(), prose() + " " + variable() + assign()),
+        lambda: (pick(stand_ins)(), prose() + " " + variable() + assign()),
+        lambda: (pick(kinds), prose() + " " + named() + pick((": ", " = ", "="))),
         lambda: (f"20{draw(digits, 2)}-{draw(digits, 2)}-{draw(digits, 2)}T{draw(digits, 2)}", prose() + " "),
         lambda: (".".join(draw(digits, 3) for _ in range(4)), prose() + " "),
         lambda: ("/".join([word(), word(), word() + draw(digits, 3) + ".html"]), "https://" + word() + ".com/"),
@@ -266,12 +284,25 @@ def _vocabulary(text: str) -> set[str]:
     return _BASE_WORDS | {w for w in _WORD.findall(text.lower())}
 
 
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """Private keys between their first and last lines; a first line without a last one is none."""
+    found, start = [], None
+    if "-----BEGIN" in text:
+        for edge in _BLOCK_EDGE.finditer(text):
+            if edge.group(1) == "BEGIN":
+                start = edge.start() if start is None else start
+            elif start is not None:
+                found.append((start, edge.end()))
+                start = None
+    return found
+
+
 def scan_texts(texts: list, paths: list, forest: Forest) -> list[list[tuple[int, int, float]]]:
     """``(start, end, score)`` of the candidates and key blocks of each text, in code points."""
     found, owners, rows = [], [], []
     for text, path in zip(texts, paths):
         text = text or ""
-        blocks = [(*m.span(), 1.0) for m in _BLOCK.finditer(text)] if "-----BEGIN" in text else []
+        blocks = [(*span, 1.0) for span in key_blocks(text)]
         open_ones = [
             f for f in candidates(text) if not any(s < f.end and f.start < e for s, e, _ in blocks)
         ]
