@@ -114,7 +114,37 @@ left join ended e on e.conv_id is not distinct from o.conv_id
 left join repaired p on p.conv_id is not distinct from o.conv_id
 """
 
+# Smallest id reachable over ``links (u, w)`` from each of ``nodes (id)``.
+_REACHED = """
+reached(id, w) as (
+  select id, id from nodes
+  union
+  select r.id, l.w from reached r join links l on l.u = r.w
+), named as (
+  select id, min(w) as component_id from reached group by id
+)"""
+
 ORACLES: dict[str, str] = {
+    "op3_near_duplicates": f"""
+with recursive words as materialized (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), sets as materialized (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) end) as s
+  from words
+), nodes as (select doc_id as id from sets),
+held as materialized (select doc_id, hash(x) as x, len(s) as n from (select doc_id, s, unnest(s) as x from sets)),
+links as materialized (
+  select a.doc_id as u, b.doc_id as w
+  from held a join held b on a.x = b.x and a.doc_id <> b.doc_id
+  group by 1, 2, a.n, b.n
+  having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), {_REACHED}
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, c.component_id, c.component_id = s.doc_id as kept
+from sets s join named c on c.id = s.doc_id
+""",
     "op5_exact_top_k": """
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
@@ -152,6 +182,23 @@ with lines as (
 )
 select d.doc_id, c.text, coalesce(c.n_lines, 0) as n_lines, coalesce(c.n_removed, 0) as n_removed
 from documents d left join cleaned c using (doc_id)
+""",
+    "op8_near_vectors": f"""
+with recursive v as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e
+  from embeddings
+  where label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), nodes as (select vec_id as id from embeddings),
+links as materialized (
+  select a.vec_id as u, b.vec_id as w
+  from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98
+), {_REACHED}
+select d.vec_id, (select count(*) from links l where l.u = d.vec_id) as n_links, c.component_id,
+  c.component_id = d.vec_id as kept
+from embeddings d join named c on c.id = d.vec_id
 """,
     "op12_centroids": f"""
 with v as materialized (

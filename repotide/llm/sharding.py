@@ -104,10 +104,12 @@ def shuffled(
     before = Window.partitionBy("shard").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.withColumn(base, F.coalesce(F.sum(rows).over(before), F.lit(0)))
     columns = [*own, "shard", "grown_shard"]
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The explicit exchange keeps a bucket in one task, whatever the join does.
     ready = (
         scattered.join(bases, ["shard", bucket])
-        .repartition("shard", bucket)
+        # As many tasks as keep one bucket's bytes each, if the session has fewer.
+        .repartition(max(tasks, -(-total // bucket_bytes)), "shard", bucket)
         .sortWithinPartitions("shard", bucket, "doc_id", F.xxhash64("text"))
     )
     schema = scattered.select(*columns).schema.add("slot", LongType())
