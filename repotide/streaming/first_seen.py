@@ -45,7 +45,6 @@ class FirstSeen:
         held = T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])
         self.held = BatchTable(spark, f"{root}/held", held)
         self.candidates = BatchTable(spark, f"{root}/candidates", held)
-        self.totals = BatchTable(spark, f"{root}/totals", "total bigint, held bigint")
         self.deliver = None
         # Progress of the last deduplication: rows of state, and how many were written.
         self.state: dict[str, int] = {}
@@ -71,28 +70,25 @@ class FirstSeen:
             self.state = {"rows": state["numRowsTotal"], "written": state["numRowsUpdated"]}
 
     def _keep(self, batch: DataFrame, batch_id: int) -> None:
-        before = self.totals.at(batch_id - 1).first()
-        total, held = (before["total"], before["held"]) if before else (0, 0)
-        if self.at_most is None and not held:
+        if self.at_most is None and not self.held.has(batch_id - 1):
             new = self.first.write(batch, batch_id, stateful=True)
-            waiting = 0
         else:
-            new, waiting = self._bounded(batch, batch_id, total)
-        row = self.spark.range(1).select(
-            F.lit(total + new.count()).cast("bigint").alias("total"), F.lit(waiting).cast("bigint").alias("held")
-        )
-        self.totals.write(row.coalesce(1), batch_id)
+            new = self._bounded(batch, batch_id)
         if self.deliver:
             self.deliver(new, batch_id)
 
-    def _bounded(self, batch: DataFrame, batch_id: int, total: int) -> tuple[DataFrame, int]:
-        """The next keys in order that the bound allows, and how many are held back."""
+    def _bounded(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The next keys in order that the bound allows; the others are held back."""
         arrived = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        waiting = self.candidates.write(self.held.at(batch_id - 1).unionByName(arrived), batch_id, stateful=True)
+        waiting = arrived
+        if self.held.has(batch_id - 1):
+            waiting = self.held.at(batch_id - 1).unionByName(arrived)
+        waiting = self.candidates.write(waiting, batch_id, stateful=True)
         if self.at_most is None:
-            new = self.first.write(waiting.drop("_batch"), batch_id)
-        else:
-            in_order = waiting.orderBy("_batch", self.order, self.key)
-            new = self.first.write(in_order.limit(max(self.at_most - total, 0)).drop("_batch"), batch_id)
-        left = self.held.write(waiting.join(new.select(self.key), self.key, "left_anti").select(*self.held.schema.names), batch_id)
-        return new, left.count()
+            return self.first.write(waiting.drop("_batch"), batch_id)
+        left = max(self.at_most - self.first.read(batch_id - 1).count(), 0)
+        in_order = waiting.orderBy("_batch", self.order, self.key)
+        new = self.first.write(in_order.limit(left).drop("_batch"), batch_id)
+        later = waiting.join(new.select(self.key), self.key, "left_anti")
+        self.held.write(later.select(*self.held.schema.names), batch_id)
+        return new

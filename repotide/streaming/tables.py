@@ -101,13 +101,16 @@ class BatchTable:
             return whole
         return frames[0].parquet(*(self._part(*p) for p in parts))
 
+    def has(self, batch_id: int) -> bool:
+        return batch_id >= 0 and is_committed(self.spark, self._part(0, batch_id))
+
     def at(self, batch_id: int) -> DataFrame:
         """Rows of one batch; none for the batch before the first."""
         return self._read([(0, batch_id)] if batch_id >= 0 else [])
 
     def read(self, batch_id: int) -> DataFrame:
         """Rows of all batches up to ``batch_id``, folded."""
-        rows = self._read(cover(batch_id, self.fan))
+        rows = self._read(cover(batch_id, self.fan) if batch_id >= 0 else [])
         return self.fold(rows) if self.fold else rows
 
 
