@@ -475,11 +475,9 @@ def unpublished(spark, sf_dir):
 def delivery_accounting(spark, sf_dir):
     """Attempts of records an earlier run has not published; the others are skipped."""
     attempts = views.send_attempts(spark, sf_dir)
-    done = views.acknowledged_ids(spark, sf_dir)
-    ids = attempts.select("repo_id").distinct()
-    return delivery.delivery_totals(
-        published.unpublished(attempts, done), ids.join(done, "repo_id", "left_semi")
-    )
+    done = views.acknowledged_senders(spark, sf_dir)
+    skipped = attempts.join(done, "sender", "left_semi").select("repo_id").distinct()
+    return delivery.delivery_totals(attempts.join(done, "sender", "left_anti"), skipped)
 
 
 def validate_lines(spark, sf_dir):

@@ -125,18 +125,21 @@ select event_id, case event_id % 4 when 0 then concat('not json ', cast(event_id
   else concat('{"repo_id": ', cast(event_id as varchar), '} tail') end as value
 from events where event_type = 'error'""",
     "acknowledged": """
-select distinct user_id * 10 + cast(json_extract_string(props, '$.k') as int) % 10 as repo_id
+select distinct user_id * 10 + cast(json_extract_string(props, '$.k') as int) % 10 as sender
 from events where event_type = 'signup'""",
     "send_attempts": """
-select repo_id, attempt, ok from (
-  select repo_id, attempt, ok, coalesce(sum(case when ok then 1 else 0 end) over (
-    partition by repo_id order by attempt rows between unbounded preceding and 1 preceding), 0) as ok_before
+select sender, ok, attempt, sender || '/' || count(*) filter (where attempt = 0) over (
+    partition by sender order by event_id rows between unbounded preceding and current row) as repo_id
+from (
+  select *, (row_number() over (partition by sender, successes order by event_id) - 1) % 4 as attempt
   from (
-    select user_id * 10 + k % 10 as repo_id, event_type = 'purchase' as ok,
-      row_number() over (partition by user_id * 10 + k % 10 order by event_id) - 1 as attempt
-    from (select *, cast(json_extract_string(props, '$.k') as int) as k from events) e
-  ) a
-) b where attempt < 4 and ok_before = 0""",
+    select user_id * 10 + cast(json_extract_string(props, '$.k') as int) % 10 as sender, event_id,
+      event_type = 'purchase' as ok,
+      coalesce(sum(case when event_type = 'purchase' then 1 else 0 end) over (
+        partition by user_id * 10 + cast(json_extract_string(props, '$.k') as int) % 10 order by event_id
+        rows between unbounded preceding and 1 preceding), 0) as successes
+    from events) e
+) a""",
     "handoff_lines": """
 select event_id + 1 as line_no, event_id, event_type,
   case when event_id % 50 = 0 then 'not json'
@@ -641,7 +644,7 @@ select count(*) filter (where got and not known) as published,
   count(*) filter (where not known and not got and failed = 4) as permanent_failures,
   count(*) filter (where known) as skipped_via_checkpoint
 from (select repo_id, bool_or(ok) as got, count(*) filter (where not ok) as failed,
-    repo_id in (select repo_id from acknowledged) as known
+    any_value(sender) in (select sender from acknowledged) as known
   from send_attempts group by 1) r""",
         "send_attempts",
         "acknowledged",

@@ -233,31 +233,35 @@ def repo_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def send_attempts(spark: SparkSession, sf_dir: str, max_retries: int = 3) -> DataFrame:
-    """Log of send attempts: numbered from 0, up to the first success or the last retry."""
+    """Log of send attempts, one for every event. A send ends with its first success
+    or its last retry; what follows is a further send of the same user's record."""
     k = F.col("k")
     sent = with_k(table(spark, sf_dir, "events")).select(
-        (F.col("user_id") * 10 + k % 10).alias("repo_id"),
+        (F.col("user_id") * 10 + k % 10).alias("sender"),
         "event_id",
         (F.col("event_type") == "purchase").alias("ok"),
     )
-    arrival = Window.partitionBy("repo_id").orderBy("event_id")
-    tried = sent.withColumn("n", F.row_number().over(arrival)).filter(
-        F.col("n") <= max_retries + 1
+    arrival = Window.partitionBy("sender").orderBy("event_id")
+    before = F.count_if("ok").over(arrival.rowsBetween(Window.unboundedPreceding, -1))
+    since = Window.partitionBy("sender", "successes").orderBy("event_id")
+    tried = sent.withColumn("successes", F.coalesce(before, F.lit(0))).withColumn(
+        "attempt", (F.row_number().over(since) - 1) % (max_retries + 1)
     )
-    before = F.max("ok").over(arrival.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        tried.withColumn("done", F.coalesce(before, F.lit(False)))
-        .filter(~F.col("done"))
-        .select("repo_id", (F.col("n") - 1).cast("bigint").alias("attempt"), "ok")
+    send = F.count_if(F.col("attempt") == 0).over(arrival)
+    return tried.select(
+        "sender",
+        F.concat_ws("/", "sender", send).alias("repo_id"),
+        F.col("attempt").cast("bigint").alias("attempt"),
+        "ok",
     )
 
 
-def acknowledged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of send attempts that an earlier run has published: those of signups."""
+def acknowledged_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whose records an earlier run has published: those with a signup."""
     return (
         with_k(table(spark, sf_dir, "events"))
         .filter(F.col("event_type") == "signup")
-        .select((F.col("user_id") * 10 + F.col("k") % 10).alias("repo_id"))
+        .select((F.col("user_id") * 10 + F.col("k") % 10).alias("sender"))
         .distinct()
     )
 
