@@ -65,7 +65,7 @@ from orders""",
 select page_id, concat('o/', cast(page_id as varchar)) as full_name,
   case when page_id % 11 = 0 then 409 when page_id % 13 = 0 then 404 else 200 end as status,
   case when page_id % 3 <> 0 then 'https://api.example/r?per_page=1&page=2' end as next_url,
-  case when page_id % 3 <> 0 and page_id % 5 <> 0 then page_id * 3 + 2 end as last,
+  case when page_id % 3 <> 0 and page_id % 5 <> 0 then coalesce(length(html), 0) + 2 end as last,
   case when page_id % 2 = 0 then 1 when page_id % 7 = 0 then 0 end as listed
 from pages""",
     "order_repos": """

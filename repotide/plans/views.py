@@ -165,13 +165,13 @@ def repo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commit_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored responses to commit listings, one per page."""
+    """Stored responses to commit listings, one per page; its length is the number of commits."""
     page_id = F.col("page_id")
     next_link = F.lit('<https://api.example/r?per_page=1&page=2>; rel="next"')
     last_link = F.concat(
         next_link,
         F.lit(", <https://api.example/r?per_page=1&page="),
-        (page_id * 3 + 2).cast("string"),
+        (F.coalesce(F.char_length("html"), F.lit(0)) + 2).cast("string"),
         F.lit('>; rel="last"'),
     )
     return table(spark, sf_dir, "pages").select(
