@@ -179,7 +179,10 @@ class Forest:
                 impure = cut * left * (1 - left) + (len(y) - cut) * right * (1 - right)
                 i = impure.argmin()
                 if best is None or impure[i] < best[0]:
-                    best = impure[i], f, (v[cut[i] - 1] + v[cut[i]]) / 2
+                    low, high = v[cut[i] - 1], v[cut[i]]
+                    # Between neighbouring floats there is none to take.
+                    middle = (low + high) / 2
+                    best = impure[i], f, middle if middle < high else low
         if best is not None:
             goes = x[:, best[1]] <= best[2]
             left = self._grow(x[goes], y[goes], depth + 1, nodes, rng)
@@ -228,7 +231,7 @@ def labelled_findings(count: int = 6000, seed: int = 5) -> list[tuple]:
     )
     kinds = ("string", "required", "optional", "missing", "invalid", "expired", "redacted", "hidden", "unknown")
     stand_ins = (
-        lambda: "<" + word() + ">", lambda: "${" + word().upper() + "}", lambda: "$" + word().upper() + "_" + word().upper(),
+        lambda: "<" + word() + ">", lambda: "<" + word() + pick("-_") + named() + ">", lambda: "${" + word().upper() + "}", lambda: "$" + word().upper() + "_" + word().upper(),
         lambda: pick(("your", "my")) + pick("-_") + word() + pick(("", "-here", "_here")), lambda: "*" * rng.integers(6, 12),
         lambda: "x" * rng.integers(6, 16), lambda: pick(("example", "sample", "test", "dummy")) + pick("-_") + word(),
         lambda: "os.environ['" + word().upper(), lambda: "get" + word().title() + "()",
@@ -247,7 +250,7 @@ def labelled_findings(count: int = 6000, seed: int = 5) -> list[tuple]:
         lambda: (f"20{draw(digits, 2)}-{draw(digits, 2)}-{draw(digits, 2)}T{draw(digits, 2)}", prose() + " "),
         lambda: (".".join(draw(digits, 3) for _ in range(4)), prose() + " "),
         lambda: ("/".join([word(), word(), word() + draw(digits, 3) + ".html"]), "https://" + word() + ".com/"),
-        lambda: ("".join(word().title() for _ in range(rng.integers(2, 5))), prose() + " "),
+        lambda: ("".join(word().title() for _ in range(rng.integers(2, 5))) + draw(digits, rng.integers(0, 2)), prose() + " "),
         lambda: (word() + "".join(word().title() for _ in range(rng.integers(1, 4))), prose() + " "),
         lambda: ((word() + word() + word()).upper(), prose() + " "),
         lambda: (pick("_-./").join(word().upper() for _ in range(rng.integers(2, 5))), prose() + " "),
