@@ -3,7 +3,7 @@
 The ids of a segment, some whole documents, are cut into blocks of at most
 ``BLOCK`` ids. Every block is coded on its own: its models start anew, and its
 words and its ids have a checksum each. Within a block an id is coded in up to
-three steps of one range coder:
+three steps, the first two as one interval of a range coder:
 
 1. Is it the id that followed last time? The candidate is what came after the
    last two ids (order 2), or else after the last one (order 1). Three
@@ -11,35 +11,44 @@ three steps of one range coder:
    context and of the id's own frequency (order 0), are mixed in the logistic
    domain by weights that learn from the answers.
 2. If not: which of the block's earlier ids, by their counts (order 0), or none?
-3. If none: the id's bits.
+3. If none: the id's bits, which lie ahead of the coder's words.
 
 Records, weights and counts are renewed after ever more ids, see :data:`RENEWED`.
 All numbers are whole, so that every machine decodes alike. Many blocks are
 coded in step with one another, one numpy lane each; the encoder and the decoder
-run the same :class:`_Mixer`.
+run the same :class:`_Mixer`. The encoder knows a stretch's intervals at once and
+takes its models lane by lane, only the coder goes step by step; the decoder
+predicts step by step and learns lane by lane.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repotide.llm.common import prepare
-from repotide.llm.packing import encoder
+from repotide.llm.packing import LONGEST_RUN, encoder
 
 END_ID = 0
 BLOCK = 4096
 # Ids after which a segment ends with its document, and blocks coded in step.
 SEGMENT = 16 * BLOCK
 LANES = 1024
+# Blocks whose models learn at a time, and blocks whose earlier ids are sorted at a time.
+NEAR, FEW = 64, 16
+# Bytes of texts that are split into words together, and words that a worker remembers.
+WORDS_OF, KNOWN = 1 << 24, 300_000
 
-MAGIC = b"IDS1"
+MAGIC = b"IDS2"
 STORED = "part int, base long, n_ids long, doc_ids array<long>, segment binary"
 DOCS = "part int, doc_id long, start long, n_tokens long, ids binary"
 
@@ -56,11 +65,15 @@ RATE = 3
 WEIGHT_LIMIT = 300_000
 LEAST_BET = 32
 U64 = np.uint64
-TWO, THREE, FOUR, FIFTEEN, SIXTEEN = (np.uint32(n) for n in (2, 3, 4, 15, 16))
+FOUR, FIFTEEN, SIXTEEN = (np.uint32(n) for n in (4, 15, 16))
 HASH_SHIFT = np.uint32(32 - SLOT_BITS)
-TOP, LOW_32, LOW_16 = U64(1 << 48), U64((1 << 32) - 1), U64(0xFFFF)
-S12, S16, S32, S48 = U64(12), U64(16), U64(32), U64(48)
+# An id's interval is a part of TOTAL; a lane's range has at least 31 and at most 63 bits.
+TOTAL, FULL, LEAST_RANGE = 1 << 24, (1 << 63) - 1, 1 << 31
+BET, LOW_32, LOW_31 = (1 << 12) - 1, (1 << 32) - 1, U64((1 << 31) - 1)
+S24, S31, S32 = U64(24), U64(31), U64(32)
 STRETCH_LIMIT = 2047
+# Above every id, which has 28 bits beside its trust.
+NO_ID = np.uint32((1 << 31) - 1)
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -68,185 +81,210 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     chance = [(r + 0.35) / (TRUST + 1.6) for r in range(TRUST + 1)]
     stretch = np.array([round(256 * math.log(c / (1 - c))) for c in chance], np.int32)
     squash = [round(4096 / (1 + math.exp(-x / 256))) for x in range(-STRETCH_LIMIT - 1, STRETCH_LIMIT + 1)]
-    return stretch, np.clip(np.array(squash, np.int16), LEAST_BET, 4096 - LEAST_BET)
+    return stretch, np.clip(np.array(squash, np.uint16), LEAST_BET, 4096 - LEAST_BET)
 
 
 STRETCH, SQUASH = _tables()
 NO_RECORD = STRETCH[0]
+# A record's trust after it was wrong, and from place 16 on after it was right.
+TRUSTED = np.array([*(r >> 2 or 2 for r in range(16)), 2, *(min(r + 3, TRUST) for r in range(1, 16))], np.uint32)
 
 
 class _Mixer:
     """Records of contexts, each with a candidate and the mixed odds of it.
 
-    They are fixed within a stretch of ids and learn from it afterwards, all
-    lanes and ids at once. Tables are flat, ``lane * SLOTS + slot``.
+    They are fixed within a stretch of ids and learn from it afterwards, some
+    lanes and all ids at once. Tables are flat, ``lane * SLOTS + slot``; a place
+    holds ``id << 16 | trust << 12 | bet``, the first two the record, so that one
+    look gives all. ``wide`` ids have more than 16 bits.
     """
 
-    def __init__(self, lanes: int) -> None:
-        self.row = (np.arange(lanes) << SLOT_BITS).astype(np.int32)
-        # A record is ``id << 4 | trust``.
-        self.one = np.zeros(lanes << SLOT_BITS, np.uint32)
-        self.two = self.one.copy()
-        # What a lane bets on the record, of 4096.
-        self.bet_1 = np.full(lanes << SLOT_BITS, LEAST_BET, np.int16)
-        self.bet_2 = self.bet_1.copy()
+    def __init__(self, lanes: int, wide: bool) -> None:
+        self.row = np.arange(lanes) << SLOT_BITS
+        # Orders 1 and 2, one behind the other. A bet is so many of 4096; a free
+        # place of order 2 holds 0, so that order 1 shows through.
+        self.kind = np.uint64 if wide else np.uint32
+        self.rows = np.stack([self.row, self.row + (lanes << SLOT_BITS)])
+        self.both = np.zeros(2 * lanes << SLOT_BITS, self.kind)
+        self.one, self.two = np.split(self.both, 2)
+        self.one += LEAST_BET
         self.often = np.zeros(lanes << SLOT_BITS, np.uint8)
-        self.weights = [np.full(lanes, w, np.int32) for w in (9000, 22000, 34000)]
-
-    def slots(self, before: np.ndarray, before_2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the contexts of order 1 and 2; the last axis is the lanes."""
-        row = self.row[: before.shape[-1]]
-        mixed = before * HASH_1
-        return row + (mixed >> HASH_SHIFT), row + ((mixed ^ before_2 * HASH_2) * HASH_1 >> HASH_SHIFT)
+        self.weights = np.array([9000, 22000, 34000], np.int32).repeat(lanes).reshape(3, lanes, 1)
 
     def predict(self, before: np.ndarray, before_2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Candidates, and how many of 4096 to bet on them."""
-        slot_1, slot_2 = self.slots(before, before_2)
-        two = self.two[slot_2]
-        known = two > 0
-        return (
-            np.where(known, two, self.one[slot_1]) >> FOUR,
-            np.where(known, self.bet_2[slot_2], self.bet_1[slot_1]),
-        )
+        """Candidates of the first lanes, and what to bet on them, of 4096."""
+        k = len(before)
+        slots = np.empty((2, k), np.uint32)
+        first, second = slots
+        np.multiply(before, HASH_1, out=first)
+        np.multiply(before_2, HASH_2, out=second)
+        second ^= first
+        second *= HASH_1
+        slots >>= HASH_SHIFT
+        one, two = self.both.take(self.rows[:, :k] + slots)
+        one *= two == 0
+        one |= two
+        return one >> 16, one & BET
+
+    def look(self, first: int, past: np.ndarray) -> tuple:
+        """Candidates of a stretch and bets, and what :meth:`learn` needs, for lanes from ``first``.
+
+        ``past`` has a row for each lane: two ids before the stretch, and its own.
+        """
+        row = self.row[first : first + len(past), None]
+        mixed = past[:, 1:-1] * HASH_1
+        slot_1 = row + (mixed >> HASH_SHIFT)
+        mixed ^= past[:, :-2] * HASH_2
+        mixed *= HASH_1
+        mixed >>= HASH_SHIFT
+        slot_2 = row + mixed
+        one, two = self.one.take(slot_1), self.two.take(slot_2)
+        chosen = one * (two == 0)
+        chosen |= two
+        return chosen >> 16, (chosen & BET).astype(np.int32), (first, slot_1, slot_2, one, two)
 
     def _odds(self, one: np.ndarray, two: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, ...]:
         """Stretched predictions of order 0 to 2 for the candidate of order 2, or else 1."""
-        trust_2 = two & FIFTEEN
-        agree = (one >> FOUR == two >> FOUR) | (trust_2 == 0)
-        return STRETCH[often], STRETCH[np.where(agree, one & FIFTEEN, 0)], STRETCH[trust_2]
-
-    def _mixed(self, odds: tuple[np.ndarray, ...], k: int) -> np.ndarray:
-        dot = self.weights[0][:k] * odds[0]
-        dot += self.weights[1][:k] * odds[1]
-        dot += self.weights[2][:k] * odds[2]
+        trust_1, trust_2 = one & FIFTEEN, two & FIFTEEN
+        agree = (one ^ two) < SIXTEEN
+        agree |= trust_2 == 0
+        trust_1 *= agree
+        return STRETCH.take(often), STRETCH.take(trust_1), STRETCH.take(trust_2)
+
+    def _mixed(self, odds: tuple[np.ndarray, ...], weights: np.ndarray) -> np.ndarray:
+        dot = weights[0] * odds[0]
+        dot += weights[1] * odds[1]
+        dot += weights[2] * odds[2]
         dot >>= 16
-        np.minimum(dot, STRETCH_LIMIT, out=dot)
-        np.maximum(dot, -STRETCH_LIMIT - 1, out=dot)
         dot += STRETCH_LIMIT + 1
-        return SQUASH[dot]
+        return SQUASH.take(dot, mode="clip")
 
-    def learn(self, ids: np.ndarray, before: np.ndarray, before_2: np.ndarray, inside: np.ndarray | None) -> None:
-        """Take in a stretch: ids, and those one and two before, a row for each step.
+    def learn(
+        self, ids: np.ndarray, candidate: np.ndarray, bet: np.ndarray, seen: tuple, inside: np.ndarray | None
+    ) -> None:
+        """Take in the ids of a stretch after the :meth:`look` at it.
 
         ``inside`` marks what belongs to a block where lanes end within.
         """
-        k = ids.shape[1]
-        slot_1, slot_2 = self.slots(before, before_2)
-        slot_0 = self.row[:k] + (ids * HASH_2 >> HASH_SHIFT)
-        one, two = self.one[slot_1], self.two[slot_2]
-        known = two > 0
-        hit = np.where(known, two, one) >> FOUR == ids
-        err = hit.astype(np.int32) << 12
-        err -= np.where(known, self.bet_2[slot_2], self.bet_1[slot_1])
+        first, slot_1, slot_2, one, two = seen
+        row = self.row[first : first + len(ids), None]
+        weights = self.weights[:, first : first + len(ids)]
+        slot_0 = ids * HASH_2
+        slot_0 >>= HASH_SHIFT
+        slot_0 = row + slot_0
+        err = (candidate == ids).astype(np.int32)
+        err <<= 12
+        err -= bet
         if inside is not None:
             err *= inside
-        often = self.often[slot_0]
-        for weight, odds in zip(self.weights, self._odds(one, two, often)):
-            step = (odds * err).sum(axis=0, dtype=np.int64) * RATE >> 14
-            weight[:k] = np.clip(weight[:k] + step, -WEIGHT_LIMIT, WEIGHT_LIMIT)
+        one >>= 12
+        two >>= 12
+        often = self.often.take(slot_0)
+        # 512 errors of under 4096 by odds of under 1000 are less than 32 bits.
+        for weight, odds in zip(weights, self._odds(one, two, often)):
+            odds *= err
+            step = np.add.reduce(odds, axis=1, keepdims=True, dtype=np.int32).astype(np.int64) * RATE >> 14
+            weight[:] = np.clip(weight + step, -WEIGHT_LIMIT, WEIGHT_LIMIT)
         record = ids << FOUR
         for table, slot, old in ((self.one, slot_1, one), (self.two, slot_2, two)):
-            trust = old & FIFTEEN
-            right = (old ^ record) < SIXTEEN
             # A wrong record loses most of its trust, and its id when none is left.
-            left = trust >> TWO
-            new = np.where(right & (trust > 0), (record | np.minimum(trust + THREE, FIFTEEN)),
-                           np.where(left > 0, (old ^ trust) | left, record | TWO))
-            table[slot] = new
-        self.often[slot_0] = np.minimum(often + 1, 15)
-        one, two = self.one[slot_1], self.two[slot_2]
-        odds = self._odds(one, two, self.often[slot_0])
-        self.bet_2[slot_2] = self._mixed(odds, k)
-        self.bet_1[slot_1] = self._mixed((odds[0], STRETCH[one & FIFTEEN], NO_RECORD), k)
-
-
-def _small(ranges: np.ndarray, lanes: np.ndarray | slice) -> np.ndarray:
-    """Which of ``lanes`` have ranges of less than 32 bits."""
-    below = np.flatnonzero(ranges[lanes] <= LOW_32)
-    return below if isinstance(lanes, slice) else lanes[below]
+            trust = old & FIFTEEN
+            right = ((old ^ record) < SIXTEEN).astype(np.uint32)
+            right <<= FOUR
+            right |= trust.astype(np.uint32, copy=False)
+            kept = trust >= FOUR
+            old ^= trust
+            old -= record
+            old *= kept
+            old += record
+            old |= TRUSTED.take(right)
+            old <<= 12
+            table[slot] = old
+        often += 1
+        self.often[slot_0] = np.minimum(often, 15, out=often)
+        # Where a place came up twice, its last record is the one to bet on.
+        place_1, place_2 = self.one.take(slot_1), self.two.take(slot_2)
+        one, two = place_1 >> 12, place_2 >> 12
+        odds = self._odds(one, two, self.often.take(slot_0))
+        place_2 |= self._mixed(odds, weights)
+        one &= FIFTEEN
+        place_1 |= self._mixed((odds[0], STRETCH.take(one), NO_RECORD), weights)
+        self.one[slot_1], self.two[slot_2] = place_1, place_2
 
 
 class _Coder:
-    """Range coder of 48 bits over all lanes; a carry is settled at the end."""
+    """Range coder over all lanes in 63 bits and words of 32; a carry is settled at the end."""
 
-    def __init__(self, lanes: int, room: int) -> None:
+    def __init__(self, lanes: int) -> None:
         self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, TOP, np.uint64)
-        # Word 0 of a lane only takes carries, of which there are none beyond it.
-        self.words = np.zeros((lanes, room), np.uint32)
-        self.at = np.ones(lanes, np.int64)
-
-    def bet(self, k: int, bets: np.ndarray, hit: np.ndarray) -> None:
-        """Narrow the first ``k`` lanes to the ``bets`` of 4096, or to the rest."""
-        part = (self.range[:k] >> S12) * bets
-        self.range[:k] = np.where(hit, part, self.range[:k] - part)
-        part[hit] = 0
-        self.low[:k] += part
-
-    def code(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.uint64) -> None:
-        """Narrow ``lanes`` to ``size`` from ``start``, of ``total``."""
-        part = self.range[lanes] // total
-        self.low[lanes] += part * start
-        self.range[lanes] = part * size
-
-    def settle(self, lanes: np.ndarray | slice) -> None:
-        """Write the words that are certain, until each range has 32 bits."""
-        small = _small(self.range, lanes)
-        while len(small):
-            low, at = self.low[small], self.at[small]
-            self.words[small, at - 1] += (low >> S48).astype(np.uint32)
-            self.words[small, at] = (low >> S32 & LOW_16).astype(np.uint32)
-            self.low[small] = (low & LOW_32) << S16
-            self.range[small] <<= S16
-            self.at[small] = at + 1
-            small = small[self.range[small] <= LOW_32]
+        self.range = np.full(lanes, FULL, np.uint64)
+        # The words of each step, with bit 32 a carry to the one before, and their lanes.
+        self.words: list[np.ndarray] = []
+        self.lanes: list[np.ndarray] = []
+
+    def code(self, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrow the first lanes to ``size`` from ``start``, of :data:`TOTAL`."""
+        k = len(start)
+        low, part = self.low[:k], self.range[:k]
+        part >>= S24
+        low += part * start
+        part *= size
+        small = (part < LEAST_RANGE).nonzero()[0]
+        if len(small):
+            at = low[small]
+            self.words.append(at >> S31)
+            self.lanes.append(small.astype(np.uint16))
+            low[small] = (at & LOW_31) << S32
+            part[small] = part[small] << S32
 
     def finish(self) -> list[bytes]:
-        for _ in range(3):
-            lane = np.arange(len(self.low))
-            self.words[lane, self.at - 1] += (self.low >> S48).astype(np.uint32)
-            self.words[lane, self.at] = (self.low >> S32 & LOW_16).astype(np.uint32)
-            self.low = (self.low & LOW_32) << S16
-            self.at += 1
-        words = self.words
-        while (over := words > 0xFFFF).any():
-            words[:, :-1] += over[:, 1:]
-            words -= over * np.uint32(0x10000)
-        words = words.astype("<u2")
-        return [words[i, 1:n].tobytes() for i, n in enumerate(self.at.tolist())]
+        lanes = len(self.low)
+        # One more word is enough: the range has 31 bits at least.
+        words = np.concatenate([*self.words, (self.low + LOW_31) >> S31])
+        owners = np.concatenate([*self.lanes, np.arange(lanes, dtype=np.uint16)])
+        words = words[np.argsort(owners, kind="stable")]
+        # No carry goes beyond the first word of a lane.
+        while (over := words >> S32).any():
+            words &= U64(LOW_32)
+            words[:-1] += over[1:]
+        ends = np.cumsum(np.bincount(owners, minlength=lanes)) * 4
+        data = words.astype("<u4").tobytes()
+        return [data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 class _Reader:
     """The coder's other side."""
 
-    def __init__(self, payloads: list[bytes]) -> None:
-        lanes = len(payloads)
+    def __init__(self, coded: list[bytes]) -> None:
+        lanes = len(coded)
         # Behind its end a lane reads zeros.
-        self.words = np.zeros((lanes, max(map(len, payloads)) // 2 + 4), np.uint64)
-        for i, payload in enumerate(payloads):
-            self.words[i, : len(payload) // 2] = np.frombuffer(payload, "<u2")
-        self.range = np.full(lanes, TOP, np.uint64)
-        self.code = self.words[:, 0] << S32 | self.words[:, 1] << S16 | self.words[:, 2]
-        self.at = np.full(lanes, 3, np.int64)
-        self.last = self.words.shape[1] - 1
-
-    def bet(self, k: int, bets: np.ndarray) -> np.ndarray:
-        """Which of the first ``k`` lanes were narrowed to their bets."""
-        part = (self.range[:k] >> S12) * bets
-        hit = self.code[:k] < part
-        self.range[:k] = np.where(hit, part, self.range[:k] - part)
-        part[hit] = 0
-        self.code[:k] -= part
-        return hit
-
-    def settle(self, lanes: np.ndarray | slice) -> None:
-        small = _small(self.range, lanes)
-        while len(small):
-            at = np.minimum(self.at[small], self.last)
-            self.code[small] = self.code[small] << S16 | self.words[small, at]
-            self.range[small] <<= S16
-            self.at[small] = at + 1
-            small = small[self.range[small] <= LOW_32]
+        words = np.zeros((lanes, max(map(len, coded)) // 4 + 3), np.int64)
+        for i, own in enumerate(coded):
+            words[i, : len(own) // 4] = np.frombuffer(own, "<u4")
+        # Words are read one bit late, as 63 bits are not two of them.
+        late = (words[:, :-1] & 1) << 31
+        late |= words[:, 1:] >> 1
+        self.value = words[:, 0] << 31 | words[:, 1] >> 1
+        self.range = np.full(lanes, FULL, np.int64)
+        self.late, self.at = late.ravel(), np.arange(lanes) * late.shape[1] + 1
+
+    def narrow(self, part: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrow the first lanes, of :data:`TOTAL` parts, as the coder did."""
+        k = len(part)
+        value, ranges = self.value[:k], self.range[:k]
+        value -= part * start
+        np.multiply(part, size, out=ranges)
+        # All bits where the range is small.
+        small = ranges - LEAST_RANGE
+        small >>= 63
+        at = self.at[:k]
+        word = self.late.take(at, mode="clip")
+        word &= small
+        at -= small
+        small &= 32
+        value <<= small
+        value |= word
+        ranges <<= small
 
 
 def _by_length(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -263,150 +301,214 @@ def _spans(size: int) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
+def _inside(begin: int, end: int, sizes: np.ndarray) -> np.ndarray | None:
+    """What of a stretch belongs to lanes of these sizes, or None for all of it."""
+    return None if sizes[-1] >= end else np.arange(begin, end) < sizes[:, None]
+
+
+def _ranks(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, int]:
+    """Each id's place among the different ids of its lane, and how many there are at most."""
+    lanes, size = ids.shape
+    # Ids of 16 bits fit 32 bits together with their places.
+    kind = np.uint32 if ids.max() <= 0xFFFF else np.int64
+    keyed = ids.astype(kind)
+    if sizes[-1] < size:
+        keyed[np.arange(size) >= sizes[:, None]] = (1 << 20) - 1 if kind is np.uint32 else NO_ID
+    keyed <<= 12
+    keyed |= np.arange(size, dtype=kind)
+    keyed.sort(axis=1)
+    row = np.arange(lanes)[:, None]
+    at = keyed & (BLOCK - 1)
+    keyed >>= 12
+    place = np.zeros(ids.shape, np.int32)
+    np.cumsum(keyed[:, 1:] != keyed[:, :-1], axis=1, out=place[:, 1:])
+    wide = int(place[:, -1].max()) + 1
+    place += (row * wide).astype(np.int32)
+    rank = np.empty(lanes * size, np.int64)
+    rank[at + row * size] = place
+    return rank.reshape(lanes, size), wide
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """The coded words of blocks of at most :data:`BLOCK` ids, none of them empty.
+    """The coded form of blocks of at most :data:`BLOCK` ids, none of them empty.
 
-    At most :data:`LANES` blocks at a time are what fits the caches best.
+    At most :data:`LANES` blocks at a time are what fits the caches best. The
+    models see :data:`NEAR` lanes at a time, whose tables stay in the cache;
+    the coder then goes over all lanes step by step.
     """
-    lanes, lengths = len(blocks), [len(b) for b in blocks]
+    lengths = [len(b) for b in blocks]
     order, active = _by_length(lengths)
-    size = lengths[order[0]]
-    ids = np.zeros((lanes, size), np.uint32)
-    for lane, i in enumerate(order):
-        ids[lane, : lengths[i]] = blocks[i]
     sizes = np.asarray(lengths)[order]
-    # Each id's place among the different ids of its block.
-    inside = np.arange(size) < sizes[:, None]
-    sort = np.argsort(np.where(inside, ids, np.uint32(0xFFFFFFFF)), axis=1, kind="stable")
-    in_order = np.take_along_axis(ids, sort, axis=1)
-    rank = np.zeros((lanes, size), np.int32)
-    place = np.cumsum(np.diff(in_order, axis=1, prepend=in_order[:, :1]) != 0, axis=1, dtype=np.int32)
-    np.put_along_axis(rank, sort, place, axis=1)
-    rank += np.arange(lanes, dtype=np.int32)[:, None] * np.int32(size)
-    counts = np.zeros(lanes * size, np.int32)
-    steps = np.ascontiguousarray(ids.T)
-
-    # One and two ids before each; a block begins behind ids 0.
-    past = np.concatenate([np.zeros((2, lanes), np.uint32), steps])
-    wide_ids = ids.max() > 0xFFFF
-    mixer, coder = _Mixer(lanes), _Coder(lanes, 2 * size * (1 + wide_ids) + 8)
+    starts = np.zeros((sizes[0], len(blocks)), np.uint32)
+    parts = starts.copy()
+    bare: list[bytes] = []
+    for first in range(0, len(blocks), NEAR):
+        near = slice(first, first + NEAR)
+        bare += _intervals([blocks[i] for i in order[near]], sizes[near], starts[:, near], parts[:, near])
+    coder = _Coder(len(blocks))
+    for k, start, part in zip(active.tolist(), starts, parts):
+        coder.code(start[:k], part[:k])
+    out: list[bytes] = [b""] * len(blocks)
+    for i, head, words in zip(order, bare, coder.finish()):
+        out[i] = head + words
+    return out
+
+
+def _intervals(blocks: list[np.ndarray], sizes: np.ndarray, starts: np.ndarray, parts: np.ndarray) -> list[bytes]:
+    """Fill in each id's interval, a row for each step; gives the blocks' ids of step 3."""
+    lanes, size = len(blocks), int(sizes[0])
+    # Two ids before each; a block begins behind ids 0.
+    past = np.zeros((lanes, size + 2), np.uint32)
+    for lane, block in enumerate(blocks):
+        past[lane, 2 : 2 + len(block)] = block
+    rank, wide = _ranks(past[:, 2:], sizes)
+    counts = np.zeros(lanes * wide, np.int64)
+    mixer, bare = _Mixer(lanes, past.max() > 0xFFFF), np.zeros((lanes, size), bool)
     for begin, end in _spans(size):
-        alive = active[begin]
+        alive = int(np.count_nonzero(sizes > begin))
+        now, inside = past[:alive, begin + 2 : end + 2], _inside(begin, end, sizes[:alive])
+        candidate, bet, seen = mixer.look(0, past[:alive, begin : end + 2])
         here = rank[:alive, begin:end]
-        ahead = np.cumsum(counts.reshape(lanes, size)[:alive], axis=1, dtype=np.int32).ravel()
-        now = steps[begin:end, :alive]
-        before = past[begin + 1 : end + 1, :alive], past[begin:end, :alive]
-        candidate, bet = mixer.predict(*before)
-        hits = candidate == now
-        bets = bet.astype(np.uint64)
-        found = np.ascontiguousarray(counts[here].T)
-        sizes_here = found.astype(np.uint64)
-        starts_here = np.ascontiguousarray(ahead[here].T).astype(np.uint64) - sizes_here
-        new_here = found == 0
-        starts_here[new_here], sizes_here[new_here] = begin, UNSEEN
-        total = U64(begin + UNSEEN)
-        for t in range(end - begin):
-            k = active[begin + t]
-            hit = hits[t, :k]
-            coder.bet(k, bets[t, :k], hit)
-            other = np.flatnonzero(~hit)
-            if begin:
-                coder.settle(other)
-                coder.code(other, starts_here[t, other], sizes_here[t, other], total)
-            raw = other[new_here[t, other]]
-            if len(raw):
-                coder.settle(raw)
-                value = now[t, raw].astype(np.uint64)
-                if wide_ids:
-                    coder.code(raw, value >> S16, U64(1), U64(1 << 16))
-                    coder.settle(raw)
-                coder.code(raw, value & LOW_16, U64(1), U64(1 << 16))
-            coder.settle(slice(k))
-        own = inside[:alive, begin:end]
-        mixer.learn(now, *before, None if active[end - 1] == alive else own.T)
-        counts += np.bincount(here[own], minlength=lanes * size).astype(np.int32)
-    coded = coder.finish()
-    width = bytes([1 + int(wide_ids)])
-    out: list[bytes] = [b""] * lanes
-    for lane, i in enumerate(order):
-        out[i] = width + coded[lane]
-    return out
+        found = counts.take(here)
+        start = np.cumsum(counts.reshape(lanes, wide)[:alive], axis=1).ravel().take(here)
+        start -= found
+        new = found == 0
+        start += (begin - start) * new
+        found += new * UNSEEN
+        own = bet.astype(np.int64)
+        own <<= 12
+        unit = (TOTAL - own) // (begin + UNSEEN)
+        start *= unit
+        found *= unit
+        hit = candidate == now
+        start += own
+        start *= ~hit
+        own -= found
+        own *= hit
+        found += own
+        starts[begin:end, :alive] = start.astype(np.uint32).T
+        parts[begin:end, :alive] = found.astype(np.uint32).T
+        new &= ~hit
+        if inside is not None:
+            new &= inside
+        bare[:alive, begin:end] = new
+        if end < size:
+            mixer.learn(now, candidate, bet, seen, inside)
+            here = here if inside is None else here[inside]
+            counts += np.bincount(here.ravel(), minlength=len(counts))
+    heads = []
+    for lane, block in enumerate(blocks):
+        own = block[bare[lane, : len(block)]]
+        width = 1 + int(block.max() > 0xFFFF)
+        heads.append(bytes([width]) + len(own).to_bytes(2, "little") + own.astype(f"<u{2 * width}").tobytes())
+    return heads
 
 
 def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     """The ids of coded blocks, whose lengths are known."""
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(coded)
-    # Blocks with wide ids have another third step.
-    for width in (1, 2):
-        chosen = [i for i, c in enumerate(coded) if c[0] == width]
-        if chosen:
-            found = _decode([coded[i][1:] for i in chosen], [lengths[i] for i in chosen], width)
-            for i, ids in zip(chosen, found):
-                out[i] = ids
-    return out
-
-
-def _decode(payloads: list[bytes], lengths: list[int], width: int) -> list[np.ndarray]:
-    lanes = len(payloads)
+    lanes = len(coded)
     order, active = _by_length(lengths)
-    size, sizes = lengths[order[0]], np.asarray(lengths)[order]
+    sizes = np.asarray(lengths)[order]
+    size = int(sizes[0])
+    bare, words = zip(*(_opened(coded[i]) for i in order))
+    # The ids of step 3 of all lanes, and which of them is each lane's next.
+    bare_at = np.cumsum([0, *map(len, bare[:-1])])
+    bare = np.concatenate(bare)
     steps = np.zeros((size + 2, lanes), np.uint32)
-    mixer, reader = _Mixer(lanes), _Reader([payloads[i] for i in order])
+    by_lane = np.zeros((lanes, size + 2), np.uint32)
+    mixer, reader = _Mixer(lanes, any(c[0] == 2 for c in coded)), _Reader(list(words))
+    room = np.empty(lanes * (_spans(size)[-1][0] + 1), np.int64)
     for begin, end in _spans(size):
-        alive = active[begin]
-        total = U64(begin + UNSEEN)
-        if begin:
-            # Earlier ids in order: a value of step 2 is a place among them.
-            past = np.sort(steps[2 : begin + 2, :alive].T, axis=1)
-            new_run = np.ones((alive, begin + 1), bool)
-            np.not_equal(past[:, 1:], past[:, :-1], out=new_run[:, 1:-1])
-            edges = np.flatnonzero(new_run[:, :-1])
-            past = past.ravel()
-            run = np.cumsum(new_run[:, :-1].ravel(), dtype=np.int32) - 1
-            first = (edges % begin).astype(np.uint64)
-            counts = np.diff(edges, append=len(past)).astype(np.uint64)
+        alive = int(active[begin])
+        total = begin + UNSEEN
+        earlier = _earlier(by_lane[:alive, 2 : begin + 2], room)
+        base = np.arange(alive) * (begin + 1)
         for t in range(begin, end):
-            k = active[t]
-            candidate, bet = mixer.predict(steps[t + 1, :k], steps[t, :k])
-            hit = reader.bet(k, bet.astype(np.uint64))
-            other = raw = np.flatnonzero(~hit)
-            if begin and len(other):
-                reader.settle(other)
-                part = reader.range[other] // total
-                value = np.minimum(reader.code[other] // part, total - U64(1)).astype(np.int64)
-                new = value >= begin
-                place = other * begin + value
-                place[new] = 0
-                at = run[place]
-                start, count = first[at], counts[at]
-                start[new], count[new] = begin, UNSEEN
-                candidate[other] = past[place]
-                reader.code[other] -= part * start
-                reader.range[other] = part * count
-                raw = other[new]
+            k = int(active[t])
+            ids, bet = mixer.predict(steps[t + 1, :k], steps[t, :k])
+            bet = bet.astype(np.int64)
+            bet <<= 12
+            part = reader.range[:k] >> 24
+            # In unsigned numbers, which divide faster.
+            value = np.floor_divide(reader.value[:k].view(np.uint64), part.view(np.uint64)).view(np.int64)
+            value -= bet
+            # All bits where the bet was lost; choices by bits are cheaper than by branches.
+            missed = ~(value >> 63)
+            # Step 2. The floats' quotient of numbers of 24 bits is never rounded up to the next one.
+            unit = (TOTAL - bet) // total
+            place = (value.astype(np.float64) / unit.astype(np.float64)).astype(np.int64)
+            place &= missed
+            np.minimum(place, begin, out=place)
+            lost = place == begin
+            if not begin:
+                lost &= missed < 0
+            raw = lost.nonzero()[0]
+            place += base[:k]
+            found = earlier.take(place)
+            start = found & 0xFFFF
+            start *= unit
+            start += bet
+            start &= missed
+            size_here = found >> 16
+            size_here &= 0xFFFF
+            size_here *= unit
+            size_here -= bet
+            size_here &= missed
+            size_here += bet
+            ids = ids.astype(np.int64)
+            found >>= 32
+            found -= ids
+            found &= missed
+            ids += found
             if len(raw):
-                value = np.zeros(len(raw), np.uint64)
-                for _ in range(width):
-                    reader.settle(raw)
-                    part = reader.range[raw] >> S16
-                    word = np.minimum(reader.code[raw] // part, LOW_16)
-                    reader.code[raw] -= part * word
-                    reader.range[raw] = part
-                    value = value << S16 | word
-                candidate[raw] = value
-            reader.settle(slice(k))
-            steps[t + 2, :k] = candidate
-        inside = None if active[end - 1] == alive else np.arange(begin, end)[:, None] < sizes[:alive]
-        mixer.learn(
-            steps[begin + 2 : end + 2, :alive], steps[begin + 1 : end + 1, :alive], steps[begin:end, :alive], inside
-        )
+                at = bare_at[raw]
+                ids[raw] = bare.take(at)
+                bare_at[raw] = at + 1
+            steps[t + 2, :k] = ids
+            reader.narrow(part, start, size_here)
+        for first in range(0, alive, NEAR):
+            last = min(first + NEAR, alive)
+            by_lane[first:last, begin + 2 : end + 2] = steps[begin + 2 : end + 2, first:last].T
+            if end < size:
+                past = by_lane[first:last, begin : end + 2]
+                mixer.learn(past[:, 2:], *mixer.look(first, past), _inside(begin, end, sizes[first:last]))
     out: list[np.ndarray] = [np.empty(0, np.uint32)] * lanes
-    by_lane = np.ascontiguousarray(steps[2:].T)
     for lane, i in enumerate(order):
-        out[i] = by_lane[lane, : lengths[i]]
+        out[i] = by_lane[lane, 2 : 2 + lengths[i]]
     return out
 
 
+def _opened(coded: bytes) -> tuple[np.ndarray, bytes]:
+    """The ids of step 3 of a block, and its words."""
+    width, n = 2 * coded[0], int.from_bytes(coded[1:3], "little")
+    return np.frombuffer(coded, f"<u{width}", n, 3).astype(np.int64), coded[3 + width * n :]
+
+
+def _earlier(ids: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """For each lane and place in the order of its earlier ids ``id << 32 | count << 16 | start`` of
+    the places of that id; the last place of a lane stands for none of them."""
+    lanes, begin = ids.shape
+    size = begin + 1
+    for first in range(0, lanes, FEW):
+        last = min(first + FEW, lanes)
+        near = np.full((last - first, size), NO_ID, np.uint32)
+        near[:, :begin] = ids[first:last]
+        near.sort(axis=1)
+        flat = near.ravel()
+        fresh = np.ones(len(flat), bool)
+        np.not_equal(flat[1:], flat[:-1], out=fresh[1:])
+        edges = fresh.nonzero()[0]
+        runs = np.diff(edges, append=len(flat))
+        start = edges - edges // size * size
+        packed = runs.copy()
+        packed[start == begin] = UNSEEN
+        packed <<= 16
+        packed |= start
+        packed |= flat.take(edges).astype(np.int64) << 32
+        room[first * size : last * size] = packed.repeat(runs)
+    return room
+
+
 # --- segments
 
 
@@ -422,8 +524,8 @@ def _coded(blocks: list[np.ndarray]) -> list[bytes]:
 
 
 def _groups(blocks: int) -> list[tuple[int, int]]:
-    """Equal groups of at most :data:`LANES` blocks."""
-    n = -(-blocks // LANES)
+    """Equal groups of about :data:`LANES` blocks, less than half as many again or a single group."""
+    n = max(1, round(blocks / LANES))
     edges = [blocks * i // n for i in range(n + 1)]
     return list(zip(edges, edges[1:]))
 
@@ -477,6 +579,118 @@ def unpack_all(segments: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]
         at += len(table)
 
 
+# --- texts
+
+
+class Words:
+    """Ids of many texts at a time: each different word of theirs is encoded once.
+
+    In a text of Latin characters whose white space is single blanks and line
+    feeds, a word with the blank or the line feed before it is encoded alike
+    wherever it stands. The words that a line feed precedes stay together with
+    it; the first word of a text gets one, whose id then gives way to the end id
+    of the text before. Other texts go to the encoder as a whole.
+    """
+
+    # Texts that need the encoder: other characters or white space, and words so
+    # long that their merges are worth its care.
+    OTHER = rf"[^ \n!-~\x{{a1}}-\x{{17f}}]|[ \n][ \n]|\A[ \n]|[ \n]\z|[^ \n]{{{LONGEST_RUN}}}"
+
+    def __init__(self, tokenizer: str) -> None:
+        self.encoder = encoder(tokenizer)
+        whole = self.encoder.whole
+        special = [re.escape(o) for o in self.encoder.odd]
+        self.other = "|".join([self.OTHER, *special])
+        strings = [whole.decode([i]) for i in range(whole.get_vocab_size())]
+        # Per id: 1 opens with a blank, 2 is one, 4 opens with a line feed.
+        # Words known from earlier texts, their ids, and where a word's begin and how many they are.
+        self.known = pa.array([], pa.string())
+        self.ids = np.empty(0, np.uint32)
+        self.begins, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.marks = np.array([s.startswith(" ") + 2 * (s == " ") + 4 * s.startswith("\n") for s in strings], np.uint8)
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with ``end_id`` behind it, and how many each has."""
+        texts = pc.fill_null(texts, "")
+        # Arrow's strings end at 2 GB, and line feeds become longer.
+        if not self.encoder.quick or texts.nbytes > 1 << 29:
+            return self._apart(texts, end_id)
+        texts = texts.cast(pa.string())
+        other = pc.match_substring_regex(texts, self.other)
+        plain = pc.and_not(pc.greater(pc.binary_length(texts), 0), other)
+        if not pc.any(plain).as_py():
+            return self._apart(texts, end_id)
+        ids, sizes = self._plain(texts.filter(plain), end_id)
+        if pc.all(plain).as_py():
+            return ids, sizes
+        # Put the others between them.
+        chosen = plain.to_numpy(zero_copy_only=False)
+        more, more_sizes = self._apart(texts.filter(pc.invert(plain)), end_id)
+        all_sizes = np.empty(len(texts), np.int64)
+        all_sizes[chosen], all_sizes[~chosen] = sizes, more_sizes
+        mine = np.repeat(chosen, all_sizes)
+        out = np.empty(len(mine), np.uint32)
+        out[mine], out[~mine] = ids, more
+        return out, all_sizes
+
+    def _apart(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        last = np.array([end_id], np.uint32)
+        found = [self.encoder.encode(t) for t in texts.to_pylist()]
+        return np.concatenate([i for ids in found for i in (ids, last)]), np.array([len(f) + 1 for f in found])
+
+    def _plain(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        lines = pc.binary_join_element_wise("", pc.replace_substring(texts, "\n", " \n"), "\n")
+        words = pc.split_pattern(lines, " ")
+        ends = words.offsets.to_numpy()
+        # The known words go ahead, so that the codes behind them are the new ones'.
+        known = len(self.known)
+        coded = pa.concat_arrays([self.known, words.flatten()]).dictionary_encode()
+        different, codes = coded.dictionary, coded.indices.to_numpy()[known:]
+        ids, begins, sizes = self._of_words(different[known:])
+        begins = np.concatenate([self.begins, begins + len(self.ids)])
+        sizes = np.concatenate([self.sizes, sizes])
+        ids = np.concatenate([self.ids, ids])
+        if known < KNOWN:
+            # What comes up early is common: it stays.
+            kept = min(len(different), KNOWN)
+            self.known = different[:kept]
+            self.begins, self.sizes = begins[:kept], sizes[:kept]
+            self.ids = ids[: begins[kept - 1] + sizes[kept - 1]]
+        size = sizes.take(codes)
+        stop = np.cumsum(size)
+        # Where each text's first id is, which is a line feed's.
+        first = np.concatenate([[0], stop])[ends - ends[0]]
+        at = np.repeat(begins.take(codes) - (stop - size), size)
+        at += np.arange(len(at))
+        out = np.empty(len(at) + 1, np.uint32)
+        out[:-1] = ids.take(at)
+        out[first] = end_id
+        return out[1:], np.diff(first)
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of different words, and for each word where they begin and how many they are."""
+        if not len(words):
+            return np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        # One text of all of them, with a blank before each.
+        row = pa.ListArray.from_arrays([0, len(words)], words)
+        text = " " + pc.binary_join(row, " ")[0].as_py()
+        ids = np.array(self.encoder.quick(text), np.uint32)
+        marks = self.marks.take(ids)
+        # A line feed's blank is no part of its word.
+        bare = np.zeros(len(ids), bool)
+        bare[:-1] = (marks[:-1] >> 1) & (marks[1:] >> 2)
+        begins = (marks & 1).nonzero()[0]
+        begins = begins + bare[begins]
+        sizes = np.append(begins[1:], len(ids)) - begins
+        sizes[:-1] -= bare[begins[1:] - 1]
+        return ids, begins, sizes
+
+
+@cache
+def _words(tokenizer: str) -> Words:
+    return Words(tokenizer)
+
+
 # --- Spark
 
 
@@ -485,7 +699,7 @@ def _write(tokenizer: str, end_id: int):
         from pyspark import TaskContext
 
         part, base = TaskContext.get().partitionId(), 0
-        encode, last = encoder(tokenizer), np.array([end_id], np.uint32)
+        words = _words(tokenizer)
         waiting: list[tuple[list, list[int], list[np.ndarray]]] = []  # ids of documents, lengths, blocks
         docs: list = []
         texts: list[np.ndarray] = []
@@ -518,11 +732,13 @@ def _write(tokenizer: str, end_id: int):
                 names=["part", "base", "n_ids", "doc_ids", "segment"],
             )
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for names, column in _together(batches):
+            ids, sizes = words.encode(column, end_id)
+            ends = np.cumsum(sizes).tolist()
+            for doc_id, begin, end in zip(names.to_pylist(), [0, *ends], ends):
                 docs.append(doc_id)
-                texts.append(np.concatenate([encode.encode(text or "").astype(np.uint32), last]))
-                size += len(texts[-1])
+                texts.append(ids[begin:end])
+                size += end - begin
                 if size >= SEGMENT:
                     close()
                     if n_blocks >= LANES:
@@ -535,6 +751,23 @@ def _write(tokenizer: str, end_id: int):
     return run
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts of documents, of several batches at a time."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            size += batch.column(1).nbytes
+        if size >= WORDS_OF:
+            whole = pa.concat_batches(waiting)
+            yield whole.column(0), whole.column(1)
+            waiting, size = [], 0
+    if waiting:
+        whole = pa.concat_batches(waiting)
+        yield whole.column(0), whole.column(1)
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Write the ids of all documents to ``path``, in ascending order of ``doc_id``.
 

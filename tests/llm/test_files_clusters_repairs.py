@@ -5,6 +5,7 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -66,6 +67,71 @@ def test_damage_is_found():
         list(token_files.unpack_all([segment[:-2]]))
 
 
+def test_a_block_is_coded_alike_beside_any_others():
+    rng = np.random.default_rng(1)
+    blocks = [rng.zipf(1.3, n) % 40_000 for n in rng.integers(1, 4097, 150)]
+    blocks[7] = blocks[7] + 70_000
+    blocks = [b.astype(np.uint32) for b in blocks]
+    coded = token_files.encode_blocks(blocks)
+    assert [token_files.encode_blocks([b])[0] for b in blocks[:12]] == coded[:12]
+    found = token_files.decode_blocks(coded, [len(b) for b in blocks])
+    assert all(np.array_equal(a, b) for a, b in zip(found, blocks))
+
+
+def test_carries_run_through_the_words():
+    coder = token_files._Coder(2)
+    top = token_files.TOTAL - 1
+    for _ in range(40):
+        coder.code(np.array([top, 0], np.uint32), np.array([1, 1], np.uint32))
+    coder.code(np.array([top, top], np.uint32), np.array([1, 1], np.uint32))
+    reader = token_files._Reader(coder.finish())
+    for k in range(41):
+        part = reader.range >> 24
+        value = reader.value // part
+        assert value.tolist() == [top, top if k == 40 else 0]
+        reader.narrow(part, value, np.ones(2, np.int64))
+
+
+def test_blocks_in_step_are_not_halved():
+    # Segments end with a document, so that a group is a little over its size.
+    assert token_files._groups(token_files.LANES + 16) == [(0, token_files.LANES + 16)]
+    for n in (1, 1000, 1535, 1536, 5000):
+        edges = token_files._groups(n)
+        assert edges[0][0] == 0 and edges[-1][1] == n and all(a[1] == b[0] for a, b in zip(edges, edges[1:]))
+        assert max(b - a for a, b in edges) <= 1.5 * token_files.LANES
+
+
+def test_each_different_word_is_encoded_once(library):
+    words = token_files.Words(tokenizer_path(VOCABULARY))
+    seen, quick = [], words.encoder.quick
+    # The encoder is the worker's own.
+    words.encoder.quick = lambda text: seen.append(text) or quick(text)
+    try:
+        texts = ["one two", "two\none two, two,", None, "", "one"] * 30
+        ids, sizes = words.encode(pa.array(texts), 0)
+        words.encode(pa.array(texts), 0)
+    finally:
+        words.encoder.quick = quick
+    expected = [library.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    assert ids.tolist() == list(itertools.chain(*expected)) and sizes.tolist() == [len(e) for e in expected]
+    # A word after a line feed is another one than after a blank.
+    assert [sorted(s.split(" ")) for s in seen if s] == [["", "\none", "\ntwo", "two", "two,"]]
+
+
+PARTS = [" ", "\n", "a", "The", "É", "’", "22", "'s", ".", ",", "\xa0", "\t", "<|endoftext|>", "ŵ", "x" * 401, "\r\n",
+         "(", "_", "ß", "日本", "  ", "\x1c", "##", "\0", "͸"]
+
+
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=12))
+@settings(max_examples=150, deadline=None)
+def test_texts_together_are_encoded_as_the_library_does(library, texts):
+    words = token_files.Words(tokenizer_path(VOCABULARY))
+    for some in (texts, texts[::-1]):
+        ids, sizes = words.encode(pa.array(some), 0)
+        expected = [library.encode(t, add_special_tokens=False).ids + [0] for t in some]
+        assert ids.tolist() == list(itertools.chain(*expected)) and sizes.tolist() == [len(e) for e in expected]
+
+
 def odd_docs(spark):
     return spark.createDataFrame(
         [(7, "one two"), (3, None), (None, "no id"), (3, ""), (3, "again"), (3, "again"), (-2, "ünï ✓ ͸"),
