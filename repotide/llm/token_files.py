@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -42,11 +43,11 @@ END_ID = 0
 BLOCK = 4096
 # Ids after which a segment ends with its document, and blocks coded in step.
 SEGMENT = 16 * BLOCK
-LANES = 1024
+LANES = 2048
 # Blocks whose models learn at a time, and blocks whose earlier ids are sorted at a time.
 NEAR, FEW = 64, 16
 # Bytes of texts that are split into words together, and words that a worker remembers.
-WORDS_OF, KNOWN = 1 << 24, 300_000
+WORDS_OF, KNOWN = 1 << 24, 100_000
 
 MAGIC = b"IDS2"
 STORED = "part int, base long, n_ids long, doc_ids array<long>, segment binary"
@@ -332,9 +333,9 @@ def _ranks(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, int]:
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """The coded form of blocks of at most :data:`BLOCK` ids, none of them empty.
 
-    At most :data:`LANES` blocks at a time are what fits the caches best. The
-    models see :data:`NEAR` lanes at a time, whose tables stay in the cache;
-    the coder then goes over all lanes step by step.
+    About :data:`LANES` blocks at a time are worth the calls of a step. The models
+    see :data:`NEAR` lanes at a time, whose tables stay in the cache; the coder then
+    goes over all lanes step by step.
     """
     lengths = [len(b) for b in blocks]
     order, active = _by_length(lengths)
@@ -603,17 +604,15 @@ class Words:
         self.other = "|".join([self.OTHER, *special])
         strings = [whole.decode([i]) for i in range(whole.get_vocab_size())]
         # Per id: 1 opens with a blank, 2 is one, 4 opens with a line feed.
-        # Words known from earlier texts, their ids, and where a word's begin and how many they are.
-        self.known = pa.array([], pa.string())
-        self.ids = np.empty(0, np.uint32)
-        self.begins, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        # Words known from earlier texts, and their ids as bytes.
+        self.known, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
         self.marks = np.array([s.startswith(" ") + 2 * (s == " ") + 4 * s.startswith("\n") for s in strings], np.uint8)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with ``end_id`` behind it, and how many each has."""
         texts = pc.fill_null(texts, "")
-        # Arrow's strings end at 2 GB, and line feeds become longer.
-        if not self.encoder.quick or texts.nbytes > 1 << 29:
+        # Arrow's strings end at 2 GB, and an id has four bytes.
+        if not self.encoder.quick or texts.nbytes > 1 << 28:
             return self._apart(texts, end_id)
         texts = texts.cast(pa.string())
         other = pc.match_substring_regex(texts, self.other)
@@ -646,44 +645,34 @@ class Words:
         known = len(self.known)
         coded = pa.concat_arrays([self.known, words.flatten()]).dictionary_encode()
         different, codes = coded.dictionary, coded.indices.to_numpy()[known:]
-        ids, begins, sizes = self._of_words(different[known:])
-        begins = np.concatenate([self.begins, begins + len(self.ids)])
-        sizes = np.concatenate([self.sizes, sizes])
-        ids = np.concatenate([self.ids, ids])
+        ids = pa.concat_arrays([self.ids, self._of_words(different[known:])])
         if known < KNOWN:
             # What comes up early is common: it stays.
-            kept = min(len(different), KNOWN)
-            self.known = different[:kept]
-            self.begins, self.sizes = begins[:kept], sizes[:kept]
-            self.ids = ids[: begins[kept - 1] + sizes[kept - 1]]
-        size = sizes.take(codes)
-        stop = np.cumsum(size)
+            self.known, self.ids = different[:KNOWN], ids[:KNOWN]
+        _, offsets, data = ids.take(pa.array(codes)).buffers()
         # Where each text's first id is, which is a line feed's.
-        first = np.concatenate([[0], stop])[ends - ends[0]]
-        at = np.repeat(begins.take(codes) - (stop - size), size)
-        at += np.arange(len(at))
-        out = np.empty(len(at) + 1, np.uint32)
-        out[:-1] = ids.take(at)
+        first = np.frombuffer(offsets, np.int32)[ends - ends[0]] // 4
+        out = np.empty(first[-1] + 1, np.uint32)
+        out[:-1] = np.frombuffer(data, np.uint32, first[-1])
         out[first] = end_id
         return out[1:], np.diff(first)
 
-    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of different words, and for each word where they begin and how many they are."""
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of different words, as bytes."""
         if not len(words):
-            return np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+            return pa.array([], pa.binary())
         # One text of all of them, with a blank before each.
         row = pa.ListArray.from_arrays([0, len(words)], words)
         text = " " + pc.binary_join(row, " ")[0].as_py()
-        ids = np.array(self.encoder.quick(text), np.uint32)
+        ids = np.frombuffer(array("I", self.encoder.quick(text)), np.uint32)
         marks = self.marks.take(ids)
+        begins = np.append((marks & 1).nonzero()[0], len(ids))
         # A line feed's blank is no part of its word.
-        bare = np.zeros(len(ids), bool)
-        bare[:-1] = (marks[:-1] >> 1) & (marks[1:] >> 2)
-        begins = (marks & 1).nonzero()[0]
-        begins = begins + bare[begins]
-        sizes = np.append(begins[1:], len(ids)) - begins
-        sizes[:-1] -= bare[begins[1:] - 1]
-        return ids, begins, sizes
+        bare = np.zeros(len(ids) + 1, bool)
+        bare[:-2] = (marks[:-1] >> 1) & (marks[1:] >> 2)
+        begins -= (np.cumsum(bare) - bare)[begins]
+        buffers = [None, pa.py_buffer((4 * begins).astype(np.int32)), pa.py_buffer(ids[~bare[:-1]])]
+        return pa.Array.from_buffers(pa.binary(), len(words), buffers)
 
 
 @cache
