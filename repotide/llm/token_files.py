@@ -125,7 +125,8 @@ class _Mixer:
         one, two = self.both.take(self.rows[:, :k] + slots)
         one *= two == 0
         one |= two
-        return one >> 16, one & BET
+        chosen = one.astype(np.int64)
+        return chosen >> 16, chosen & BET
 
     def look(self, first: int, past: np.ndarray) -> tuple:
         """Candidates of a stretch and bets, and what :meth:`learn` needs, for lanes from ``first``.
@@ -371,8 +372,9 @@ def _intervals(blocks: list[np.ndarray], sizes: np.ndarray, starts: np.ndarray,
         candidate, bet, seen = mixer.look(0, past[:alive, begin : end + 2])
         here = rank[:alive, begin:end]
         found = counts.take(here)
-        start = np.cumsum(counts.reshape(lanes, wide)[:alive], axis=1).ravel().take(here)
-        start -= found
+        ahead = np.cumsum(counts.reshape(lanes, wide)[:alive], axis=1).ravel()
+        ahead -= counts[: len(ahead)]
+        start = ahead.take(here)
         new = found == 0
         start += (begin - start) * new
         found += new * UNSEEN
@@ -427,7 +429,6 @@ def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         for t in range(begin, end):
             k = int(active[t])
             ids, bet = mixer.predict(steps[t + 1, :k], steps[t, :k])
-            bet = bet.astype(np.int64)
             bet <<= 12
             part = reader.range[:k] >> 24
             # In unsigned numbers, which divide faster.
@@ -456,7 +457,6 @@ def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             size_here -= bet
             size_here &= missed
             size_here += bet
-            ids = ids.astype(np.int64)
             found >>= 32
             found -= ids
             found &= missed
@@ -490,9 +490,11 @@ def _earlier(ids: np.ndarray, room: np.ndarray) -> np.ndarray:
     the places of that id; the last place of a lane stands for none of them."""
     lanes, begin = ids.shape
     size = begin + 1
+    # Numbers of 16 bits are sorted faster.
+    none = NO_ID if ids.size and ids.max() >= 0xFFFF else np.uint16(0xFFFF)
     for first in range(0, lanes, FEW):
         last = min(first + FEW, lanes)
-        near = np.full((last - first, size), NO_ID, np.uint32)
+        near = np.full((last - first, size), none)
         near[:, :begin] = ids[first:last]
         near.sort(axis=1)
         flat = near.ravel()
