@@ -260,13 +260,13 @@ class _Reader:
     def __init__(self, coded: list[bytes]) -> None:
         lanes = len(coded)
         # Behind its end a lane reads zeros.
-        words = np.zeros((lanes, max(map(len, coded)) // 4 + 3), np.int64)
+        words = np.zeros((lanes, max(map(len, coded)) // 4 + 3), np.uint32)
         for i, own in enumerate(coded):
             words[i, : len(own) // 4] = np.frombuffer(own, "<u4")
         # Words are read one bit late, as 63 bits are not two of them.
-        late = (words[:, :-1] & 1) << 31
+        late = words[:, :-1] << 31
         late |= words[:, 1:] >> 1
-        self.value = words[:, 0] << 31 | words[:, 1] >> 1
+        self.value = words[:, 0].astype(np.int64) << 31 | words[:, 1] >> 1
         self.range = np.full(lanes, FULL, np.int64)
         self.late, self.at = late.ravel(), np.arange(lanes) * late.shape[1] + 1
 
@@ -280,8 +280,7 @@ class _Reader:
         small = ranges - LEAST_RANGE
         small >>= 63
         at = self.at[:k]
-        word = self.late.take(at, mode="clip")
-        word &= small
+        word = self.late.take(at, mode="clip") & small
         at -= small
         small &= 32
         value <<= small
@@ -417,7 +416,8 @@ def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     # The ids of step 3 of all lanes, and which of them is each lane's next.
     bare_at = np.cumsum([0, *map(len, bare[:-1])])
     bare = np.concatenate(bare)
-    steps = np.zeros((size + 2, lanes), np.uint32)
+    # The ids of a stretch, a row for each step, behind the two before them; and all ids.
+    steps = np.zeros((max(end - begin for begin, end in _spans(size)) + 2, lanes), np.uint32)
     by_lane = np.zeros((lanes, size + 2), np.uint32)
     mixer, reader = _Mixer(lanes, any(c[0] == 2 for c in coded)), _Reader(list(words))
     room = np.empty(lanes * (_spans(size)[-1][0] + 1), np.int64)
@@ -428,7 +428,7 @@ def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         base = np.arange(alive) * (begin + 1)
         for t in range(begin, end):
             k = int(active[t])
-            ids, bet = mixer.predict(steps[t + 1, :k], steps[t, :k])
+            ids, bet = mixer.predict(steps[t - begin + 1, :k], steps[t - begin, :k])
             bet <<= 12
             part = reader.range[:k] >> 24
             # In unsigned numbers, which divide faster.
@@ -465,14 +465,15 @@ def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
                 at = bare_at[raw]
                 ids[raw] = bare.take(at)
                 bare_at[raw] = at + 1
-            steps[t + 2, :k] = ids
+            steps[t - begin + 2, :k] = ids
             reader.narrow(part, start, size_here)
         for first in range(0, alive, NEAR):
             last = min(first + NEAR, alive)
-            by_lane[first:last, begin + 2 : end + 2] = steps[begin + 2 : end + 2, first:last].T
+            by_lane[first:last, begin + 2 : end + 2] = steps[2 : end - begin + 2, first:last].T
             if end < size:
                 past = by_lane[first:last, begin : end + 2]
                 mixer.learn(past[:, 2:], *mixer.look(first, past), _inside(begin, end, sizes[first:last]))
+        steps[:2] = steps[end - begin : end - begin + 2].copy()
     out: list[np.ndarray] = [np.empty(0, np.uint32)] * lanes
     for lane, i in enumerate(order):
         out[i] = by_lane[lane, 2 : 2 + lengths[i]]
