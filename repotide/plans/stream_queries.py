@@ -12,7 +12,7 @@ from repotide.functions import columns as C
 from repotide.operators import delivery, enrich
 from repotide.plans import views
 from repotide.schemas import RANKED_REPO, RAW_REPO
-from repotide.session import fresh_dir
+from repotide.session import fresh_dir, shuffles_freed
 from repotide.sources import topics
 from repotide.streaming import flows, live
 from repotide.streaming.enrichment import LiveEnrichment
@@ -20,6 +20,8 @@ from repotide.streaming.first_seen import FirstSeen
 from repotide.streaming.intake import Intake
 
 BATCHES = 2
+# A compressed file is read by one task, so a large topic is cut into more files.
+FILE_MESSAGES = 500_000
 
 
 def topic_files(spark):
@@ -29,19 +31,42 @@ def topic_files(spark):
 
 def subscribe(spark, path):
     """The topic in micro-batches of about half of its files."""
-    return topics.open_topic(spark, path, -(-topic_files(spark) // BATCHES))
+    files = len(spark.read.text(path).inputFiles())
+    return topics.open_topic(spark, path, max(-(-files // BATCHES), 1))
+
+
+def append(messages, path):
+    """More messages of a topic; as plain text they are several times the tables' size."""
+    spark = messages.sparkSession
+    writer = messages.repartition(topic_files(spark)).write.mode("append")
+    with shuffles_freed(spark):
+        writer.option("maxRecordsPerFile", FILE_MESSAGES).text(path, compression="gzip")
 
 
 def publish(spark, sf_dir, records, path):
     """The records as messages, between messages that are none."""
-    value = C.sorted_json(records.columns).alias("value")
-    messages = records.select(value).unionByName(views.poison(spark, sf_dir))
-    messages.repartition(topic_files(spark)).write.mode("append").text(path)
+    publish_parts([records], views.poison(spark, sf_dir), path)
+
+
+def publish_parts(parts, poison, path):
+    """Records in parts, one append each: what one has shuffled is gone when the next begins."""
+    for n, records in enumerate(parts):
+        value = C.sorted_json(records.columns).alias("value")
+        append(records.select(value).unionByName(views.portion(poison, ["value"], n, len(parts))), path)
+
+
+def delivered_parts(spark, sf_dir):
+    """All deliveries, in parts that each have some of an order's."""
+    lines = views.table(spark, sf_dir, "lineitem")
+    key = ["l_orderkey", "l_linenumber"]
+    return [views.deliveries(spark, sf_dir, views.portion(lines, key, n, BATCHES)) for n in range(BATCHES)]
 
 
 def raw_intake(spark, sf_dir, label):
     root = fresh_dir(spark, label)
-    publish(spark, sf_dir, views.repo_records(spark, sf_dir), f"{root}/topic")
+    records = views.repo_records(spark, sf_dir)
+    parts = [views.portion(records, ["repo_id"], n, BATCHES) for n in range(BATCHES)]
+    publish_parts(parts, views.poison(spark, sf_dir), f"{root}/topic")
     intake = Intake(spark, root, topics.judge_messages, RAW_REPO)
     intake.run(subscribe(spark, f"{root}/topic"))
     return intake
@@ -102,11 +127,12 @@ def stream_retry(spark, sf_dir):
 def envelope_topic(spark, sf_dir, path):
     """Every delivered order once in an envelope, and all its deliveries again as
     lone records, between messages that are neither."""
-    sent = views.deliveries(spark, sf_dir)
-    envelopes = delivery.pack_envelopes(sent.distinct(), "seq", 100).select("value")
-    lone = delivery.keyed_messages(sent).select("value")
-    messages = envelopes.unionByName(lone).unionByName(views.poison(spark, sf_dir))
-    messages.repartition(topic_files(spark)).write.text(path)
+    envelopes = delivery.pack_envelopes(views.deliveries(spark, sf_dir).distinct(), "seq", 100)
+    poison = views.poison(spark, sf_dir)
+    for n, sent in enumerate(delivered_parts(spark, sf_dir)):
+        packed = views.portion(envelopes, ["envelope"], n, BATCHES).select("value")
+        lone = delivery.keyed_messages(sent).select("value")
+        append(packed.unionByName(lone).unionByName(views.portion(poison, ["value"], n, BATCHES)), path)
 
 
 def ranked_run(spark, sf_dir, label):

@@ -21,6 +21,11 @@ def with_k(events: DataFrame) -> DataFrame:
     return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
+def portion(rows: DataFrame, key: list[str], number: int, of: int) -> DataFrame:
+    """One of ``of`` parts of a table, which together are the whole."""
+    return rows.filter(F.pmod(F.xxhash64(*key), F.lit(of)) == number)
+
+
 def day_text(ts: str):
     return F.date_format(ts, "yyyy-MM-dd")
 
@@ -411,8 +416,11 @@ def slice_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At-least-once topic: each order's record once per line of the order."""
+def deliveries(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """At-least-once topic: each order's record once per line of the order.
+
+    ``lines`` are all order lines, or a portion of them.
+    """
     status = F.col("o_orderstatus")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("seq"),
@@ -428,5 +436,5 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") > 150000).alias("has_tests"),
         (status == "F").alias("has_ci"),
     )
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("seq"))
-    return lines.join(orders, "seq").select(orders.columns)
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
+    return lines.select(F.col("l_orderkey").alias("seq")).join(orders, "seq").select(orders.columns)
