@@ -157,10 +157,10 @@ def resumed_run(spark, sf_dir, label):
     repository once, though most of its messages are repeats."""
     root = fresh_dir(spark, label)
     topic = f"{root}/topic"
-    sent = views.deliveries(spark, sf_dir)
+    sent, poison = delivered_parts(spark, sf_dir), views.poison(spark, sf_dir)
     run = live.LiveRankings(spark, f"{root}/tables")
-    for part in (sent.filter(F.col("language") != "1-URGENT"), sent):
-        publish(spark, sf_dir, part, topic)
+    for parts in ([part.filter(F.col("language") != "1-URGENT") for part in sent], sent):
+        publish_parts(parts, poison, topic)
         # All there is makes one batch.
         run.run(topics.open_topic(spark, topic))
     return run
