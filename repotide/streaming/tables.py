@@ -15,10 +15,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repotide.session import conf_set, shuffles_freed
 from repotide.sources.topics import read_table
 from repotide.streaming.runs import BATCH, is_committed
 
 FAN = 8
+FOLDERS = 4
 
 
 def cover(batch_id: int, fan: int = FAN) -> list[tuple[int, int]]:
@@ -57,25 +59,35 @@ class BatchTable:
         """The batches as they are stored, as a stream; :data:`BATCH` tells them apart."""
         return self.spark.readStream.schema(self.schema).parquet(f"{self.root}/level=0")
 
-    def write(self, rows: DataFrame, batch_id: int, stateful: bool = False) -> DataFrame:
+    def write(
+        self, rows: DataFrame, batch_id: int, stateful: bool = False, slices: int = 1, key: str | None = None
+    ) -> DataFrame:
         """Store the rows of a batch once, and return them as stored.
 
         Rows of a ``stateful`` stream are computed even when they are stored
-        already: a replay has to bring the state up to the batch.
+        already: a replay has to bring the state up to the batch. ``slices`` by
+        ``key`` are computed one after another, each with a shuffle of its own.
         """
         path = self._part(0, batch_id)
         if not is_committed(self.spark, path):
-            self._store(rows, path)
+            self._store(rows, path, slices, key)
         elif stateful:
             rows.write.format("noop").mode("overwrite").save()
         self._merge(batch_id)
         return self.at(batch_id)
 
-    def _store(self, rows: DataFrame, path: str) -> None:
-        writer = rows.write.mode("overwrite")
-        if self.split_by:
-            writer = writer.partitionBy(*self.split_by)
-        writer.parquet(path)
+    def _store(self, rows: DataFrame, path: str, slices: int = 1, key: str | None = None) -> None:
+        for n in range(slices):
+            own = rows.filter(F.pmod(F.xxhash64(key), F.lit(slices)) == n) if slices > 1 else rows
+            writer = own.write.mode("append" if n else "overwrite").option("compression", "zstd")
+            # Only the last slice marks the part as committed.
+            writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(n == slices - 1).lower())
+            if self.split_by:
+                writer = writer.partitionBy(*self.split_by)
+            # A task writes its few folders side by side, and has nothing to sort for that.
+            open_files = conf_set(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(FOLDERS))
+            with shuffles_freed(rows.sparkSession), open_files:
+                writer.parquet(path)
 
     def _merge(self, batch_id: int) -> None:
         size, level = self.fan, 1

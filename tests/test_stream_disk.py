@@ -1,12 +1,15 @@
 """What the registered streams leave on disk: their topics, shuffles and tables."""
 
+import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from repotide.operators import delivery
 from repotide.plans import stream_queries, views
 from repotide.session import conf_set
+from repotide.streaming.tables import BatchTable
 
 ORDERS = 400
 
@@ -75,6 +78,25 @@ def test_a_large_topic_has_more_files_and_no_more_batches(spark, tables, tmp_pat
     assert len(taken) == stream_queries.BATCHES and sum(taken) == len(in_topic(spark, path))
 
 
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in Path(d).glob("*/shuffle_*")}
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, tmp_path, rows):
+    table = BatchTable(spark, str(tmp_path / "t"), "k bigint, n bigint, fit boolean", split_by=("fit",))
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    before = shuffle_files(spark)
+    table.write(counted.withColumn("fit", F.col("k") > 2), 0)
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left
+    # Queries that come later keep theirs, and the rows are all there.
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert rows(table.at(0)) == [(k, 100, k > 2) for k in range(10)]
+
+
 def test_a_setting_holds_inside_alone(spark):
     with pytest.raises(ZeroDivisionError), conf_set(spark, "spark.sql.some.setting", "7"):
         assert spark.conf.get("spark.sql.some.setting") == "7"
@@ -83,3 +105,16 @@ def test_a_setting_holds_inside_alone(spark):
     with conf_set(spark, "spark.sql.session.timeZone", "UTC"):
         pass
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_slices_make_one_part_that_counts_when_all_are_there(spark, tmp_path, rows):
+    table = BatchTable(spark, str(tmp_path / "t"), "k bigint, n bigint")
+    counted = spark.range(300).selectExpr("nullif(id % 100, 7) as k").groupBy("k").agg(F.count("*").alias("n"))
+    # The first slice is stored, the second fails.
+    second = F.pmod(F.xxhash64("k"), F.lit(3)) == 1
+    failing = counted.withColumn("n", F.when(second, F.raise_error(F.lit("broken")).cast("bigint")).otherwise(F.col("n")))
+    with pytest.raises(Exception, match="broken"):
+        table.write(failing, 0, slices=3, key="k")
+    assert not table.has(0) and list((tmp_path / "t" / "level=0" / "batch_id=0").glob("*.parquet"))
+    found = rows(table.write(counted, 0, slices=3, key="k"))
+    assert table.has(0) and found == rows(counted) and len(found) == 100
