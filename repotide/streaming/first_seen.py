@@ -49,12 +49,16 @@ class FirstSeen:
         # Progress of the last deduplication: rows of state, and how many were written.
         self.state: dict[str, int] = {}
 
-    def take(self, records: DataFrame, batch_id: int) -> None:
-        """Take in the records of a batch; new ones are handed to ``deliver`` before this returns."""
+    def take(self, records: DataFrame, batch_id: int, slices: int = 1) -> None:
+        """Take in the records of a batch; new ones are handed to ``deliver`` before this returns.
+
+        Repeats in a batch are told in ``slices`` of the keys, each of which reads all records.
+        """
         payload = [c for c in self.schema.names if c != self.key]
         once = records.groupBy(self.key).agg(F.min_by(F.struct(*payload), self.order).alias("r"))
         self.arrived.write(
-            once.select(self.key, "r.*").select(*self.schema.names, F.current_timestamp().alias("_arrived")), batch_id
+            once.select(self.key, "r.*").select(*self.schema.names, F.current_timestamp().alias("_arrived")),
+            batch_id, slices=slices, key=self.key,
         )
         stream = self.arrived.stream().select(*self.arrived.schema.names)
         if self.forget_after:

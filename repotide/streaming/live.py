@@ -48,6 +48,8 @@ LANGUAGES = "name string, projects bigint, with_tests bigint, with_tests_ci bigi
 RESERVE = "name string, count bigint, floor boolean"
 RANKINGS = "batch_id bigint, question string, rk bigint, name string, count bigint"
 STATE = "struct<projects:bigint,with_tests:bigint,with_tests_ci:bigint,commits:bigint,seq:bigint>"
+# A larger batch is freed of its repeats in slices, of which at most ``SLICES`` read it again.
+SLICE_RECORDS, SLICES = 2_000_000, 4
 SNAPSHOTS = "batch_id bigint, processed_unique bigint, top_n bigint, recorded_at string"
 
 
@@ -144,7 +146,7 @@ class LiveRankings:
         return self.intake.follow(messages, every)
 
     def _distinct(self, records: DataFrame, batch_id: int) -> None:
-        self.first_seen.take(records, batch_id)
+        self.first_seen.take(records, batch_id, min(records.count() // SLICE_RECORDS + 1, SLICES))
 
     def _count(self, new: DataFrame, batch_id: int) -> None:
         stream = counters(self.first_seen.first.stream().select(*RANKED_REPO.names))

@@ -6,9 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from repotide.operators import delivery
+from repotide.operators import dedupe, delivery, rankings
 from repotide.plans import stream_queries, views
 from repotide.session import conf_set
+from repotide.sources import topics
+from repotide.streaming import live
 from repotide.streaming.tables import BatchTable
 
 ORDERS = 400
@@ -118,3 +120,19 @@ def test_slices_make_one_part_that_counts_when_all_are_there(spark, tmp_path, ro
     assert not table.has(0) and list((tmp_path / "t" / "level=0" / "batch_id=0").glob("*.parquet"))
     found = rows(table.write(counted, 0, slices=3, key="k"))
     assert table.has(0) and found == rows(counted) and len(found) == 100
+
+
+def test_repeats_are_told_in_slices(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(live, "SLICE_RECORDS", 100)
+    sent = spark.range(450).selectExpr(
+        "id as seq", "id % 90 as repo_id", "concat('n', id % 30) as full_name", "concat('l', id % 7) as language",
+        "id % 31 as commit_count", "id % 2 = 0 as has_tests", "id % 3 = 0 as has_ci",
+    )
+    topics.publish(sent, str(tmp_path / "topic"))
+    run, slices = live.LiveRankings(spark, str(tmp_path / "tables")), []
+    write = run.first_seen.arrived.write
+    run.first_seen.arrived.write = lambda *a, **b: slices.append(b["slices"]) or write(*a, **b)
+    run.run(topics.open_topic(spark, str(tmp_path / "topic")))
+    assert slices == [live.SLICES]
+    expected = rankings.all_rankings(dedupe.first_seen(sent, ["repo_id"], ["seq"]), run.top_n)
+    assert rows(run.current(), "question", "rk", "name", "count") == rows(expected)
